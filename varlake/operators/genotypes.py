@@ -49,14 +49,19 @@ def _truthy(v: Column, dtype: T.DataType) -> Column:
 
 
 def _kind_map(g: Column, keys: dict[str, str], dtype: T.DataType, present: set[str]) -> Column:
-    pairs: list[Column] = []
+    """One map kind: a concat of single-entry maps, each present only when
+    its value is truthy (plain expressions, so it stays in generated
+    code; a map_filter lambda would be interpreted per entry)."""
+    mtype = T.MapType(T.StringType(), dtype)
+    empty = F.create_map().cast(mtype)
+    parts: list[Column] = []
     for key, fld in keys.items():
         if fld in present:
-            pairs += [F.lit(key), g.getField(fld).cast(dtype)]
-    mtype = T.MapType(T.StringType(), dtype)
-    if not pairs:
-        return F.create_map().cast(mtype)
-    return F.map_filter(F.create_map(*pairs), lambda k, v: _truthy(v, dtype)).cast(mtype)
+            v = g.getField(fld).cast(dtype)
+            parts.append(F.when(_truthy(v, dtype), F.create_map(F.lit(key), v)).otherwise(empty))
+    if not parts:
+        return empty
+    return (parts[0] if len(parts) == 1 else F.map_concat(*parts)).cast(mtype)
 
 
 def genotype_maps(g: Column, present: set[str]) -> list[Column]:
@@ -105,6 +110,21 @@ def genotypes_long(scanned: DataFrame, key: Sequence[str] = ("contigName", "star
     )
 
 
+def genotypes_long_flat(fields: DataFrame, keep: Sequence[str] = ("chrom", "pos", "sample_index")) -> DataFrame:
+    """Long maps from one row per (site, sample) with the genotype fields
+    as columns (see ``parse_genotypes_long``): ``keep`` columns, sample,
+    and the maps ``int``, ``text``, ``list_int``."""
+    present = {c for c in fields.columns if c not in keep}
+    g = F.struct(*[F.col(c) for c in sorted(present)])
+    maps = genotype_maps(g, present)
+    sample = sample_column_expr(F.col("sampleId")) if "sampleId" in present else F.lit(None).cast("string")
+    return fields.select(
+        *keep,
+        sample.alias("sample"),
+        *[m.alias(kind) for m, (kind, _, _) in zip(maps, _KINDS)],
+    )
+
+
 def genotypes_wide(
     scanned: DataFrame,
     samples: Sequence[str],

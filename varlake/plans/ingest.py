@@ -13,12 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.genotypes import genotypes_long, sample_slice
+from ..operators.genotypes import genotypes_long_flat
 from ..operators.joins import KEY
 from ..operators.project import csq_table, info_project, main_project
 from ..plans.query import TABLE_NAMES
 from ..sources.tables import scan_table, write_table
-from ..sources.vcf import VcfHeader, pos_one_based, read_vcf
+from ..sources.vcf import VcfHeader, VcfSource, open_vcf, pos_one_based
 
 # Samples kept by the slim (demo) profile, which handles
 # one chunk of five samples.
@@ -36,19 +36,23 @@ class IngestResult:
     header: VcfHeader
 
 
-def build_tables(scanned: DataFrame, header: VcfHeader, profile: str = "full") -> dict[str, DataFrame]:
-    """The four table frames of one scanned VCF (lazy, nothing runs)."""
+def build_tables(src: VcfSource, profile: str = "full") -> dict[str, DataFrame]:
+    """The four table frames of one VCF source (lazy, nothing runs).
+
+    Site, INFO and annotation tables come from the nested site rows (the
+    parse is pruned to the fields each uses); the genotype table is read
+    straight from the sample fields, one row per (site, sample)."""
     if profile not in TABLE_NAMES:
         raise ValueError(f"unknown profile {profile!r}; use 'full' or 'slim'")
-    s = pos_one_based(scanned)
+    s = pos_one_based(src.sites())
     tables = {
         "main": main_project(s),
         "info": info_project(s),
-        "csq": csq_table(s, header.csq_fields, profile, keep_index=True),
+        "csq": csq_table(s, src.header.csq_fields, profile, keep_index=True),
     }
-    if "genotypes" in s.columns:
-        g = sample_slice(s, 0, SLIM_SAMPLES) if profile == "slim" else s
-        tables["genotypes"] = genotypes_long(g)
+    if src.header.formats:
+        window = (0, SLIM_SAMPLES) if profile == "slim" else None
+        tables["genotypes"] = genotypes_long_flat(src.genotypes(samples=window))
     return tables
 
 
@@ -75,8 +79,8 @@ def ingest(
     """
     if on_duplicate not in ("error", "keep"):
         raise ValueError("on_duplicate must be 'error' or 'keep'")
-    scanned, header = read_vcf(spark, path, min_partitions=min_partitions)
-    frames = build_tables(scanned, header, profile)
+    src = open_vcf(spark, path, min_partitions=min_partitions)
+    frames = build_tables(src, profile)
     names = TABLE_NAMES[profile]
     written: dict[str, str] = {}
     written["main"] = write_table(frames["main"], root, names["main"])
@@ -90,4 +94,4 @@ def ingest(
     for t in ("info", "csq", "genotypes"):
         if t in frames:
             written[t] = write_table(frames[t], root, names[t])
-    return IngestResult(root, written, header)
+    return IngestResult(root, written, src.header)

@@ -19,6 +19,7 @@ from ..functions.names import SLIM_CSQ_FIELDS
 from ..operators import filters as flt
 from ..operators.genotypes import (
     genotypes_long,
+    genotypes_long_flat,
     genotypes_wide,
     list_map_text,
     map_text,
@@ -36,7 +37,7 @@ from ..operators.project import (
 from ..operators.store import preview, row_count, schema_evolve, union_evolve, upsert_merge
 from ..session import scratch_path
 from ..sources.tables import scan_table, write_table
-from ..sources.vcf import parse_vcf_lines, pos_one_based, read_vcf
+from ..sources.vcf import open_vcf, pos_one_based, read_vcf
 from . import standin
 from .ingest import ingest
 from .query import query_variants, run_query
@@ -74,8 +75,14 @@ def flat(df: DataFrame) -> DataFrame:
     return df.select(*[_text(F.col(f.name), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
+def _vcf_source(spark: SparkSession, sf: str):
+    """The stand-in written as VCF files (one per chromosome) and opened
+    as any VCF input is."""
+    return open_vcf(spark, _write_vcf(spark, sf))
+
+
 def _scanned(spark: SparkSession, sf: str) -> DataFrame:
-    return parse_vcf_lines(standin.vcf_lines(spark, sf), standin.VCF_HEADER)
+    return _vcf_source(spark, sf).sites()
 
 
 def _tables(spark: SparkSession, sf: str):
@@ -224,7 +231,9 @@ def q_genotype_maps(spark, sf):
 
 
 def q_genotypes_long(spark, sf):
-    g = genotypes_long(pos_one_based(_scanned(spark, sf)))
+    # the ingest path: sample fields exploded from the text, then mapped
+    fields = _vcf_source(spark, sf).genotypes()
+    g = genotypes_long_flat(fields)
     # non-empty entries only: one row per (site, sample, map kind)
     kinds = F.array(
         *[F.struct(F.lit(k).alias("kind"), F.col(k + "_t").alias("entries")) for k in ("int", "text", "list_int")]

@@ -165,24 +165,21 @@ def _typed_scalar(c: Column, dtype: T.DataType) -> Column:
 
 def _typed_value(c: Column, fd: FieldDef) -> Column:
     """Typed value of one INFO or FORMAT field from its text (null text ->
-    null)."""
+    null).  Lists are split and cast as a whole (``try_cast`` on the
+    array), which stays in generated code; '.' elements become null."""
     dtype = fd.spark_type
     if isinstance(dtype, T.ArrayType):
-        elem = dtype.elementType
-        return F.when(_missing(c), F.lit(None).cast(dtype)).otherwise(
-            F.transform(F.split(c, ",", -1), lambda x: _typed_scalar(x, elem))
-        )
+        parts = F.split(c, ",", -1)
+        if not isinstance(dtype.elementType, T.StringType):
+            parts = parts.try_cast(dtype)
+        return F.when(_missing(c), F.lit(None).cast(dtype)).otherwise(parts)
     return _typed_scalar(c, dtype)
 
 
 def _gt_calls(c: Column) -> Column:
     """GT text -> allele indices, '.' -> -1 (``0/1`` -> [0, 1])."""
-    return F.when(c.isNull() | (c == ""), F.lit(None).cast("array<int>")).otherwise(
-        F.transform(
-            F.split(c, "[/|]", -1),
-            lambda x: F.when(x == ".", F.lit(-1)).otherwise(x.try_cast("int")),
-        )
-    )
+    calls = F.split(F.regexp_replace(c, r"\.", "-1"), "[/|]", -1).try_cast("array<int>")
+    return F.when(c.isNull() | (c == ""), F.lit(None).cast("array<int>")).otherwise(calls)
 
 
 def csq_struct_type(csq_fields: tuple[str, ...]) -> T.StructType:
@@ -328,6 +325,61 @@ def parse_vcf_lines(
     return staged.select(*out)
 
 
+def parse_genotypes_long(
+    lines: DataFrame,
+    header: VcfHeader,
+    *,
+    value_col: str = "value",
+    sample_names: Column | None = None,
+    samples: tuple[int, int] | None = None,
+) -> DataFrame:
+    """One row per (site, sample) straight from the text: chrom, pos
+    (1-based), sample_index, sampleId and the typed FORMAT fields as
+    columns (renamed as in the nested form).
+
+    The sample fields are exploded first, so every field is then read
+    with plain expressions in generated code, with no per-element lambda.
+    ``samples``: optional ``[start, end)`` slice of the sample list.
+    """
+    v = F.col(value_col)
+    data = lines.where(~v.startswith("#") & (F.length(v) > 0))
+    literal_names = sample_names is None
+    if literal_names:
+        sample_names = F.array(*[F.lit(s) for s in header.samples]).cast("array<string>")
+    f = F.col("_f")
+    first, count = 10, F.greatest(F.size(f) - 9, F.lit(0))
+    offset = 0
+    if samples is not None:
+        offset = samples[0]
+        first = 10 + offset
+        count = F.greatest(F.least(count - offset, F.lit(samples[1] - offset)), F.lit(0))
+    fmt = F.split(F.get(f, 8), ":", -1)
+    # everything per line is computed before the explode, so the explode
+    # carries only small columns (never the whole line) into each sample row
+    per_line = data.select(F.split(v, "\t", -1).alias("_f"), *([] if literal_names else [sample_names.alias("_names")])).select(
+        F.get(f, 0).alias("chrom"),
+        F.get(f, 1).try_cast("int").alias("pos"),
+        *([] if literal_names else ["_names"]),
+        F.array(*[(F.array_position(fmt, fd.id) - 1).cast("int") for fd in header.formats]).alias("_ix"),
+        F.slice(f, first, count).alias("_samples"),
+    )
+    ex = per_line.select(
+        "chrom", "pos", *([] if literal_names else ["_names"]), "_ix",
+        F.posexplode("_samples").alias("_slot", "_s"),
+    )
+    idx = F.col("_slot") + F.lit(offset)
+    names = sample_names if literal_names else F.col("_names")
+    parts = ex.select(
+        "chrom", "pos", idx.alias("sample_index"),
+        F.get(names, idx).alias("sampleId"),
+        "_ix", F.split("_s", ":", -1).alias("_p"),
+    )
+    out = [F.col("chrom"), F.col("pos"), F.col("sample_index"), F.col("sampleId")]
+    for j, fd in enumerate(header.formats):
+        out += _genotype_field(fd, F.get(F.col("_p"), F.get(F.col("_ix"), j)))
+    return parts.select(*out)
+
+
 # ------------------------------------------------------------------ files
 
 
@@ -362,19 +414,52 @@ def read_headers(spark: SparkSession, files: list[str], threads: int = 16) -> di
         return dict(zip(files, parsed))
 
 
-def read_vcf(
+@dataclass(frozen=True)
+class VcfSource:
+    """Lines of one or more VCF files, ready for either parser.
+
+    ``parts``: (lines, header, sample_names) triples; one part unless
+    files with different sample lists exceed the broadcast bound.
+    ``sample_names`` is None when the header's literal list applies."""
+
+    header: VcfHeader
+    parts: tuple[tuple[DataFrame, VcfHeader, Column | None], ...]
+
+    def sites(self, *, include_sample_ids: bool = True, flatten_info: bool = True) -> DataFrame:
+        """Nested site rows (:func:`parse_vcf_lines`)."""
+        return _union(
+            parse_vcf_lines(
+                lines, h, sample_names=names,
+                include_sample_ids=include_sample_ids, flatten_info=flatten_info,
+            )
+            for lines, h, names in self.parts
+        )
+
+    def genotypes(self, samples: tuple[int, int] | None = None) -> DataFrame:
+        """One row per (site, sample) (:func:`parse_genotypes_long`)."""
+        return _union(
+            parse_genotypes_long(lines, h, sample_names=names, samples=samples)
+            for lines, h, names in self.parts
+        )
+
+
+def _union(frames) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), list(frames))
+
+
+def open_vcf(
     spark: SparkSession,
     path: str | list[str],
     *,
-    include_sample_ids: bool = True,
-    flatten_info: bool = True,
     min_partitions: int | None = None,
-) -> tuple[DataFrame, VcfHeader]:
-    """Read VCF files (plain or ``.vcf.gz``) into site rows.
-
-    Returns the DataFrame and the header.  When files carry different
-    sample lists, each line gets its file's samples through a join on the
-    file path; INFO, FORMAT and CSQ definitions must agree across files.
+) -> VcfSource:
+    """List the files, read their headers and return their lines.
+
+    When files carry different sample lists, each line gets its file's
+    samples through a broadcast join on the file path (the table has one
+    row per file, its size known here); past the broadcast bound, files
+    are parsed per distinct sample list instead, so no shuffle ever moves
+    whole files by path.  INFO, FORMAT and CSQ definitions must agree.
     ``min_partitions`` spreads few large gzip files (one task each) over
     more tasks with a round-robin repartition of the text.
     """
@@ -383,58 +468,56 @@ def read_vcf(
         _check_path(p)
     text = spark.read.text(paths)
     files = sorted(text.inputFiles())
-    for p in files:
-        _check_path(p)
     if not files:
         raise VcfFormatError(f"no input files at {paths}")
+    for p in files:
+        _check_path(p)
     headers = read_headers(spark, files)
     first = headers[files[0]]
     for f, h in headers.items():
         if not first.same_schema(h):
             raise VcfFormatError(f"{f}: INFO/FORMAT/CSQ header differs from {files[0]}")
 
-    if min_partitions and text.rdd.getNumPartitions() < min_partitions:
-        text = text.repartition(min_partitions)
+    def spread(t: DataFrame) -> DataFrame:
+        if min_partitions and t.rdd.getNumPartitions() < min_partitions:
+            return t.repartition(min_partitions)
+        return t
 
     if len({h.samples for h in headers.values()}) == 1:
-        df = parse_vcf_lines(
-            text, first, include_sample_ids=include_sample_ids, flatten_info=flatten_info
-        )
-        return df, first
+        return VcfSource(first, ((spread(text), first, None),))
 
-    # differing sample lists: one small row per file, joined by path.  The
-    # table's size is known here on the driver; past the broadcast bound,
-    # files are parsed per distinct sample list and the parts unioned, so
-    # no shuffle ever moves whole files by path.
     est_bytes = sum(len(f) + sum(len(s) + 8 for s in h.samples) for f, h in headers.items())
     if est_bytes < BROADCAST_LIMIT_BYTES:
         per_file = spark.createDataFrame(
             [(f, list(h.samples)) for f, h in headers.items()],
             "file_path string, sample_names array<string>",
         )
-        lines = text.select("value", F.col("_metadata.file_path").alias("file_path"))
+        lines = spread(text.select("value", F.col("_metadata.file_path").alias("file_path")))
         joined = lines.join(F.broadcast(per_file), "file_path", "left")
-        df = parse_vcf_lines(
-            joined,
-            first,
-            sample_names=F.col("sample_names"),
-            include_sample_ids=include_sample_ids,
-            flatten_info=flatten_info,
-        )
-        return df, first
+        return VcfSource(first, ((joined, first, F.col("sample_names")),))
+
     groups: dict[tuple[str, ...], list[str]] = {}
     for f, h in headers.items():
         groups.setdefault(h.samples, []).append(f)
-    parts = []
-    for samples, group in groups.items():
-        t = spark.read.text(group)
-        if min_partitions and t.rdd.getNumPartitions() < min_partitions:
-            t = t.repartition(min_partitions)
-        h = VcfHeader(first.info, first.formats, samples, first.csq_fields)
-        parts.append(
-            parse_vcf_lines(t, h, include_sample_ids=include_sample_ids, flatten_info=flatten_info)
-        )
-    return reduce(lambda a, b: a.unionByName(b), parts), first
+    parts = tuple(
+        (spread(spark.read.text(group)), VcfHeader(first.info, first.formats, samples, first.csq_fields), None)
+        for samples, group in groups.items()
+    )
+    return VcfSource(first, parts)
+
+
+def read_vcf(
+    spark: SparkSession,
+    path: str | list[str],
+    *,
+    include_sample_ids: bool = True,
+    flatten_info: bool = True,
+    min_partitions: int | None = None,
+) -> tuple[DataFrame, VcfHeader]:
+    """Read VCF files (plain or ``.vcf.gz``) into nested site rows;
+    returns the DataFrame and the (first file's) header."""
+    src = open_vcf(spark, path, min_partitions=min_partitions)
+    return src.sites(include_sample_ids=include_sample_ids, flatten_info=flatten_info), src.header
 
 
 def pos_one_based(df: DataFrame, col: str = "start") -> DataFrame:
@@ -455,6 +538,9 @@ __all__ = [
     "parse_vcf_lines",
     "read_header_lines",
     "read_vcf",
+    "open_vcf",
+    "VcfSource",
+    "parse_genotypes_long",
     "pos_one_based",
     "csq_struct_type",
     "FORMAT_RENAMES",
