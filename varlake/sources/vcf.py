@@ -263,6 +263,7 @@ def parse_vcf_lines(
     staged = data.select(
         *[F.col(k) for k in keep],
         fields.alias("_f"),
+        sample_names.alias("_names"),
     ).select(
         *[F.col(k) for k in keep],
         F.col("_f"),
@@ -271,7 +272,7 @@ def parse_vcf_lines(
             F.str_to_map(F.get(F.col("_f"), 7), F.lit(";"), F.lit("=")),
         ).alias("_info"),
         fmt.alias("_fmt"),
-        sample_names.alias("_names"),
+        F.col("_names"),
     )
 
     out: list[Column] = [F.col(k) for k in keep]
@@ -488,11 +489,14 @@ def open_vcf(
 
     est_bytes = sum(len(f) + sum(len(s) + 8 for s in h.samples) for f, h in headers.items())
     if est_bytes < BROADCAST_LIMIT_BYTES:
+        # listing and _metadata spell local paths differently
+        # ('file:///x' / 'file:/x'): compare both without the scheme
         per_file = spark.createDataFrame(
-            [(f, list(h.samples)) for f, h in headers.items()],
+            [(re.sub(r"^file:/+", "/", f), list(h.samples)) for f, h in headers.items()],
             "file_path string, sample_names array<string>",
         )
-        lines = spread(text.select("value", F.col("_metadata.file_path").alias("file_path")))
+        path_col = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/")
+        lines = spread(text.select("value", path_col.alias("file_path")))
         joined = lines.join(F.broadcast(per_file), "file_path", "left")
         return VcfSource(first, ((joined, first, F.col("sample_names")),))
 
