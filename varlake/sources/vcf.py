@@ -178,7 +178,8 @@ def _typed_value(c: Column, fd: FieldDef) -> Column:
 
 def _gt_calls(c: Column) -> Column:
     """GT text -> allele indices, '.' -> -1 (``0/1`` -> [0, 1])."""
-    calls = F.split(F.regexp_replace(c, r"\.", "-1"), "[/|]", -1).try_cast("array<int>")
+    # '|' -> '/' and '.' -> '-1' without regexes, then one split on '/'
+    calls = F.split(F.replace(F.translate(c, "|", "/"), F.lit("."), F.lit("-1")), "/", -1).try_cast("array<int>")
     return F.when(c.isNull() | (c == ""), F.lit(None).cast("array<int>")).otherwise(calls)
 
 
