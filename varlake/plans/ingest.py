@@ -8,6 +8,7 @@ is cached or collected.  Only header lines reach the driver.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from ..operators.genotypes import genotypes_long_flat
 from ..operators.joins import KEY
-from ..operators.project import csq_table, info_project, main_project
+from ..functions.names import SLIM_CSQ_FIELDS
+from ..operators.project import csq_project, info_project, main_project
 from ..plans.query import TABLE_NAMES
 from ..sources.tables import scan_table, write_table
 from ..sources.vcf import VcfHeader, VcfSource, open_vcf, pos_one_based
@@ -39,17 +41,17 @@ class IngestResult:
 def build_tables(src: VcfSource, profile: str = "full") -> dict[str, DataFrame]:
     """The four table frames of one VCF source (lazy, nothing runs).
 
-    Site, INFO and annotation tables come from the nested site rows (the
-    parse is pruned to the fields each uses); the genotype table is read
-    straight from the sample fields, one row per (site, sample)."""
+    Site and INFO tables come from the nested site rows (the parse is
+    pruned to the fields each uses); the annotation and genotype tables
+    are read straight from the exploded CSQ entries and sample fields."""
     if profile not in TABLE_NAMES:
         raise ValueError(f"unknown profile {profile!r}; use 'full' or 'slim'")
     s = pos_one_based(src.sites())
-    tables = {
-        "main": main_project(s),
-        "info": info_project(s),
-        "csq": csq_table(s, src.header.csq_fields, profile, keep_index=True),
-    }
+    tables = {"main": main_project(s), "info": info_project(s)}
+    if src.header.csq_fields:
+        ann = pos_one_based(src.annotations())
+        fields = src.header.csq_fields if profile == "full" else SLIM_CSQ_FIELDS
+        tables["csq"] = csq_project(ann, fields, keep_index=True)
     if src.header.formats:
         window = (0, SLIM_SAMPLES) if profile == "slim" else None
         tables["genotypes"] = genotypes_long_flat(src.genotypes(samples=window))
@@ -69,13 +71,15 @@ def ingest(
     profile: str = "full",
     on_duplicate: str = "error",
     min_partitions: int | None = None,
+    parallel: bool = True,
 ) -> IngestResult:
     """Read VCF ``path`` and append its tables under ``root``.
 
     ``on_duplicate``: 'error' fails when a (chrom, pos) appears on more
     than one line (a split site would multiply annotation join rows);
     'keep' stores them as they are.  The check reads only the key
-    columns of the written site table.
+    columns of the written site table.  ``parallel`` submits the INFO,
+    annotation and genotype writes as concurrent jobs.
     """
     if on_duplicate not in ("error", "keep"):
         raise ValueError("on_duplicate must be 'error' or 'keep'")
@@ -91,7 +95,14 @@ def ingest(
                 f"sites on more than one line, e.g. {[tuple(r) for r in dup]}; "
                 "pass on_duplicate='keep' to store them"
             )
-    for t in ("info", "csq", "genotypes"):
-        if t in frames:
+    rest = [t for t in ("info", "csq", "genotypes") if t in frames]
+    if parallel and len(rest) > 1:
+        # independent jobs submitted together keep every core busy while
+        # another job's last tasks finish
+        with ThreadPoolExecutor(max_workers=len(rest)) as pool:
+            paths = pool.map(lambda t: write_table(frames[t], root, names[t]), rest)
+            written.update(zip(rest, paths))
+    else:
+        for t in rest:
             written[t] = write_table(frames[t], root, names[t])
     return IngestResult(root, written, src.header)

@@ -212,34 +212,44 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(F.expr("concat_ws('\\t', " + ", ".join(cols) + ")").alias("value"))
 
 
+# Positions per rendered file: files are bounded by contig and position
+# block, so no task writes more than one block of one contig.
+FILE_BLOCK = 1_000_000
+
+
 def write_vcf_files(spark: SparkSession, sf_dir: str, path: str, compression: str | None = None) -> str:
-    """Write the stand-in as one VCF file per chromosome (header lines,
-    then data lines by position), as cohort VCFs are commonly split.
+    """Write the stand-in as VCF files, one per (contig, position block):
+    header lines, then data lines by position, as cohort VCFs are split.
 
-    Each file is written by one task, since a file is one sequential
-    stream; its size is one chromosome's share of the orders.
+    Each file is one sequential stream written by one task; its size is
+    bounded by the block of positions it covers.
     """
     o = load(spark, sf_dir, "orders")
+    fields = F.split("value", "\t", 3)
     data = vcf_lines(spark, sf_dir).select(
-        F.split("value", "\t", 3).getItem(0).alias("part"),
+        fields.getItem(0).alias("part"),
+        F.floor(fields.getItem(1).cast("long") / F.lit(FILE_BLOCK)).alias("block"),
         F.lit(1).alias("kind"),
-        F.split("value", "\t", 3).getItem(1).cast("long").alias("n"),
+        fields.getItem(1).cast("long").alias("n"),
         "value",
     )
-    # every contig present gets the header lines, generated per contig row
+    # every (contig, block) present gets the header lines, generated per row
     lines = F.array(*[F.struct(F.lit(i).cast("long").alias("n"), F.lit(v).alias("value")) for i, v in enumerate(VCF_HEADER_LINES)])
     headers = (
-        o.select(F.expr(chrom_of("o_orderkey")).alias("part"))
+        o.select(
+            F.expr(chrom_of("o_orderkey")).alias("part"),
+            F.floor((F.col("o_orderkey") + 1) / F.lit(FILE_BLOCK)).alias("block"),
+        )
         .distinct()
-        .select("part", F.lit(0).alias("kind"), F.inline(lines))
+        .select("part", "block", F.lit(0).alias("kind"), F.inline(lines))
     )
     w = (
         data.unionByName(headers)
-        .repartition("part")
-        .sortWithinPartitions("part", "kind", "n")
-        .select("part", "value")
+        .repartition("part", "block")
+        .sortWithinPartitions("part", "block", "kind", "n")
+        .select("part", "block", "value")
         .write.mode("overwrite")
-        .partitionBy("part")
+        .partitionBy("part", "block")
     )
     if compression:
         w = w.option("compression", compression)

@@ -8,12 +8,23 @@ pos predicate prunes row groups by their min/max statistics.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PARTITION_COL = "chrom"
 SORT_COLS = ("chrom", "pos")
 
 
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.MapType):
+        return True
+    if isinstance(t, T.ArrayType):
+        return _has_map(t.elementType)
+    if isinstance(t, T.StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return False
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
@@ -38,7 +49,12 @@ def write_table(
     """
     if cluster:
         n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(n, *SORT_COLS)
+        # a deterministic row hash breaks ties, so one hot (chrom, pos)
+        # with many rows still spreads over several range partitions
+        hashable = [
+            F.col(f.name) for f in df.schema.fields if not _has_map(f.dataType)
+        ]
+        df = df.repartitionByRange(n, *SORT_COLS, F.xxhash64(*hashable))
     path = table_path(root, name)
     (
         df.sortWithinPartitions(*SORT_COLS)

@@ -382,6 +382,46 @@ def parse_genotypes_long(
     return parts.select(*out)
 
 
+def parse_csq_long(lines: DataFrame, header: VcfHeader, *, value_col: str = "value") -> DataFrame:
+    """One row per annotation straight from the text: contigName, start
+    (0-based), csq_no and ``_csq``, a struct named by the CSQ header.
+
+    The CSQ entries are exploded first and each is split once, so every
+    field is read with plain expressions in generated code (the nested
+    ``INFO_CSQ`` column needs a per-entry lambda).  Sites without CSQ give
+    no row.
+    """
+    if not header.csq_fields:
+        raise VcfFormatError("header has no CSQ INFO line with a 'Format:' list")
+    v = F.col(value_col)
+    f = F.col("_f")
+    data = lines.where(~v.startswith("#") & (F.length(v) > 0))
+    info_text = F.get(f, 7)
+    per_line = data.select(F.split(v, "\t", -1).alias("_f")).select(
+        F.get(f, 0).alias("contigName"),
+        (F.get(f, 1).try_cast("long") - 1).alias("start"),
+        F.try_element_at(
+            F.when(~_missing(info_text), F.str_to_map(info_text, F.lit(";"), F.lit("="))),
+            F.lit(CSQ_ID),
+        ).alias("_csq_text"),
+    )
+    t = F.col("_csq_text")
+    ex = per_line.select(
+        "contigName", "start",
+        F.posexplode(F.when(~_missing(t), F.split(t, ",", -1))).alias("csq_no", "_e"),
+    )
+    parts = ex.select("contigName", "start", "csq_no", F.split("_e", r"\|", -1).alias("_p"))
+    p = F.col("_p")
+    cols = []
+    for i, name in enumerate(header.csq_fields):
+        x = F.get(p, i)
+        x = F.when(x == "", F.lit(None).cast("string")).otherwise(x)
+        if name in CSQ_LIST_FIELDS:
+            x = F.split(x, "&", -1)
+        cols.append(x.alias(name))
+    return parts.select("contigName", "start", "csq_no", F.struct(*cols).alias("_csq"))
+
+
 # ------------------------------------------------------------------ files
 
 
@@ -437,6 +477,10 @@ class VcfSource:
             for lines, h, names in self.parts
         )
 
+    def annotations(self) -> DataFrame:
+        """One row per CSQ entry (:func:`parse_csq_long`)."""
+        return _union(parse_csq_long(lines, h) for lines, h, _ in self.parts)
+
     def genotypes(self, samples: tuple[int, int] | None = None) -> DataFrame:
         """One row per (site, sample) (:func:`parse_genotypes_long`)."""
         return _union(
@@ -546,6 +590,7 @@ __all__ = [
     "open_vcf",
     "VcfSource",
     "parse_genotypes_long",
+    "parse_csq_long",
     "pos_one_based",
     "csq_struct_type",
     "FORMAT_RENAMES",
