@@ -19,7 +19,7 @@ from ..operators.joins import KEY
 from ..functions.names import SLIM_CSQ_FIELDS
 from ..operators.project import csq_project, info_project, main_project
 from ..plans.query import TABLE_NAMES
-from ..sources.tables import scan_table, write_table
+from ..sources.tables import write_table
 from ..sources.vcf import VcfHeader, VcfSource, open_vcf, pos_one_based
 
 # Samples kept by the slim (demo) profile, which handles
@@ -77,32 +77,33 @@ def ingest(
 
     ``on_duplicate``: 'error' fails when a (chrom, pos) appears on more
     than one line (a split site would multiply annotation join rows);
-    'keep' stores them as they are.  The check reads only the key
-    columns of the written site table.  ``parallel`` submits the INFO,
-    annotation and genotype writes as concurrent jobs.
+    'keep' stores them as they are.  The check covers this input's
+    sites and runs before any write.  ``parallel`` submits the four
+    table writes as concurrent jobs.
     """
     if on_duplicate not in ("error", "keep"):
         raise ValueError("on_duplicate must be 'error' or 'keep'")
     src = open_vcf(spark, path, min_partitions=min_partitions)
     frames = build_tables(src, profile)
     names = TABLE_NAMES[profile]
-    written: dict[str, str] = {}
-    written["main"] = write_table(frames["main"], root, names["main"])
     if on_duplicate == "error":
-        dup = duplicate_sites(scan_table(spark, root, names["main"]).select(*KEY)).limit(5).collect()
+        # keys of this input only (the parse is pruned to CHROM and POS);
+        # checked before anything is written, so a failure leaves no rows
+        dup = duplicate_sites(frames["main"].select(*KEY)).limit(5).collect()
         if dup:
             raise DuplicateSiteError(
                 f"sites on more than one line, e.g. {[tuple(r) for r in dup]}; "
                 "pass on_duplicate='keep' to store them"
             )
-    rest = [t for t in ("info", "csq", "genotypes") if t in frames]
-    if parallel and len(rest) > 1:
+    order = [t for t in ("genotypes", "csq", "info", "main") if t in frames]
+    written: dict[str, str] = {}
+    if parallel and len(order) > 1:
         # independent jobs submitted together keep every core busy while
         # another job's last tasks finish
-        with ThreadPoolExecutor(max_workers=len(rest)) as pool:
-            paths = pool.map(lambda t: write_table(frames[t], root, names[t]), rest)
-            written.update(zip(rest, paths))
+        with ThreadPoolExecutor(max_workers=len(order)) as pool:
+            paths = pool.map(lambda t: write_table(frames[t], root, names[t]), order)
+            written.update(zip(order, paths))
     else:
-        for t in rest:
+        for t in order:
             written[t] = write_table(frames[t], root, names[t])
     return IngestResult(root, written, src.header)
