@@ -102,8 +102,8 @@ INFO_COLS = f"""CAST({C} % 5 AS VARCHAR) || CASE WHEN {ST} = 'O' THEN ',' || CAS
   {ST} = 'F' AS INFO_DB,
   CAST({C} AS DOUBLE) AS INFO_RAW_MQ"""
 
-# one row per annotation entry j of an order: (k % 3) entries
-CSQ_ROWS = f"""(SELECT o.*, CAST(j AS INTEGER) AS j FROM orders o CROSS JOIN range(2) t(j) WHERE j < {K} % 3)"""
+# one row per annotation entry j of an order: (k % 3) entries, generated per order
+CSQ_ROWS = f"""(SELECT *, CAST(jj AS INTEGER) AS j FROM (SELECT o.*, unnest(range({K} % 3)) AS jj FROM orders o))"""
 
 
 def _csq_field_sql() -> dict[str, str]:
@@ -148,10 +148,10 @@ def _csq_full_select() -> str:
     return ", ".join(f'{f[src]} AS "{dst}"' for src, dst in CSQ_STORED.items())
 
 
-# per (site, sample i) genotype values; "short" = only GT given
-G_ROWS = f"""(SELECT o.*, CAST(i AS INTEGER) AS i,
-        (i = 11 AND {K} % 5 = 0) AS short
- FROM orders o CROSS JOIN range(12) t(i))"""
+# per (site, sample i) genotype values, twelve samples generated per order;
+# "short" = only GT given
+G_ROWS = f"""(SELECT *, CAST(ii AS INTEGER) AS i, (ii = 11 AND {K} % 5 = 0) AS short
+ FROM (SELECT o.*, unnest(range(12)) AS ii FROM orders o))"""
 
 
 def _geno(i: str = "i", short: str = "short") -> dict[str, str]:
