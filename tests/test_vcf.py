@@ -234,3 +234,20 @@ def test_af_text_compared_as_numbers(spark, header, tmp_path):
     ingest(spark, str(f), root, profile="slim")
     out = query_variants(spark, root, "E", profile="slim", gnomad_exomes_af=0.01, gnomad_genomes_af=0.01).collect()
     assert [r["symbol"] for r in out] == ["G1"]
+
+
+def test_stored_genotypes_give_the_same_maps(spark, tmp_path):
+    from varlake.operators.genotypes import genotype_maps_view
+    from varlake.sources.tables import scan_table
+
+    f = tmp_path / "g.vcf"
+    _write_vcf(f, [FULL, MISSING, NO_CSQ])
+    root = str(tmp_path / "store")
+    ingest(spark, str(f), root)
+    stored = scan_table(spark, root, "genotypes")
+    assert {"depth", "calls", "MIN_DP", "sampleId"} <= set(stored.columns)
+    view = {(r["pos"], r["sample"]): r for r in genotype_maps_view(stored).collect()}
+    nested = read_vcf(spark, str(f))[0]
+    for r in genotypes_long(pos_one_based(nested)).collect():
+        v = view[(r["pos"], r["sample"])]
+        assert (v["int"], v["text"], v["list_int"]) == (r["int"], r["text"], r["list_int"])

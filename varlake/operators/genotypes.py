@@ -125,6 +125,12 @@ def genotypes_long_flat(fields: DataFrame, keep: Sequence[str] = ("chrom", "pos"
     )
 
 
+def genotype_maps_view(stored: DataFrame) -> DataFrame:
+    """The three maps per (site, sample) over a stored genotype table
+    (typed FORMAT fields as columns, as ``ingest`` writes it)."""
+    return genotypes_long_flat(stored, keep=("chrom", "pos", "sample_index"))
+
+
 def genotypes_wide(
     scanned: DataFrame,
     samples: Sequence[str],

@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.genotypes import genotypes_long_flat
 from ..operators.joins import KEY
 from ..functions.names import SLIM_CSQ_FIELDS
 from ..operators.project import csq_project, info_project, main_project
@@ -43,7 +42,9 @@ def build_tables(src: VcfSource, profile: str = "full") -> dict[str, DataFrame]:
 
     Site and INFO tables come from the nested site rows (the parse is
     pruned to the fields each uses); the annotation and genotype tables
-    are read straight from the exploded CSQ entries and sample fields."""
+    are read straight from the exploded CSQ entries and sample fields.
+    The genotype table holds one row per (site, sample) with the typed
+    FORMAT fields as columns."""
     if profile not in TABLE_NAMES:
         raise ValueError(f"unknown profile {profile!r}; use 'full' or 'slim'")
     s = pos_one_based(src.sites())
@@ -54,7 +55,10 @@ def build_tables(src: VcfSource, profile: str = "full") -> dict[str, DataFrame]:
         tables["csq"] = csq_project(ann, fields, keep_index=True)
     if src.header.formats:
         window = (0, SLIM_SAMPLES) if profile == "slim" else None
-        tables["genotypes"] = genotypes_long_flat(src.genotypes(samples=window))
+        # raw typed fields (zeros and all) are stored; the three maps of
+        # the reference, with falsy values left out, are a read-time view
+        # (``genotype_maps_view``), so the stored table stays columnar
+        tables["genotypes"] = src.genotypes(samples=window)
     return tables
 
 
