@@ -145,3 +145,21 @@ def test_store_roundtrip_and_pruning(spark, sf, tmp_path):
     assert sorted(map(tuple, flat(out).collect()), key=str) == sorted(map(tuple, flat(exp).collect()), key=str)
     plan = scan_table(spark, root, "csq").where(F.col("chrom") == "chr7").where(F.col("pos") == 28)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(chrom" in plan and "PushedFilters: [IsNotNull(pos), EqualTo(pos,28)]" in plan
+
+
+def test_lookup_tables_same_rows_and_staleness(spark, sf, tmp_path):
+    from varlake.plans.lookup import build_lookups, lookup_sites
+
+    root = str(tmp_path / "store")
+    m, i, c = _tables(spark, sf)
+    for name, df in (("main", m), ("info", i), ("csq", c)):
+        write_table(df, root, name, cluster=True)
+    build_lookups(spark, root)
+    for kind in "DF":
+        fast = flat(query_variants(spark, root, kind, use_lookups=True, **PARAMS[kind])).collect()
+        plain = flat(query_variants(spark, root, kind, **PARAMS[kind])).collect()
+        assert sorted(map(tuple, fast), key=str) == sorted(map(tuple, plain), key=str)
+    assert lookup_sites(spark, root, "D", "rs77") is not None
+    # appending annotations makes the lookup stale: it is no longer used
+    write_table(c.limit(5), root, "csq")
+    assert lookup_sites(spark, root, "D", "rs77") is None

@@ -1,0 +1,135 @@
+"""Lookup tables for the annotation filters D and F.
+
+D (``existing_variation`` contains x) and F (``symbol`` = x) otherwise
+read that column of the whole annotation table.  A lookup table holds
+(key, chrom, pos) range-partitioned and sorted by key, so Parquet min/max
+statistics turn the lookup into a read of one row group, and the sites
+found restrict the chrom folders and pos row groups of all three tables.
+
+Correctness guards:
+
+* each lookup records a fingerprint of the annotation files it was built
+  from; a lookup whose fingerprint no longer matches is not used;
+* the sites found are counted before they are collected, and beyond
+  ``MAX_LOOKUP_SITES`` the query falls back to the plain plan;
+* the annotation predicate is applied again to the rows fetched, so the
+  answer is exactly that of the plain plan.
+
+Opt-in (``query_variants(use_lookups=True)``): measured locally at sf0.1
+the extra small jobs (listing, count, collect) cost more than the scan
+they save (D 1.7 to 2.3 s against 1.6 s; F with 3,753 sites 3.3 to 3.9 s
+against 1.6 to 2.7 s).  The gain is expected only where the annotation
+column scan dominates, i.e. on large stores with selective keys.
+"""
+
+from __future__ import annotations
+
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators.filters import VariantFilter, make_filter
+from ..operators.joins import annotate_join
+from ..sources.tables import scan_table, table_path
+from .query import TABLE_NAMES, load_tables
+
+# Query kind -> (csq column, lookup table name).
+LOOKUPS = {
+    "D": ("existing_variation", "csq_by_variation"),
+    "F": ("symbol", "csq_by_symbol"),
+}
+
+# Most distinct sites a lookup may hand to the driver as a filter list.
+MAX_LOOKUP_SITES = 10_000
+
+_META = "_lookup_source"
+
+
+def _fingerprint_of(csq: DataFrame) -> str:
+    return hashlib.sha256("\n".join(sorted(csq.inputFiles())).encode()).hexdigest()
+
+
+def _fingerprint(spark: SparkSession, root: str, profile: str) -> str:
+    return _fingerprint_of(scan_table(spark, root, TABLE_NAMES[profile]["csq"]))
+
+
+def build_lookups(spark: SparkSession, root: str, *, profile: str = "full", num_partitions: int | None = None) -> dict[str, str]:
+    """(Re)build the lookup tables of ``root`` from its annotation table.
+
+    Reads three columns of the annotation table and range-partitions the
+    (key, chrom, pos) rows by key (one shuffle, with a row-hash tie-breaker
+    so one very common key still spreads over partitions)."""
+    csq = scan_table(spark, root, TABLE_NAMES[profile]["csq"])
+    # the files this build reads, fixed before any lookup is written
+    fp = _fingerprint_of(csq)
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    out = {}
+    for kind, (col, name) in LOOKUPS.items():
+        key = F.explode(col) if dict(csq.dtypes)[col].startswith("array") else F.col(col)
+        rows = csq.select(key.alias("key"), "chrom", "pos").where(F.col("key").isNotNull()).distinct()
+        path = table_path(root, f"{profile}_{name}")
+        (
+            rows.repartitionByRange(n, "key", F.xxhash64("chrom", "pos"))
+            .sortWithinPartitions("key", "chrom", "pos")
+            .write.mode("overwrite")
+            .parquet(path)
+        )
+        out[kind] = path
+    spark.createDataFrame([(fp,)], "fingerprint string").coalesce(1).write.mode("overwrite").json(
+        table_path(root, f"{profile}{_META}")
+    )
+    return out
+
+
+def _fresh(spark: SparkSession, root: str, profile: str) -> bool:
+    try:
+        stored = spark.read.json(table_path(root, f"{profile}{_META}")).collect()
+    except Exception:  # no lookup built yet
+        return False
+    return bool(stored) and stored[0]["fingerprint"] == _fingerprint(spark, root, profile)
+
+
+def lookup_sites(spark: SparkSession, root: str, kind: str, value: str, profile: str = "full") -> list[tuple[str, int]] | None:
+    """Sites (chrom, pos) whose annotations carry ``value`` in the lookup
+    column of ``kind``; None when no fresh lookup exists or the sites are
+    too many to pass as a filter list."""
+    if kind not in LOOKUPS or not _fresh(spark, root, profile):
+        return None
+    _, name = LOOKUPS[kind]
+    hits = spark.read.parquet(table_path(root, f"{profile}_{name}")).where(F.col("key") == F.lit(value))
+    sites = hits.select("chrom", "pos").distinct()
+    if sites.count() > MAX_LOOKUP_SITES:
+        return None
+    return [(r["chrom"], r["pos"]) for r in sites.collect()]
+
+
+def _restrict(df: DataFrame, sites: list[tuple[str, int]], site_df: DataFrame) -> DataFrame:
+    """Rows at ``sites``: a chrom list and pos range reach the scan as
+    partition and row-group filters; the exact set is a broadcast semi
+    join whose size is bounded by ``MAX_LOOKUP_SITES``."""
+    chroms = sorted({c for c, _ in sites})
+    lo, hi = min(p for _, p in sites), max(p for _, p in sites)
+    pruned = df.where(F.col("chrom").isin(chroms) & F.col("pos").between(lo, hi))
+    return pruned.join(F.broadcast(site_df), ["chrom", "pos"], "left_semi")
+
+
+def query_with_lookup(
+    spark: SparkSession, root: str, kind: str, *, profile: str = "full", **params
+) -> DataFrame | None:
+    """Kind D or F through the lookup table; None when the lookup does not
+    apply (then use ``query_variants``)."""
+    key = str(kind).upper()
+    if key not in LOOKUPS:
+        return None
+    flt: VariantFilter = make_filter(key, **params)
+    value = params["existing_variation"] if key == "D" else params["symbol"]
+    sites = lookup_sites(spark, root, key, value, profile)
+    if sites is None:
+        return None
+    main, info, csq = load_tables(spark, root, profile)
+    if not sites:
+        return annotate_join(csq.where(F.lit(False)), main.where(F.lit(False)), info.where(F.lit(False)))
+    site_df = spark.createDataFrame(sites, "chrom string, pos int")
+    csq_f = _restrict(csq, sites, site_df).where(flt.predicate)
+    return annotate_join(csq_f, _restrict(main, sites, site_df), _restrict(info, sites, site_df))

@@ -73,6 +73,7 @@ def query_variants(
     profile: str = "full",
     reduce_sites: bool | None = None,
     csq_columns: Sequence[str] | None = None,
+    use_lookups: bool = False,
     **params,
 ) -> DataFrame:
     """Query kind A..F with its parameters over the tables under ``root``.
@@ -80,7 +81,16 @@ def query_variants(
     A: chrom; B: chrom, pos; C: chrom, pos_start, pos_end;
     D: existing_variation; E: gnomad_exomes_af, gnomad_genomes_af;
     F: symbol, consequence.  Unknown kinds raise ``ValueError``.
+    ``use_lookups``: D and F go through the lookup tables when
+    ``build_lookups`` made them for the current annotation files (see
+    ``plans.lookup``; off by default, no gain measured at sf0.1).
     """
     flt = make_filter(kind, **params)
+    if use_lookups and csq_columns is None and reduce_sites is None and not flt.region:
+        from .lookup import query_with_lookup
+
+        via_lookup = query_with_lookup(spark, root, flt.kind, profile=profile, **params)
+        if via_lookup is not None:
+            return via_lookup
     main, info, csq = load_tables(spark, root, profile)
     return run_query(flt, main, info, csq, reduce_sites=reduce_sites, csq_columns=csq_columns)
