@@ -83,6 +83,8 @@ def sample_list(scanned: DataFrame) -> DataFrame:
     Read from the data rather than trusted from one row: every site's
     genotype array is exploded and the distinct (index, id) pairs kept, a
     map-side deduplicated aggregation whose output is one row per sample.
+    Only ``sampleId`` is read, which Catalyst pushes into the parse (at
+    sf0.1: 0.2 s, against 13 s for grouping by whole id arrays).
     """
     return (
         scanned.select(F.posexplode("genotypes.sampleId").alias("sample_index", "sample_id"))
