@@ -163,3 +163,17 @@ def test_lookup_tables_same_rows_and_staleness(spark, sf, tmp_path):
     # appending annotations makes the lookup stale: it is no longer used
     write_table(c.limit(5), root, "csq")
     assert lookup_sites(spark, root, "D", "rs77") is None
+
+
+@pytest.mark.parametrize("kind", list("ADEF"))
+def test_each_annotation_row_once(spark, sf, kind):
+    """With (chrom, pos) unique in main and info, every filtered csq row
+    appears exactly once in the answer, matched or not."""
+    m, i, c = _tables(spark, sf)
+    f = make_filter(kind, **PARAMS[kind])
+    out = flat(run_query(f, m, i, c)).drop(*[x for x in m.columns + i.columns if x not in ("chrom", "pos")])
+    expected = flat(c.where(f.predicate))
+    assert out.count() == expected.count()
+    assert sorted(map(tuple, out.select(*expected.columns).collect()), key=str) == sorted(
+        map(tuple, expected.collect()), key=str
+    )
