@@ -1,5 +1,4 @@
 import gzip
-import os
 
 import pytest
 from pyspark.sql import functions as F

@@ -335,4 +335,4 @@ def registry() -> dict[str, Query]:
     }
 
 
-__all__ = ["registry", "flat", "PARAMS", "read_vcf"]
+__all__ = ["registry", "flat", "PARAMS"]

@@ -574,11 +574,6 @@ def pos_one_based(df: DataFrame, col: str = "start") -> DataFrame:
     return df.withColumn(col, F.col(col) + F.lit(1))
 
 
-def sample_ids(df: DataFrame) -> Column:
-    """Array of sample ids of each site (``genotypes.sampleId``)."""
-    return F.col("genotypes.sampleId")
-
-
 __all__ = [
     "FieldDef",
     "VcfHeader",
