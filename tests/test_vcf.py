@@ -250,3 +250,21 @@ def test_stored_genotypes_give_the_same_maps(spark, tmp_path):
     for r in genotypes_long(pos_one_based(nested)).collect():
         v = view[(r["pos"], r["sample"])]
         assert (v["int"], v["text"], v["list_int"]) == (r["int"], r["text"], r["list_int"])
+
+
+def test_query_with_sample_columns(spark, tmp_path):
+    """The answer can carry the per-sample map columns of the site table."""
+    from varlake.plans.query import query_variants
+
+    f = tmp_path / "s.vcf"
+    _write_vcf(f, [FULL, MISSING, NO_CSQ, AF_TEXT])
+    root = str(tmp_path / "store")
+    ingest(spark, str(f), root)
+    nested = pos_one_based(read_vcf(spark, str(f))[0])
+    wide = {r["start"]: r for r in genotypes_wide(nested, ["NA-1", "NA-2"], ["NA-1", "NA-2"], keep=("start",)).collect()}
+    for kind, params in (("A", {"chrom": "chr1"}), ("D", {"existing_variation": "rs1"})):
+        rows = query_variants(spark, root, kind, samples=["NA-1", "NA-2"], **params).collect()
+        assert rows
+        for r in rows:
+            for col in ("sna_1_int", "sna_1_text", "sna_1_list_int", "sna_2_int", "sna_2_list_int"):
+                assert r[col] == wide[r["pos"]][col]

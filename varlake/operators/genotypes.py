@@ -133,6 +133,29 @@ def genotype_maps_view(stored: DataFrame) -> DataFrame:
     return genotypes_long_flat(stored, keep=("chrom", "pos", "sample_index"))
 
 
+def stored_wide(stored: DataFrame, samples: Sequence[str], key: Sequence[str] = ("chrom", "pos")) -> DataFrame:
+    """Wide map columns ``s<name>_int``, ``s<name>_text``,
+    ``s<name>_list_int`` for named samples, from a stored genotype table.
+
+    The rows of those samples are grouped by site and pivoted on the
+    listed names (given, so no pass to find them; partial aggregation
+    before the shuffle).  A site without a row for a sample gets empty
+    maps, as a sample with no data does."""
+    names = normalize_samples(samples)
+    maps = genotype_maps_view(stored.where(F.col("sampleId").isin(list(samples))))
+    wide = maps.groupBy(*key).pivot("sample", names).agg(
+        *[F.first(kind, ignorenulls=True).alias(kind) for kind, _, _ in _KINDS]
+    )
+    return wide.select(
+        *key,
+        *[
+            F.coalesce(F.col(f"{n}_{kind}"), F.create_map().cast(_map_type(kind))).alias(f"{n}_{kind}")
+            for n in names
+            for kind, _, _ in _KINDS
+        ],
+    )
+
+
 def genotypes_wide(
     scanned: DataFrame,
     samples: Sequence[str],

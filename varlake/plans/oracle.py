@@ -189,12 +189,17 @@ def _sample_col(i: str = "i") -> str:
     return f"'sna_' || lpad(CAST({i} AS VARCHAR), 2, '0')"
 
 
-def _genotypes_wide() -> str:
-    cols = [f"{CHROM.format(k=K)} AS chrom", f"CAST({K} + 1 AS INTEGER) AS pos"]
-    for i in (0, 5, 11):
+def _wide_cols(samples) -> str:
+    cols = []
+    for i in samples:
         g = _geno(str(i), f"({i} = 11 AND {K} % 5 = 0)")
         cols += [f"{g[kind]} AS sna_{i:02d}_{kind}" for kind in ("int", "text", "list_int")]
-    return "SELECT " + ",\n  ".join(cols) + "\nFROM orders"
+    return ",\n  ".join(cols)
+
+
+def _genotypes_wide() -> str:
+    head = f"{CHROM.format(k=K)} AS chrom, CAST({K} + 1 AS INTEGER) AS pos"
+    return f"SELECT {head},\n  {_wide_cols((0, 5, 11))}\nFROM orders"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -290,7 +295,8 @@ SELECT l.row_index, o_orderkey, o_totalprice, c_custkey, c_name FROM l JOIN r ON
   CASE WHEN {ST} = 'O' THEN substr(o_orderpriority, 1, 1) || ',T' ELSE substr(o_orderpriority, 1, 1) END AS alt,
   CASE WHEN {ST} = 'P' THEN NULL ELSE o_totalprice END AS qual,
   CASE {ST} WHEN 'F' THEN 'PASS' WHEN 'O' THEN 'LowQual,q10' ELSE '' END AS "filter",
-  {INFO_COLS.replace('AS INFO_AC', 'AS ac').replace('AS INFO_AN', 'AS an').replace('AS INFO_BaseQRankSum', 'AS baseqranksum').replace('AS INFO_DB', 'AS db').replace('AS INFO_RAW_MQ', 'AS raw_mq')}
+  {INFO_COLS.replace('AS INFO_AC', 'AS ac').replace('AS INFO_AN', 'AS an').replace('AS INFO_BaseQRankSum', 'AS baseqranksum').replace('AS INFO_DB', 'AS db').replace('AS INFO_RAW_MQ', 'AS raw_mq')},
+  {_wide_cols((0, 5))}
 FROM {CSQ_ROWS}
 WHERE {fsql['SYMBOL']} = 'GENE4' AND ({C} + j) % 2 = 0"""
     return sql

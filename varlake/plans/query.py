@@ -11,7 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.filters import VariantFilter, make_filter
-from ..operators.joins import KEY, annotate_join
+from ..operators.genotypes import stored_wide
+from ..operators.joins import KEY, annotate_join, semi_reduce
 from ..sources.tables import scan_table
 
 # Stored table names per profile (full and slim/demo).
@@ -50,6 +51,8 @@ def run_query(
     *,
     reduce_sites: bool | None = None,
     csq_columns: Sequence[str] | None = None,
+    genotypes: DataFrame | None = None,
+    samples: Sequence[str] | None = None,
 ) -> DataFrame:
     """Filter, then csq LEFT JOIN (main JOIN info).
 
@@ -57,11 +60,20 @@ def run_query(
     filtered annotation keys) defaults to on for the annotation filters
     D, E, F, where the site tables are otherwise read and shuffled whole.
     ``csq_columns`` restricts the annotation columns returned.
+    ``genotypes`` + ``samples``: add the wide map columns of those samples
+    to the site columns, as the stored site table of a wide-column store
+    carries them; the genotype rows are cut to the answer's region or
+    keys before they are grouped.
     """
     m, i, c = apply_filter(flt, main, info, csq)
     if csq_columns is not None:
         c = c.select(*KEY, *[x for x in csq_columns if x not in KEY])
     reduce = (not flt.region) if reduce_sites is None else reduce_sites
+    if samples:
+        if genotypes is None:
+            raise ValueError("samples need the genotype table")
+        g = genotypes.where(flt.predicate) if flt.region else semi_reduce(genotypes, c.select(*KEY).distinct())
+        m = m.join(stored_wide(g, samples), list(KEY), "left")
     return annotate_join(c, m, i, reduce_sites=reduce)
 
 
@@ -73,6 +85,7 @@ def query_variants(
     profile: str = "full",
     reduce_sites: bool | None = None,
     csq_columns: Sequence[str] | None = None,
+    samples: Sequence[str] | None = None,
     use_lookups: bool = False,
     **params,
 ) -> DataFrame:
@@ -81,16 +94,21 @@ def query_variants(
     A: chrom; B: chrom, pos; C: chrom, pos_start, pos_end;
     D: existing_variation; E: gnomad_exomes_af, gnomad_genomes_af;
     F: symbol, consequence.  Unknown kinds raise ``ValueError``.
+    ``samples``: sample ids whose genotype maps join the site columns.
     ``use_lookups``: D and F go through the lookup tables when
     ``build_lookups`` made them for the current annotation files (see
     ``plans.lookup``; off by default, no gain measured at sf0.1).
     """
     flt = make_filter(kind, **params)
-    if use_lookups and csq_columns is None and reduce_sites is None and not flt.region:
+    if use_lookups and not samples and csq_columns is None and reduce_sites is None and not flt.region:
         from .lookup import query_with_lookup
 
         via_lookup = query_with_lookup(spark, root, flt.kind, profile=profile, **params)
         if via_lookup is not None:
             return via_lookup
     main, info, csq = load_tables(spark, root, profile)
-    return run_query(flt, main, info, csq, reduce_sites=reduce_sites, csq_columns=csq_columns)
+    genotypes = scan_table(spark, root, TABLE_NAMES[profile]["genotypes"]) if samples else None
+    return run_query(
+        flt, main, info, csq,
+        reduce_sites=reduce_sites, csq_columns=csq_columns, genotypes=genotypes, samples=samples,
+    )

@@ -54,8 +54,9 @@ PARAMS = {
     "F": {"symbol": "Brand#4", "consequence": "ring"},
 }
 
-# Samples of the registered wide-genotype query.
+# Samples of the registered wide-genotype query and of query_variants.
 WIDE_SAMPLES = ("NA-00", "NA-05", "NA-11")
+QUERY_SAMPLES = ("NA-00", "NA-05")
 
 
 def _text(c: Column, dtype: T.DataType) -> Column:
@@ -298,7 +299,12 @@ def q_ingest(spark, sf):
 
 def q_query_variants(spark, sf):
     root = _ingested(spark, sf)
-    return flat(query_variants(spark, root, "F", symbol="GENE4", consequence="missense_variant"))
+    # with the map columns of two samples, as the reference's site table has them
+    return flat(
+        query_variants(
+            spark, root, "F", symbol="GENE4", consequence="missense_variant", samples=list(QUERY_SAMPLES)
+        )
+    )
 
 
 def registry() -> dict[str, Query]:
