@@ -268,3 +268,14 @@ def test_query_with_sample_columns(spark, tmp_path):
         for r in rows:
             for col in ("sna_1_int", "sna_1_text", "sna_1_list_int", "sna_2_int", "sna_2_list_int"):
                 assert r[col] == wide[r["pos"]][col]
+
+
+def test_same_header_reads_one_header(spark, tmp_path):
+    d = tmp_path / "split"
+    d.mkdir()
+    _write_vcf(d / "a.vcf", [FULL])
+    _write_vcf(d / "b.vcf", [NO_CSQ])
+    a, _ = read_vcf(spark, str(d))
+    b, _ = read_vcf(spark, str(d), same_header=True)
+    cols = ["contigName", "start", "INFO_AC"]
+    assert sorted(map(tuple, a.select(cols).collect()), key=str) == sorted(map(tuple, b.select(cols).collect()), key=str)

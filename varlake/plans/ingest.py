@@ -76,6 +76,7 @@ def ingest(
     on_duplicate: str = "error",
     min_partitions: int | None = None,
     parallel: bool = True,
+    same_header: bool = False,
 ) -> IngestResult:
     """Read VCF ``path`` and append its tables under ``root``.
 
@@ -83,11 +84,11 @@ def ingest(
     than one line (a split site would multiply annotation join rows);
     'keep' stores them as they are.  The check covers this input's
     sites and runs before any write.  ``parallel`` submits the four
-    table writes as concurrent jobs.
+    table writes as concurrent jobs.  ``same_header``: see ``open_vcf``.
     """
     if on_duplicate not in ("error", "keep"):
         raise ValueError("on_duplicate must be 'error' or 'keep'")
-    src = open_vcf(spark, path, min_partitions=min_partitions)
+    src = open_vcf(spark, path, min_partitions=min_partitions, same_header=same_header)
     frames = build_tables(src, profile)
     names = TABLE_NAMES[profile]
     if on_duplicate == "error":

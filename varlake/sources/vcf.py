@@ -498,6 +498,7 @@ def open_vcf(
     path: str | list[str],
     *,
     min_partitions: int | None = None,
+    same_header: bool = False,
 ) -> VcfSource:
     """List the files, read their headers and return their lines.
 
@@ -508,6 +509,8 @@ def open_vcf(
     whole files by path.  INFO, FORMAT and CSQ definitions must agree.
     ``min_partitions`` spreads few large gzip files (one task each) over
     more tasks with a round-robin repartition of the text.
+    ``same_header``: read only the first file's header and use it for all
+    files (thousands of per-contig files of one cohort).
     """
     paths = [path] if isinstance(path, str) else list(path)
     for p in paths:
@@ -518,7 +521,13 @@ def open_vcf(
         raise VcfFormatError(f"no input files at {paths}")
     for p in files:
         _check_path(p)
-    headers = read_headers(spark, files)
+    if same_header:
+        # the caller vouches that every file has the first file's header
+        # (e.g. one cohort split by contig): one header read, not one per file
+        h0 = parse_header(read_header_lines(spark, files[0]))
+        headers = {f: h0 for f in files}
+    else:
+        headers = read_headers(spark, files)
     first = headers[files[0]]
     for f, h in headers.items():
         if not first.same_schema(h):
@@ -562,10 +571,11 @@ def read_vcf(
     include_sample_ids: bool = True,
     flatten_info: bool = True,
     min_partitions: int | None = None,
+    same_header: bool = False,
 ) -> tuple[DataFrame, VcfHeader]:
     """Read VCF files (plain or ``.vcf.gz``) into nested site rows;
     returns the DataFrame and the (first file's) header."""
-    src = open_vcf(spark, path, min_partitions=min_partitions)
+    src = open_vcf(spark, path, min_partitions=min_partitions, same_header=same_header)
     return src.sites(include_sample_ids=include_sample_ids, flatten_info=flatten_info), src.header
 
 
