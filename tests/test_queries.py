@@ -177,3 +177,17 @@ def test_each_annotation_row_once(spark, sf, kind):
     assert sorted(map(tuple, out.select(*expected.columns).collect()), key=str) == sorted(
         map(tuple, expected.collect()), key=str
     )
+
+
+def test_upsert_partitions_same_as_full_merge(spark, sf):
+    from varlake.operators.store import upsert_partitions
+
+    m = standin.v_main(spark, sf)
+    old = m.select("chrom", "pos", "id", "ref", "qual")
+    # a batch touching three chromosomes only
+    new = m.where(F.col("chrom").isin("chr1", "chr2", "chr3") & (F.col("ref") != "F")).select(
+        "chrom", "pos", F.lower("ref").alias("ref"), "alt"
+    )
+    full = flat(upsert_merge(old, new)).collect()
+    part = flat(upsert_partitions(old, new)).collect()
+    assert sorted(map(tuple, full), key=str) == sorted(map(tuple, part), key=str)
