@@ -279,3 +279,26 @@ def test_same_header_reads_one_header(spark, tmp_path):
     b, _ = read_vcf(spark, str(d), same_header=True)
     cols = ["contigName", "start", "INFO_AC"]
     assert sorted(map(tuple, a.select(cols).collect()), key=str) == sorted(map(tuple, b.select(cols).collect()), key=str)
+
+
+def test_wide_csq_header(spark, tmp_path):
+    """A CSQ header as wide as production VEP output (406 fields) parses,
+    ingests and queries (past the 100-field whole-stage codegen limit)."""
+    from varlake.plans.query import query_variants
+
+    fields = ["Allele", "Consequence", "SYMBOL", "Existing_variation", "gnomAD_exomes_AF", "gnomAD_genomes_AF"]
+    fields += [f"extra-field({i})" for i in range(406 - len(fields))]
+    hdr = [h for h in HEADER if "ID=CSQ" not in h]
+    hdr.insert(6, '##INFO=<ID=CSQ,Number=.,Type=String,Description="VEP. Format: ' + "|".join(fields) + '">')
+    entry = "|".join(["G", "missense_variant", "GENE1", "rs9", "0.001", "0.002"] + [str(i) for i in range(400)])
+    text = "\n".join(hdr + [line("chr1", 10, "rs9", "A", "G", 5, "PASS", f"AC=1;AN=2;CSQ={entry},{entry}", "GT", "0/1", "1/1")]) + "\n"
+    f = tmp_path / "wide.vcf"
+    f.write_text(text)
+    root = str(tmp_path / "store")
+    ingest(spark, str(f), root)
+    out = query_variants(spark, root, "F", symbol="GENE1", consequence="missense_variant").collect()
+    assert len(out) == 2
+    assert out[0]["extra_field_399"] == "399" and out[0]["existing_variation"] == ["rs9"]
+    nested, _ = read_vcf(spark, str(f))
+    row = nested.select("INFO_CSQ").collect()[0][0]
+    assert len(row) == 2 and row[0]["extra-field(0)"] == "0"
