@@ -211,6 +211,9 @@ def test_files_with_different_samples(spark, tmp_path):
     assert ids == {"chr1": ["NA-1", "NA-2"], "chr2": ["X-9", "Y-8"]}
     long_ids = {(r["chrom"], r["sampleId"]) for r in src.genotypes().collect()}
     assert ("chr2", "Y-8") in long_ids and ("chr1", "NA-2") in long_ids
+    staged = src.stage(str(tmp_path / "staged"))
+    assert {(r["chrom"], r["sampleId"]) for r in staged.genotypes().collect()} == long_ids
+    assert "genotypes" not in staged.sites().columns
 
 
 def test_split_site_fails_unless_kept(spark, tmp_path):
@@ -302,3 +305,17 @@ def test_wide_csq_header(spark, tmp_path):
     nested, _ = read_vcf(spark, str(f))
     row = nested.select("INFO_CSQ").collect()[0][0]
     assert len(row) == 2 and row[0]["extra-field(0)"] == "0"
+
+
+def test_staged_ingest_same_tables(spark, tmp_path):
+    from varlake.sources.tables import scan_table
+
+    f = tmp_path / "st.vcf.gz"
+    _write_vcf(f, LINES, gz=True)
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    ingest(spark, str(f), a, stage=True)
+    ingest(spark, str(f), b, stage=False)
+    for t in ("main", "info", "csq", "genotypes"):
+        x, y = scan_table(spark, a, t), scan_table(spark, b, t)
+        assert x.columns == y.columns
+        assert sorted(map(str, x.collect())) == sorted(map(str, y.collect())), t

@@ -18,6 +18,7 @@ from ..operators.joins import KEY
 from ..functions.names import SLIM_CSQ_FIELDS
 from ..operators.project import csq_project, info_project, main_project
 from ..plans.query import TABLE_NAMES
+from ..session import scratch_path
 from ..sources.tables import write_table
 from ..sources.vcf import VcfHeader, VcfSource, open_vcf, pos_one_based
 
@@ -77,6 +78,7 @@ def ingest(
     min_partitions: int | None = None,
     parallel: bool = True,
     same_header: bool = False,
+    stage: bool | None = None,
 ) -> IngestResult:
     """Read VCF ``path`` and append its tables under ``root``.
 
@@ -85,10 +87,19 @@ def ingest(
     'keep' stores them as they are.  The check covers this input's
     sites and runs before any write.  ``parallel`` submits the four
     table writes as concurrent jobs.  ``same_header``: see ``open_vcf``.
+    ``stage``: split the text once into a Parquet copy under the
+    session's checkpoint folder (``VcfSource.stage``) before building the
+    tables; by default on for gzip input, whose decompression would
+    otherwise be repeated for each table.
     """
     if on_duplicate not in ("error", "keep"):
         raise ValueError("on_duplicate must be 'error' or 'keep'")
     src = open_vcf(spark, path, min_partitions=min_partitions, same_header=same_header)
+    if stage is None:
+        # compressed text is worth decompressing and splitting only once
+        stage = any(p.endswith(".gz") for p in src.parts[0][0].inputFiles())
+    if stage:
+        src = src.stage(scratch_path(spark, "vcf-stage"))
     frames = build_tables(src, profile)
     names = TABLE_NAMES[profile]
     if on_duplicate == "error":

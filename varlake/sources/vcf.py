@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import re
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -462,16 +462,21 @@ class VcfSource:
 
     ``parts``: (lines, header, sample_names) triples; one part unless
     files with different sample lists exceed the broadcast bound.
-    ``sample_names`` is None when the header's literal list applies."""
+    ``sample_names`` is None when the header's literal list applies.
+    ``sample_parts``: set by :meth:`stage`; then ``parts`` hold only the
+    site fields and ``sample_parts`` only CHROM, POS, FORMAT and samples."""
 
     header: VcfHeader
     parts: tuple[tuple[DataFrame, VcfHeader, Column | None], ...]
+    sample_parts: tuple[tuple[DataFrame, VcfHeader, Column | None], ...] | None = None
 
     def sites(self, *, include_sample_ids: bool = True, flatten_info: bool = True) -> DataFrame:
-        """Nested site rows (:func:`parse_vcf_lines`)."""
+        """Nested site rows (:func:`parse_vcf_lines`); a staged source has
+        no ``genotypes`` column here (use :meth:`genotypes`)."""
+        staged = self.sample_parts is not None
         return _union(
             parse_vcf_lines(
-                lines, h, sample_names=names,
+                lines, replace(h, formats=()) if staged else h, sample_names=names,
                 include_sample_ids=include_sample_ids, flatten_info=flatten_info,
             )
             for lines, h, names in self.parts
@@ -483,11 +488,42 @@ class VcfSource:
 
     def genotypes(self, samples: tuple[int, int] | None = None) -> DataFrame:
         """One row per (site, sample) (:func:`parse_genotypes_long`)."""
+        parts = self.sample_parts if self.sample_parts is not None else self.parts
         return _union(
             parse_genotypes_long(lines, h, sample_names=names, samples=samples)
-            for lines, h, names in self.parts
+            for lines, h, names in parts
         )
 
+    def stage(self, path: str) -> "VcfSource":
+        """Split each data line once and write it as two Parquet columns
+        under ``path`` (a shared folder): the site fields (CHROM to INFO)
+        and CHROM, POS, FORMAT with the sample fields.  Each table built
+        from the staged source then reads one column, so compressed text
+        is decompressed and split once instead of once per table."""
+        if self.sample_parts is not None:
+            return self
+        site_parts, sample_parts = [], []
+        for k, (lines, h, names) in enumerate(self.parts):
+            v = F.col("value")
+            f = F.split(v, "\t", 10)  # the 10th element keeps all sample fields
+            data = lines.where(~v.startswith("#") & (F.length(v) > 0))
+            cols = [
+                F.concat_ws("\t", *[F.get(f, i) for i in range(8)]).alias("site_line"),
+                F.concat_ws(
+                    "\t", F.get(f, 0), F.get(f, 1), *[F.lit(".")] * 6, F.get(f, 8), F.get(f, 9)
+                ).alias("sample_line"),
+            ]
+            if names is not None:
+                cols.append(names.alias("sample_names"))
+            out = f"{path.rstrip('/')}/part-{k}"
+            data.select(*cols).write.mode("overwrite").parquet(out)
+            back = lines.sparkSession.read.parquet(out)
+            keep = ["sample_names"] if names is not None else []
+            nm = F.col("sample_names") if names is not None else None
+            site_parts.append((back.select(F.col("site_line").alias("value")), h, None))
+            sample_parts.append((back.select(F.col("sample_line").alias("value"), *keep), h, nm))
+        return VcfSource(self.header, tuple(site_parts), tuple(sample_parts))
+
 
 def _union(frames) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), list(frames))
