@@ -265,8 +265,12 @@ def test_query_with_sample_columns(spark, tmp_path):
     ingest(spark, str(f), root)
     nested = pos_one_based(read_vcf(spark, str(f))[0])
     wide = {r["start"]: r for r in genotypes_wide(nested, ["NA-1", "NA-2"], ["NA-1", "NA-2"], keep=("start",)).collect()}
-    for kind, params in (("A", {"chrom": "chr1"}), ("D", {"existing_variation": "rs1"})):
-        rows = query_variants(spark, root, kind, samples=["NA-1", "NA-2"], **params).collect()
+    for kind, params, samples in (
+        ("A", {"chrom": "chr1"}, ["NA-1", "NA-2"]),
+        ("D", {"existing_variation": "rs1"}, ["NA-1", "NA-2"]),
+        ("C", {"chrom": "chr1", "pos_start": 1, "pos_end": 500}, "all"),
+    ):
+        rows = query_variants(spark, root, kind, samples=samples, **params).collect()
         assert rows
         for r in rows:
             for col in ("sna_1_int", "sna_1_text", "sna_1_list_int", "sna_2_int", "sna_2_list_int"):

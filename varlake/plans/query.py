@@ -33,6 +33,17 @@ def load_tables(spark: SparkSession, root: str, profile: str = "full") -> tuple[
     )
 
 
+def stored_samples(genotypes: DataFrame) -> list[str]:
+    """Sample ids of a stored genotype table in header order; only the id
+    and index columns are read, deduplicated map-side, so one row per
+    sample (per input sample list) reaches the driver."""
+    rows = genotypes.select("sample_index", "sampleId").distinct().orderBy("sample_index", "sampleId").collect()
+    seen: dict[str, None] = {}
+    for r in rows:
+        seen.setdefault(r["sampleId"], None)
+    return list(seen)
+
+
 def apply_filter(
     flt: VariantFilter, main: DataFrame, info: DataFrame, csq: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -85,7 +96,7 @@ def query_variants(
     profile: str = "full",
     reduce_sites: bool | None = None,
     csq_columns: Sequence[str] | None = None,
-    samples: Sequence[str] | None = None,
+    samples: Sequence[str] | str | None = None,
     use_lookups: bool = False,
     **params,
 ) -> DataFrame:
@@ -94,7 +105,9 @@ def query_variants(
     A: chrom; B: chrom, pos; C: chrom, pos_start, pos_end;
     D: existing_variation; E: gnomad_exomes_af, gnomad_genomes_af;
     F: symbol, consequence.  Unknown kinds raise ``ValueError``.
-    ``samples``: sample ids whose genotype maps join the site columns.
+    ``samples``: sample ids whose genotype maps join the site columns, or
+    ``"all"`` for every stored sample (the reference's site table carries
+    them all).
     ``use_lookups``: D and F go through the lookup tables when
     ``build_lookups`` made them for the current annotation files (see
     ``plans.lookup``; off by default, no gain measured at sf0.1).
@@ -108,6 +121,8 @@ def query_variants(
             return via_lookup
     main, info, csq = load_tables(spark, root, profile)
     genotypes = scan_table(spark, root, TABLE_NAMES[profile]["genotypes"]) if samples else None
+    if samples == "all":
+        samples = stored_samples(genotypes)
     return run_query(
         flt, main, info, csq,
         reduce_sites=reduce_sites, csq_columns=csq_columns, genotypes=genotypes, samples=samples,
