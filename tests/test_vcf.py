@@ -323,3 +323,16 @@ def test_staged_ingest_same_tables(spark, tmp_path):
         x, y = scan_table(spark, a, t), scan_table(spark, b, t)
         assert x.columns == y.columns
         assert sorted(map(str, x.collect())) == sorted(map(str, y.collect())), t
+
+
+def test_command_line(spark, tmp_path, capsys):
+    from varlake.__main__ import main
+
+    f = tmp_path / "cli.vcf"
+    _write_vcf(f, LINES)
+    root = str(tmp_path / "store")
+    assert main(["ingest", str(f), root]) == 0
+    out = str(tmp_path / "answer")
+    assert main(["query", root, "B", "--chrom", "chr1", "--pos", "100", "--samples", "NA-1", "--out", out]) == 0
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 2 and rows[0]["sna_1_int"] == {"min_dp": 5, "depth": 7}
