@@ -191,3 +191,12 @@ def test_upsert_partitions_same_as_full_merge(spark, sf):
     full = flat(upsert_merge(old, new)).collect()
     part = flat(upsert_partitions(old, new)).collect()
     assert sorted(map(tuple, full), key=str) == sorted(map(tuple, part), key=str)
+
+
+def test_numeric_contigs_stay_text(spark, tmp_path):
+    root = str(tmp_path / "store")
+    df = spark.createDataFrame([("01", 5, "x"), ("2", 6, "y")], "chrom string, pos int, v string")
+    write_table(df, root, "t")
+    got = {(r["chrom"], r["pos"]) for r in scan_table(spark, root, "t").collect()}
+    assert got == {("01", 5), ("2", 6)}
+    assert scan_table(spark, root, "t").columns[0] == "chrom"

@@ -71,11 +71,14 @@ def scan_table(spark: SparkSession, root: str, name: str, *, merge_schema: bool
     would turn contigs like '1' into numbers)."""
     path = table_path(root, name)
     reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
-    inferred = reader.parquet(path).schema
-    fields = [
-        T.StructField(PARTITION_COL, T.StringType(), True) if f.name == PARTITION_COL else f
-        for f in inferred.fields
-    ]
-    df = reader.schema(T.StructType(fields)).parquet(path)
+    df = reader.parquet(path)
+    if not isinstance(df.schema[PARTITION_COL].dataType, T.StringType):
+        # numeric-looking contigs ('1', '01') were typed by inference: read
+        # again with chrom declared as text so names stay as written
+        fields = [
+            T.StructField(PARTITION_COL, T.StringType(), True) if f.name == PARTITION_COL else f
+            for f in df.schema.fields
+        ]
+        df = reader.schema(T.StructType(fields)).parquet(path)
     # partition columns come last from the reader; put chrom back in front
     return df.select(PARTITION_COL, *[c for c in df.columns if c != PARTITION_COL])
