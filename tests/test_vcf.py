@@ -336,3 +336,12 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["query", root, "B", "--chrom", "chr1", "--pos", "100", "--samples", "NA-1", "--out", out]) == 0
     rows = spark.read.parquet(out).collect()
     assert len(rows) == 2 and rows[0]["sna_1_int"] == {"min_dp": 5, "depth": 7}
+
+
+def test_reader_options(spark, header):
+    df = parse_vcf_lines(lines_df(spark, [FULL, MISSING]), header, flatten_info=False, include_sample_ids=False)
+    assert "attributes" in df.columns and not any(c.startswith("INFO_") for c in df.columns)
+    rows = by_pos(df.collect())
+    assert rows[99]["attributes"]["AN"] == "4" and "DB" in rows[99]["attributes"]
+    assert rows[199]["attributes"] is None
+    assert "sampleId" not in df.schema["genotypes"].dataType.elementType.fieldNames()
