@@ -49,3 +49,26 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unique folder under the checkpoint root for one written
     table (never reused, so concurrent or retried jobs do not collide)."""
     return f"{checkpoint_root(spark)}/varlake-{label}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(total_cores: int, shuffle_bytes: int, target_partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Settings for a large cluster, to pass to ``SparkSession.builder``
+    or spark-submit (the library itself sets none).
+
+    Shuffle partitions start at about ``shuffle_bytes`` / 128 MB (at least
+    two waves of ``total_cores``) and AQE coalesces them to the measured
+    size, so a task's shuffle input fits executor memory; AQE also splits
+    skewed join partitions and turns joins into broadcasts from measured
+    sizes only.
+    """
+    initial = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.shuffle.partitions": str(initial),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.parquet.compression.codec": "zstd",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    }
