@@ -98,7 +98,8 @@ def genotypes_long(scanned: DataFrame, key: Sequence[str] = ("contigName", "star
     the maps ``int``, ``text``, ``list_int``."""
     present = _struct_fields(scanned.schema["genotypes"].dataType)
     ex = scanned.select(
-        *[F.col(k).alias(n) for k, n in zip(key, names)],
+        # positions are int in every stored table
+        *[(F.col(k).cast("int") if n == "pos" else F.col(k)).alias(n) for k, n in zip(key, names)],
         F.posexplode("genotypes").alias("sample_index", "_g"),
     )
     g = F.col("_g")
