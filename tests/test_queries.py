@@ -34,6 +34,9 @@ def _rows(cols, rows):
     return sorted((tuple(_norm(r[c]) for c in sorted(cols)) for r in rows), key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
+# Spark type -> DuckDB type of the same column
+_DUCK = {"StringType": "VARCHAR", "IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "BooleanType": "BOOLEAN"}
+
 QUERIES = entry_mod.queries()
 ORACLE = entry_mod.oracle_sql()
 
@@ -49,6 +52,9 @@ def test_query_matches_oracle(spark, duck, sf, name):
     rel = duck.sql(ORACLE[name])
     exp = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, map(str, rel.types)))
+    for f in df.schema.fields:
+        assert _DUCK.get(type(f.dataType).__name__) == duck_types[f.name], (f.name, f.dataType, duck_types[f.name])
     assert _rows(df.columns, got) == _rows(df.columns, exp)
 
 
