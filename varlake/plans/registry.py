@@ -175,7 +175,11 @@ def q_schema_evolve(spark, sf):
 def q_preview(spark, sf):
     main, info, csq = _tables(spark, sf)
     joined = flat(annotate_join(csq, main, info))
-    return preview(joined, 20, ["chrom", "pos", "allele", "consequence", "symbol", "existing_variation", "gnomad_exomes_af", "gnomad_genomes_af"])
+    order = [
+        "chrom", "pos", "allele", "consequence", "symbol",
+        "existing_variation", "gnomad_exomes_af", "gnomad_genomes_af",
+    ]
+    return preview(joined, 20, order)
 
 
 # ------------------------------------------------------------- projections
@@ -195,7 +199,12 @@ def q_info_project(spark, sf):
 
 def q_csq_explode(spark, sf):
     ex = csq_explode(pos_one_based(_scanned(spark, sf)), keep_index=True)
-    return ex.select(F.col("contigName").alias("chrom"), F.col("start").cast("int").alias("pos"), "csq_no", F.col("_csq.Allele").alias("allele"))
+    return ex.select(
+        F.col("contigName").alias("chrom"),
+        F.col("start").cast("int").alias("pos"),
+        "csq_no",
+        F.col("_csq.Allele").alias("allele"),
+    )
 
 
 def q_csq_project_slim(spark, sf):
@@ -245,8 +254,8 @@ def q_genotypes_long(spark, sf):
 
 def q_genotypes_wide(spark, sf):
     s = pos_one_based(_scanned(spark, sf))
-    w = genotypes_wide(s.withColumnsRenamed({"contigName": "chrom"}).withColumn("pos", F.col("start").cast("int")), WIDE_SAMPLES, standin.SAMPLES, keep=("chrom", "pos"))
-    return flat(w)
+    sites = s.withColumnsRenamed({"contigName": "chrom"}).withColumn("pos", F.col("start").cast("int"))
+    return flat(genotypes_wide(sites, WIDE_SAMPLES, standin.SAMPLES, keep=("chrom", "pos")))
 
 
 def q_positional_join(spark, sf):
