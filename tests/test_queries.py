@@ -206,3 +206,17 @@ def test_numeric_contigs_stay_text(spark, tmp_path):
     got = {(r["chrom"], r["pos"]) for r in scan_table(spark, root, "t").collect()}
     assert got == {("01", 5), ("2", 6)}
     assert scan_table(spark, root, "t").columns[0] == "chrom"
+
+
+def test_hot_site_is_salted_with_same_rows(spark, sf):
+    """A third of the annotation rows on one site: the salted join splits
+    that site over tasks and returns the rows of the plain join."""
+    m, i, c = _tables(spark, sf)
+    h = F.xxhash64("pos", "allele", "symbol", "existing_variation") % 3 == 0
+    hot = c.withColumn("chrom", F.when(h, F.lit("chr1")).otherwise(F.col("chrom"))).withColumn(
+        "pos", F.when(h, F.lit(0)).otherwise(F.col("pos"))
+    )
+    salted = flat(annotate_join(hot, m, i, hot_rows=100, salts=8)).collect()
+    plain = flat(annotate_join(hot, m, i, hot_rows=None)).collect()
+    assert len(salted) == hot.count()
+    assert sorted(map(tuple, salted), key=str) == sorted(map(tuple, plain), key=str)

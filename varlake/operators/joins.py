@@ -46,6 +46,46 @@ def semi_reduce(table: DataFrame, keys: DataFrame, key: Sequence[str] = KEY) ->
     return table.join(keys, list(key), "left_semi")
 
 
+# Annotation rows per site above which the site is split over salts, and
+# the number of salts.  The hot-site list has at most (annotation rows /
+# HOT_SITE_ROWS) entries, e.g. 10**5 for 10**12 rows, so it is broadcast.
+HOT_SITE_ROWS = 10_000_000
+SALTS = 32
+
+
+def _hashable(df: DataFrame) -> list:
+    return [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+
+
+def _salted_left_join(
+    csq: DataFrame, mi: DataFrame, key: Sequence[str], hot_rows: int, salts: int, site_counts: DataFrame
+) -> DataFrame:
+    """csq LEFT JOIN mi on ``key`` with hot sites split over ``salts``.
+
+    Sites with more than ``hot_rows`` annotation rows (found by a count
+    that combines map-side, so the hot site collapses per task) get their
+    annotation rows spread by a row hash and their one site row
+    replicated once per salt; all other rows keep salt 0.  Same rows as
+    the plain join.  AQE's skew join cannot do this here: the site side
+    comes out of the inner join already partitioned by the key, without
+    a shuffle of its own to split against."""
+    key = list(key)
+    hot = site_counts.where(F.col("_n") > F.lit(hot_rows)).select(*key, F.lit(True).alias("_hot"))
+    hot = F.broadcast(hot)  # bounded: rows / hot_rows entries
+    c = csq.join(hot, key, "left").withColumn(
+        "_salt",
+        F.when(F.col("_hot"), F.pmod(F.xxhash64(*_hashable(csq)), F.lit(salts))).otherwise(F.lit(0)).cast("int"),
+    )
+    m = mi.join(hot, key, "left").withColumn(
+        "_salt",
+        F.explode(
+            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+        ),
+    )
+    out = c.drop("_hot").join(m.drop("_hot"), key + ["_salt"], "left").drop("_salt")
+    return out
+
+
 def annotate_join(
     csq: DataFrame,
     main: DataFrame,
@@ -53,6 +93,8 @@ def annotate_join(
     *,
     key: Sequence[str] = KEY,
     reduce_sites: bool = False,
+    hot_rows: int | None = HOT_SITE_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
     """csq LEFT JOIN (main JOIN info) on (chrom, pos).
 
@@ -62,14 +104,21 @@ def annotate_join(
     ``csq`` (semi-join reduction).  Same rows either way; it pays when
     ``csq`` is filtered and the site tables are not, since then the full
     site tables would otherwise be shuffled for the inner join.
+    ``hot_rows``: sites with more annotation rows than this are split over
+    ``salts`` tasks (``None``: plain join).
     """
     csq = _prefix_clashes(csq, list(main.columns) + list(info.columns), key)
+    # rows per site, combined map-side: the key set of the reduction and
+    # the hot-site list come from this one aggregation
+    site_counts = csq.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     if reduce_sites:
-        keys = csq.select(*key).distinct()
+        keys = site_counts.select(*key)
         main = semi_reduce(main, keys, key)
         info = semi_reduce(info, keys, key)
     mi = main_info_join(main, info, key)
-    return csq.join(mi, list(key), "left")
+    if hot_rows is None:
+        return csq.join(mi, list(key), "left")
+    return _salted_left_join(csq, mi, key, hot_rows, salts, site_counts)
 
 
 def with_row_index(
