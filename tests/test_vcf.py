@@ -345,3 +345,19 @@ def test_reader_options(spark, header):
     assert rows[99]["attributes"]["AN"] == "4" and "DB" in rows[99]["attributes"]
     assert rows[199]["attributes"] is None
     assert "sampleId" not in df.schema["genotypes"].dataType.elementType.fieldNames()
+
+
+def test_repeated_ingest_appends_nothing(spark, tmp_path):
+    from varlake.sources.tables import scan_table
+
+    f = tmp_path / "twice.vcf"
+    _write_vcf(f, LINES)
+    root = str(tmp_path / "store")
+    ingest(spark, str(f), root)
+    counts = {t: scan_table(spark, root, t).count() for t in ("main", "info", "csq", "genotypes")}
+    ingest(spark, str(f), root)  # same input again, e.g. a retried run
+    assert {t: scan_table(spark, root, t).count() for t in counts} == counts
+    g = tmp_path / "other.vcf"
+    _write_vcf(g, [NO_CSQ.replace("chr2\t300", "chr5\t301")])
+    ingest(spark, str(g), root)  # a new input still appends
+    assert scan_table(spark, root, "main").count() == counts["main"] + 1

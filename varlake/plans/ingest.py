@@ -8,9 +8,11 @@ is cached or collected.  Only header lines reach the driver.
 
 from __future__ import annotations
 
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,13 +21,16 @@ from ..operators.joins import KEY
 from ..operators.project import csq_project, info_project, main_project
 from ..plans.query import TABLE_NAMES
 from ..session import scratch_path
-from ..sources.tables import write_table
+from ..sources.tables import table_path, write_table
 from ..sources.vcf import VcfHeader, VcfSource, open_vcf, pos_one_based
 
 # Samples kept by the slim (demo) profile, which handles
 # one chunk of five samples.
 SLIM_SAMPLES = 5
 
+# Folder under the store root with one marker per (input, table) written.
+INGEST_LOG = "_ingested"
+
 
 class DuplicateSiteError(ValueError):
     """Two data lines share one (chrom, pos)."""
@@ -63,6 +68,29 @@ def build_tables(src: VcfSource, profile: str = "full") -> dict[str, DataFrame]:
     return tables
 
 
+def input_fingerprint(src: VcfSource, profile: str) -> str:
+    """Identity of one ingest: its input files and profile."""
+    files = sorted({f for lines, _, _ in src.parts for f in lines.inputFiles()})
+    return hashlib.sha256("\n".join([profile, *files]).encode()).hexdigest()[:32]
+
+
+def _marker(root: str, fingerprint: str, table: str) -> str:
+    return f"{root.rstrip('/')}/{INGEST_LOG}/{fingerprint}/{table}"
+
+
+def _marked(spark: SparkSession, root: str, fingerprint: str, table: str) -> bool:
+    try:
+        return bool(spark.read.json(_marker(root, fingerprint, table)).limit(1).collect())
+    except AnalysisException:  # no marker: the table was not written for this input
+        return False
+
+
+def _mark(spark: SparkSession, root: str, fingerprint: str, table: str, path: str) -> None:
+    spark.createDataFrame([(table, path)], "table string, path string").coalesce(1).write.mode(
+        "overwrite"
+    ).json(_marker(root, fingerprint, table))
+
+
 def duplicate_sites(main: DataFrame) -> DataFrame:
     """(chrom, pos, n) for keys on more than one site row."""
     return main.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
@@ -87,6 +115,11 @@ def ingest(
     'keep' stores them as they are.  The check covers this input's
     sites and runs before any write.  ``parallel`` submits the four
     table writes as concurrent jobs.  ``same_header``: see ``open_vcf``.
+    Each table write is one atomic job; after it a marker for (input,
+    table) is written under ``root/_ingested``, and an ingest of the same
+    input skips tables already marked.  Re-running an ingest (after a
+    failure, or twice) therefore completes the missing tables without
+    appending the others again, as key upserts would leave them.
     ``stage``: split the text once into a Parquet copy under the
     session's checkpoint folder (``VcfSource.stage``) before building the
     tables; by default on for gzip input, whose decompression would
@@ -95,6 +128,7 @@ def ingest(
     if on_duplicate not in ("error", "keep"):
         raise ValueError("on_duplicate must be 'error' or 'keep'")
     src = open_vcf(spark, path, min_partitions=min_partitions, same_header=same_header)
+    fingerprint = input_fingerprint(src, profile)
     if stage is None:
         # compressed text is worth decompressing and splitting only once
         stage = any(p.endswith(".gz") for p in src.parts[0][0].inputFiles())
@@ -113,13 +147,22 @@ def ingest(
             )
     order = [t for t in ("genotypes", "csq", "info", "main") if t in frames]
     written: dict[str, str] = {}
-    if parallel and len(order) > 1:
+    pending = [t for t in order if not _marked(spark, root, fingerprint, t)]
+    for t in order:
+        if t not in pending:
+            written[t] = table_path(root, names[t])
+
+    def write(t: str) -> str:
+        out = write_table(frames[t], root, names[t])
+        _mark(spark, root, fingerprint, t, out)
+        return out
+
+    if parallel and len(pending) > 1:
         # independent jobs submitted together keep every core busy while
         # another job's last tasks finish
-        with ThreadPoolExecutor(max_workers=len(order)) as pool:
-            paths = pool.map(lambda t: write_table(frames[t], root, names[t]), order)
-            written.update(zip(order, paths))
+        with ThreadPoolExecutor(max_workers=len(pending)) as pool:
+            written.update(zip(pending, pool.map(write, pending)))
     else:
-        for t in order:
-            written[t] = write_table(frames[t], root, names[t])
+        for t in pending:
+            written[t] = write(t)
     return IngestResult(root, written, src.header)
