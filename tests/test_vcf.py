@@ -361,3 +361,22 @@ def test_repeated_ingest_appends_nothing(spark, tmp_path):
     _write_vcf(g, [NO_CSQ.replace("chr2\t300", "chr5\t301")])
     ingest(spark, str(g), root)  # a new input still appends
     assert scan_table(spark, root, "main").count() == counts["main"] + 1
+
+
+def test_rerun_writes_only_unmarked_tables(spark, tmp_path):
+    """As after a driver loss between table writes: tables already marked
+    for this input are not written again, the others are."""
+    import os
+
+    from varlake.plans.ingest import _mark, input_fingerprint
+    from varlake.sources.vcf import open_vcf
+
+    f = tmp_path / "crash.vcf"
+    _write_vcf(f, LINES)
+    root = str(tmp_path / "store")
+    fp = input_fingerprint(open_vcf(spark, str(f)), "full")
+    _mark(spark, root, fp, "main", root + "/main")  # main was committed before the crash
+    res = ingest(spark, str(f), root)
+    assert set(res.tables) == {"main", "info", "csq", "genotypes"}
+    assert not os.path.exists(os.path.join(root, "main"))
+    assert os.path.exists(os.path.join(root, "csq"))

@@ -78,11 +78,13 @@ def _marker(root: str, fingerprint: str, table: str) -> str:
     return f"{root.rstrip('/')}/{INGEST_LOG}/{fingerprint}/{table}"
 
 
-def _marked(spark: SparkSession, root: str, fingerprint: str, table: str) -> bool:
+def _marked_tables(spark: SparkSession, root: str, fingerprint: str) -> set[str]:
+    """Tables already written for this input (one read of its markers)."""
     try:
-        return bool(spark.read.json(_marker(root, fingerprint, table)).limit(1).collect())
-    except AnalysisException:  # no marker: the table was not written for this input
-        return False
+        rows = spark.read.json(_marker(root, fingerprint, "*")).select("table").collect()
+    except AnalysisException:  # no marker: nothing written for this input
+        return set()
+    return {r["table"] for r in rows}
 
 
 def _mark(spark: SparkSession, root: str, fingerprint: str, table: str, path: str) -> None:
@@ -147,7 +149,8 @@ def ingest(
             )
     order = [t for t in ("genotypes", "csq", "info", "main") if t in frames]
     written: dict[str, str] = {}
-    pending = [t for t in order if not _marked(spark, root, fingerprint, t)]
+    done = _marked_tables(spark, root, fingerprint)
+    pending = [t for t in order if t not in done]
     for t in order:
         if t not in pending:
             written[t] = table_path(root, names[t])
