@@ -22,7 +22,7 @@ import regex
 
 from varlake.llm.bpe_tables import ragged, tables
 
-CACHE_UNITS = 300_000  #: distinct units kept per Python process
+CACHE_UNITS = 300_000  #: distinct units kept per Python process, and as many of the generation before
 GROUP_CHARS = 2_000_000  #: text handled at a time; longer texts are cut between units
 #: Fixed value: the pattern of byte-level pre-tokenisation.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -51,6 +51,7 @@ class Codec:
         self.special = self.tables.special
         self.special_at = regex.compile("|".join(map(regex.escape, self.special)) or r"(?!)")
         self.cache: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.repaired = 0
 
     # ---- units
@@ -75,35 +76,38 @@ class Codec:
         yield text[at:]
 
     # ---- learning the units that the cache lacks
-    def _pieces(self, units: list[str]) -> tuple[list[str], np.ndarray]:
-        """Pre-tokens of all units, and how many of each."""
-        if not self.words:
+    def _pieces(self, units: list[str]) -> tuple[list[str], list[int] | None]:
+        """Pre-tokens of all units, one unit after the other; for words with a
+        newline after each unit's, else with the number of each unit's."""
+        if self.words:
+            joined = "\n".join(units) + "\n"
+            if not joined.isascii():
+                joined = unicodedata.normalize("NFC", joined).replace("Σ", "σ")
+            return self.pattern.findall(joined.lower()), None
+        if opens_with_only_space(units[0]) and len(units) > 1:
             # learn() brings units of one kind: those that open with their only
             # space can be scanned in one go, as each such space opens a pre-token
-            if opens_with_only_space(units[0]) and len(units) > 1:
-                pieces = self.pattern.findall("".join(units))
-                opens = np.fromiter((p[0] == " " for p in pieces), bool, len(pieces))
-                return pieces, np.diff(np.append(np.flatnonzero(opens), len(pieces)))
-            found = [self.pattern.findall(u) for u in units]
-            return [p for f in found for p in f], np.fromiter(map(len, found), np.int64, len(units))
-        joined = "\n".join(units)
-        if not joined.isascii():
-            joined = unicodedata.normalize("NFC", joined).replace("Σ", "σ")
-        pieces = self.pattern.findall(joined.lower())
-        brk = np.fromiter((p == "\n" for p in pieces), bool, len(pieces))
-        row = np.cumsum(brk)[~brk]
-        return [p for p in pieces if p != "\n"], np.bincount(row, minlength=len(units))
+            pieces = self.pattern.findall("".join(units))
+            opens = [i for i, p in enumerate(pieces) if p[0] == " "]
+            return pieces, np.diff([*opens, len(pieces)]).tolist()
+        found = [self.pattern.findall(u) for u in units]
+        return [p for f in found for p in f], [len(f) for f in found]
 
     def _encode_units(self, units: list[str]) -> list[bytes]:
         pieces, per_unit = self._pieces(units)
-        index: dict[str, int] = {}
-        which = np.fromiter((index.setdefault(p, len(index)) for p in pieces), np.int64, len(pieces))
-        flat, counts, failed = self.tables.encode_words([p.encode() for p in index])
+        distinct = list(dict.fromkeys(pieces))
+        index = dict(zip(distinct, range(len(distinct)), strict=True))
+        which = np.fromiter(map(index.__getitem__, pieces), np.int64, len(pieces))
+        if per_unit is None:
+            distinct[index["\n"]] = ""  # ends a unit, has no ids
+            last = np.flatnonzero(which == index["\n"]) + 1
+        else:
+            last = np.cumsum(per_unit)
+        flat, counts, failed = self.tables.encode_words([p.encode() for p in distinct])
         self.repaired += failed
         starts = np.cumsum(counts) - counts
-        ids = flat[ragged(starts[which], counts[which])].astype("<u4").tobytes() if len(which) else b""
-        per_piece = np.append(0, np.cumsum(counts[which] if len(which) else which))
-        ends = (4 * per_piece[np.cumsum(per_unit)]).tolist()
+        ids = flat[ragged(starts[which], counts[which])].astype("<u4").tobytes()
+        ends = (4 * np.append(0, np.cumsum(counts[which]))[last]).tolist()
         return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
     def learn(self, units: list[str]) -> None:
@@ -126,12 +130,13 @@ class Codec:
     def _looked_up(self, texts: list[str]) -> Iterator[list[str]]:
         group = [self.units(t) for t in texts]
         wanted = set().union(*group)
-        known = self.cache.keys()
-        if lack := [u for u in wanted if u not in known]:
-            if len(self.cache) + len(lack) > CACHE_UNITS:  # the cache starts anew, with all that this group needs
-                self.cache.clear()
-                lack = list(wanted)
-            self.learn(lack)
+        if len(self.cache) > CACHE_UNITS:  # the units of the last generation come back when they are asked for
+            self.old, self.cache = self.cache, {}
+        if lack := wanted.difference(self.cache):
+            old = self.old
+            again = [u for u in lack if u in old]
+            self.cache.update(zip(again, map(old.__getitem__, again), strict=True))
+            self.learn(list(lack.difference(again)))
         yield from group
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
