@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from varlake.llm.common import arrow_map, ddl, pick, text_or_empty
 
 BITS = 18
-MAX_ROWS = 12_000
+MAX_ROWS = 8_000
 LEAST_ROWS = 5
 CACHE_WORDS = 300_000
 STRETCH = 2_000_000  #: characters of a text whose words are counted at a time
@@ -107,42 +107,51 @@ class OrdinalModel:
         """P(grade > j) for each j: (rows, grades - 1), falling with j."""
         return 1 / (1 + np.exp(np.clip(self.thresholds[None] - np.asarray(score)[:, None], -60, 60)))
 
-    def fit(self, rows: list[dict[int, float]], grade: np.ndarray, rounds: int = 200, rate: float = 0.05, ridge: float = 1e-3, least_rows: int = LEAST_ROWS, alpha: float = 0.5) -> OrdinalModel:
-        """Maximum likelihood with a ridge, by Adagrad on all rows at once.
+    def fit(
+        self, lens: np.ndarray, cols: np.ndarray, values: np.ndarray, grade: np.ndarray, rounds: int = 300, rate: float = 0.1, ridge: float = 1.5e-3, least_rows: int = LEAST_ROWS, alpha: float = 0.25
+    ) -> OrdinalModel:
+        """Maximum likelihood with a ridge, by Adagrad on all rows at once; row i
+        has the next ``lens[i]`` features (``cols``) and values.
+
         Features that fewer than ``least_rows`` rows have get no weight; the
-        others are brought to one scale, so that rare telling words count.
-        Grades weigh alike, however many rows they have."""
-        lens = np.array([len(r) for r in rows])
-        row = np.repeat(np.arange(len(rows)), lens)
-        cols, back, seen = np.unique(np.fromiter((f for r in rows for f in r), np.int64, int(lens.sum())), return_inverse=True, return_counts=True)
-        value = np.fromiter((v for r in rows for v in r.values()), np.float64, int(lens.sum()))
-        rms = np.sqrt(np.bincount(back, value * value, len(cols)) / len(rows))
-        scale = np.where(seen >= least_rows, rms**-alpha, 0.0)
-        value = value * scale[back]
-        weigh = (len(rows) / (len(np.unique(grade)) * np.bincount(grade)))[grade] / len(rows)
-        w = np.zeros(len(cols))
-        square_w, square_t = np.full(len(cols), 1e-8), np.full(1 + len(self.gaps), 1e-8)
+        others are divided by a power (``alpha``) of their root mean square, so
+        that rare telling words count more.  Grades weigh alike, however many
+        rows they have."""
+        n = len(lens)
+        row = np.repeat(np.arange(n), lens)
+        seen = np.bincount(cols, minlength=len(self.weights))
+        often = seen[cols] >= least_rows
+        row, cols, values = row[often], cols[often], values[often].astype(np.float64)
+        if not len(row):
+            return self
+        kept, back = np.unique(cols, return_inverse=True)
+        scale = np.sqrt(np.bincount(back, values * values) / n) ** -alpha
+        values = values * scale[back]
+        rows, row_start = np.unique(row, return_index=True)
+        by_col = np.argsort(back, kind="stable")
+        col_row, col_value = row[by_col], values[by_col]
+        col_start = np.flatnonzero(np.append(True, np.diff(back[by_col]) > 0))
+        weigh = 1 / (len(np.unique(grade)) * np.bincount(grade)[grade])
+        at, score, w = np.arange(n), np.zeros(n), np.zeros(len(kept))
+        square_w, square_t = np.full(len(kept), 1e-8), np.full(1 + len(self.gaps), 1e-8)
         for _ in range(rounds):
-            score = np.bincount(row, w[back] * value, len(rows))
+            score[rows] = np.add.reduceat(w[back] * values, row_start)
             # P(grade = g) = tail(g - 1) - tail(g); the derivatives of its logarithm in closed form
-            tail = np.concatenate([np.ones((len(rows), 1)), self.tails(score), np.zeros((len(rows), 1))], axis=1)
-            at = np.arange(len(rows))
+            tail = np.concatenate([np.ones((n, 1)), self.tails(score), np.zeros((n, 1))], axis=1)
             up, down = tail[at, grade], tail[at, grade + 1]
             p = np.maximum(up - down, 1e-12)
-            d_up, d_down = up * (1 - up) / p, down * (1 - down) / p
-            d_score = -weigh * (d_up - d_down)
-            g = np.bincount(back, d_score[row] * value, len(cols)) + ridge * w
+            d_up, d_down = weigh * up * (1 - up) / p, weigh * down * (1 - down) / p
+            g = np.add.reduceat((d_down - d_up)[col_row] * col_value, col_start) + ridge * w
             square_w += g * g
             w -= rate * g / np.sqrt(square_w)
-            d_t = np.zeros(1 + len(self.gaps))  # by threshold: it is "up" of the grade above and "down" of the one below
-            for j in range(len(d_t)):
-                d_t[j] = (weigh * d_up)[grade == j + 1].sum() - (weigh * d_down)[grade == j].sum()
+            # a threshold is the lower bound of one grade and the upper bound of the one below
+            d_t = np.array([d_up[grade == j + 1].sum() - d_down[grade == j].sum() for j in range(1 + len(self.gaps))])
             by = np.append(d_t.sum(), [d_t[j:].sum() * np.exp(self.gaps[j - 1]) for j in range(1, len(d_t))])
             square_t += by * by
             step = rate * by / np.sqrt(square_t)
             self.start -= step[0]
             self.gaps -= step[1:]
-        self.weights[cols] = w * scale
+        self.weights[kept] = w * scale
         return self
 
     def score(self, text: str) -> float:
@@ -200,8 +209,9 @@ def fit_quality(df: DataFrame, labels: DataFrame, grades: int, id_col: str = "do
     got = arrow_map(rows, run, "grade int, f array<int>, v array<float>").limit(max_rows).toArrow()
     if len(set(got["grade"].to_pylist())) < 2:
         return model
-    vectors = [dict(zip(f, v, strict=True)) for f, v in zip(got["f"].to_pylist(), got["v"].to_pylist(), strict=True)]
-    return model.fit(vectors, np.array(got["grade"].to_pylist(), np.int64))
+    lists = got["f"].combine_chunks()
+    lens, cols = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
+    return model.fit(lens, cols, got["v"].combine_chunks().flatten().to_numpy(), got["grade"].to_numpy().astype(np.int64))
 
 
 def score_quality(df: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
