@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_mod
 from varlake.operators.filters import make_filter
-from varlake.operators.joins import annotate_join, positional_join, with_row_index
+from varlake.operators.joins import annotate_join, hot_sites, positional_join, with_row_index
 from varlake.operators.store import SchemaConflictError, schema_evolve, upsert_merge
 from varlake.plans import standin
+from varlake.plans.oracle import oracle_sql
 from varlake.plans.query import query_variants, run_query
-from varlake.plans.registry import PARAMS, flat
+from varlake.plans.registry import PARAMS, flat, registry
 from varlake.sources.tables import scan_table, write_table
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -37,12 +38,13 @@ def _rows(cols, rows):
 # Spark type -> DuckDB type of the same column
 _DUCK = {"StringType": "VARCHAR", "IntegerType": "INTEGER", "LongType": "BIGINT", "DoubleType": "DOUBLE", "BooleanType": "BOOLEAN"}
 
-QUERIES = entry_mod.queries()
-ORACLE = entry_mod.oracle_sql()
+QUERIES = registry()
+ORACLE = oracle_sql()
 
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLE) <= set(entry_mod.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -127,11 +129,28 @@ def test_schema_evolve_conflict(spark, sf):
     assert "s_new_int" in schema_evolve(m, {"s_new_int": "map<string,int>"}).columns
 
 
-def test_row_index_matches_row_number(spark, sf):
-    o = standin.load(spark, sf, "orders").select("o_orderkey")
-    got = {r["o_orderkey"]: r["row_index"] for r in with_row_index(o, ["o_orderkey"], num_partitions=5).collect()}
-    keys = sorted(got)
-    assert [got[k] for k in keys] == list(range(1, len(keys) + 1))
+@pytest.mark.parametrize("parts", [4, 8, 16, 32])
+def test_row_index_matches_row_number(spark, sf, parts):
+    """All columns collected, so that no pruned copy of the plan hides a
+    difference; more rows than a range sample holds."""
+    o = standin.load(spark, sf.replace("sf0.001", "sf0.01"), "orders")
+    want = [k for k, _ in sorted(((r["o_orderkey"], r["o_totalprice"]) for r in o.collect()), key=lambda r: (r[1], r[0]))]
+    for _ in range(3):
+        rows = with_row_index(o, ["o_totalprice", "o_orderkey"], num_partitions=parts).collect()
+        assert [r["o_orderkey"] for r in sorted(rows, key=lambda r: r["row_index"])] == want
+        assert sorted(r["row_index"] for r in rows) == list(range(1, len(want) + 1))
+
+
+@pytest.mark.parametrize("name", ["positional_join", "main_info_join", "query_c", "ingest_two_batches"])
+def test_query_matches_oracle_on_more_rows(spark, sf, name):
+    big = sf.replace("sf0.001", "sf0.01")
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{big}/{t}.parquet')")
+    df = QUERIES[name](spark, big)
+    rel = con.sql(ORACLE[name])
+    exp = [dict(zip(rel.columns, r)) for r in rel.fetchall()]
+    assert _rows(df.columns, df.collect()) == _rows(df.columns, exp)
 
 
 def test_positional_join_refuses_constant_order(spark, sf):
@@ -153,24 +172,6 @@ def test_store_roundtrip_and_pruning(spark, sf, tmp_path):
     assert "PartitionFilters: [isnotnull(chrom" in plan and "PushedFilters: [IsNotNull(pos), EqualTo(pos,28)]" in plan
 
 
-def test_lookup_tables_same_rows_and_staleness(spark, sf, tmp_path):
-    from varlake.plans.lookup import build_lookups, lookup_sites
-
-    root = str(tmp_path / "store")
-    m, i, c = _tables(spark, sf)
-    for name, df in (("main", m), ("info", i), ("csq", c)):
-        write_table(df, root, name, cluster=True)
-    build_lookups(spark, root)
-    for kind in "DF":
-        fast = flat(query_variants(spark, root, kind, use_lookups=True, **PARAMS[kind])).collect()
-        plain = flat(query_variants(spark, root, kind, **PARAMS[kind])).collect()
-        assert sorted(map(tuple, fast), key=str) == sorted(map(tuple, plain), key=str)
-    assert lookup_sites(spark, root, "D", "rs77") is not None
-    # appending annotations makes the lookup stale: it is no longer used
-    write_table(c.limit(5), root, "csq")
-    assert lookup_sites(spark, root, "D", "rs77") is None
-
-
 @pytest.mark.parametrize("kind", list("ADEF"))
 def test_each_annotation_row_once(spark, sf, kind):
     """With (chrom, pos) unique in main and info, every filtered csq row
@@ -185,20 +186,6 @@ def test_each_annotation_row_once(spark, sf, kind):
     )
 
 
-def test_upsert_partitions_same_as_full_merge(spark, sf):
-    from varlake.operators.store import upsert_partitions
-
-    m = standin.v_main(spark, sf)
-    old = m.select("chrom", "pos", "id", "ref", "qual")
-    # a batch touching three chromosomes only
-    new = m.where(F.col("chrom").isin("chr1", "chr2", "chr3") & (F.col("ref") != "F")).select(
-        "chrom", "pos", F.lower("ref").alias("ref"), "alt"
-    )
-    full = flat(upsert_merge(old, new)).collect()
-    part = flat(upsert_partitions(old, new)).collect()
-    assert sorted(map(tuple, full), key=str) == sorted(map(tuple, part), key=str)
-
-
 def test_numeric_contigs_stay_text(spark, tmp_path):
     root = str(tmp_path / "store")
     df = spark.createDataFrame([("01", 5, "x"), ("2", 6, "y")], "chrom string, pos int, v string")
@@ -216,7 +203,15 @@ def test_hot_site_is_salted_with_same_rows(spark, sf):
     hot = c.withColumn("chrom", F.when(h, F.lit("chr1")).otherwise(F.col("chrom"))).withColumn(
         "pos", F.when(h, F.lit(0)).otherwise(F.col("pos"))
     )
-    salted = flat(annotate_join(hot, m, i, hot_rows=100, salts=8)).collect()
-    plain = flat(annotate_join(hot, m, i, hot_rows=None)).collect()
+    sites = hot_sites(hot, rows=100)
+    assert sites.count() == 1
+    salted = flat(annotate_join(hot, m, i, hot=sites, rows_per_task=100)).collect()
+    plain = flat(annotate_join(hot, m, i)).collect()
     assert len(salted) == hot.count()
     assert sorted(map(tuple, salted), key=str) == sorted(map(tuple, plain), key=str)
+
+
+def test_queries_read_the_annotations_once(spark, sf):
+    m, i, c = _tables(spark, sf)
+    plan = run_query(make_filter("A", **PARAMS["A"]), m, i, c)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_orderkey#") > 0 and plan.count("Join Inner, (l_partkey") == 1

@@ -1,5 +1,6 @@
 from pyspark.sql import functions as F
 
+from varlake.plans.query import query_variants
 from varlake.streaming.ingest_stream import start_ingest_stream, stream_tables, write_batch
 
 from vcf_fixture import AF_TEXT, FULL, HEADER, MISSING, NO_CSQ
@@ -33,3 +34,13 @@ def test_retried_batch_replaces_its_output(spark, tmp_path):
     t = stream_tables(spark, root)
     assert t["main"].count() == 2
     assert t["main"].where(F.col("pos") == 100).count() == 1
+
+
+def test_same_lines_in_two_batches_count_once(spark, tmp_path):
+    root = str(tmp_path / "store")
+    for i, name in enumerate("ab"):
+        write_batch(spark.createDataFrame([(v, f"file:/x/{name}.vcf") for v in HEADER + [FULL, FULL, NO_CSQ]], "value string, file_path string"), i, root)
+    t = stream_tables(spark, root)
+    assert [t[n].count() for n in ("main", "info", "csq", "genotypes")] == [2, 2, 2, 4]
+    rows = query_variants(spark, root, "B", chrom="chr1", pos=100, samples="all").collect()
+    assert len(rows) == 2 and all(r["sna_1_int"] == {"depth": 7, "min_dp": 5} for r in rows)

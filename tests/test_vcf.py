@@ -240,13 +240,13 @@ def test_af_text_compared_as_numbers(spark, header, tmp_path):
 
 def test_stored_genotypes_give_the_same_maps(spark, tmp_path):
     from varlake.operators.genotypes import genotype_maps_view
-    from varlake.sources.tables import scan_table
+    from varlake.plans.query import load_table
 
     f = tmp_path / "g.vcf"
     _write_vcf(f, [FULL, MISSING, NO_CSQ])
     root = str(tmp_path / "store")
     ingest(spark, str(f), root)
-    stored = scan_table(spark, root, "genotypes")
+    stored = load_table(spark, root, "genotypes")
     assert {"depth", "calls", "MIN_DP", "sampleId"} <= set(stored.columns)
     view = {(r["pos"], r["sample"]): r for r in genotype_maps_view(stored).collect()}
     nested = read_vcf(spark, str(f))[0]
@@ -312,7 +312,7 @@ def test_wide_csq_header(spark, tmp_path):
 
 
 def test_staged_ingest_same_tables(spark, tmp_path):
-    from varlake.sources.tables import scan_table
+    from varlake.plans.query import load_table
 
     f = tmp_path / "st.vcf.gz"
     _write_vcf(f, LINES, gz=True)
@@ -320,7 +320,7 @@ def test_staged_ingest_same_tables(spark, tmp_path):
     ingest(spark, str(f), a, stage=True)
     ingest(spark, str(f), b, stage=False)
     for t in ("main", "info", "csq", "genotypes"):
-        x, y = scan_table(spark, a, t), scan_table(spark, b, t)
+        x, y = load_table(spark, a, t), load_table(spark, b, t)
         assert x.columns == y.columns
         assert sorted(map(str, x.collect())) == sorted(map(str, y.collect())), t
 
@@ -347,36 +347,137 @@ def test_reader_options(spark, header):
     assert "sampleId" not in df.schema["genotypes"].dataType.elementType.fieldNames()
 
 
-def test_repeated_ingest_appends_nothing(spark, tmp_path):
-    from varlake.sources.tables import scan_table
+TABLES = ("main", "info", "csq", "genotypes")
+
+
+def _counts(spark, root):
+    from varlake.plans.query import load_table
+
+    return {t: load_table(spark, root, t).count() for t in TABLES}
 
+
+def _with_samples(path, lines, samples):
+    head = HEADER[:-1] + ["\t".join(["#CHROM", "POS", "ID", "REF", "ALT", "QUAL", "FILTER", "INFO", "FORMAT", *samples])]
+    path.write_text("\n".join(head + lines) + "\n")
+
+
+def test_repeated_ingest_appends_nothing(spark, tmp_path):
     f = tmp_path / "twice.vcf"
     _write_vcf(f, LINES)
     root = str(tmp_path / "store")
     ingest(spark, str(f), root)
-    counts = {t: scan_table(spark, root, t).count() for t in ("main", "info", "csq", "genotypes")}
+    counts = _counts(spark, root)
     ingest(spark, str(f), root)  # same input again, e.g. a retried run
-    assert {t: scan_table(spark, root, t).count() for t in counts} == counts
+    assert _counts(spark, root) == counts
     g = tmp_path / "other.vcf"
     _write_vcf(g, [NO_CSQ.replace("chr2\t300", "chr5\t301")])
-    ingest(spark, str(g), root)  # a new input still appends
-    assert scan_table(spark, root, "main").count() == counts["main"] + 1
+    ingest(spark, str(g), root)  # a new input still adds
+    assert _counts(spark, root)["main"] == counts["main"] + 1
 
 
-def test_rerun_writes_only_unmarked_tables(spark, tmp_path):
-    """As after a driver loss between table writes: tables already marked
-    for this input are not written again, the others are."""
-    import os
+def test_changed_file_replaces_its_rows(spark, tmp_path):
+    f, root = tmp_path / "f.vcf", str(tmp_path / "store")
+    _write_vcf(f, [FULL, MISSING])
+    ingest(spark, str(f), root)
+    _write_vcf(f, [FULL.replace("rs1\t", "rs1b\t"), NO_CSQ, AF_TEXT])
+    ingest(spark, str(f), root)
+    from varlake.plans.query import load_table
 
-    from varlake.plans.ingest import _mark, input_fingerprint
-    from varlake.sources.vcf import open_vcf
+    assert {r["pos"]: r["id"] for r in load_table(spark, root, "main").collect()} == {100: ["rs1b"], 300: ["rs3"], 400: ["rs4"]}
+
+
+def test_second_batch_on_known_sites_merges_by_key(spark, tmp_path):
+    from varlake.plans.query import query_variants, stored_samples
 
-    f = tmp_path / "crash.vcf"
-    _write_vcf(f, LINES)
     root = str(tmp_path / "store")
-    fp = input_fingerprint(open_vcf(spark, str(f)), "full")
-    _mark(spark, root, fp, "main", root + "/main")  # main was committed before the crash
-    res = ingest(spark, str(f), root)
-    assert set(res.tables) == {"main", "info", "csq", "genotypes"}
-    assert not os.path.exists(os.path.join(root, "main"))
-    assert os.path.exists(os.path.join(root, "csq"))
+    _write_vcf(tmp_path / "a.vcf", [FULL, NO_CSQ])
+    _with_samples(tmp_path / "b.vcf", [FULL.replace("50.5", "60.5"), MISSING], ["X-9", "Y-8"])
+    ingest(spark, str(tmp_path / "a.vcf"), root)
+    ingest(spark, str(tmp_path / "b.vcf"), root)
+    rows = query_variants(spark, root, "B", chrom="chr1", pos=100, samples="all").collect()
+    assert len(rows) == 2 and {r["qual"] for r in rows} == {60.5}
+    assert stored_samples(spark, root) == ["NA-1", "NA-2", "X-9", "Y-8"]
+    assert all(r["sna_1_int"] == r["sx_9_int"] == {"depth": 7, "min_dp": 5} for r in rows)
+    counts = _counts(spark, root)
+    assert counts["main"] == 3
+    # an input list that overlaps what is stored
+    ingest(spark, [str(tmp_path / "a.vcf"), str(tmp_path / "b.vcf")], root, on_duplicate="merge")
+    assert _counts(spark, root) == counts
+    assert len(query_variants(spark, root, "B", chrom="chr1", pos=100).collect()) == 2
+
+
+def test_inputs_that_do_not_overlap_are_plain_scans(spark, tmp_path):
+    from varlake.plans.query import load_table
+
+    root = str(tmp_path / "store")
+    for name, lines in (("a", [FULL, MISSING]), ("b", [NO_CSQ])):
+        _write_vcf(tmp_path / f"{name}.vcf", lines)
+        ingest(spark, str(tmp_path / f"{name}.vcf"), root)
+    df = load_table(spark, root, "main")
+    assert df.count() == 3 and "Aggregate" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_new_annotation_and_format_fields_show_in_answers(spark, tmp_path):
+    from varlake.operators.store import SchemaConflictError
+    from varlake.plans.query import load_table, query_variants
+
+    root = str(tmp_path / "store")
+    _write_vcf(tmp_path / "a.vcf", [FULL])
+    ingest(spark, str(tmp_path / "a.vcf"), root)
+    more = [h.replace("gnomAD_genomes_AF", "gnomAD_genomes_AF|NEW") if "ID=CSQ" in h else h for h in HEADER]
+    more.insert(-1, '##FORMAT=<ID=XX,Number=1,Type=Integer,Description="New">')
+    new = line("chr1", 500, "rs7", "A", "G", 1, "PASS", "AC=1;AN=2;CSQ=G|m|BRCA1|rs7|0.1|0.2|fresh", "GT:XX", "0/1:4", "0/0:5")
+    again = line("chr1", 100, "rs1", "A", "G", 1, "PASS", "AC=1;AN=2;CSQ=G|m|BRCA1|rs1|0.1|0.2|newer", "GT:XX", "0/1:4", "0/0:5")
+    (tmp_path / "b.vcf").write_text("\n".join([*more, new, again]) + "\n")
+    ingest(spark, str(tmp_path / "b.vcf"), root)
+    rows = query_variants(spark, root, "A", chrom="chr1").collect()
+    assert {(r["pos"], r["csq_no"]): r["new"] for r in rows} == {(500, 0): "fresh", (100, 0): "newer", (100, 1): None}
+    g = {(r["pos"], r["sampleId"]): (r["XX"], r["MIN_DP"]) for r in load_table(spark, root, "genotypes").collect()}
+    # the newer batch decides the columns that it has, MIN_DP among them
+    assert g[100, "NA-1"] == (4, None) and g[500, "NA-2"] == (5, None)
+    wrong = [h.replace("ID=AN,Number=1,Type=Integer", "ID=AN,Number=1,Type=String") for h in HEADER]
+    (tmp_path / "c.vcf").write_text("\n".join([*wrong, NO_CSQ]) + "\n")
+    with pytest.raises(SchemaConflictError):
+        ingest(spark, str(tmp_path / "c.vcf"), root)
+
+
+def test_death_between_write_and_mark(spark, tmp_path, monkeypatch):
+    """Rows whose marker is missing don't count; a rerun writes what is
+    not marked, and only that."""
+    from varlake.plans import ingest as module
+
+    f, root = tmp_path / "crash.vcf", str(tmp_path / "store")
+    _write_vcf(f, LINES)
+    real, marked = module.mark, []
+
+    def dying(spark, root, b):
+        if b.table in ("info", "csq"):
+            raise RuntimeError("lost")
+        marked.append((b.table, b.batch))
+        real(spark, root, b)
+
+    monkeypatch.setattr(module, "mark", dying)
+    with pytest.raises(RuntimeError):
+        ingest(spark, str(f), root, parallel=False)
+    monkeypatch.setattr(module, "mark", real)
+    ingest(spark, str(f), root)
+    assert _counts(spark, root) == {"main": 4, "info": 4, "csq": 6, "genotypes": 8}
+    from varlake.sources.batches import read_batches
+
+    assert {(b.table, b.batch) for b in read_batches(spark, root)} >= {m for m in marked if m[0] == "genotypes"}
+
+
+def test_stored_samples_can_be_chosen(spark, tmp_path):
+    f, root = tmp_path / "f.vcf", str(tmp_path / "store")
+    _write_vcf(f, LINES)
+    ingest(spark, str(f), root, profile="slim", samples=["NA-2"])
+    from varlake.plans.query import load_table, stored_samples
+
+    assert {r["sampleId"] for r in load_table(spark, root, "genotypes", "slim").collect()} == {"NA-2"}
+    assert stored_samples(spark, root, "slim") == ["NA-2"]
+
+
+def test_compressed_text_is_spread(spark, tmp_path):
+    f = tmp_path / "one.vcf.gz"
+    _write_vcf(f, LINES, gz=True)
+    assert open_vcf(spark, str(f)).parts[0][0].rdd.getNumPartitions() > 1

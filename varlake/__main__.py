@@ -44,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     i.add_argument("--profile", choices=["full", "slim"], default="full")
     i.add_argument("--keep-duplicates", action="store_true")
     i.add_argument("--same-header", action="store_true")
+    i.add_argument("--min-partitions", type=int, help="spread the text over at least so many tasks")
+    i.add_argument("--store-samples", help="comma-separated sample ids whose genotypes are stored; default all")
     q = sub.add_parser("query", help="variant query A..F over stored tables")
     q.add_argument("root")
     q.add_argument("kind", choices=sorted(QUERY_KINDS))
@@ -64,6 +66,7 @@ def main(argv: list[str] | None = None) -> int:
         res = ingest(
             spark, paths, args.root, profile=args.profile,
             on_duplicate="keep" if args.keep_duplicates else "error", same_header=args.same_header,
+            min_partitions=args.min_partitions, samples=args.store_samples.split(",") if args.store_samples else None,
         )
         for table, path in res.tables.items():
             print(f"{table}\t{path}")

@@ -22,6 +22,7 @@ class VariantFilter:
     kind: str
     predicate: Column
     region: bool  # True: restricts site, INFO and csq; False: csq only
+    stored: Column | None = None  # the same on a table with AF_NUMBERS columns
 
 
 def by_chrom(chrom: str) -> VariantFilter:
@@ -54,6 +55,10 @@ def by_existing_variation(variant_id: str) -> VariantFilter:
     )
 
 
+# Allele frequency text column -> the number stored beside it.
+AF_NUMBERS = {"gnomad_exomes_af": "gnomad_exomes_af_number", "gnomad_genomes_af": "gnomad_genomes_af_number"}
+
+
 def as_number(c: Column) -> Column:
     """Allele frequency text -> double; '.', '', lists ('0.1&0.2') and
     other non-numbers become null, so they never pass a comparison."""
@@ -62,13 +67,13 @@ def as_number(c: Column) -> Column:
 
 def by_allele_frequency(max_exomes_af: float, max_genomes_af: float) -> VariantFilter:
     """E: gnomad_exomes_af < x and gnomad_genomes_af < y, compared as
-    numbers (text order would put '1.2e-05' above '0.01')."""
-    return VariantFilter(
-        "E",
-        (as_number(F.col("gnomad_exomes_af")) < F.lit(float(max_exomes_af)))
-        & (as_number(F.col("gnomad_genomes_af")) < F.lit(float(max_genomes_af))),
-        False,
-    )
+    numbers (text order would put '1.2e-05' above '0.01').  On a stored
+    table the comparison uses the numbers kept beside the text, so it
+    reaches the Parquet row groups."""
+    x, y = F.lit(float(max_exomes_af)), F.lit(float(max_genomes_af))
+    text = [as_number(F.col(c)) for c in AF_NUMBERS]
+    numbers = [F.col(c) for c in AF_NUMBERS.values()]
+    return VariantFilter("E", (text[0] < x) & (text[1] < y), False, (numbers[0] < x) & (numbers[1] < y))
 
 
 def by_gene_consequence(symbol: str, consequence: str) -> VariantFilter:

@@ -77,22 +77,6 @@ def sample_slice(df: DataFrame, start: int, end: int, col: str = "genotypes") ->
     return df.withColumn(col, F.slice(col, start + 1, end - start))
 
 
-def sample_list(scanned: DataFrame) -> DataFrame:
-    """Ordered sample ids: (sample_index, sample_id, sample).
-
-    Read from the data rather than trusted from one row: every site's
-    genotype array is exploded and the distinct (index, id) pairs kept, a
-    map-side deduplicated aggregation whose output is one row per sample.
-    Only ``sampleId`` is read, which Catalyst pushes into the parse (at
-    sf0.1: 0.2 s, against 13 s for grouping by whole id arrays).
-    """
-    return (
-        scanned.select(F.posexplode("genotypes.sampleId").alias("sample_index", "sample_id"))
-        .distinct()
-        .withColumn("sample", sample_column_expr(F.col("sample_id")))
-    )
-
-
 def genotypes_long(scanned: DataFrame, key: Sequence[str] = ("contigName", "start"), names: Sequence[str] = ("chrom", "pos")) -> DataFrame:
     """One row per (site, sample): chrom, pos, sample_index, sample, and
     the maps ``int``, ``text``, ``list_int``."""

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 KEY = ("chrom", "pos")
 
 # Low bits of monotonically_increasing_id hold the row's place in its
@@ -46,44 +48,32 @@ def semi_reduce(table: DataFrame, keys: DataFrame, key: Sequence[str] = KEY) ->
     return table.join(keys, list(key), "left_semi")
 
 
-# Annotation rows per site above which the site is split over salts, and
-# the number of salts.  The hot-site list has at most (annotation rows /
-# HOT_SITE_ROWS) entries, e.g. 10**5 for 10**12 rows, so it is broadcast.
-HOT_SITE_ROWS = 10_000_000
-SALTS = 32
+# Annotation rows of one site that one task joins; a site with more (in the
+# stored list of hot sites) is split over as many tasks as that takes.
+ROWS_PER_TASK = 250_000
 
 
 def _hashable(df: DataFrame) -> list:
     return [F.col(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
 
 
-def _salted_left_join(
-    csq: DataFrame, mi: DataFrame, key: Sequence[str], hot_rows: int, salts: int, site_counts: DataFrame
-) -> DataFrame:
-    """csq LEFT JOIN mi on ``key`` with hot sites split over ``salts``.
-
-    Sites with more than ``hot_rows`` annotation rows (found by a count
-    that combines map-side, so the hot site collapses per task) get their
-    annotation rows spread by a row hash and their one site row
-    replicated once per salt; all other rows keep salt 0.  Same rows as
-    the plain join.  AQE's skew join cannot do this here: the site side
-    comes out of the inner join already partitioned by the key, without
-    a shuffle of its own to split against."""
+def hot_sites(csq: DataFrame, key: Sequence[str] = KEY, rows: int = ROWS_PER_TASK) -> DataFrame:
+    """(key, n): sites with more than ``rows`` annotation rows.  The count
+    combines map-side, so a hot site collapses in each task."""
+    return csq.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows)
+
+
+def _salted_left_join(csq: DataFrame, mi: DataFrame, hot: DataFrame, key: Sequence[str], rows: int) -> DataFrame:
+    """csq LEFT JOIN mi on ``key`` where the ``hot`` sites are split: their
+    annotation rows are spread over ceil(n / rows) salts by a row hash and
+    their one site row is repeated for each salt; all other rows keep salt
+    0.  Same rows as the plain join."""
     key = list(key)
-    hot = site_counts.where(F.col("_n") > F.lit(hot_rows)).select(*key, F.lit(True).alias("_hot"))
-    hot = F.broadcast(hot)  # bounded: rows / hot_rows entries
-    c = csq.join(hot, key, "left").withColumn(
-        "_salt",
-        F.when(F.col("_hot"), F.pmod(F.xxhash64(*_hashable(csq)), F.lit(salts))).otherwise(F.lit(0)).cast("int"),
-    )
-    m = mi.join(hot, key, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
-    out = c.drop("_hot").join(m.drop("_hot"), key + ["_salt"], "left").drop("_salt")
-    return out
+    salts = hot.select(*key, F.ceil(F.col("n") / rows).cast("int").alias("_salts"))
+    of = F.coalesce("_salts", F.lit(1))
+    c = csq.join(salts, key, "left").withColumn("_salt", F.pmod(F.xxhash64(*_hashable(csq)), of).cast("int"))
+    m = mi.join(salts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), of - 1)))
+    return c.drop("_salts").join(m.drop("_salts"), [*key, "_salt"], "left").drop("_salt")
 
 
 def annotate_join(
@@ -93,8 +83,8 @@ def annotate_join(
     *,
     key: Sequence[str] = KEY,
     reduce_sites: bool = False,
-    hot_rows: int | None = HOT_SITE_ROWS,
-    salts: int = SALTS,
+    hot: DataFrame | None = None,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """csq LEFT JOIN (main JOIN info) on (chrom, pos).
 
@@ -104,21 +94,18 @@ def annotate_join(
     ``csq`` (semi-join reduction).  Same rows either way; it pays when
     ``csq`` is filtered and the site tables are not, since then the full
     site tables would otherwise be shuffled for the inner join.
-    ``hot_rows``: sites with more annotation rows than this are split over
-    ``salts`` tasks (``None``: plain join).
+    ``hot``: the sites to split, as ``hot_sites`` gives them; ingest
+    stores them, so a query reads the annotation table once.
     """
     csq = _prefix_clashes(csq, list(main.columns) + list(info.columns), key)
-    # rows per site, combined map-side: the key set of the reduction and
-    # the hot-site list come from this one aggregation
-    site_counts = csq.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
     if reduce_sites:
-        keys = site_counts.select(*key)
+        keys = csq.select(*key).distinct()
         main = semi_reduce(main, keys, key)
         info = semi_reduce(info, keys, key)
     mi = main_info_join(main, info, key)
-    if hot_rows is None:
+    if hot is None:
         return csq.join(mi, list(key), "left")
-    return _salted_left_join(csq, mi, key, hot_rows, salts, site_counts)
+    return _salted_left_join(csq, mi, hot, key, rows_per_task)
 
 
 def with_row_index(
@@ -130,30 +117,34 @@ def with_row_index(
     """Add a 1-based row number in ``order`` without a single-partition
     window.
 
-    The frame is range-partitioned and sorted by ``order``; each row's
-    place within its partition comes from ``monotonically_increasing_id``
-    and each partition's offset from a per-partition count.  The offsets
-    table has one row per partition, a size fixed by ``num_partitions``,
-    so broadcasting it is bounded.  ``order`` must be unique for the
-    numbering to be deterministic.
+    The frame is range-partitioned, sorted and written once to the shared
+    scratch folder with each row's partition and place in it; the offset
+    of each partition comes from counts over that same table.  (Range
+    bounds are sampled anew in every job, so counts from a second job over
+    ``df`` would belong to other partitions.)  The offsets have one row
+    per partition.  ``order`` must be unique for the numbering to be
+    deterministic.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     tagged = ranged.withColumn("_mid", F.monotonically_increasing_id()).select(
-        "*",
+        *df.columns,
         F.shiftright(F.col("_mid"), _ROW_BITS).alias("_part"),
         (F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))).alias("_local"),
     )
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    path = scratch_path(spark, "row-index")
+    tagged.write.parquet(path)
+    stored = spark.read.schema(tagged.schema).parquet(path)
+    counts = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(
         "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     return (
-        tagged.join(F.broadcast(offsets), "_part", "inner")
+        stored.join(offsets, "_part", "inner")
         .withColumn(name, F.col("_offset") + F.col("_local") + F.lit(1))
-        .drop("_mid", "_part", "_local", "_offset")
+        .select(*df.columns, name)
     )
 
 

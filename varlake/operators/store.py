@@ -17,10 +17,6 @@ from pyspark.sql import types as T
 from .joins import KEY
 
 
-# Most distinct partition values sent to every task as a broadcast.
-MAX_BROADCAST_PARTS = 1_000_000
-
-
 class SchemaConflictError(ValueError):
     """A column exists already with a different type."""
 
@@ -95,25 +91,3 @@ def preview(df: DataFrame, n: int = 20, order: Sequence[str] | None = None) -> D
 def row_count(df: DataFrame, name: str = "row_count") -> DataFrame:
     """Number of rows, as a one-row frame (partial counts per task)."""
     return df.agg(F.count(F.lit(1)).alias(name))
-
-
-def upsert_partitions(old: DataFrame, new: DataFrame, key: Sequence[str] = KEY, part: str = "chrom") -> DataFrame:
-    """``upsert_merge`` where the key join covers only the partitions
-    (values of ``part``) that ``new`` touches; rows of other partitions
-    pass through without a shuffle.  Same rows as ``upsert_merge``.
-
-    The touched values come from ``new`` as a semi/anti join on the
-    partition column, which Spark can turn into partition pruning of a
-    stored ``old`` table (no list is collected); they are broadcast when
-    their count is within ``MAX_BROADCAST_PARTS``."""
-    if part not in key:
-        raise ValueError(f"partition column {part!r} must be part of the key")
-    touched = new.select(part).distinct()
-    # one row per contig the batch touches, counted before it is
-    # broadcast: a shuffle of ``old`` by chrom alone would put a whole
-    # chromosome into one task
-    if touched.count() <= MAX_BROADCAST_PARTS:
-        touched = F.broadcast(touched)
-    kept = old.join(touched, part, "left_anti")
-    merged = upsert_merge(old.join(touched, part, "left_semi"), new, key)
-    return union_evolve(kept.select(*[c for c in merged.columns if c in kept.columns]), merged).select(*merged.columns)

@@ -1,36 +1,34 @@
 """Ingest: VCF files -> site, INFO, annotation and genotype tables.
 
-Each table is one Spark job over the text: Catalyst prunes the parse to
-the fields that table uses (the site table never parses samples, the
-genotype table never parses CSQ), so no parsed copy of the whole input
-is cached or collected.  Only header lines reach the driver.
+The text is read once: each line is split into its site fields and its
+sample fields and staged as Parquet in the shared scratch folder, together
+with the header lines; the tables are built from that copy, each reading
+only the column it needs.  Only header lines reach the driver.
+
+Each input owns its rows: they are written as a batch of their own
+(``sources.batches``) and count from the moment the batch is marked.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.names import SLIM_CSQ_FIELDS
-from ..operators.joins import KEY
+from ..operators.filters import AF_NUMBERS, as_number
+from ..operators.joins import KEY, hot_sites
 from ..operators.project import csq_project, info_project, main_project
-from ..plans.query import TABLE_NAMES
+from ..plans.query import TABLE_KEYS, TABLE_NAMES
 from ..session import scratch_path
-from ..sources.tables import table_path, write_table
+from ..sources.batches import Batch, mark, merged_schema, new_batch, read_batches
+from ..sources.tables import BATCH_COL, PARTITION_COL, table_path, write_table
 from ..sources.vcf import VcfHeader, VcfSource, open_vcf, pos_one_based
 
-# Samples kept by the slim (demo) profile, which handles
-# one chunk of five samples.
-SLIM_SAMPLES = 5
-
-# Folder under the store root with one marker per (input, table) written.
-INGEST_LOG = "_ingested"
-
 
 class DuplicateSiteError(ValueError):
     """Two data lines share one (chrom, pos)."""
@@ -43,14 +41,15 @@ class IngestResult:
     header: VcfHeader
 
 
-def build_tables(src: VcfSource, profile: str = "full") -> dict[str, DataFrame]:
+def build_tables(src: VcfSource, profile: str = "full", samples: Sequence[str] | None = None) -> dict[str, DataFrame]:
     """The four table frames of one VCF source (lazy, nothing runs).
 
     Site and INFO tables come from the nested site rows (the parse is
     pruned to the fields each uses); the annotation and genotype tables
     are read straight from the exploded CSQ entries and sample fields.
     The genotype table holds one row per (site, sample) with the typed
-    FORMAT fields as columns."""
+    FORMAT fields as columns; ``samples`` keeps the named ones only.
+    Allele frequencies are stored as text and, beside it, as numbers."""
     if profile not in TABLE_NAMES:
         raise ValueError(f"unknown profile {profile!r}; use 'full' or 'slim'")
     s = pos_one_based(src.sites())
@@ -58,39 +57,26 @@ def build_tables(src: VcfSource, profile: str = "full") -> dict[str, DataFrame]:
     if src.header.csq_fields:
         ann = pos_one_based(src.annotations())
         fields = src.header.csq_fields if profile == "full" else SLIM_CSQ_FIELDS
-        tables["csq"] = csq_project(ann, fields, keep_index=True)
+        csq = csq_project(ann, fields, keep_index=True)
+        tables["csq"] = csq.withColumns({n: as_number(F.col(c)) for c, n in AF_NUMBERS.items() if c in csq.columns})
     if src.header.formats:
-        window = (0, SLIM_SAMPLES) if profile == "slim" else None
         # raw typed fields (zeros and all) are stored; the three maps of
         # the reference, with falsy values left out, are a read-time view
         # (``genotype_maps_view``), so the stored table stays columnar
-        tables["genotypes"] = src.genotypes(samples=window)
+        genotypes = src.genotypes()
+        tables["genotypes"] = genotypes if samples is None else genotypes.where(F.col("sampleId").isin(list(samples)))
     return tables
 
 
-def input_fingerprint(src: VcfSource, profile: str) -> str:
-    """Identity of one ingest: its input files and profile."""
-    files = sorted({f for lines, _, _ in src.parts for f in lines.inputFiles()})
-    return hashlib.sha256("\n".join([profile, *files]).encode()).hexdigest()[:32]
-
-
-def _marker(root: str, fingerprint: str, table: str) -> str:
-    return f"{root.rstrip('/')}/{INGEST_LOG}/{fingerprint}/{table}"
-
+def file_states(spark: SparkSession, files: Sequence[str]) -> list[str]:
+    """Path, length and modification time of each file, from the file
+    listing (no file is opened)."""
+    rows = spark.read.format("binaryFile").load(list(files)).select("path", "length", F.col("modificationTime").cast("double").alias("time")).collect()
+    return sorted(f"{r['path']} {r['length']} {r['time']}" for r in rows)
 
-def _marked_tables(spark: SparkSession, root: str, fingerprint: str) -> set[str]:
-    """Tables already written for this input (one read of its markers)."""
-    try:
-        rows = spark.read.json(_marker(root, fingerprint, "*")).select("table").collect()
-    except AnalysisException:  # no marker: nothing written for this input
-        return set()
-    return {r["table"] for r in rows}
 
-
-def _mark(spark: SparkSession, root: str, fingerprint: str, table: str, path: str) -> None:
-    spark.createDataFrame([(table, path)], "table string, path string").coalesce(1).write.mode(
-        "overwrite"
-    ).json(_marker(root, fingerprint, table))
+def _digest(parts: Sequence[str]) -> str:
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:32]
 
 
 def duplicate_sites(main: DataFrame) -> DataFrame:
@@ -98,74 +84,118 @@ def duplicate_sites(main: DataFrame) -> DataFrame:
     return main.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def ingest(
+def merge_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row per key; of rows that differ, the largest by their text-like
+    columns (any fixed choice: within one batch no row is newer)."""
+    rest = [c for c in df.columns if c not in key]
+    return df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_r")).select(*[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in df.columns])
+
+
+def store_tables(
     spark: SparkSession,
-    path: str | list[str],
+    frames: dict[str, DataFrame],
     root: str,
+    profile: str,
+    source: str,
+    identity: str,
+    samples: Sequence[str],
     *,
-    profile: str = "full",
     on_duplicate: str = "error",
-    min_partitions: int | None = None,
     parallel: bool = True,
-    same_header: bool = False,
-    stage: bool | None = None,
-) -> IngestResult:
-    """Read VCF ``path`` and append its tables under ``root``.
-
-    ``on_duplicate``: 'error' fails when a (chrom, pos) appears on more
-    than one line (a split site would multiply annotation join rows);
-    'keep' stores them as they are.  The check covers this input's
-    sites and runs before any write.  ``parallel`` submits the four
-    table writes as concurrent jobs.  ``same_header``: see ``open_vcf``.
-    Each table write is one atomic job; after it a marker for (input,
-    table) is written under ``root/_ingested``, and an ingest of the same
-    input skips tables already marked.  Re-running an ingest (after a
-    failure, or twice) therefore completes the missing tables without
-    appending the others again, as key upserts would leave them.
-    ``stage``: split the text once into a Parquet copy under the
-    session's checkpoint folder (``VcfSource.stage``) before building the
-    tables; by default on for gzip input, whose decompression would
-    otherwise be repeated for each table.
-    """
-    if on_duplicate not in ("error", "keep"):
-        raise ValueError("on_duplicate must be 'error' or 'keep'")
-    src = open_vcf(spark, path, min_partitions=min_partitions, same_header=same_header)
-    fingerprint = input_fingerprint(src, profile)
-    if stage is None:
-        # compressed text is worth decompressing and splitting only once
-        stage = any(p.endswith(".gz") for p in src.parts[0][0].inputFiles())
-    if stage:
-        src = src.stage(scratch_path(spark, "vcf-stage"))
-    frames = build_tables(src, profile)
+) -> dict[str, str]:
+    """Write the frames as one batch of the input ``source`` in the state
+    ``identity``; tables that are stored in that state already are skipped.
+    Batch and stream ingest both come through here."""
     names = TABLE_NAMES[profile]
-    if on_duplicate == "error":
-        # keys of this input only (the parse is pruned to CHROM and POS);
-        # checked before anything is written, so a failure leaves no rows
+    stored = read_batches(spark, root)
+    done = {b.table for b in stored if b.input == source and b.identity == identity}
+    order = [t for t in ("genotypes", "csq", "info", "main") if t in frames]
+    pending = [t for t in order if names[t] not in done]
+    for t in pending:  # a type that changed fails before anything is written
+        own = Batch(names[t], source, identity, "", frames[t].schema, 0, (), {})
+        merged_schema([*(b for b in stored if b.table == names[t] and b.input != source), own])
+    if on_duplicate == "error" and "main" in pending:
         dup = duplicate_sites(frames["main"].select(*KEY)).limit(5).collect()
         if dup:
             raise DuplicateSiteError(
                 f"sites on more than one line, e.g. {[tuple(r) for r in dup]}; "
-                "pass on_duplicate='keep' to store them"
+                "pass on_duplicate='keep' to store them, or 'merge' to store one of each"
             )
-    order = [t for t in ("genotypes", "csq", "info", "main") if t in frames]
-    written: dict[str, str] = {}
-    done = _marked_tables(spark, root, fingerprint)
-    pending = [t for t in order if t not in done]
-    for t in order:
-        if t not in pending:
-            written[t] = table_path(root, names[t])
-
-    def write(t: str) -> str:
-        out = write_table(frames[t], root, names[t])
-        _mark(spark, root, fingerprint, t, out)
-        return out
+    batch = new_batch()
+
+    def write(t: str) -> None:
+        df = merge_rows(frames[t], TABLE_KEYS[t]) if on_duplicate == "merge" else frames[t]
+        bloom = ("symbol",) if t == "csq" and "symbol" in df.columns else ()
+        write_table(df.withColumn(BATCH_COL, F.lit(batch)), root, names[t], partition_by=(PARTITION_COL, BATCH_COL), bloom_columns=bloom)
+        written = spark.read.schema(f"pos int, {PARTITION_COL} string, {BATCH_COL} string").parquet(table_path(root, names[t])).where(F.col(BATCH_COL) == batch)
+        covered = written.groupBy(PARTITION_COL).agg(F.min("pos").alias("low"), F.max("pos").alias("high"), F.count(F.lit(1)).alias("n")).collect()
+        if t == "csq":
+            hot = hot_sites(written)
+            n_hot = hot.count()
+            if n_hot:
+                write_table(hot.withColumn(BATCH_COL, F.lit(batch)), root, names["hot"], partition_by=(PARTITION_COL, BATCH_COL))
+            mark(spark, root, Batch(names["hot"], source, identity, batch, hot.schema, n_hot, (), {}))
+        contigs = {r[PARTITION_COL]: (r["low"], r["high"]) for r in covered}
+        mark(spark, root, Batch(names[t], source, identity, batch, df.schema, sum(r["n"] for r in covered), tuple(samples) if t == "genotypes" else (), contigs))
 
     if parallel and len(pending) > 1:
         # independent jobs submitted together keep every core busy while
         # another job's last tasks finish
         with ThreadPoolExecutor(max_workers=len(pending)) as pool:
-            written.update(zip(pending, pool.map(write, pending)))
+            list(pool.map(write, pending))
     else:
         for t in pending:
-            written[t] = write(t)
+            write(t)
+    return {t: table_path(root, names[t]) for t in order}
+
+
+def ingest(
+    spark: SparkSession,
+    path: str | list[str],
+    root: str,
+    *,
+    profile: str = "full",
+    samples: Sequence[str] | None = None,
+    on_duplicate: str = "error",
+    min_partitions: int | None = None,
+    parallel: bool = True,
+    same_header: bool = False,
+    stage: bool = True,
+) -> IngestResult:
+    """Read VCF ``path`` and store its tables under ``root``.
+
+    The input is the set of files: ingesting it again in the same state
+    (paths, lengths, modification times) stores nothing, after a failure it
+    completes the missing tables, and in a changed state it replaces its
+    earlier rows.  Sites that several inputs have are merged by key when
+    they are read: the newest decides.
+    ``samples``: store the genotypes of these samples only (default all).
+    ``on_duplicate``: 'error' fails when a (chrom, pos) appears on more
+    than one line of this input (a split site would multiply annotation
+    join rows), before anything is written; 'merge' stores one row per
+    key; 'keep' stores the rows as they are, until another batch covers
+    the same positions.  ``parallel`` submits the four table writes as
+    concurrent jobs.  ``same_header``: see ``open_vcf``.  ``stage=False``
+    builds each table from the text itself, which reads it once per table.
+    """
+    if on_duplicate not in ("error", "keep", "merge"):
+        raise ValueError("on_duplicate must be 'error', 'keep' or 'merge'")
+    if profile not in TABLE_NAMES:
+        raise ValueError(f"unknown profile {profile!r}; use 'full' or 'slim'")
+    src = open_vcf(spark, path, min_partitions=min_partitions, same_header=same_header)
+    state = file_states(spark, src.files)
+    kept = [profile, *(f"sample {s}" for s in samples or ())]
+    source = _digest([*kept, *(x.rsplit(" ", 2)[0] for x in state)])
+    identity = _digest([*kept, *state])
+    names = TABLE_NAMES[profile]
+    done = {b.table for b in read_batches(spark, root) if b.input == source and b.identity == identity}
+    tables = ["genotypes"] * bool(src.header.formats) + ["csq"] * bool(src.header.csq_fields) + ["info", "main"]
+    if all(names[t] in done for t in tables):
+        return IngestResult(root, {t: table_path(root, names[t]) for t in tables}, src.header)
+    if stage:
+        src = src.stage(scratch_path(spark, "vcf-stage"))
+    own = [s for s in src.sample_ids if samples is None or s in set(samples)]
+    written = store_tables(
+        spark, build_tables(src, profile, samples), root, profile, source, identity, own, on_duplicate=on_duplicate, parallel=parallel
+    )
     return IngestResult(root, written, src.header)

@@ -213,7 +213,7 @@ def oracle_sql() -> dict[str, str]:
         + ", ".join(f'{fsql[s]} AS "{s}"' for s in SLIM)
         + f" FROM {CSQ_ROWS}",
         "vcf_bgzf": f"SELECT {SCAN_COLS} FROM orders",
-        "table_scan": _with(V_CSQ) + f"SELECT {CSQ_TEXT} FROM v_csq c WHERE c.chrom = 'chr7'",
+        "table_scan": _with(V_CSQ) + f"SELECT {CSQ_TEXT} FROM v_csq c",
         "table_append": _with(V_MAIN) + f"SELECT {MAIN_TEXT} FROM v_main m",
         "upsert_merge": _with(V_MAIN)
         + """SELECT COALESCE(n.chrom, o.chrom) AS chrom, COALESCE(n.pos, o.pos) AS pos,
@@ -266,12 +266,11 @@ FROM orders""",
   SELECT {CHROM.format(k=K)} AS chrom, CAST({K} + 1 AS INTEGER) AS pos, {_sample_col()} AS sample,
          {g['int']} AS e_int, {g['text']} AS e_text, {g['list_int']} AS e_list
   FROM {G_ROWS}) s,
-  LATERAL (VALUES ('int', s.e_int), ('text', s.e_text), ('list_int', s.e_list)) v(kind, entries)
-WHERE entries <> ''""",
+  LATERAL (VALUES ('int', s.e_int), ('text', s.e_text), ('list_int', s.e_list)) v(kind, entries)""",
         "genotypes_wide": _genotypes_wide(),
         "positional_join": """WITH l AS (SELECT row_number() OVER (ORDER BY o_orderkey) AS row_index, o_orderkey, o_totalprice FROM orders),
-r AS (SELECT row_number() OVER (ORDER BY c_custkey) AS row_index, c_custkey, c_name FROM customer)
-SELECT l.row_index, o_orderkey, o_totalprice, c_custkey, c_name FROM l JOIN r ON l.row_index = r.row_index""",
+r AS (SELECT row_number() OVER (ORDER BY o_totalprice, o_orderkey) AS row_index, o_orderkey AS p_orderkey, o_totalprice AS p_totalprice FROM orders)
+SELECT l.row_index, l.o_orderkey, l.o_totalprice, p_orderkey, p_totalprice FROM l JOIN r ON l.row_index = r.row_index""",
         "main_info_join": _with(V_MAIN, V_INFO)
         + f"SELECT {MAIN_TEXT}, {INFO_TEXT} FROM v_main m JOIN v_info i ON m.chrom = i.chrom AND m.pos = i.pos",
         "annotate_join": _annotate(),
@@ -286,6 +285,16 @@ SELECT l.row_index, o_orderkey, o_totalprice, c_custkey, c_name FROM l JOIN r ON
         + _csq_full_select()
         + f" FROM {CSQ_ROWS}",
     }
+    key = f"{CHROM.format(k=K)} AS chrom, CAST({K} + 1 AS INTEGER) AS pos"
+    sql["ingest_main"] = sql["main_project"]
+    sql["ingest_info"] = sql["info_project"]
+    sql["ingest_genotypes"] = sql["ingest_slim_genotypes"] = sql["genotype_maps"]
+    sql["ingest_slim"] = f"SELECT {key}, j AS csq_no, " + ", ".join(f'{fsql[x]} AS "{CSQ_STORED[x]}"' for x in SLIM) + f" FROM {CSQ_ROWS}"
+    exomes, genomes = fsql["gnomAD_exomes_AF"], fsql["gnomAD_genomes_AF"]
+    sql["query_e_text"] = f"""SELECT * FROM (SELECT {key}, j AS csq_no, {exomes} AS gnomad_exomes_af, {genomes} AS gnomad_genomes_af,
+  CASE {ST} WHEN 'P' THEN '' WHEN 'F' THEN 'rs' || CAST({K} AS VARCHAR) || ',COSV' || CAST({C} AS VARCHAR)
+       ELSE 'rs' || CAST({K} AS VARCHAR) END AS id, CAST(10 AS INTEGER) AS an
+FROM {CSQ_ROWS}) WHERE TRY_CAST(gnomad_exomes_af AS DOUBLE) < 0.02 AND TRY_CAST(gnomad_genomes_af AS DOUBLE) < 0.05"""
     # query_variants: kind F over the ingested tables (symbol GENE4,
     # consequence missense_variant), joined to the site and INFO values
     sql["query_variants"] = f"""SELECT {CHROM.format(k=K)} AS chrom, CAST({K} + 1 AS INTEGER) AS pos, j AS csq_no, {_csq_full_select()},
@@ -299,4 +308,5 @@ SELECT l.row_index, o_orderkey, o_totalprice, c_custkey, c_name FROM l JOIN r ON
   {_wide_cols((0, 5))}
 FROM {CSQ_ROWS}
 WHERE {fsql['SYMBOL']} = 'GENE4' AND ({C} + j) % 2 = 0"""
+    sql["ingest_two_batches"] = sql["query_variants"].replace(",\n  " + _wide_cols((0, 5)), "")
     return sql

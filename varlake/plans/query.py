@@ -9,39 +9,53 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.filters import VariantFilter, make_filter
+from ..operators.filters import AF_NUMBERS, VariantFilter, make_filter
 from ..operators.genotypes import stored_wide
 from ..operators.joins import KEY, annotate_join, semi_reduce
+from ..sources.batches import Batch, read_batches, scan_batches
 from ..sources.tables import scan_table
 
 # Stored table names per profile (full and slim/demo).
 TABLE_NAMES = {
-    "full": {"main": "main", "info": "info", "csq": "csq", "genotypes": "genotypes"},
-    "slim": {"main": "main_query", "info": "info_query", "csq": "csq_query", "genotypes": "genotypes_query"},
+    "full": {"main": "main", "info": "info", "csq": "csq", "genotypes": "genotypes", "hot": "csq_hot"},
+    "slim": {"main": "main_query", "info": "info_query", "csq": "csq_query", "genotypes": "genotypes_query", "hot": "csq_query_hot"},
 }
 
+# What identifies a row of each table.
+TABLE_KEYS = {
+    "main": ("chrom", "pos"),
+    "info": ("chrom", "pos"),
+    "csq": ("chrom", "pos", "csq_no"),
+    "genotypes": ("chrom", "pos", "sampleId"),
+    "hot": ("chrom", "pos"),
+}
 
-def load_tables(spark: SparkSession, root: str, profile: str = "full") -> tuple[DataFrame, DataFrame, DataFrame]:
+
+def load_table(spark: SparkSession, root: str, table: str, profile: str = "full", batches: Sequence[Batch] | None = None) -> DataFrame:
+    """One stored table ('main', 'info', 'csq', 'genotypes'): its batches,
+    merged by key where they overlap, or, of a store without batches, the
+    plain folder."""
     if profile not in TABLE_NAMES:
         raise ValueError(f"unknown profile {profile!r}")
-    names = TABLE_NAMES[profile]
-    return (
-        scan_table(spark, root, names["main"]),
-        scan_table(spark, root, names["info"]),
-        scan_table(spark, root, names["csq"]),
-    )
+    name = TABLE_NAMES[profile][table]
+    own = [b for b in (read_batches(spark, root) if batches is None else batches) if b.table == name]
+    return scan_batches(spark, root, own, TABLE_KEYS[table]) if own else scan_table(spark, root, name)
+
+
+def load_tables(spark: SparkSession, root: str, profile: str = "full") -> tuple[DataFrame, DataFrame, DataFrame]:
+    batches = read_batches(spark, root)
+    main, info, csq = (load_table(spark, root, t, profile, batches) for t in ("main", "info", "csq"))
+    return main, info, csq
 
 
-def stored_samples(genotypes: DataFrame) -> list[str]:
-    """Sample ids of a stored genotype table in header order; only the id
-    and index columns are read, deduplicated map-side, so one row per
-    sample (per input sample list) reaches the driver."""
-    rows = genotypes.select("sample_index", "sampleId").distinct().orderBy("sample_index", "sampleId").collect()
-    seen: dict[str, None] = {}
-    for r in rows:
-        seen.setdefault(r["sampleId"], None)
-    return list(seen)
+def stored_samples(spark: SparkSession, root: str, profile: str = "full", batches: Sequence[Batch] | None = None) -> list[str]:
+    """Sample ids of a store in header order, from the batch markers (no
+    genotype is read)."""
+    name = TABLE_NAMES[profile]["genotypes"]
+    batches = read_batches(spark, root) if batches is None else batches
+    return list(dict.fromkeys(s for b in batches if b.table == name for s in b.samples))
 
 
 def apply_filter(
@@ -51,7 +65,8 @@ def apply_filter(
     the annotation table (as the query kinds are defined)."""
     if flt.region:
         return main.where(flt.predicate), info.where(flt.predicate), csq.where(flt.predicate)
-    return main, info, csq.where(flt.predicate)
+    numbers = flt.stored is not None and set(AF_NUMBERS.values()) <= set(csq.columns)
+    return main, info, csq.where(flt.stored if numbers else flt.predicate)
 
 
 def run_query(
@@ -64,6 +79,7 @@ def run_query(
     csq_columns: Sequence[str] | None = None,
     genotypes: DataFrame | None = None,
     samples: Sequence[str] | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Filter, then csq LEFT JOIN (main JOIN info).
 
@@ -74,9 +90,12 @@ def run_query(
     ``genotypes`` + ``samples``: add the wide map columns of those samples
     to the site columns, as the stored site table of a wide-column store
     carries them; the genotype rows are cut to the answer's region or
-    keys before they are grouped.
+    keys before they are grouped; wide columns are for named samples, and
+    ``genotype_maps_view`` is the long form for whole cohorts.
+    ``hot``: stored sites with very many annotation rows, to be split.
     """
     m, i, c = apply_filter(flt, main, info, csq)
+    c = c.drop(*AF_NUMBERS.values())
     if csq_columns is not None:
         c = c.select(*KEY, *[x for x in csq_columns if x not in KEY])
     reduce = (not flt.region) if reduce_sites is None else reduce_sites
@@ -85,7 +104,7 @@ def run_query(
             raise ValueError("samples need the genotype table")
         g = genotypes.where(flt.predicate) if flt.region else semi_reduce(genotypes, c.select(*KEY).distinct())
         m = m.join(stored_wide(g, samples), list(KEY), "left")
-    return annotate_join(c, m, i, reduce_sites=reduce)
+    return annotate_join(c, m, i, reduce_sites=reduce, hot=hot)
 
 
 def query_variants(
@@ -97,7 +116,6 @@ def query_variants(
     reduce_sites: bool | None = None,
     csq_columns: Sequence[str] | None = None,
     samples: Sequence[str] | str | None = None,
-    use_lookups: bool = False,
     **params,
 ) -> DataFrame:
     """Query kind A..F with its parameters over the tables under ``root``.
@@ -108,22 +126,19 @@ def query_variants(
     ``samples``: sample ids whose genotype maps join the site columns, or
     ``"all"`` for every stored sample (the reference's site table carries
     them all).
-    ``use_lookups``: D and F go through the lookup tables when
-    ``build_lookups`` made them for the current annotation files (see
-    ``plans.lookup``; off by default, no gain measured at sf0.1).
     """
     flt = make_filter(kind, **params)
-    if use_lookups and not samples and csq_columns is None and reduce_sites is None and not flt.region:
-        from .lookup import query_with_lookup
-
-        via_lookup = query_with_lookup(spark, root, flt.kind, profile=profile, **params)
-        if via_lookup is not None:
-            return via_lookup
-    main, info, csq = load_tables(spark, root, profile)
-    genotypes = scan_table(spark, root, TABLE_NAMES[profile]["genotypes"]) if samples else None
+    batches = read_batches(spark, root)
+    main, info, csq = (load_table(spark, root, t, profile, batches) for t in ("main", "info", "csq"))
     if samples == "all":
-        samples = stored_samples(genotypes)
+        samples = stored_samples(spark, root, profile, batches)
+    genotypes = load_table(spark, root, "genotypes", profile, batches) if samples else None
+    with_hot = [b for b in batches if b.table == TABLE_NAMES[profile]["hot"] and b.rows]
+    hot = None
+    if with_hot:  # a site's rows in all batches, at most: the merged count is not larger
+        hot = scan_table(spark, root, TABLE_NAMES[profile]["hot"]).where(F.col("batch").isin([b.batch for b in with_hot]))
+        hot = hot.groupBy(*KEY).agg(F.sum("n").alias("n"))
     return run_query(
         flt, main, info, csq,
-        reduce_sites=reduce_sites, csq_columns=csq_columns, genotypes=genotypes, samples=samples,
+        reduce_sites=reduce_sites, csq_columns=csq_columns, genotypes=genotypes, samples=samples, hot=hot,
     )

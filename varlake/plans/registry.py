@@ -18,12 +18,12 @@ from pyspark.sql import types as T
 from ..functions.names import SLIM_CSQ_FIELDS
 from ..operators import filters as flt
 from ..operators.genotypes import (
+    genotype_maps_view,
     genotypes_long,
     genotypes_long_flat,
     genotypes_wide,
     list_map_text,
     map_text,
-    sample_list,
     sample_slice,
 )
 from ..operators.joins import annotate_join, main_info_join, positional_join
@@ -40,7 +40,7 @@ from ..sources.tables import scan_table, write_table
 from ..sources.vcf import open_vcf, pos_one_based, read_vcf
 from . import standin
 from .ingest import ingest
-from .query import query_variants, run_query
+from .query import load_table, load_tables, query_variants, run_query
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -127,8 +127,8 @@ def _write_vcf(spark: SparkSession, sf: str, compression: str | None = None) ->
 
 
 def q_vcf_bgzf(spark, sf):
-    """Gzip-compressed VCF files read back through read_vcf."""
-    path = _write_vcf(spark, sf, "gzip")
+    """Block-gzip files of many members read back through read_vcf."""
+    path = standin.write_bgzf_files(spark, sf, scratch_path(spark, "vcf"))
     s, _ = read_vcf(spark, path)
     return flat(s.select("contigName", "start", "names", "referenceAllele", "alternateAlleles", "qual", "filters"))
 
@@ -136,7 +136,7 @@ def q_vcf_bgzf(spark, sf):
 def q_table_scan(spark, sf):
     root = scratch_path(spark, "tables")
     write_table(standin.v_csq(spark, sf), root, "csq", cluster=True)
-    return flat(scan_table(spark, root, "csq").where(F.col("chrom") == "chr7"))
+    return flat(scan_table(spark, root, "csq"))
 
 
 # ------------------------------------------------------------------- sinks
@@ -221,7 +221,7 @@ def q_csq_project_full(spark, sf):
 
 
 def q_sample_list(spark, sf):
-    return sample_list(_scanned(spark, sf))
+    return _vcf_source(spark, sf).sample_list()
 
 
 def q_sample_normalize(spark, sf):
@@ -244,12 +244,12 @@ def q_genotypes_long(spark, sf):
     # the ingest path: sample fields exploded from the text, then mapped
     fields = _vcf_source(spark, sf).genotypes()
     g = genotypes_long_flat(fields)
-    # non-empty entries only: one row per (site, sample, map kind)
+    # one row per (site, sample, map kind); a map without entries is empty text
     kinds = F.array(
         *[F.struct(F.lit(k).alias("kind"), F.col(k + "_t").alias("entries")) for k in ("int", "text", "list_int")]
     )
     t = flat(g).withColumnsRenamed({"int": "int_t", "text": "text_t", "list_int": "list_int_t"})
-    return t.select("chrom", "pos", "sample", F.inline(kinds)).where(F.col("entries") != "")
+    return t.select("chrom", "pos", "sample", F.inline(kinds))
 
 
 def q_genotypes_wide(spark, sf):
@@ -259,9 +259,10 @@ def q_genotypes_wide(spark, sf):
 
 
 def q_positional_join(spark, sf):
-    o = standin.load(spark, sf, "orders").select("o_orderkey", "o_totalprice")
-    c = standin.load(spark, sf, "customer").select("c_custkey", "c_name")
-    return positional_join(o, c, ["o_orderkey"], ["c_custkey"])
+    """Orders by key beside orders by price: both sides are as long."""
+    o = standin.load(spark, sf, "orders")
+    by_price = o.select(F.col("o_orderkey").alias("p_orderkey"), F.col("o_totalprice").alias("p_totalprice"))
+    return positional_join(o.select("o_orderkey", "o_totalprice"), by_price, ["o_orderkey"], ["p_totalprice", "p_orderkey"])
 
 
 # -------------------------------------------------------- filters and joins
@@ -287,6 +288,13 @@ def _kind(kind: str) -> Query:
     return q
 
 
+def q_query_e_text(spark, sf):
+    """Kind E over stored annotations, whose frequencies are text."""
+    root = _ingested(spark, sf)
+    df = query_variants(spark, root, "E", gnomad_exomes_af=0.02, gnomad_genomes_af=0.05)
+    return flat(df.select("chrom", "pos", "csq_no", "gnomad_exomes_af", "gnomad_genomes_af", "id", "an"))
+
+
 def q_row_count(spark, sf):
     return row_count(standin.v_main(spark, sf))
 
@@ -301,9 +309,23 @@ def _ingested(spark, sf, profile: str = "full") -> str:
     return root
 
 
-def q_ingest(spark, sf):
-    root = _ingested(spark, sf)
-    return flat(scan_table(spark, root, "csq"))
+def _ingested_table(table: str, profile: str = "full") -> Query:
+    def q(spark, sf):
+        df = load_table(spark, _ingested(spark, sf, profile), table, profile)
+        if table == "genotypes":
+            df = genotype_maps_view(df)
+        return flat(df.drop(*flt.AF_NUMBERS.values()))
+
+    return q
+
+
+def q_ingest_two_batches(spark, sf):
+    """Two inputs that share the finished orders' sites: each site counts
+    once, whichever batch it comes from."""
+    root = scratch_path(spark, "store")
+    for where in ("o_orderstatus in ('F', 'O')", "o_orderstatus in ('F', 'P')"):
+        ingest(spark, standin.write_vcf_files(spark, sf, scratch_path(spark, "vcf"), where=where), root)
+    return flat(run_query(flt.make_filter("F", symbol="GENE4", consequence="missense_variant"), *load_tables(spark, root)))
 
 
 def q_query_variants(spark, sf):
@@ -344,8 +366,15 @@ def registry() -> dict[str, Query]:
         "main_info_join": q_main_info_join,
         "annotate_join": q_annotate_join,
         **{f"query_{k.lower()}": _kind(k) for k in "ABCDEF"},
+        "query_e_text": q_query_e_text,
         "row_count": q_row_count,
-        "ingest": q_ingest,
+        "ingest": _ingested_table("csq"),
+        "ingest_main": _ingested_table("main"),
+        "ingest_info": _ingested_table("info"),
+        "ingest_genotypes": _ingested_table("genotypes"),
+        "ingest_slim": _ingested_table("csq", "slim"),
+        "ingest_slim_genotypes": _ingested_table("genotypes", "slim"),
+        "ingest_two_batches": q_ingest_two_batches,
         "query_variants": q_query_variants,
     }
 

@@ -15,6 +15,12 @@ The DuckDB forms of the same views live in ``varlake.plans.oracle``.
 
 from __future__ import annotations
 
+import struct
+import zlib
+
+import pandas as pd
+import pyarrow as pa
+import pyarrow.fs  # noqa: F401
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -179,9 +185,10 @@ def _sample(i: str) -> str:
     )
 
 
-def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One VCF data line per order, in a ``value`` column."""
-    o = load(spark, sf_dir, "orders")
+def vcf_lines(spark: SparkSession, sf_dir: str, where: str = "true") -> DataFrame:
+    """One VCF data line per order (of those that ``where`` selects), in a
+    ``value`` column."""
+    o = load(spark, sf_dir, "orders").where(where)
     csq = (
         "case when o_orderkey % 3 = 0 then null else array_join(transform("
         f"sequence(0, cast(o_orderkey % 3 as int) - 1), j -> {_csq_entry('j')}), ',') end"
@@ -217,16 +224,16 @@ def vcf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 FILE_BLOCK = 1_000_000
 
 
-def write_vcf_files(spark: SparkSession, sf_dir: str, path: str, compression: str | None = None) -> str:
+def write_vcf_files(spark: SparkSession, sf_dir: str, path: str, compression: str | None = None, where: str = "true") -> str:
     """Write the stand-in as VCF files, one per (contig, position block):
     header lines, then data lines by position, as cohort VCFs are split.
 
     Each file is one sequential stream written by one task; its size is
     bounded by the block of positions it covers.
     """
-    o = load(spark, sf_dir, "orders")
+    o = load(spark, sf_dir, "orders").where(where)
     fields = F.split("value", "\t", 3)
-    data = vcf_lines(spark, sf_dir).select(
+    data = vcf_lines(spark, sf_dir, where).select(
         fields.getItem(0).alias("part"),
         F.floor(fields.getItem(1).cast("long") / F.lit(FILE_BLOCK)).alias("block"),
         F.lit(1).alias("kind"),
@@ -255,3 +262,35 @@ def write_vcf_files(spark: SparkSession, sf_dir: str, path: str, compression: st
         w = w.option("compression", compression)
     w.text(path)
     return path
+
+
+def bgzf_block(data: bytes) -> bytes:
+    """One block of a block-gzip file: a gzip member whose extra field
+    states the block's size."""
+    c = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = c.compress(data) + c.flush()
+    head = struct.pack("<4BI2BH2BHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25)
+    return head + body + struct.pack("<II", zlib.crc32(data), len(data))
+
+
+def write_bgzf_files(spark: SparkSession, sf_dir: str, path: str, block: int = 60_000) -> str:
+    """The stand-in as block-gzip files of many members, one per file of
+    ``write_vcf_files``; each task streams its file's lines."""
+    texts = write_vcf_files(spark, sf_dir, f"{path}/text")
+    files = sorted(spark.read.text(texts).inputFiles())
+
+    def write(batches):
+        for batch in batches:
+            for row in batch.itertuples():
+                fs, source = pa.fs.FileSystem.from_uri(row.file)
+                _, target = pa.fs.FileSystem.from_uri(row.target)
+                fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
+                with fs.open_input_stream(source) as i, fs.open_output_stream(target, compression=None) as o:
+                    while data := i.read(block):
+                        o.write(bgzf_block(data))
+                    o.write(bgzf_block(b""))
+                yield pd.DataFrame({"file": [row.target]})
+
+    rows = spark.createDataFrame([(f, f"{path}/bgzf/{i}.vcf.gz") for i, f in enumerate(files)], "file string, target string")
+    rows.repartition(len(files), "file").mapInPandas(write, "file string").write.mode("overwrite").parquet(f"{path}/written")
+    return f"{path}/bgzf"

@@ -6,7 +6,6 @@ Library functions never create a session; they take the caller's.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -33,15 +32,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediates (``spark.checkpoint.dir``).
 
-    Read from the session; only where it is unset (local tests) a fresh
-    folder is made and registered as the checkpoint dir."""
+    Read from the session; where it is unset, a local session, whose tasks
+    run in the driver's own process, gets a fresh folder, and any other
+    master is an error: a folder on one machine is not shared."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         return current.rstrip("/")
-    base = os.environ.get("TMPDIR", "/tmp")
-    path = tempfile.mkdtemp(prefix="run-", dir=base)
-    sc.setCheckpointDir(path)
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
     return sc.getCheckpointDir().rstrip("/")
 
 

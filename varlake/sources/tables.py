@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 PARTITION_COL = "chrom"
+BATCH_COL = "batch"
 SORT_COLS = ("chrom", "pos")
 
 
@@ -38,6 +39,8 @@ def write_table(
     cluster: bool = False,
     num_partitions: int | None = None,
     max_records_per_file: int = 5_000_000,
+    partition_by: tuple[str, ...] = (PARTITION_COL,),
+    bloom_columns: tuple[str, ...] = (),
 ) -> str:
     """Write (default: append) ``df`` as table ``name`` under ``root``.
 
@@ -45,7 +48,8 @@ def write_table(
     from position-ordered input (a VCF is sorted) have tight pos ranges
     and no shuffle is needed.  ``cluster=True`` range-partitions on
     (chrom, pos) first: one shuffle, for input in no useful order, after
-    which every file covers one narrow pos range.
+    which every file covers one narrow pos range.  ``bloom_columns``: text
+    columns that get Parquet bloom filters, for equality on many values.
     """
     if cluster:
         n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -56,19 +60,18 @@ def write_table(
         ]
         df = df.repartitionByRange(n, *SORT_COLS, F.xxhash64(*hashable))
     path = table_path(root, name)
-    (
-        df.sortWithinPartitions(*SORT_COLS)
-        .write.mode(mode)
-        .partitionBy(PARTITION_COL)
-        .option("maxRecordsPerFile", max_records_per_file)
-        .parquet(path)
-    )
+    w = df.sortWithinPartitions(*SORT_COLS).write.mode(mode).partitionBy(*partition_by)
+    for c in bloom_columns:
+        w = w.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    w.option("maxRecordsPerFile", max_records_per_file).parquet(path)
     return path
 
 
 def scan_table(spark: SparkSession, root: str, name: str, *, merge_schema: bool = False) -> DataFrame:
     """Load table ``name``; chrom stays text (partition type inference
-    would turn contigs like '1' into numbers)."""
+    would turn contigs like '1' into numbers).  This is the plain scan of
+    one folder; tables that ``ingest`` stored in batches are read by
+    ``plans.query.load_table``."""
     path = table_path(root, name)
     reader = spark.read.option("mergeSchema", "true") if merge_schema else spark.read
     df = reader.parquet(path)

@@ -25,7 +25,6 @@ zipped into the array it walks, so no lambda touches the whole line.
 from __future__ import annotations
 
 import re
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -33,7 +32,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.names import CSQ_LIST_FIELDS
+from ..functions.names import CSQ_LIST_FIELDS, sample_column_expr
+from ..session import scratch_path
 
 # FORMAT keys renamed in the genotype struct, as the
 # reference's queries read them (GT -> calls, AD -> alleleDepths,
@@ -56,10 +56,6 @@ _VCF_TYPES = {
 
 CSQ_ID = "CSQ"
 
-# Largest per-file sample table sent to every task as a broadcast.
-BROADCAST_LIMIT_BYTES = 64 << 20
-
-
 class VcfFormatError(ValueError):
     """Input that is not a usable VCF (bad header, .bgz name, ...)."""
 
@@ -425,12 +421,14 @@ def parse_csq_long(lines: DataFrame, header: VcfHeader, *, value_col: str = "val
 # ------------------------------------------------------------------ files
 
 
-def _check_path(path: str) -> None:
+def _check_path(spark: SparkSession, path: str) -> None:
     if path.rstrip("/").endswith(".bgz"):
-        raise VcfFormatError(
-            f"{path}: '.bgz' is read as plain text by Spark; name block-gzip "
-            "files '*.vcf.gz' (gzip readers accept the multi-member stream)"
-        )
+        codecs = spark.sparkContext._jsc.hadoopConfiguration().get("io.compression.codecs") or ""
+        if "bgz" not in codecs.lower():
+            raise VcfFormatError(
+                f"{path}: without a block-gzip codec in io.compression.codecs '.bgz' is read as plain text; "
+                "name such a codec, or the files '*.vcf.gz' (gzip readers accept the multi-member stream)"
+            )
 
 
 def read_header_lines(spark: SparkSession, file: str, first: int = 512) -> list[str]:
@@ -447,28 +445,49 @@ def read_header_lines(spark: SparkSession, file: str, first: int = 512) -> list[
         n *= 8
 
 
-def read_headers(spark: SparkSession, files: list[str], threads: int = 16) -> dict[str, VcfHeader]:
-    """Headers of many files; the small per-file jobs run concurrently."""
+def _plain_path(c: Column) -> Column:
+    """Listing and _metadata spell local paths differently ('file:///x' /
+    'file:/x'): compare both without the scheme."""
+    return F.regexp_replace(c, "^file:/+", "/")
+
+
+def headers_of_lines(lines: DataFrame) -> dict[str, VcfHeader]:
+    """Header per file of lines (``value``, ``file_path``), in one job:
+    each distinct header text reaches the driver once, and of each file its
+    path and the hash of its header."""
+    found = lines.where(F.col("value").startswith("#")).select("file_path", F.struct(F.monotonically_increasing_id().alias("n"), "value").alias("line"))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("line")), lambda x: x["value"]), "\n")
+    per_file = found.groupBy("file_path").agg(text.alias("text")).select("file_path", "text", F.xxhash64("text").alias("h"))
+    path = scratch_path(lines.sparkSession, "vcf-headers")
+    per_file.write.parquet(path)
+    per_file = lines.sparkSession.read.parquet(path)
+    parsed = {r["text"]: parse_header(r["text"].split("\n")) for r in per_file.select("text").distinct().collect()}
+    by_hash = {r["h"]: r["text"] for r in per_file.select("h", "text").distinct().collect()}
+    return {r["file_path"]: parsed[by_hash[r["h"]]] for r in per_file.select("file_path", "h").collect()}
+
+
+def read_headers(spark: SparkSession, files: list[str]) -> dict[str, VcfHeader]:
+    """Headers of many files, by path without a file scheme."""
     if len(files) == 1:
-        return {files[0]: parse_header(read_header_lines(spark, files[0]))}
-    with ThreadPoolExecutor(max_workers=min(threads, len(files))) as pool:
-        parsed = pool.map(lambda f: parse_header(read_header_lines(spark, f)), files)
-        return dict(zip(files, parsed))
+        return {re.sub(r"^file:/+", "/", files[0]): parse_header(read_header_lines(spark, files[0]))}
+    return headers_of_lines(spark.read.text(files).select("value", _plain_path(F.col("_metadata.file_path")).alias("file_path")))
 
 
 @dataclass(frozen=True)
 class VcfSource:
     """Lines of one or more VCF files, ready for either parser.
 
-    ``parts``: (lines, header, sample_names) triples; one part unless
-    files with different sample lists exceed the broadcast bound.
-    ``sample_names`` is None when the header's literal list applies.
+    ``parts``: (lines, header, sample_names) triples; ``sample_names`` is
+    None when the header's literal list applies.
     ``sample_parts``: set by :meth:`stage`; then ``parts`` hold only the
-    site fields and ``sample_parts`` only CHROM, POS, FORMAT and samples."""
+    site fields and ``sample_parts`` only CHROM, POS, FORMAT and samples.
+    ``sample_ids``: of all headers, in order; ``files``: the inputs."""
 
     header: VcfHeader
     parts: tuple[tuple[DataFrame, VcfHeader, Column | None], ...]
     sample_parts: tuple[tuple[DataFrame, VcfHeader, Column | None], ...] | None = None
+    sample_ids: tuple[str, ...] = ()
+    files: tuple[str, ...] = ()
 
     def sites(self, *, include_sample_ids: bool = True, flatten_info: bool = True) -> DataFrame:
         """Nested site rows (:func:`parse_vcf_lines`); a staged source has
@@ -482,6 +501,13 @@ class VcfSource:
             for lines, h, names in self.parts
         )
 
+    def sample_list(self) -> DataFrame:
+        """Ordered samples (sample_index, sample_id, sample), from the
+        headers alone: no data line is read."""
+        spark = self.parts[0][0].sparkSession
+        rows = spark.createDataFrame(list(enumerate(self.sample_ids)), "sample_index int, sample_id string")
+        return rows.withColumn("sample", sample_column_expr(F.col("sample_id")))
+
     def annotations(self) -> DataFrame:
         """One row per CSQ entry (:func:`parse_csq_long`)."""
         return _union(parse_csq_long(lines, h) for lines, h, _ in self.parts)
@@ -522,7 +548,7 @@ class VcfSource:
             nm = F.col("sample_names") if names is not None else None
             site_parts.append((back.select(F.col("site_line").alias("value")), h, None))
             sample_parts.append((back.select(F.col("sample_line").alias("value"), *keep), h, nm))
-        return VcfSource(self.header, tuple(site_parts), tuple(sample_parts))
+        return replace(self, parts=tuple(site_parts), sample_parts=tuple(sample_parts))
 
 
 def _union(frames) -> DataFrame:
@@ -539,65 +565,64 @@ def open_vcf(
     """List the files, read their headers and return their lines.
 
     When files carry different sample lists, each line gets its file's
-    samples through a broadcast join on the file path (the table has one
-    row per file, its size known here); past the broadcast bound, files
-    are parsed per distinct sample list instead, so no shuffle ever moves
-    whole files by path.  INFO, FORMAT and CSQ definitions must agree.
-    ``min_partitions`` spreads few large gzip files (one task each) over
-    more tasks with a round-robin repartition of the text.
+    samples through a join on the file path with a table of one row per
+    file.  INFO, FORMAT and CSQ definitions must agree.
+    ``min_partitions`` spreads the text over at least so many tasks with a
+    round-robin repartition; compressed text, which one task reads a file,
+    is spread over the session's default parallelism.
     ``same_header``: read only the first file's header and use it for all
     files (thousands of per-contig files of one cohort).
     """
     paths = [path] if isinstance(path, str) else list(path)
-    for p in paths:
-        _check_path(p)
     text = spark.read.text(paths)
     files = sorted(text.inputFiles())
     if not files:
         raise VcfFormatError(f"no input files at {paths}")
-    for p in files:
-        _check_path(p)
+    for p in [*paths, *files]:
+        _check_path(spark, p)
     if same_header:
         # the caller vouches that every file has the first file's header
         # (e.g. one cohort split by contig): one header read, not one per file
-        h0 = parse_header(read_header_lines(spark, files[0]))
-        headers = {f: h0 for f in files}
+        headers = {files[0]: parse_header(read_header_lines(spark, files[0]))}
     else:
         headers = read_headers(spark, files)
-    first = headers[files[0]]
-    for f, h in headers.items():
-        if not first.same_schema(h):
-            raise VcfFormatError(f"{f}: INFO/FORMAT/CSQ header differs from {files[0]}")
+        if len(headers) < len(files):
+            raise VcfFormatError(f"{len(files) - len(headers)} of {len(files)} files have no header line")
+    if min_partitions is None and any(f.endswith((".gz", ".bgz", ".zst", ".deflate")) for f in files):
+        min_partitions = spark.sparkContext.defaultParallelism
 
     def spread(t: DataFrame) -> DataFrame:
         if min_partitions and t.rdd.getNumPartitions() < min_partitions:
             return t.repartition(min_partitions)
         return t
 
-    if len({h.samples for h in headers.values()}) == 1:
-        return VcfSource(first, ((spread(text), first, None),))
+    lines = spread(text.select("value", _plain_path(F.col("_metadata.file_path")).alias("file_path")))
+    return replace(_source(lines, headers), files=tuple(files))
 
-    est_bytes = sum(len(f) + sum(len(s) + 8 for s in h.samples) for f, h in headers.items())
-    if est_bytes < BROADCAST_LIMIT_BYTES:
-        # listing and _metadata spell local paths differently
-        # ('file:///x' / 'file:/x'): compare both without the scheme
-        per_file = spark.createDataFrame(
-            [(re.sub(r"^file:/+", "/", f), list(h.samples)) for f, h in headers.items()],
-            "file_path string, sample_names array<string>",
-        )
-        path_col = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/")
-        lines = spread(text.select("value", path_col.alias("file_path")))
-        joined = lines.join(F.broadcast(per_file), "file_path", "left")
-        return VcfSource(first, ((joined, first, F.col("sample_names")),))
 
-    groups: dict[tuple[str, ...], list[str]] = {}
+def _source(lines: DataFrame, headers: dict[str, VcfHeader]) -> VcfSource:
+    """The source of lines (``value``, ``file_path``) with a header per file."""
+    origin, first = min(headers.items())
     for f, h in headers.items():
-        groups.setdefault(h.samples, []).append(f)
-    parts = tuple(
-        (spread(spark.read.text(group)), VcfHeader(first.info, first.formats, samples, first.csq_fields), None)
-        for samples, group in groups.items()
-    )
-    return VcfSource(first, parts)
+        if not first.same_schema(h):
+            raise VcfFormatError(f"{f}: INFO/FORMAT/CSQ header differs from {origin}")
+    lists = dict.fromkeys(h.samples for _, h in sorted(headers.items()))
+    ids = tuple(dict.fromkeys(s for names in lists for s in names))
+    if len(lists) == 1:
+        return VcfSource(first, ((lines.select("value"), first, None),), sample_ids=ids)
+    number = {names: i for i, names in enumerate(lists)}
+    spark = lines.sparkSession
+    per_file = spark.createDataFrame([(f, number[h.samples]) for f, h in headers.items()], "file_path string, list_id int")
+    names = spark.createDataFrame([(i, list(x)) for x, i in number.items()], "list_id int, sample_names array<string>")
+    joined = lines.join(per_file.join(names, "list_id").drop("list_id"), "file_path", "left")
+    return VcfSource(first, ((joined, first, F.col("sample_names")),), sample_ids=ids)
+
+
+def source_of_lines(lines: DataFrame) -> VcfSource | None:
+    """The source of whole files' lines (``value``, ``file_path``), such as
+    a micro-batch; None without header lines."""
+    headers = headers_of_lines(lines)
+    return _source(lines, headers) if headers else None
 
 
 def read_vcf(

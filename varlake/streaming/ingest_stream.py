@@ -5,13 +5,11 @@ source picks up files as they land and every micro-batch goes through
 the same table builders (``plans.ingest.build_tables``).
 
 * The file source never splits a file across micro-batches, so each
-  batch holds whole files, header lines included; the batch's header
-  lines (a few KB per file) are the only rows collected.
-* Output tables are partitioned by ``chrom`` and then ``batch``, and
-  each micro-batch overwrites only its own ``batch=<id>`` folders
-  (dynamic partition overwrite).  A retried batch replaces its earlier
-  partial output, so the sink is idempotent under executor or driver
-  loss; the checkpoint records which files were taken.
+  batch holds whole files, header lines included.
+* Each micro-batch is stored as one batch of the store
+  (``plans.ingest.store_tables``), as the batch ingest stores an input: it
+  counts from its marker on, a retried micro-batch that is marked already
+  stores nothing, and sites that several have are merged by key when read.
 """
 
 from __future__ import annotations
@@ -22,65 +20,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.ingest import build_tables
-from ..plans.query import TABLE_NAMES
-from ..sources.tables import PARTITION_COL, SORT_COLS
-from ..sources.vcf import VcfFormatError, VcfHeader, VcfSource, parse_header
+from ..plans.ingest import build_tables, store_tables
+from ..plans.query import TABLE_NAMES, load_table
+from ..session import scratch_path
+from ..sources.vcf import source_of_lines
 
-BATCH_COL = "batch"
 
-
-def _batch_source(batch: DataFrame) -> VcfSource | None:
-    """Header per file of the micro-batch, then lines grouped by sample
-    list (one group when all files agree)."""
-    heads = (
-        batch.where(F.col("value").startswith("#"))
-        .select("file_path", "value")
-        .collect()
-    )
-    if not heads:
-        return None
-    by_file: dict[str, list[str]] = {}
-    for r in heads:
-        by_file.setdefault(r["file_path"], []).append(r["value"])
-    headers = {f: parse_header(lines) for f, lines in by_file.items()}
-    first = next(iter(headers.values()))
-    for f, h in headers.items():
-        if not first.same_schema(h):
-            raise VcfFormatError(f"{f}: INFO/FORMAT/CSQ header differs within the stream")
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f, h in headers.items():
-        groups.setdefault(h.samples, []).append(f)
-    parts = tuple(
-        (
-            batch.where(F.col("file_path").isin(files)).select("value"),
-            VcfHeader(first.info, first.formats, samples, first.csq_fields),
-            None,
-        )
-        for samples, files in groups.items()
-    )
-    return VcfSource(first, parts)
-
-
-def write_batch(batch: DataFrame, batch_id: int, root: str, profile: str = "full") -> None:
-    """Ingest one micro-batch of VCF lines (``value``, ``file_path``)."""
-    batch = batch.persist()
-    try:
-        src = _batch_source(batch)
-        if src is None:
-            return
-        names = TABLE_NAMES[profile]
-        for table, df in build_tables(src, profile).items():
-            (
-                df.withColumn(BATCH_COL, F.lit(int(batch_id)))
-                .sortWithinPartitions(*SORT_COLS)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(PARTITION_COL, BATCH_COL)
-                .parquet(f"{root.rstrip('/')}/{names[table]}")
-            )
-    finally:
-        batch.unpersist()
+def write_batch(batch: DataFrame, batch_id: int, root: str, profile: str = "full", stream: str = "stream", on_duplicate: str = "merge") -> None:
+    """Ingest one micro-batch of VCF lines (``value``, ``file_path``) of the
+    stream named ``stream``."""
+    src = source_of_lines(batch)
+    if src is None:
+        return
+    src = src.stage(scratch_path(batch.sparkSession, "vcf-stage"))
+    source = f"{profile} {stream} {batch_id}"
+    store_tables(batch.sparkSession, build_tables(src, profile), root, profile, source, source, src.sample_ids, on_duplicate=on_duplicate)
 
 
 def start_ingest_stream(
@@ -90,22 +44,23 @@ def start_ingest_stream(
     checkpoint: str,
     *,
     profile: str = "full",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int = 1_000,
+    on_duplicate: str = "merge",
     trigger: dict | None = None,
 ) -> StreamingQuery:
     """Start the stream; returns the running query.
 
     ``checkpoint`` must be on shared storage (for instance under the
-    session's ``spark.checkpoint.dir``).  ``trigger`` is passed to
+    session's ``spark.checkpoint.dir``); it also names the stream in the
+    store.  ``max_files_per_trigger`` bounds the headers of a micro-batch.
+    ``on_duplicate``: as for ``ingest``.  ``trigger`` is passed to
     ``DataStreamWriter.trigger`` (e.g. ``{"availableNow": True}``).
     """
-    reader = spark.readStream.format("text")
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    reader = spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
     lines = reader.load(input_dir).select(
         "value", F.col("_metadata.file_path").alias("file_path")
     )
-    w = lines.writeStream.foreachBatch(lambda df, bid: write_batch(df, bid, root, profile)).option(
+    w = lines.writeStream.foreachBatch(lambda df, bid: write_batch(df, bid, root, profile, checkpoint, on_duplicate)).option(
         "checkpointLocation", checkpoint
     )
     if trigger:
@@ -113,13 +68,6 @@ def start_ingest_stream(
     return w.start()
 
 
-def stream_tables(spark: SparkSession, root: str, names: Sequence[str] = ("main", "info", "csq", "genotypes")) -> dict[str, DataFrame]:
-    """Stream-written tables, without the ``batch`` folder column."""
-    out = {}
-    for n in names:
-        df = spark.read.parquet(f"{root.rstrip('/')}/{n}")
-        out[n] = df.select(
-            F.col(PARTITION_COL).cast("string").alias(PARTITION_COL),
-            *[c for c in df.columns if c not in (PARTITION_COL, BATCH_COL)],
-        )
-    return out
+def stream_tables(spark: SparkSession, root: str, profile: str = "full", names: Sequence[str] = ("main", "info", "csq", "genotypes")) -> dict[str, DataFrame]:
+    """The tables of a store, by name."""
+    return {n: load_table(spark, root, n, profile) for n in names if n in TABLE_NAMES[profile]}
