@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import gc
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from varlake.session import scratch_path
+
 
 def pick(df: DataFrame, **columns: str) -> DataFrame:
     """The named columns under new names, and nothing else: ``pick(df,
@@ -25,12 +26,9 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for intermediate tables, which all executors share: the
-    checkpoint directory of the session (``spark.checkpoint.dir``)."""
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    """A new folder for an intermediate table, on the storage that all
+    executors share (``spark.checkpoint.dir``)."""
+    return scratch_path(spark, "llm")
 
 
 def stored(df: DataFrame) -> DataFrame:
