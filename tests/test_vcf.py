@@ -481,3 +481,17 @@ def test_compressed_text_is_spread(spark, tmp_path):
     f = tmp_path / "one.vcf.gz"
     _write_vcf(f, LINES, gz=True)
     assert open_vcf(spark, str(f)).parts[0][0].rdd.getNumPartitions() > 1
+
+
+def test_variation_sites_cut_the_annotation_scan(spark, tmp_path):
+    from varlake.plans.query import load_tables, query_variants, run_query
+    from varlake.operators.filters import make_filter
+
+    root = str(tmp_path / "store")
+    for name, lines in (("a", [FULL, MISSING, AF_TEXT]), ("b", [FULL.replace("rs1&COSV1", "rs9"), NO_CSQ])):
+        _write_vcf(tmp_path / f"{name}.vcf", lines)
+        ingest(spark, str(tmp_path / f"{name}.vcf"), root)
+    for variation, n in (("rs9", 1), ("COSV1", 0), ("rs2", 1), ("rs6", 1), ("none", 0)):
+        got = query_variants(spark, root, "D", existing_variation=variation)
+        plain = run_query(make_filter("D", existing_variation=variation), *load_tables(spark, root))
+        assert got.count() == n and sorted(map(str, got.collect())) == sorted(map(str, plain.collect()))

@@ -18,6 +18,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.names import SLIM_CSQ_FIELDS
 from ..operators.filters import AF_NUMBERS, as_number
@@ -91,6 +92,20 @@ def merge_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.max(F.struct(*rest)).alias("_r")).select(*[F.col(c) if c in key else F.col(f"_r.{c}").alias(c) for c in df.columns])
 
 
+def write_variations(spark: SparkSession, root: str, profile: str, source: str, identity: str, batch: str, schema: T.StructType) -> Batch:
+    """(variation, chrom, pos) of a written annotation batch, sorted by
+    variation so that Parquet min/max finds one.  A row hash spreads a very
+    common variation over several files."""
+    names = TABLE_NAMES[profile]
+    kind = schema["existing_variation"].dataType.simpleString()
+    csq = spark.read.schema(f"pos int, existing_variation {kind}, {PARTITION_COL} string, {BATCH_COL} string").parquet(table_path(root, names["csq"]))
+    rows = csq.where(F.col(BATCH_COL) == batch).select(F.explode("existing_variation").alias("variation"), *KEY).where("variation is not null").distinct()
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = rows.repartitionByRange(parts, "variation", F.xxhash64(*KEY)).sortWithinPartitions("variation", *KEY)
+    dealt.withColumn(BATCH_COL, F.lit(batch)).write.mode("append").partitionBy(BATCH_COL).parquet(table_path(root, names["variations"]))
+    return Batch(names["variations"], source, identity, batch, rows.schema, 0, (), {})
+
+
 def store_tables(
     spark: SparkSession,
     frames: dict[str, DataFrame],
@@ -135,6 +150,8 @@ def store_tables(
             if n_hot:
                 write_table(hot.withColumn(BATCH_COL, F.lit(batch)), root, names["hot"], partition_by=(PARTITION_COL, BATCH_COL))
             mark(spark, root, Batch(names["hot"], source, identity, batch, hot.schema, n_hot, (), {}))
+            if "existing_variation" in df.columns:
+                mark(spark, root, write_variations(spark, root, profile, source, identity, batch, df.schema))
         contigs = {r[PARTITION_COL]: (r["low"], r["high"]) for r in covered}
         mark(spark, root, Batch(names[t], source, identity, batch, df.schema, sum(r["n"] for r in covered), tuple(samples) if t == "genotypes" else (), contigs))
 

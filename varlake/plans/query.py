@@ -15,12 +15,12 @@ from ..operators.filters import AF_NUMBERS, VariantFilter, make_filter
 from ..operators.genotypes import stored_wide
 from ..operators.joins import KEY, annotate_join, semi_reduce
 from ..sources.batches import Batch, read_batches, scan_batches
-from ..sources.tables import scan_table
+from ..sources.tables import BATCH_COL, scan_table, table_path
 
 # Stored table names per profile (full and slim/demo).
 TABLE_NAMES = {
-    "full": {"main": "main", "info": "info", "csq": "csq", "genotypes": "genotypes", "hot": "csq_hot"},
-    "slim": {"main": "main_query", "info": "info_query", "csq": "csq_query", "genotypes": "genotypes_query", "hot": "csq_query_hot"},
+    "full": {"main": "main", "info": "info", "csq": "csq", "genotypes": "genotypes", "hot": "csq_hot", "variations": "csq_by_variation"},
+    "slim": {"main": "main_query", "info": "info_query", "csq": "csq_query", "genotypes": "genotypes_query", "hot": "csq_query_hot", "variations": "csq_query_by_variation"},
 }
 
 # What identifies a row of each table.
@@ -30,6 +30,7 @@ TABLE_KEYS = {
     "csq": ("chrom", "pos", "csq_no"),
     "genotypes": ("chrom", "pos", "sampleId"),
     "hot": ("chrom", "pos"),
+    "variations": ("variation", "chrom", "pos"),
 }
 
 
@@ -58,6 +59,18 @@ def stored_samples(spark: SparkSession, root: str, profile: str = "full", batche
     return list(dict.fromkeys(s for b in batches if b.table == name for s in b.samples))
 
 
+def variation_sites(spark: SparkSession, root: str, profile: str, batches: Sequence[Batch], variant_id: str) -> DataFrame | None:
+    """(chrom, pos) of the sites whose annotations may have the variation,
+    from the table that ingest keeps sorted by variation (a few row groups
+    are read); None for a store without it."""
+    names = TABLE_NAMES[profile]
+    own = [b for b in batches if b.table == names["variations"]]
+    if not own or {b.batch for b in own} != {b.batch for b in batches if b.table == names["csq"]}:
+        return None
+    rows = spark.read.schema(f"variation string, {KEY[0]} string, {KEY[1]} int, {BATCH_COL} string").parquet(table_path(root, names["variations"]))
+    return rows.where(F.col(BATCH_COL).isin([b.batch for b in own]) & (F.col("variation") == F.lit(str(variant_id)))).select(*KEY).distinct()
+
+
 def apply_filter(
     flt: VariantFilter, main: DataFrame, info: DataFrame, csq: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -130,13 +143,17 @@ def query_variants(
     flt = make_filter(kind, **params)
     batches = read_batches(spark, root)
     main, info, csq = (load_table(spark, root, t, profile, batches) for t in ("main", "info", "csq"))
+    if flt.kind == "D":
+        sites = variation_sites(spark, root, profile, batches, params["existing_variation"])
+        if sites is not None:  # the annotation scan is cut to the contigs and sites found; the predicate still applies
+            csq = semi_reduce(csq, sites)
     if samples == "all":
         samples = stored_samples(spark, root, profile, batches)
     genotypes = load_table(spark, root, "genotypes", profile, batches) if samples else None
     with_hot = [b for b in batches if b.table == TABLE_NAMES[profile]["hot"] and b.rows]
     hot = None
     if with_hot:  # a site's rows in all batches, at most: the merged count is not larger
-        hot = scan_table(spark, root, TABLE_NAMES[profile]["hot"]).where(F.col("batch").isin([b.batch for b in with_hot]))
+        hot = scan_table(spark, root, TABLE_NAMES[profile]["hot"]).where(F.col(BATCH_COL).isin([b.batch for b in with_hot]))
         hot = hot.groupBy(*KEY).agg(F.sum("n").alias("n"))
     return run_query(
         flt, main, info, csq,
