@@ -53,6 +53,13 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterable[pa.RecordBatch]], Iterator[p
     return df.mapInArrow(run, schema)
 
 
+def strings(column: pa.Array, rows: int = 256) -> Iterator[str]:
+    """The values of a text column, a few rows at a time, so that a batch is
+    never held twice as a whole."""
+    for a in range(0, len(column), rows):
+        yield from column.slice(a, rows).to_pylist()
+
+
 def ddl(df: DataFrame, name: str) -> str:
     """The type of a column, for a schema string."""
     return df.schema[name].dataType.simpleString()

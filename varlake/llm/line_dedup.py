@@ -9,12 +9,13 @@ order of (document id, place) stays, over the whole corpus.
 1. Each distinct line is signed (``BANDS`` x ``ROWS`` minima) and indexed under
    its bands; a pair at 0.8 shares a band with probability 0.998, at 0.9 with
    over 0.9999.  A line is identified by a 64-bit hash of its text.
-2. Under each band key, every line is verified against the smallest one (linear,
-   and split by Spark if a key is hot).  Links give components.
-3. Under keys that still hold several components, lines outside the smallest
-   line's component are verified against all others of another component, a
-   large key in blocks; a found link joins two components, so no further pair of
-   them is looked at.  No pair of a key is left out.
+2. Under each band key, every line is verified against one of them (linear, and
+   split by Spark if a key is hot).  Links give components.
+3. Under keys that still hold several components, lines outside that one's
+   component are verified against all others of another component, a large key
+   in blocks; a found link joins two components, so no further pair of them is
+   looked at.  No pair of a key is left out; keys that hold the same lines are
+   looked at once.
 4. Components again, then the first line of each.
 
 Lines are identified by 64-bit hashes: among n distinct lines about n * n / 2**65
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varlake.llm.common import arrow_map, ddl, pick, release, stored, text_or_empty
+from varlake.llm.common import arrow_map, ddl, pick, release, stored, strings, text_or_empty
 from varlake.llm.components import connected_components
 
 SHINGLE = 8  #: characters
@@ -39,6 +40,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 BLOCK = 2_000  #: lines of a hot key's main component that are compared in one task at a time
 BLOCK_CHARS = 100_000  #: characters signed at a time, so that the arrays stay in the cache
+BITMAP = 2_048  #: bits; a power of two
 SEEN_LINES = 200_000  #: line hashes that a task remembers so as not to sign a line again
 _MULTIPLIERS = (np.random.default_rng(20).integers(0, 2**32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 
@@ -86,12 +88,35 @@ def jaccard(a: frozenset | set, b: frozenset | set) -> float:
 
 
 def shingles(line: str) -> frozenset[str]:
-    return frozenset(line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1))
+    return frozenset([line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1)])
 
 
-def _alike(a: frozenset, b: frozenset, threshold: float) -> bool:
-    small, large = sorted((len(a), len(b)))
-    return small >= threshold * large and jaccard(a, b) >= threshold
+class Line:
+    """A line to be compared: a bitmap of its shingles' hashes bounds the
+    similarity from above, and only what passes is compared exactly."""
+
+    __slots__ = ("_set", "bits", "places", "text")
+
+    def __init__(self, text: str):
+        self.text, self.places = text, len(text) - SHINGLE + 1
+        marks = np.zeros(BITMAP, bool)
+        marks[shingle_hashes(np.frombuffer(text.encode("utf-32-le"), np.uint32)) & np.uint32(BITMAP - 1)] = True
+        self.bits = int.from_bytes(np.packbits(marks).tobytes())
+        self._set: frozenset[str] | None = None
+
+    @property
+    def set(self) -> frozenset[str]:
+        if self._set is None:
+            self._set = shingles(self.text)
+        return self._set
+
+    def alike(self, other: Line, threshold: float) -> bool:
+        """Whether the Jaccard similarity of the shingle sets is at least the
+        threshold.  A bit that one has and the other lacks stands for a shingle
+        of which the same is true."""
+        mine, theirs = (self.bits & ~other.bits).bit_count(), (other.bits & ~self.bits).bit_count()
+        both = min(self.places - mine, other.places - theirs)
+        return both >= threshold * (both + mine + theirs) and jaccard(self.set, other.set) >= threshold
 
 
 def _indexed(rows: DataFrame) -> DataFrame:
@@ -107,7 +132,7 @@ def _indexed(rows: DataFrame) -> DataFrame:
             lines: list[str] = []
             hashes: list[int] = []
             chars = 0
-            for text in batch.column(0).to_pylist():
+            for text in strings(batch.column(0)):
                 for line in lines_of(text):
                     if len(line) >= SHINGLE and (h := line_hash(line)) not in seen:
                         if len(seen) >= SEEN_LINES:
@@ -126,47 +151,53 @@ def _indexed(rows: DataFrame) -> DataFrame:
 
 
 def _shared_keys(indexed: DataFrame) -> DataFrame:
-    """(k, h, rep): the lines of each key that more than one line has, with the
-    smallest of them.  Keys are dealt out by hash, sorted and run through, so a
-    key of any size takes no memory."""
+    """(k, h, rep): the lines of each key that more than one line has, each with
+    one and the same of them, which is among them.  Keys are dealt out by hash,
+    sorted and run through, so a key of any size takes no memory; a line may be
+    told more than once."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rep, told = None, 0, False
+        key, rep = None, 0
         for batch in batches:
             k, h = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            new = np.append(True, (k[1:] != k[:-1]) | (h[1:] != h[:-1]))
+            same = k[1:] == k[:-1]
+            wanted = np.append(same, True) | np.append(key is not None and k[0] == key, same)  # and the last: its key may go on
+            k, h = k[wanted], h[wanted]
+            order = np.lexsort((h, k))
+            k, h = k[order], h[order]
             goes_on = key is not None and k[0] == key
-            if goes_on and h[0] == last:
-                new[0] = False
-            k, h = k[new], h[new]
-            if not len(k):
-                continue
-            start = np.flatnonzero(np.append(not goes_on, k[1:] != k[:-1]))
-            group = np.cumsum(np.append(not goes_on, k[1:] != k[:-1])) - (0 if goes_on else 1)
-            reps = np.append(rep, h[start]) if goes_on else h[start]
-            r = reps[group]
-            other = h != r
-            # the smallest line of a key is told with the second one
-            first_other = other & ~np.append(goes_on and told, other[:-1] & (k[1:] == k[:-1]))
-            fk, fr = k[first_other], r[first_other]
+            new_key = np.append(not goes_on, k[1:] != k[:-1])
+            keys, reps = k[new_key], h[new_key]
+            if goes_on:
+                keys, reps = np.append(key, keys), np.append(rep, reps)
+            group = np.cumsum(new_key) - (0 if goes_on else 1)
+            other = h != reps[group]
+            other[1:] &= (h[1:] != h[:-1]) | new_key[1:]  # once a batch
             if other.any():
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([k[other], fk])), pa.array(np.concatenate([h[other], fr])), pa.array(np.concatenate([r[other], fr]))], ["k", "h", "rep"])
-            key, rep, last, told = k[-1], r[-1], h[-1], bool(other[-1])
+                shared = np.unique(group[other])
+                columns = np.concatenate([k[other], keys[shared]]), np.concatenate([h[other], reps[shared]]), np.concatenate([reps[group[other]], reps[shared]])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["k", "h", "rep"])
+            key, rep = keys[-1], reps[-1]
 
-    dealt = indexed.repartition("k").sortWithinPartitions("k", "h")
+    dealt = indexed.repartition("k").sortWithinPartitions("k")
     return arrow_map(dealt, run, "k long, h long, rep long")
 
 
 def _texts(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, line): the texts of the wanted line hashes."""
-    found = places.join(wanted, "h").groupBy("h").agg(F.min(F.struct("uid", "line_no")).alias("at"))
+    # one place a line first: each task brings a very common line down to one row
+    found = places.groupBy("h").agg(F.min(F.struct("uid", "line_no")).alias("at")).join(wanted, "h")
     found = found.groupBy("at.uid").agg(F.collect_list(F.struct("at.line_no", "h")).alias("at"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            hashes: list[int] = []
+            found: list[str] = []
+            for text, at in zip(strings(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 lines = lines_of(text)
-                yield pa.RecordBatch.from_arrays([pa.array([x["h"] for x in at], pa.int64()), pa.array([lines[x["line_no"]] for x in at], pa.string())], ["h", "line"])
+                hashes += [x["h"] for x in at]
+                found += [lines[x["line_no"]] for x in at]
+            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(found, pa.string())], ["h", "line"])
 
     return arrow_map(rows.join(found, "uid").select("text", "at"), run, "h long, line string")
 
@@ -179,10 +210,10 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
             x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             last, of_last = None, frozenset()
             keep = []
-            for s, t in zip(x, y, strict=True):
+            for s, t in zip(x, y, strict=True):  # sorted by the second
                 if t != last:
                     last, of_last = t, shingles(t)
-                keep.append(_alike(shingles(s), of_last, threshold))
+                keep.append(jaccard(shingles(s), of_last) >= threshold)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return arrow_map(pairs.select("a", "b", "x", "y"), run, "a long, b long")
@@ -191,9 +222,9 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
 def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
     """Links between components under the same key.  ``members``: (k, block, h,
     component, main, line), a block's rows together, where ``main`` says whether
-    the line is of the smallest line's component."""
+    the line is of the component of the key's representative."""
 
-    def linked(rows: list[tuple[int, int, bool, str]]) -> Iterator[tuple[int, int]]:
+    def linked(block: int, rows: list[tuple[int, int, bool, str]]) -> Iterator[tuple[int, int]]:
         parent: dict[int, int] = {}
 
         def root(c: int) -> int:
@@ -201,21 +232,21 @@ def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
                 c = parent[c]
             return c
 
-        sets = [(h, c, shingles(line)) for h, c, _, line in rows]
-        outside = [i for i, r in enumerate(rows) if not r[2]]
-        for n, i in enumerate(outside):
-            h, c, own = sets[i]
-            for j in [j for j, r in enumerate(rows) if r[2]] + outside[:n]:
-                g, d, other = sets[j]
-                if (p := root(c)) != (q := root(d)) and _alike(own, other, threshold):
+        lines = [(h, c, Line(text)) for h, c, _, text in rows]
+        inside = [x for x, r in zip(lines, rows, strict=True) if r[2]]
+        outside = [x for x, r in zip(lines, rows, strict=True) if not r[2]]
+        for n, (h, c, own) in enumerate(outside):
+            # the lines outside are in every block; they meet each other in the first
+            for g, d, other in inside + outside[:n] if block == 0 else inside:
+                if (p := root(c)) != (q := root(d)) and own.alike(other, threshold):
                     parent[p] = q
                     yield h, g
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
+        key, rows = (0, 0), []
 
         def out() -> Iterator[pa.RecordBatch]:
-            if found := list(linked(rows)):
+            if found := list(linked(key[1], rows)):
                 a, b = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
@@ -241,11 +272,22 @@ def _components(rows: DataFrame, places: DataFrame, threshold: float) -> DataFra
     pairs = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
     links = stored(_verified(pairs, threshold))
     found = stored(connected_components(links).toDF("h", "component"))
-    # keys that still hold several components
+    # keys that still hold several components, beside the representative: it has met all others
     named = shared.join(found, "h", "left").select("k", "h", "rep", F.coalesce("component", "h").alias("component"))
-    main = named.where("h = rep").select("k", F.col("component").alias("main_component"))
-    mixed = named.groupBy("k").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high")).where("low != high")
-    members = named.join(mixed.select("k", "n").join(main, "k"), "k").withColumn("main", F.col("component") == F.col("main_component"))
+    is_rep = F.col("h") == F.col("rep")
+    other = F.when(~is_rep, F.col("component"))
+    mark = F.xxhash64("h")
+    mixed = named.groupBy("k").agg(
+        F.count("*").alias("n"),
+        F.min(other).alias("low"),
+        F.max(other).alias("high"),
+        F.max(F.when(is_rep, F.col("component"))).alias("rep_component"),
+        F.sum(F.shiftrightunsigned(mark, 32)).alias("s"),
+        F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("t"),
+    )
+    # bands often bring the same lines together: one key of equal ones is enough
+    mixed = mixed.where("low != high").groupBy("n", "s", "t").agg(F.min_by(F.struct("k", "rep_component"), "k").alias("one")).select("one.k", "n", "one.rep_component")
+    members = named.where(~is_rep).join(mixed, "k").withColumn("main", F.col("component") == F.col("rep_component"))
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
     # lines of the main component are dealt out over the blocks, the others are in each
     where = F.when(F.col("main"), F.array(F.pmod(F.xxhash64("h"), blocks).cast("int"))).otherwise(F.sequence(F.lit(0), blocks - 1))
@@ -275,7 +317,7 @@ def dedup_lines(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
     def places_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, no, h = [], [], []
-            for i, text in enumerate(batch.column(2).to_pylist()):
+            for i, text in enumerate(strings(batch.column(2))):
                 for j, line in enumerate(lines_of(text)):
                     if line:
                         row.append(i)
@@ -301,7 +343,7 @@ def dedup_lines(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, total, removed = [], [], []
-            for text, gone in zip(batch.column(at).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
+            for text, gone in zip(strings(batch.column(at)), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
                 lines = text.split("\n") if text is not None else []
                 total.append(len(lines))
                 removed.append(len(gone or ()))
