@@ -37,9 +37,13 @@ SLACK = 1.05  #: a part's size, in means, at most
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
     """(rows, k): the rows with the largest inner product with each row."""
-    scores = x @ x.T
-    np.fill_diagonal(scores, -np.inf)
-    return np.argpartition(-scores, min(k, len(x) - 1) - 1, axis=1)[:, :k]
+    k = min(k, len(x) - 1)
+    out = np.empty((len(x), k), np.int64)
+    for a in range(0, len(x), 256):  # a stripe of the score matrix at a time
+        scores = -(x[a : a + 256] @ x.T)
+        scores[np.arange(len(scores)), np.arange(a, a + len(scores))] = np.inf
+        out[a : a + 256] = np.argpartition(scores, k - 1, axis=1)[:, :k]
+    return out
 
 
 def balanced_parts(x: np.ndarray, graph: np.ndarray, parts: int, rounds: int = 20, seed: int = 7) -> np.ndarray:
