@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from varlake.llm.codec import codec, grouped
-from varlake.llm.common import arrow_map, ddl, pick, text_or_empty
+from varlake.llm.common import arrow_map, ddl, pick, strings, text_or_empty
 
 
 def bpe_encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -32,7 +32,7 @@ def bpe_encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
         c = codec(path)
         for batch in batches:
             at = 0
-            for group in grouped(batch.column(1).to_pylist()):
+            for group in grouped(strings(batch.column(1))):
                 ids = [np.frombuffer(b, "<i4") for b in c.encode(group)]
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids), pa.int32()))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from varlake.llm.codec import grouped
-from varlake.llm.common import arrow_map, ddl, pick, text_or_empty
+from varlake.llm.common import arrow_map, ddl, pick, strings, text_or_empty
 
 
 def _set(names: str) -> frozenset[str]:
@@ -397,7 +397,7 @@ def render(root: Node) -> str:
             return
         if tag == "input":
             if node.attrs.get("type", "text").lower() in SHOWN_INPUTS:
-                flow.add(node.attrs.get("value", ""))
+                flow.add(f" {node.attrs.get('value', '')} ")
             return
         if tag in ("ul", "ol", "menu", "dir"):
             flow.break_(1 if lists else 2)
@@ -472,7 +472,7 @@ def extract_text(df: DataFrame, id_col: str = "page_id", html_col: str = "html")
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = 0
-            for group in grouped(batch.column(1).to_pylist()):
+            for group in grouped(strings(batch.column(1))):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(group)), pa.array([html_to_text(p) for p in group], pa.string())], ["key", "text"])
                 at += len(group)
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from varlake.llm.codec import codec, grouped
-from varlake.llm.common import arrow_map, ddl, pick, stored, text_or_empty
+from varlake.llm.common import arrow_map, ddl, pick, stored, strings, text_or_empty
 
 CAPACITY = 2048
 Pattern = tuple[tuple[int, ...], int]  #: lengths in order of their place, number of sequences
@@ -125,7 +125,7 @@ def pieces_of(df: DataFrame, path: str, end_id: int = 0, capacity: int = CAPACIT
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
             at = 0
-            for group in grouped(batch.column(1).to_pylist()):
+            for group in grouped(strings(batch.column(1))):
                 rows: list[tuple] = []
                 for i, ids in enumerate(c.encode(group), at):
                     ids += end

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varlake.llm.common import arrow_map, ddl, pick, text_or_empty
+from varlake.llm.common import arrow_map, ddl, pick, strings, text_or_empty
 
 BITS = 18
 MAX_ROWS = 8_000
@@ -118,22 +118,23 @@ class OrdinalModel:
         that rare telling words count more.  Grades weigh alike, however many
         rows they have."""
         n = len(lens)
-        row = np.repeat(np.arange(n), lens)
+        row = np.repeat(np.arange(n, dtype=np.int32), lens)
         seen = np.bincount(cols, minlength=len(self.weights))
         often = seen[cols] >= least_rows
-        row, cols, values = row[often], cols[often], values[often].astype(np.float64)
+        row, cols, values = row[often], cols[often], values[often].astype(np.float32)
         if not len(row):
             return self
         kept, back = np.unique(cols, return_inverse=True)
-        scale = np.sqrt(np.bincount(back, values * values) / n) ** -alpha
-        values = values * scale[back]
+        back = back.astype(np.int32)
+        scale = (np.sqrt(np.bincount(back, values * values) / n) ** -alpha).astype(np.float32)
+        values *= scale[back]
         rows, row_start = np.unique(row, return_index=True)
         by_col = np.argsort(back, kind="stable")
         col_row, col_value = row[by_col], values[by_col]
         col_start = np.flatnonzero(np.append(True, np.diff(back[by_col]) > 0))
         weigh = 1 / (len(np.unique(grade)) * np.bincount(grade)[grade])
-        at, score, w = np.arange(n), np.zeros(n), np.zeros(len(kept))
-        square_w, square_t = np.full(len(kept), 1e-8), np.full(1 + len(self.gaps), 1e-8)
+        at, score, w = np.arange(n), np.zeros(n), np.zeros(len(kept), np.float32)
+        square_w, square_t = np.full(len(kept), 1e-8, np.float32), np.full(1 + len(self.gaps), 1e-8)
         for _ in range(rounds):
             score[rows] = np.add.reduceat(w[back] * values, row_start)
             # P(grade = g) = tail(g - 1) - tail(g); the derivatives of its logarithm in closed form
@@ -141,7 +142,7 @@ class OrdinalModel:
             up, down = tail[at, grade], tail[at, grade + 1]
             p = np.maximum(up - down, 1e-12)
             d_up, d_down = weigh * up * (1 - up) / p, weigh * down * (1 - down) / p
-            g = np.add.reduceat((d_down - d_up)[col_row] * col_value, col_start) + ridge * w
+            g = np.add.reduceat((d_down - d_up).astype(np.float32)[col_row] * col_value, col_start) + ridge * w
             square_w += g * g
             w -= rate * g / np.sqrt(square_w)
             # a threshold is the lower bound of one grade and the upper bound of the one below
@@ -200,7 +201,7 @@ def fit_quality(df: DataFrame, labels: DataFrame, grades: int, id_col: str = "do
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t) for t in batch.column(1).to_pylist()]
+            found = [features(t) for t in strings(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([list(x) for x in found], pa.list_(pa.int32())), pa.array([list(x.values()) for x in found], pa.list_(pa.float32()))], ["grade", "f", "v"]
             )
@@ -224,16 +225,22 @@ def score_quality(df: DataFrame, model: OrdinalModel, id_col: str = "doc_id", te
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(weights.value)
         for batch in batches:
-            score = np.array([scorer.score(t) for t in batch.column(batch.num_columns - 1).to_pylist()])
+            score = np.array([scorer.score(t or "") for t in strings(batch.column(at))])
             tails = model_tails(score)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score), pa.array(tails.sum(axis=1)), *(pa.array(tails[:, j]) for j in range(cuts))], [*batch.schema.names[:-1], *out])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(score), pa.array(tails.sum(axis=1)), *(pa.array(tails[:, j]) for j in range(cuts))], [*batch.schema.names[:kept], *out])
 
     light = OrdinalModel(cuts + 1, 0)
     light.start, light.gaps = model.start, model.gaps
     model_tails = light.tails
     out = ["score", "expected_grade", *(f"p_above_{j}" for j in range(cuts))]
     names = [f"k{i}" for i in range(len(keep))]
-    rows = pick(df, key=id_col, **dict(zip(names, keep, strict=True)), text=text_col)
-    rows = rows.select("key", *names, text_or_empty(rows.text).alias("text"))
+    kept = 1 + len(keep)
+    if text_col in keep and df.schema[text_col].dataType.simpleString() == "string":  # the text goes to Python once
+        at = 1 + keep.index(text_col)
+        rows = pick(df, key=id_col, **dict(zip(names, keep, strict=True)))
+    else:
+        at = kept
+        rows = pick(df, key=id_col, **dict(zip(names, keep, strict=True)), text=text_col)
+        rows = rows.select("key", *names, text_or_empty(rows.text).alias("text"))
     kinds = ", ".join([*(f"{n} {ddl(rows, n)}" for n in ("key", *names)), *(f"{n} double" for n in out)])
     return arrow_map(rows, run, kinds).toDF(id_col, *keep, *out)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varlake.llm.codec import grouped
-from varlake.llm.common import arrow_map, ddl, pick, stored, text_or_empty
+from varlake.llm.common import arrow_map, ddl, pick, stored, strings, text_or_empty
 from varlake.llm.components import connected_components
 
 SEED = 42
@@ -104,7 +104,7 @@ def fingerprints(df: DataFrame, shingle: int = 5, id_col: str = "doc_id", text_c
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [fingerprint_texts(group, shingle) for group in grouped(batch.column(batch.num_columns - 1).to_pylist())]
+            found = [fingerprint_texts(group, shingle) for group in grouped(strings(batch.column(batch.num_columns - 1)))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(found).view(np.int64))], [*batch.schema.names[:-1], "fingerprint"])
 
     names = [f"k{i}" for i in range(len(keep))]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from varlake.llm.codec import codec, grouped
-from varlake.llm.common import arrow_map, ddl, pick, stored, text_or_empty
+from varlake.llm.common import arrow_map, ddl, pick, stored, strings, text_or_empty
 
 MARGIN = 32  #: characters; the longest special string of the vocabularies has 15
 HUGE_CHARS = 65_536
@@ -38,8 +38,7 @@ def _count_whole(rows: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
         for batch in batches:
-            texts = (t for t in batch.column(2).to_pylist())
-            counts = [len(b) // 4 for group in grouped(texts) for b in c.encode(group)]
+            counts = [len(b) // 4 for group in grouped(strings(batch.column(2))) for b in c.encode(group)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64())], ["key", "n_bytes", "n_tokens"])
 
     return arrow_map(rows, run, f"key {ddl(rows, 'key')}, n_bytes long, n_tokens long")
@@ -50,7 +49,7 @@ def _cut(rows: DataFrame, chunk: int, overlap: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            for i, text in enumerate(strings(batch.column(1), 1)):
                 uid = batch.column(0)[i].as_py()
                 n = max(1, -(-(len(text) - overlap) // chunk))
                 for a in range(0, n, 64):
@@ -72,7 +71,7 @@ def _summaries(chunks: DataFrame, path: str, chunk: int, overlap: int) -> DataFr
         c = codec(path)
         for batch in batches:
             cols: list[list] = [[], [], [], [], []]
-            for last, part in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+            for last, part in zip(batch.column(2).to_pylist(), strings(batch.column(3)), strict=True):
                 starts, counts = c.piece_counts(part)
                 before = np.cumsum(counts) - counts
                 stable = len(part) if last else len(part) - MARGIN
