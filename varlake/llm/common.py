@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import gc
+import os
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import varlake
 from varlake.session import scratch_path
 
 
@@ -44,12 +47,25 @@ def text_or_empty(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
+def _importable(spark: SparkSession) -> None:
+    """Lets the Python workers of a local session import this package from
+    where the driver did, whatever the working folder.  On a cluster it is
+    installed, or passed with --py-files."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        own = str(Path(varlake.__file__).resolve().parent.parent)
+        paths = [p for p in sc.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if own not in paths:
+            sc.environment["PYTHONPATH"] = os.pathsep.join([own, *paths])
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
     """``mapInArrow`` that passes over empty batches."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from fn(b for b in batches if b.num_rows)
 
+    _importable(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
