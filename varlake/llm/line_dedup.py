@@ -199,7 +199,8 @@ def _texts(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
                 found += [lines[x["line_no"]] for x in at]
             yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(found, pa.string())], ["h", "line"])
 
-    return arrow_map(rows.join(found, "uid").select("text", "at"), run, "h long, line string")
+    # the plan of many documents at every size: what is wanted grows with them
+    return arrow_map(rows.join(found.hint("merge"), "uid").select("text", "at"), run, "h long, line string")
 
 
 def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -338,7 +339,7 @@ def dedup_lines(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
     gone = places.join(lookup, "h").where((F.col("uid") != F.col("stays.u")) | (F.col("line_no") != F.col("stays.l")))
     gone = stored(gone.groupBy("uid").agg(F.collect_list("line_no").alias("gone")))
     release(df)
-    joined = plain.join(gone, "uid", "left").drop("uid")
+    joined = plain.join(gone.hint("merge"), "uid", "left").drop("uid")  # as above
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
