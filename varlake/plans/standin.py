@@ -264,21 +264,19 @@ def write_vcf_files(spark: SparkSession, sf_dir: str, path: str, compression: st
     return path
 
 
-def bgzf_block(data: bytes) -> bytes:
-    """One block of a block-gzip file: a gzip member whose extra field
-    states the block's size."""
-    c = zlib.compressobj(6, zlib.DEFLATED, -15)
-    body = c.compress(data) + c.flush()
-    head = struct.pack("<4BI2BH2BHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25)
-    return head + body + struct.pack("<II", zlib.crc32(data), len(data))
-
-
 def write_bgzf_files(spark: SparkSession, sf_dir: str, path: str, block: int = 60_000) -> str:
     """The stand-in as block-gzip files of many members, one per file of
     ``write_vcf_files``; each task streams its file's lines."""
     texts = write_vcf_files(spark, sf_dir, f"{path}/text")
     files = sorted(spark.read.text(texts).inputFiles())
 
+    def member(data: bytes) -> bytes:
+        """A gzip member whose extra field states the block's size."""
+        c = zlib.compressobj(6, zlib.DEFLATED, -15)
+        body = c.compress(data) + c.flush()
+        head = struct.pack("<4BI2BH2BHH", 31, 139, 8, 4, 0, 0, 255, 6, 66, 67, 2, len(body) + 25)
+        return head + body + struct.pack("<II", zlib.crc32(data), len(data))
+
     def write(batches):
         for batch in batches:
             for row in batch.itertuples():
@@ -287,8 +285,8 @@ def write_bgzf_files(spark: SparkSession, sf_dir: str, path: str, block: int = 6
                 fs.create_dir(target.rsplit("/", 1)[0], recursive=True)
                 with fs.open_input_stream(source) as i, fs.open_output_stream(target, compression=None) as o:
                     while data := i.read(block):
-                        o.write(bgzf_block(data))
-                    o.write(bgzf_block(b""))
+                        o.write(member(data))
+                    o.write(member(b""))
                 yield pd.DataFrame({"file": [row.target]})
 
     rows = spark.createDataFrame([(f, f"{path}/bgzf/{i}.vcf.gz") for i, f in enumerate(files)], "file string, target string")
