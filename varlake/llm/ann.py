@@ -176,6 +176,7 @@ def nearest(
     against vectors of the same length.  An empty table gives no rows."""
     rows = usable(df, id_col, vector_col).where(F.exists("vec", lambda x: x != 0)).withColumn("dim", F.size("vec"))
     rows = stored(rows)
+    # lengths beyond the thousandth have one part each
     dims = [r["dim"] for r in rows.select("dim").distinct().limit(1_000).collect()]
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()
     models: dict[int, tuple[Router, int]] = {}
@@ -190,7 +191,7 @@ def nearest(
             for d in np.unique(dim).tolist():
                 own = np.flatnonzero(dim == d)
                 x = batch.column(0).take(pa.array(own)).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-                router, probes = models[d]
+                router, probes = models.get(d) or (Router(d, 1), 1)
                 order = np.argsort(-router.probabilities(x), axis=1, kind="stable")
                 home[own] = order[:, 0]
                 for i, o in zip(own.tolist(), order[:, :probes].tolist(), strict=True):

@@ -3,8 +3,8 @@
 For pivots p, the triangle inequality bounds the distance of a query q and a
 candidate x from below: |q - x| >= max over p of ||q - p| - |x - p||.  As
 <q, x> = (|q|^2 + |x|^2 - |q - x|^2) / 2, that bounds their inner product from
-above.  The distances of all rows to many pivots are computed once, with the
-blocks; candidates of a block are evaluated in the order of their bounds, and a
+above.  The distances of all rows to many pivots are computed once and stored
+with the rows; candidates of a block are evaluated in the order of their bounds, and a
 query is done with a block when the next bound is below its k-th best score.
 Scores of a few rows that every task knows (the pivots) give each query a first
 k-th best, so that also the first candidates can be passed over.
@@ -94,6 +94,7 @@ def exact_topk(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     job with an error."""
     rows = usable(df, id_col, vector_col)
     rows = stored(rows.select("id", F.transform("vec", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("vec"), F.size("vec").alias("dim")))
+    # lengths beyond the thousandth are searched without pivots
     n, dims = rows.count(), [r["dim"] for r in rows.select("dim").distinct().limit(1_000).collect()]
     sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
     pivots: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -104,18 +105,32 @@ def exact_topk(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
             chosen = choose_pivots(vectors, PIVOTS)
             pivots[dim] = np.array([own[i]["id"] for i in chosen]), vectors[chosen]
 
+    def measured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dim = batch.column(2).to_numpy()
+            away: list[np.ndarray | None] = [None] * batch.num_rows
+            for d in np.unique(dim).tolist():
+                own = np.flatnonzero(dim == d)
+                x = batch.column(1).take(pa.array(own)).flatten().to_numpy(zero_copy_only=False).reshape(len(own), d)
+                for i, row in zip(own.tolist(), pivot_distances(x, pivots[d][1] if d in pivots else np.zeros((0, d))), strict=True):
+                    away[i] = row
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(away, pa.list_(pa.float64()))], ["id", "vec", "dim", "away"])
+
+    rows = stored(arrow_map(rows.select("id", "vec", "dim"), measured, "id long, vec array<double>, dim int, away array<double>"))
+
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 q_ids, q = matrix(batch.column(0)[i])
                 ids, x = matrix(batch.column(1)[i])
+                q_table, table = matrix(batch.column(0)[i], "away")[1], matrix(batch.column(1)[i], "away")[1]
                 p_ids, p = pivots.get(q.shape[1], (np.zeros(0, np.int64), np.zeros((0, q.shape[1]))))
                 first = []
                 for own, vector in zip(q_ids, q, strict=True):
                     scores = np.sort(exact_products(p[p_ids != own], vector))
                     first.append(scores[-k] if len(scores) >= k else -np.inf)
                 out: list[list] = [[], [], []]
-                for own, got_ids, got, _ in search_block(q_ids, q, pivot_distances(q, p), ids, x, pivot_distances(x, p), np.array(first), k):
+                for own, got_ids, got, _ in search_block(q_ids, q, q_table, ids, x, table, np.array(first), k):
                     out[0] += [own] * len(got)
                     out[1] += got_ids.tolist()
                     out[2] += got.tolist()
@@ -124,8 +139,9 @@ def exact_topk(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     blocks = max(1, -(-n // BLOCK))
     queries = rows.where(is_query)
     query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
-    candidates = packed(rows.withColumn("block", block_of(F.col("id"), blocks)), "dim", "block").withColumnRenamed("rows", "x")
-    asked = packed(queries.withColumn("q_block", block_of(F.col("id"), query_blocks)), "dim", "q_block").withColumnRenamed("rows", "q")
+    columns = ("id", "vec", "away")
+    candidates = packed(rows.withColumn("block", block_of(F.col("id"), blocks)), "dim", "block", columns=columns).withColumnRenamed("rows", "x")
+    asked = packed(queries.withColumn("q_block", block_of(F.col("id"), query_blocks)), "dim", "q_block", columns=columns).withColumnRenamed("rows", "q")
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     pairs = asked.join(candidates, ["dim", "block"]).select("q", "x")
     return best(arrow_map(pairs, search, "query_id long, vec_id long, score long"), k)

@@ -29,9 +29,9 @@ def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False))).groupBy("id").agg(F.min("vec").alias("vec"))
 
 
-def packed(rows: DataFrame, *keys: str) -> DataFrame:
-    """(*keys, rows): all rows with equal keys as one list of (id, vec)."""
-    return rows.groupBy(*keys).agg(F.collect_list(F.struct("id", "vec")).alias("rows"))
+def packed(rows: DataFrame, *keys: str, columns: tuple[str, ...] = ("id", "vec")) -> DataFrame:
+    """(*keys, rows): all rows with equal keys as one list of ``columns``."""
+    return rows.groupBy(*keys).agg(F.collect_list(F.struct(*columns)).alias("rows"))
 
 
 def block_of(id_column: Column, blocks: Column | int) -> Column:
@@ -39,12 +39,12 @@ def block_of(id_column: Column, blocks: Column | int) -> Column:
     return F.pmod(F.xxhash64(id_column), F.lit(blocks) if isinstance(blocks, int) else blocks).cast("int")
 
 
-def matrix(cell: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
+def matrix(cell: pa.ListScalar, column: str = "vec") -> tuple[np.ndarray, np.ndarray]:
     """The ids and the vectors (as rows) of a packed block."""
     rows = cell.values
     ids = rows.field("id").to_numpy()
-    values = rows.field("vec").flatten().to_numpy(zero_copy_only=False)
-    return ids, values.reshape(len(ids), -1)
+    values = rows.field(column).flatten().to_numpy(zero_copy_only=False)
+    return ids, values.reshape(len(ids), -1) if len(values) else np.zeros((len(ids), 0))
 
 
 def best(found: DataFrame, k: int) -> DataFrame:
