@@ -179,6 +179,16 @@ def test_lines_against_brute_force(spark):
     assert all(r["n_lines"] == (0 if r["text"] is None else len(r["text"].split("\n")) * (r["n_removed"] == 0) or r["n_lines"]) for r in rows)
 
 
+@settings(max_examples=300, deadline=None)
+@given(a=st.text(st.sampled_from(list("abé ÿ日")), min_size=8, max_size=70), b=st.text(st.sampled_from(list("abé ÿ")), min_size=8, max_size=70), cut=st.integers(0, 60))
+def test_line_similarity_is_exact(a, b, cut):
+    for x, y in ((a, b), (a, a[:cut] + b), (b, b[:cut] + b), (b, b[cut:] + b[:8])):
+        want = line_dedup.jaccard(line_dedup.shingles(x), line_dedup.shingles(y))
+        p, q = line_dedup.Line(x), line_dedup.Line(y)
+        assert p.similarity(q) == q.similarity(p) == want
+        assert all(p.may_be_alike(q, t) for t in (0.2, 0.5, 0.8) if want >= t)
+
+
 @pytest.mark.parametrize("batch", [1, 2, 7, 10_000])
 def test_shared_keys_across_batches(spark, batch):
     random = np.random.default_rng(batch)

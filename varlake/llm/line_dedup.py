@@ -91,32 +91,61 @@ def shingles(line: str) -> frozenset[str]:
     return frozenset([line[i : i + SHINGLE] for i in range(len(line) - SHINGLE + 1)])
 
 
+def packed_shingles(line: str) -> np.ndarray | None:
+    """The distinct shingles of a Latin-1 line, each as its eight bytes in one
+    number, sorted; None for other lines."""
+    try:
+        data = line.encode("latin-1")
+    except UnicodeEncodeError:
+        return None
+    out = np.empty(len(data) - SHINGLE + 1, np.uint64)
+    for start in range(min(SHINGLE, len(out))):
+        every = np.frombuffer(data, "<u8", (len(data) - start) // SHINGLE, start)
+        out[start::SHINGLE] = every
+    out.sort()
+    return out[np.append(True, out[1:] != out[:-1])]
+
+
 class Line:
-    """A line to be compared: a bitmap of its shingles' hashes bounds the
-    similarity from above, and only what passes is compared exactly."""
+    """A line to be compared.  A bitmap of its shingles' hashes bounds the
+    similarity from above, so that only what passes is compared exactly."""
 
-    __slots__ = ("_set", "bits", "places", "text")
+    __slots__ = ("_bits", "_packed", "_set", "places", "text")
 
     def __init__(self, text: str):
         self.text, self.places = text, len(text) - SHINGLE + 1
-        marks = np.zeros(BITMAP, bool)
-        marks[shingle_hashes(np.frombuffer(text.encode("utf-32-le"), np.uint32)) & np.uint32(BITMAP - 1)] = True
-        self.bits = int.from_bytes(np.packbits(marks).tobytes())
+        self._bits: int | None = None
         self._set: frozenset[str] | None = None
+        self._packed: np.ndarray | None = packed_shingles(text)
+
+    def bits(self) -> int:
+        if self._bits is None:
+            marks = np.zeros(BITMAP, bool)
+            marks[shingle_hashes(np.frombuffer(self.text.encode("utf-32-le"), np.uint32)) & np.uint32(BITMAP - 1)] = True
+            self._bits = int.from_bytes(np.packbits(marks).tobytes())
+        return self._bits
 
-    @property
     def set(self) -> frozenset[str]:
         if self._set is None:
             self._set = shingles(self.text)
         return self._set
 
-    def alike(self, other: Line, threshold: float) -> bool:
-        """Whether the Jaccard similarity of the shingle sets is at least the
-        threshold.  A bit that one has and the other lacks stands for a shingle
-        of which the same is true."""
-        mine, theirs = (self.bits & ~other.bits).bit_count(), (other.bits & ~self.bits).bit_count()
+    def similarity(self, other: Line) -> float:
+        """The Jaccard similarity of the shingle sets."""
+        a, b = self._packed, other._packed
+        if a is None or b is None:
+            return jaccard(self.set(), other.set())
+        merged = np.concatenate([a, b])
+        merged.sort()
+        both = int((merged[1:] == merged[:-1]).sum())
+        return both / (len(a) + len(b) - both)
+
+    def may_be_alike(self, other: Line, threshold: float) -> bool:
+        """False only if the similarity is below the threshold: a bit that one
+        has and the other lacks stands for a shingle of which the same is true."""
+        mine, theirs = (self.bits() & ~other.bits()).bit_count(), (other.bits() & ~self.bits()).bit_count()
         both = min(self.places - mine, other.places - theirs)
-        return both >= threshold * (both + mine + theirs) and jaccard(self.set, other.set) >= threshold
+        return both >= threshold * (both + mine + theirs)
 
 
 def _indexed(rows: DataFrame) -> DataFrame:
@@ -208,13 +237,12 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            last, of_last = None, frozenset()
+            last = None
             keep = []
-            for s, t in zip(x, y, strict=True):  # sorted by the second
-                if t != last:
-                    last, of_last = t, shingles(t)
-                keep.append(jaccard(shingles(s), of_last) >= threshold)
+            for s, t in zip(strings(batch.column(2)), strings(batch.column(3)), strict=True):  # sorted by the second
+                if last is None or t != last.text:
+                    last = Line(t)
+                keep.append(Line(s).similarity(last) >= threshold)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return arrow_map(pairs.select("a", "b", "x", "y"), run, "a long, b long")
@@ -239,7 +267,7 @@ def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
         for n, (h, c, own) in enumerate(outside):
             # the lines outside are in every block; they meet each other in the first
             for g, d, other in inside + outside[:n] if block == 0 else inside:
-                if (p := root(c)) != (q := root(d)) and own.alike(other, threshold):
+                if (p := root(c)) != (q := root(d)) and own.may_be_alike(other, threshold) and own.similarity(other) >= threshold:
                     parent[p] = q
                     yield h, g
 
