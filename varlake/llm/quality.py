@@ -185,13 +185,17 @@ class Scorer:
 def fit_quality(df: DataFrame, labels: DataFrame, grades: int, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", max_rows: int = MAX_ROWS) -> OrdinalModel:
     """A model from the labelled documents: ``labels`` has (id, grade); grades
     are 0 .. grades - 1, others and null are passed over.  At most ``max_rows``
-    rows come to the driver, as hashed features."""
+    rows come to the driver, as hashed features.  Without ratings of two grades
+    there is nothing to tell documents apart by: all get score 0 and the highest
+    grade, so none is rejected."""
     marks = pick(labels, key=id_col, grade=grade_col).where(F.col("grade").between(0, grades - 1)).groupBy("key").agg(F.min("grade").cast("int").alias("grade"))
     count = {r["grade"]: r["n"] for r in marks.groupBy("grade").agg(F.count("*").alias("n")).collect()}
     model = OrdinalModel(grades)
+    untold = OrdinalModel(grades)
+    untold.start = -60.0
     total = sum(count.values())
     if len(count) < 2:
-        return model
+        return untold
     chosen = None
     for g, n in sorted(count.items()):
         own = marks.where(F.col("grade") == g).orderBy(F.xxhash64("key"), "key").limit(max(1, min(n, max_rows * n // total)))
@@ -209,7 +213,7 @@ def fit_quality(df: DataFrame, labels: DataFrame, grades: int, id_col: str = "do
     # a document that occurs in many rows has as many here; the bound holds for all of them
     got = arrow_map(rows, run, "grade int, f array<int>, v array<float>").limit(max_rows).toArrow()
     if len(set(got["grade"].to_pylist())) < 2:
-        return model
+        return untold
     lists = got["f"].combine_chunks()
     lens, cols = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
     return model.fit(lens, cols, got["v"].combine_chunks().flatten().to_numpy(), got["grade"].to_numpy().astype(np.int64))
