@@ -228,6 +228,15 @@ def test_cross_links_in_blocks(spark, monkeypatch, block):
     assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 3}
 
 
+def test_lines_with_one_change_are_alike(spark):
+    """An inner character of a line of 60, and a word of six letters in one of 110."""
+    short = "every reader of this page may write to us at the old address"
+    long = "the committee met on the second of march in order to discuss the plans for a bridge over the river at its mouth"
+    docs = [(1, f"{short}\n{long}\nabcdefg\nabcd"), (2, short.replace("page", "pace")), (3, long.replace("bridge", "tunnel")), (4, "abcdefh\nabce\nabcd")]
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: docs[0][1], 2: "", 3: "", 4: "abcdefh\nabce"}
+
+
 def test_lines_of_empty_table(spark):
     assert dedup_lines(spark.createDataFrame([], "doc_id long, text string")).isEmpty()
 

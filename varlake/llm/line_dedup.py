@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from varlake.llm.common import arrow_map, ddl, pick, release, stored, strings, text_or_empty
 from varlake.llm.components import connected_components
 
-SHINGLE = 8  #: characters
+SHINGLE = 5  #: characters
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 BLOCK = 2_000  #: lines of a hot key's main component that are compared in one task at a time
@@ -54,10 +54,11 @@ def line_hash(line: str) -> int:
 
 
 def shingle_hashes(codes: np.ndarray) -> np.ndarray:
-    """A 32-bit hash of the SHINGLE (8) characters from each place on."""
+    """A 32-bit hash of the SHINGLE (5) characters from each place on."""
     h = codes
-    for width, by in ((1, 0x9E3779B1), (2, 0x85EBCA6B), (4, 0xC2B2AE35)):
+    for width, by in ((1, 0x9E3779B1), (2, 0x85EBCA6B)):
         h = h[:-width] * np.uint32(by) + h[width:]
+    h = h[:-1] * np.uint32(0xC2B2AE35) + codes[4:]
     h = (h ^ (h >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
     return h ^ (h >> np.uint32(13))
 
@@ -92,16 +93,14 @@ def shingles(line: str) -> frozenset[str]:
 
 
 def packed_shingles(line: str) -> np.ndarray | None:
-    """The distinct shingles of a Latin-1 line, each as its eight bytes in one
+    """The distinct shingles of a Latin-1 line, each as its five bytes in one
     number, sorted; None for other lines."""
     try:
         data = line.encode("latin-1")
     except UnicodeEncodeError:
         return None
-    out = np.empty(len(data) - SHINGLE + 1, np.uint64)
-    for start in range(min(SHINGLE, len(out))):
-        every = np.frombuffer(data, "<u8", (len(data) - start) // SHINGLE, start)
-        out[start::SHINGLE] = every
+    # the eight bytes from each place on, less the last three
+    out = np.ndarray(len(data) - SHINGLE + 1, "<u8", data + bytes(8 - SHINGLE), strides=(1,)) & np.uint64((1 << 8 * SHINGLE) - 1)
     out.sort()
     return out[np.append(True, out[1:] != out[:-1])]
 
