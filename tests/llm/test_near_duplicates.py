@@ -228,6 +228,38 @@ def test_cross_links_in_blocks(spark, monkeypatch, block):
     assert got == {0: 0, 1: 0, 2: 0, 3: 3, 4: 3, 5: 3}
 
 
+@pytest.mark.parametrize("outside", [300, 40])
+def test_no_group_of_a_hot_key_has_more_than_two_blocks(spark, monkeypatch, outside):
+    """Lines under one key that are unlike its smallest line and each other, but for two pairs."""
+    monkeypatch.setattr(line_dedup, "BLOCK", 20)
+    random = np.random.default_rng(4)
+    base = prose(random, 40)
+    lines = [base] + [base + str(i) for i in range(90)] + [prose(random, 12) for _ in range(outside)]
+    lines += [lines[95] + "!", lines[120] + "!"]
+    texts = spark.createDataFrame(list(enumerate(lines)), "h long, line string")
+    shared = texts.selectExpr("1L AS k", "h", "0L AS rep")
+    groups = []
+    links = line_dedup._cross_links
+
+    def watched(members, threshold):
+        groups.extend((r["block"], r["h"]) for r in members.select("block", "h").collect())
+        return links(members, threshold)
+
+    monkeypatch.setattr(line_dedup, "_indexed", lambda rows: rows)
+    monkeypatch.setattr(line_dedup, "_shared_keys", lambda rows: shared)
+    monkeypatch.setattr(line_dedup, "_texts", lambda *a: texts)
+    monkeypatch.setattr(line_dedup, "_cross_links", watched)
+    got = {r["h"]: r["component"] for r in line_dedup._components(texts, texts, 0.8).collect()}
+    n = len(lines)
+    assert got == {**{h: 0 for h in range(91)}, 95: 95, 120: 120, n - 2: 95, n - 1: 120}
+    held = {}
+    for block, h in groups:
+        held.setdefault(block, []).append(h)
+    assert max(map(len, held.values())) <= 2 * 40  # blocks by hash are of 20 lines or so
+    met = {(a, b) for hs in held.values() for a in hs for b in hs if a < b}
+    assert met >= {(a, b) for b in range(91, n) for a in range(1, b)}
+
+
 def test_lines_with_one_change_are_alike(spark):
     """An inner character of a line of 60, and a word of six letters in one of 110."""
     short = "every reader of this page may write to us at the old address"

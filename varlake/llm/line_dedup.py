@@ -12,10 +12,11 @@ order of (document id, place) stays, over the whole corpus.
 2. Under each band key, every line is verified against one of them (linear, and
    split by Spark if a key is hot).  Links give components.
 3. Under keys that still hold several components, lines outside that one's
-   component are verified against all others of another component, a large key
-   in blocks; a found link joins two components, so no further pair of them is
-   looked at.  No pair of a key is left out; keys that hold the same lines are
-   looked at once.
+   component are verified against all others of another component; a found link
+   joins two components, so no further pair of them is looked at.  All lines of
+   a large key are dealt into blocks, and two blocks at a time meet in a task.  No
+   pair of a key is left out, so n lines outside cost n * n / 2 comparisons, spread
+   over the pairs of blocks; keys that hold the same lines are looked at once.
 4. Components again, then the first line of each.
 
 Lines are identified by 64-bit hashes: among n distinct lines about n * n / 2**65
@@ -38,7 +39,7 @@ from varlake.llm.components import connected_components
 SHINGLE = 5  #: characters
 THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
-BLOCK = 2_000  #: lines of a hot key's main component that are compared in one task at a time
+BLOCK = 2_000  #: lines of a hot key, of two of which the lines are compared in one task at a time
 BLOCK_CHARS = 100_000  #: characters signed at a time, so that the arrays stay in the cache
 BITMAP = 2_048  #: bits; a power of two
 SEEN_LINES = 200_000  #: line hashes that a task remembers so as not to sign a line again
@@ -247,25 +248,44 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
     return arrow_map(pairs.select("a", "b", "x", "y"), run, "a long, b long")
 
 
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """``members``, (k, h, component, main), dealt so that every two lines under
+    a key of which one is not ``main`` meet in one group (k, block), which has the
+    lines of at most two blocks of the key: (k, block, here, h, component).
+
+    The blocks of main lines are numbered first, then those of the others.  The
+    group of blocks i <= j is i * 2**32 + j; ``here`` marks the lines of j, which
+    are never main.  They meet those of i, and each other where i is 0."""
+    sizes = members.groupBy("k").agg(F.count_if("main").alias("inside"), F.count_if(~F.col("main")).alias("outside"))
+    sizes = sizes.select("k", *(F.ceil(F.col(c) / BLOCK).cast("int").alias(c) for c in ("inside", "outside")))
+    mark = F.xxhash64("h")
+    own = F.when(F.col("main"), F.pmod(mark, F.greatest(F.lit(1), "inside"))).otherwise(F.col("inside") + F.pmod(mark, F.greatest(F.lit(1), "outside"))).cast("int")
+    first = F.when(F.col("main"), F.col("inside")).otherwise(F.lit(0))
+    dealt = members.join(sizes, "k").where("outside > 0").withColumn("own", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(first, F.col("inside") + F.col("outside") - 1))).where("own != other or own = 0")
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    block = F.shiftleft(low.cast("long"), 32) + high
+    return dealt.select("k", block.alias("block"), (F.col("own") == high).alias("here"), "h", "component")
+
+
 def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
     """Links between components under the same key.  ``members``: (k, block, h,
-    component, main, line), a block's rows together, where ``main`` says whether
-    the line is of the component of the key's representative."""
+    component, here, line), the groups of ``_in_blocks``."""
 
     def linked(block: int, rows: list[tuple[int, int, bool, str]]) -> Iterator[tuple[int, int]]:
         parent: dict[int, int] = {}
 
         def root(c: int) -> int:
-            while parent.get(c, c) != c:
-                c = parent[c]
+            while (p := parent.get(c, c)) != c:
+                parent[c] = c = parent.get(p, p)
             return c
 
         lines = [(h, c, Line(text)) for h, c, _, text in rows]
-        inside = [x for x, r in zip(lines, rows, strict=True) if r[2]]
-        outside = [x for x, r in zip(lines, rows, strict=True) if not r[2]]
-        for n, (h, c, own) in enumerate(outside):
-            # the lines outside are in every block; they meet each other in the first
-            for g, d, other in inside + outside[:n] if block == 0 else inside:
+        here = [x for x, r in zip(lines, rows, strict=True) if r[2]]
+        there = [x for x, r in zip(lines, rows, strict=True) if not r[2]]
+        for n, (h, c, own) in enumerate(here):
+            # the lines of a block meet each other where it is dealt with the first
+            for g, d, other in there + here[:n] if block >> 32 == 0 else there:
                 if (p := root(c)) != (q := root(d)) and own.may_be_alike(other, threshold) and own.similarity(other) >= threshold:
                     parent[p] = q
                     yield h, g
@@ -287,7 +307,7 @@ def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
         yield from out()
 
     dealt = members.repartition("k", "block").sortWithinPartitions("k", "block")
-    return arrow_map(dealt.select("k", "block", "h", "component", "main", "line"), run, "a long, b long")
+    return arrow_map(dealt.select("k", "block", "h", "component", "here", "line"), run, "a long, b long")
 
 
 def _components(rows: DataFrame, places: DataFrame, threshold: float) -> DataFrame:
@@ -314,12 +334,9 @@ def _components(rows: DataFrame, places: DataFrame, threshold: float) -> DataFra
         F.sum(mark.bitwiseAND(F.lit(0xFFFFFFFF))).alias("t"),
     )
     # bands often bring the same lines together: one key of equal ones is enough
-    mixed = mixed.where("low != high").groupBy("n", "s", "t").agg(F.min_by(F.struct("k", "rep_component"), "k").alias("one")).select("one.k", "n", "one.rep_component")
-    members = named.where(~is_rep).join(mixed, "k").withColumn("main", F.col("component") == F.col("rep_component"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / BLOCK)).cast("int")
-    # lines of the main component are dealt out over the blocks, the others are in each
-    where = F.when(F.col("main"), F.array(F.pmod(F.xxhash64("h"), blocks).cast("int"))).otherwise(F.sequence(F.lit(0), blocks - 1))
-    members = members.withColumn("block", F.explode(where)).join(texts, "h").select("k", "block", "h", "component", "main", "line")
+    mixed = mixed.where("low != high").groupBy("n", "s", "t").agg(F.min_by(F.struct("k", "rep_component"), "k").alias("one")).select("one.k", "one.rep_component")
+    members = named.where(~is_rep).join(mixed, "k").select("k", "h", "component", (F.col("component") == F.col("rep_component")).alias("main"))
+    members = _in_blocks(stored(members)).join(texts, "h")
     more = stored(_cross_links(members, threshold))
     if more.isEmpty():
         return found
