@@ -198,6 +198,13 @@ def test_html_layout(page, text):
     assert html_to_text(page) == text
 
 
+@pytest.mark.parametrize("tag", ["script", "style", "title", "textarea"])
+def test_raw_text_ends_where_lower_case_is_longer(tag):
+    """Lower-casing the dotted capital I gives two characters."""
+    page = f"<p>\u0130zmir<{tag}>x</{tag}s></{tag.upper()}\n><p>the rest"
+    assert html_to_text(page).endswith("the rest") and "zmir" in html_to_text(page)
+
+
 def test_any_nesting_is_taken():
     n = 30_000
     assert html_to_text("<div>" * n + "x" + "</div>" * n) == "x"

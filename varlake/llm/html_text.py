@@ -61,6 +61,7 @@ SHOWN_INPUTS = _set("text search url tel email submit button reset number date t
 SIMPLE_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)>")
 TAG_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""[\s/]*([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]*)))?""")
+RAW_END = {tag: re.compile(rf"</{tag}(?=[>/ \n\t\r\f]|\Z)", re.I | re.A) for tag in RAW | RAW_WITH_ENTITIES}
 RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
 HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)")
 SIMPLE_SELECTOR = re.compile(r"([a-z][a-z0-9]*)?((?:[.#][\w-]+)*)\Z")
@@ -90,7 +91,6 @@ def _attributes(page: str, at: int) -> tuple[dict[str, str], int]:
 def tokens(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
     """("text", text, {}), ("start", tag, attributes) and ("end", tag, {})."""
     at, size = 0, len(page)
-    lower: str | None = None
     while at < size:
         lt = page.find("<", at)
         if lt < 0:
@@ -127,12 +127,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, dict[str, str]]]:
             yield "text", page[at:], {}
             return
         if tag in RAW or tag in RAW_WITH_ENTITIES:
-            if lower is None:
-                lower = page.lower() if len(page.lower()) == size else page
-            end = lower.find(f"</{tag}", at)
-            while end >= 0 and page[end + 2 + len(tag) : end + 3 + len(tag)] not in ("", ">", "/", " ", "\n", "\t", "\r", "\f"):
-                end = lower.find(f"</{tag}", end + 1)
-            end = size if end < 0 else end
+            m = RAW_END[tag].search(page, at)
+            end = m.start() if m else size
             if end > at:
                 yield "text", html.unescape(page[at:end]) if tag in RAW_WITH_ENTITIES else page[at:end], {}
             at = end
