@@ -198,6 +198,41 @@ def test_html_layout(page, text):
     assert html_to_text(page) == text
 
 
+@pytest.mark.parametrize(
+    ("sheet", "body", "text"),
+    [
+        ("@media print { .c { display:none } }", "<p class=c>a", "a"),
+        ("@media screen and (max-width:600px){.c{display:none}} .d{display:none}", "<p class=c>a<p class=d>b", "a"),
+        ("@media screen, print{.c{display:none}} @media all{.d{display:none}}", "<p class=c>a<p class=d>b<p>e", "e"),
+        ("@import 'x{'; @keyframes k{p{visibility:hidden} to{display:none}} @font-face{src:url(a;b)}", "<p>a", "a"),
+        (".tab{display:none}.tab.on{display:block}", "<p class='tab on'>a<p class=tab>b", "a"),
+        (".tab.on{display:block}.tab{display:none}", "<p class='tab on'>a<p class=tab>b", "a"),
+        (".tab{display:none}#t .tab{display:block}", "<div id=t><p class=tab>a</div><p class=tab>b", "a"),
+        (".a{display:none}.a{display:inline}.b{display:block}.b{display:none}", "<p class=a>a<p class=b>b", "a"),
+        (".a{display:none}.b{display:none!important}", "<p class=a style='display:block'>a<p class=b style='display:block'>b", "a"),
+        (".a{display:none}.a:hover{display:block}.b{display:none}.b:first-child{display:block}", "<div><p class=b>b</div><p class=a>a", "b"),
+        ("p:first-child{display:none}.x + p{display:none}.q::before{display:none}", "<p class=q>a", "a"),
+        (".a{visibility:hidden}.b{visibility:visible}", "<div class=a>x<p class=b>a</p>y<p>z</div>", "a"),
+        ("nav > .a{display:none} body > .c{display:none}", "<nav><b><i class=a>a</i></b><i class=a>b</i></nav><p class=c>c", "a"),
+        (".a{/* } */content:'}';display:none}.b{display:none", "<p class=a>a<p class=b>b<p>c", "c"),
+        (".Tab{display:none} .a:not(.on){display:none} [hidden]{display:none}", "<p class=tab>a<p class='a on'>b<p class=a>c<p hidden>d", "a\n\nb"),
+        (".a{--display:none;x-display:none}.b{display:none\\9}", "<p class=a>a<p class=b>b", "a\n\nb"),
+        (".a\\:b,.c{display:none}", "<p class='a:b'>a<p class=c>c<p class=a>d", "d"),
+        ("@layer x{.a{display:block}.b.b{display:none}} .a{display:none} .b{display:block} @supports (display:grid){.c{display:none}}", "<p class=a>a<p class=b>b<p class=c>c", "b"),
+        ("dialog,.a{display:block}", "<dialog>a</dialog><p class=a hidden>b", "a\n\nb"),
+    ],
+)
+def test_winning_declaration_hides(sheet, body, text):
+    assert html_to_text(f"<style>{sheet}</style>{body}") == text
+
+
+def test_sheets_for_others_hide_nothing():
+    sheet = "<style {}>p{{display:none}}</style><p>a"
+    assert html_to_text(sheet.format("media=print")) == html_to_text(sheet.format("type=text/x")) == "a"
+    assert html_to_text(sheet.format("media=screen type=text/css")) == ""
+    assert html_to_text("<noscript><style>p{display:none}</style></noscript><p>a") == "a"
+
+
 @pytest.mark.parametrize("tag", ["script", "style", "title", "textarea"])
 def test_raw_text_ends_where_lower_case_is_longer(tag):
     """Lower-casing the dotted capital I gives two characters."""

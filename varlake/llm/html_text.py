@@ -62,16 +62,26 @@ SIMPLE_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9]*)>")
 TAG_NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 ATTRIBUTE = re.compile(r"""[\s/]*([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]*)))?""")
 RAW_END = {tag: re.compile(rf"</{tag}(?=[>/ \n\t\r\f]|\Z)", re.I | re.A) for tag in RAW | RAW_WITH_ENTITIES}
-RULE = re.compile(r"([^{}]*)\{([^{}]*)\}")
-HIDES = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)")
-SIMPLE_SELECTOR = re.compile(r"([a-z][a-z0-9]*)?((?:[.#][\w-]+)*)\Z")
-
+CSS_PART = re.compile(r"""/\*.*?(?:\*/|\Z)|<!--|-->|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|url\([^"')]*\)|\\.|[{};]""", re.S)
+SCREEN = re.compile(r"(?:only\s+)?(?:all|screen)\Z|\Z", re.I)
+DECLARATION = re.compile(r"\s*(display|visibility)\s*:\s*([a-z-]+(?:\s+[a-z-]+)*|var\(.*\))\s*(!\s*important)?\s*\Z", re.I | re.S)
+NAME = r"(?:[\w-]|[^\x00-\x7f]|\\.)+"
+SELECTOR_PART = re.compile(
+    rf"""(?P<tag>\*|{NAME})|(?P<mark>[.#])(?P<name>{NAME})"""
+    r"""|\[\s*(?P<attr>[\w-]+)\s*(?:(?P<op>[~|^$*]?=)\s*(?P<value>"[^"]*"|'[^']*'|[^\s\]]+)\s*(?P<case>[isIS])?\s*)?\]"""
+    r"""|:not\(\s*(?P<other>[^()]*?)\s*\)|(?P<pseudo>::?[\w-]+)(?:\([^()]*\))?"""
+)
+COMBINATOR = re.compile(r"\s*([>+~])\s*|\s+")
+#: Pseudo-classes that hold of nothing on a page at rest; pseudo-elements begin with two colons.
+NOT_AT_REST = _set(":hover :focus :focus-within :focus-visible :active :visited :target :fullscreen :before :after :first-line :first-letter")
 
 class Node:
-    __slots__ = ("attrs", "children", "tag")
+    __slots__ = ("attrs", "children", "root", "tag", "unseen")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
         self.tag, self.attrs = tag, attrs
+        self.root = False
+        self.unseen = False  # by its visibility, which what is in it may change
         self.children: list[Node | str] = []
 
 
@@ -139,6 +149,7 @@ class Tree:
 
     def __init__(self) -> None:
         self.root = Node("html", {})
+        self.root.root = True
         self.open = [self.root]
         self.count: dict[str, int] = {}
 
@@ -232,39 +243,244 @@ def parse(page: str) -> Node:
 
 
 # ---- what is shown
-def hiding_rules(root: Node) -> list[tuple[str, frozenset[str], frozenset[str]]]:
-    """(tag or "", classes, ids) of the simple selectors that the page's style
-    sheets hide."""
-    rules = []
-    todo = [root]
-    while todo:
-        node = todo.pop()
-        for child in node.children:
-            if isinstance(child, Node):
-                if child.tag == "style":
-                    sheet = re.sub(r"/\*.*?\*/", " ", "".join(c for c in child.children if isinstance(c, str)), flags=re.S).lower()
-                    for selectors, body in RULE.findall(sheet):
-                        if HIDES.search(body):
-                            for s in selectors.split(","):
-                                if (m := SIMPLE_SELECTOR.match(s.strip())) and s.strip():
-                                    marks = re.findall(r"([.#])([\w-]+)", m[2])
-                                    rules.append((m[1] or "", frozenset(n for k, n in marks if k == "."), frozenset(n for k, n in marks if k == "#")))
-                elif child.children:
-                    todo.append(child)
-    return rules
-
-
-def hidden(node: Node, rules: list[tuple[str, frozenset[str], frozenset[str]]]) -> bool:
+class Compound:
+    """A selector without combinators."""
+
+    def __init__(self) -> None:
+        self.tag = ""
+        self.ids: set[str] = set()
+        self.classes: set[str] = set()
+        self.attrs: list[tuple[str, str, str, bool]] = []
+        self.others: list[Compound] = []  # of :not()
+        self.root = False
+
+    def fits(self, node: Node) -> bool:
+        a = node.attrs
+        if self.tag and self.tag != node.tag and not (node.root and self.tag == "body") or self.root and not node.root:
+            return False
+        if self.ids and self.ids != {a.get("id", "")} or self.classes and not self.classes <= set(a.get("class", "").split()):
+            return False
+        return all(_attribute_fits(a, *x) for x in self.attrs) and not any(x.fits(node) for x in self.others)
+
+
+def _attribute_fits(attrs: dict[str, str], name: str, op: str, want: str, any_case: bool) -> bool:
+    if name not in attrs or not op:
+        return name in attrs
+    has = attrs[name]
+    if any_case:
+        has, want = has.lower(), want.lower()
+    if op == "=":
+        return has == want
+    if op == "~=":
+        return want in has.split()
+    if op == "|=":
+        return has == want or has.startswith(want + "-")
+    return bool(want) and (has.startswith(want) if op == "^=" else has.endswith(want) if op == "$=" else want in has)
+
+
+class Selector:
+    """``parts``: (combinator before it, compound).  What is not looked at
+    (siblings, other pseudo-classes) is left out, and ``exact`` says that
+    nothing was: otherwise it fits more than it should."""
+
+    __slots__ = ("exact", "parts", "specificity")
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[str, Compound]] = []
+        self.specificity = (0, 0, 0)
+        self.exact = True
+
+    def fits(self, node: Node, above: list[tuple[Node, Iterator]]) -> bool:
+        todo = [(len(self.parts) - 1, node, len(above))]
+        seen = set()
+        while todo:
+            at, node, depth = todo.pop()
+            combinator, compound = self.parts[at]
+            if not compound.fits(node):
+                continue
+            if at == 0:
+                return True
+            depths = [max(0, depth - 1)] if combinator == ">" else range(depth) if depth else [0]  # the root is html and body
+            for d in depths:
+                if (at, d) not in seen:
+                    seen.add((at, d))
+                    todo.append((at - 1, above[d][0], d))
+        return False
+
+
+def _selector(text: str) -> Selector | None:
+    """None if it is not understood, or fits nothing on a page at rest."""
+    out, compound, combinator, at = Selector(), Compound(), "", 0
+    ids = classes = tags = 0
+    start = 0
+    while at < len(text):
+        if m := COMBINATOR.match(text, at):
+            if at == start:
+                return None
+            if (m[1] or " ") in "+~":
+                out.exact = False
+            else:
+                out.parts.append((combinator, compound))
+                combinator = m[1] or " "
+            compound, start = Compound(), m.end()
+        elif (m := SELECTOR_PART.match(text, at)) and m.end() > at and not (m["tag"] and at > start):
+            if m["tag"]:
+                if m["tag"] != "*":
+                    compound.tag, tags = m["tag"].lower(), tags + 1
+            elif m["mark"]:
+                name = re.sub(r"\\(.)", r"\1", m["name"])
+                if m["mark"] == "#":
+                    compound.ids.add(name)
+                    ids += 1
+                else:
+                    compound.classes.add(name)
+                    classes += 1
+            elif m["attr"]:
+                value = m["value"] or ""
+                compound.attrs.append((m["attr"].lower(), m["op"] or "", value[1:-1] if value[:1] in ("'", '"') else value, (m["case"] or "").lower() == "i" or m["attr"].lower() == "type"))
+                classes += 1
+            elif m["pseudo"]:
+                name = m["pseudo"].lower()
+                if name.startswith("::") or name in NOT_AT_REST:
+                    return None
+                classes += 1
+                if name == ":root":
+                    compound.root = True
+                else:
+                    out.exact = False
+            else:
+                other = _selector(m["other"])
+                if other and other.exact and len(other.parts) == 1:
+                    compound.others.append(other.parts[0][1])
+                    i, c, t = other.specificity
+                    ids, classes, tags = ids + i, classes + c, tags + t
+                elif not (m["other"].startswith(":") and m["other"].lower() in NOT_AT_REST):
+                    out.exact = False
+        else:
+            return None
+        at = m.end()
+    if at == start:
+        return None
+    out.parts.append((combinator, compound))
+    out.specificity = (ids, classes, tags)
+    return out
+
+
+def _declared(declarations: Iterable[str]) -> dict[str, tuple[bool, str]]:
+    """(important, value) of display and visibility, the last that counts."""
+    out: dict[str, tuple[bool, str]] = {}
+    for text in declarations:
+        if m := DECLARATION.match(text):
+            name, new = m[1].lower(), (bool(m[3]), m[2].lower())
+            if name not in out or new[0] >= out[name][0]:
+                out[name] = new
+    return out
+
+
+def on_screen(media: str) -> bool:
+    """Whether a list of media holds on any screen, without conditions."""
+    return any(SCREEN.match(x.strip()) for x in media.split(","))
+
+
+def _blocks(sheet: str) -> Iterator[tuple[str, dict[str, tuple[bool, str]], bool]]:
+    """(selectors, what they declare, whether outside layers) of the rules that
+    hold on any screen."""
+    text: list[str] = []
+    inside: list[tuple[str, str]] = []  # open blocks: kind and selectors
+    declarations: list[str] = []
+    at = 0
+
+    def ended(kind: str, selectors: str) -> Iterator[tuple[str, dict[str, tuple[bool, str]], bool]]:
+        if kind == "rule" and (found := _declared(declarations)):
+            yield selectors, found, all(k != "layer" for k, _ in inside)
+
+    for m in [*CSS_PART.finditer(sheet), None]:
+        text.append(sheet[at : m.start() if m else len(sheet)])
+        part, at = (m[0], m.end()) if m else ("", len(sheet))
+        if part == "{":
+            head = "".join(text).strip()
+            name = re.match(r"@?[\w-]*", head)[0].lower()
+            rest = head[len(name) :]
+            outer = inside[-1][0] if inside else "sheet"
+            if outer in ("rule", "skip"):
+                kind = "skip"
+            elif not head.startswith("@"):
+                kind, declarations = "rule", []
+            elif name == "@media":
+                kind = "media" if on_screen(rest) else "skip"
+            elif name == "@supports":
+                kind = "skip" if rest.strip().lower().startswith("not") else "media"
+            else:
+                kind = "layer" if name == "@layer" else "skip"
+            inside.append((kind, head))
+            text = []
+        elif part in (";", "}"):
+            if inside and inside[-1][0] == "rule":
+                declarations.append("".join(text))
+            if part == "}" and inside:
+                yield from ended(*inside.pop())
+            text = []
+        else:
+            text.append(" " if part.startswith(("/*", "<!--", "-->")) else part)
+    if inside and inside[-1][0] == "rule":
+        declarations.append("".join(text))
+    while inside:
+        yield from ended(*inside.pop())
+
+
+class Styles:
+    """What a page's style sheets say of display and visibility, by what the last
+    compound of a selector asks for."""
+
+    def __init__(self, root: Node):
+        self.rules: dict[str, list[tuple[Selector, tuple, dict[str, tuple[bool, str]]]]] = {}
+        order = 0
+        todo = [root]
+        sheets = []
+        while todo:
+            node = todo.pop()
+            if node.tag == "style":
+                if on_screen(node.attrs.get("media", "")) and node.attrs.get("type", "").strip().lower() in ("", "text/css"):
+                    sheets.append("".join(c for c in node.children if isinstance(c, str)))
+            elif node.tag not in ("noscript", "template"):
+                todo += [c for c in reversed(node.children) if isinstance(c, Node)]
+        for sheet in sheets:
+            for selectors, declared, unlayered in _blocks(sheet):
+                order += 1
+                for text in re.split(r",(?![^(\[]*[)\]])", selectors):
+                    if selector := _selector(text.strip()):
+                        last = selector.parts[-1][1]
+                        key = "#" + min(last.ids) if last.ids else "." + min(last.classes) if last.classes else last.tag
+                        self.rules.setdefault(key, []).append((selector, (unlayered, selector.specificity, order), declared))
+
+    def of(self, node: Node, above: list[tuple[Node, Iterator]]) -> dict[str, str]:
+        """The winning values for an element."""
+        a = node.attrs
+        found: dict[str, tuple[tuple, str]] = {}
+        if "style" in a:
+            found = {name: ((important, True), value) for name, (important, value) in _declared(a["style"].split(";")).items()}
+        if self.rules:
+            keys = ["", node.tag]
+            if a:
+                keys += ["#" + a.get("id", ""), *("." + c for c in set(a.get("class", "").split()))]
+            for key in keys:
+                for selector, rank, declared in self.rules.get(key, ()):
+                    if selector.fits(node, above):
+                        for name, (important, value) in declared.items():
+                            hides = value == "none" or value in ("hidden", "collapse")
+                            if (selector.exact or not hides) and (name not in found or (important, False, *rank) >= found[name][0]):
+                                found[name] = (important, False, *rank), value
+        return {name: value for name, (_, value) in found.items()}
+
+
+def hidden(node: Node, styles: dict[str, str]) -> bool:
+    """Whether an element is left out with all in it."""
     a = node.attrs
-    if node.tag in NOT_SHOWN or node.tag == "dialog" and "open" not in a:
+    if node.tag in NOT_SHOWN or node.tag == "input" and a.get("type", "").lower() == "hidden":
         return True
-    if a:
-        if "hidden" in a or HIDES.search(a.get("style", "").lower()) or node.tag == "input" and a.get("type", "").lower() == "hidden":
-            return True
-    for tag, classes, ids in rules:
-        if (not tag or tag == node.tag) and classes <= set(a.get("class", "").lower().split()) and ids <= {a.get("id", "").lower()}:
-            return True
-    return False
+    if "display" in styles:
+        return styles["display"] == "none"
+    return "hidden" in a or node.tag == "dialog" and "open" not in a
 
 
 # ---- layout
@@ -378,7 +594,7 @@ def _shown_children(node: Node) -> list[Node | str]:
 
 def render(root: Node) -> str:
     """The text of a tree, laid out."""
-    rules = hiding_rules(root)
+    styles = Styles(root)
     flows = [Flow()]  # the innermost takes the text
     grids: list[Grid] = []
     lists: list[list] = []  # [ordered, next number]
@@ -389,10 +605,11 @@ def render(root: Node) -> str:
         nonlocal pre
         tag, flow = node.tag, flows[-1]
         if tag == "br":
-            flow.line()
+            if not node.unseen:
+                flow.line()
             return
         if tag == "input":
-            if node.attrs.get("type", "text").lower() in SHOWN_INPUTS:
+            if not node.unseen and node.attrs.get("type", "text").lower() in SHOWN_INPUTS:
                 flow.add(f" {node.attrs.get('value', '')} ")
             return
         if tag in ("ul", "ol", "menu", "dir"):
@@ -444,6 +661,8 @@ def render(root: Node) -> str:
             stack.pop()
             leave(node)
         elif isinstance(child, str):
+            if node.unseen:
+                continue
             if pre:
                 text = child.replace("\r\n", "\n").replace("\r", "\n")
                 if child is node.children[0] and node.tag in ("pre", "textarea", "listing"):
@@ -451,8 +670,12 @@ def render(root: Node) -> str:
                 flows[-1].add(text, as_is=True)
             else:
                 flows[-1].add(child)
-        elif not hidden(child, rules):
-            enter(child)
+        else:
+            own = styles.of(child, stack) if styles.rules or child.attrs else {}
+            if not hidden(child, own):
+                value = own.get("visibility", "inherit")
+                child.unseen = node.unseen if value in ("inherit", "unset") else value in ("hidden", "collapse")
+                enter(child)
     return "\n".join(line.rstrip() for line in flows[0].text().split("\n")).strip("\n")
 
 
