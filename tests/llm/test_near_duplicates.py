@@ -189,6 +189,16 @@ def test_line_similarity_is_exact(a, b, cut):
         assert all(p.may_be_alike(q, t) for t in (0.2, 0.5, 0.8) if want >= t)
 
 
+@settings(max_examples=300, deadline=None)
+@given(a=st.text(st.sampled_from(list("abé ÿ日")), min_size=8, max_size=70), b=st.text(st.sampled_from(list("abé ÿ")), min_size=8, max_size=70), cut=st.integers(0, 60))
+def test_sketches_allow_what_is_alike(a, b, cut):
+    for x, y in ((a, b), (a, a[:cut] + b), (b, b[:cut] + "日" + b), (b, b[cut:] + b[:8]), (a * 300, (a * 300)[cut:]), ("".join(map(chr, range(256, 9000))), a)):
+        want = line_dedup.jaccard(line_dedup.shingles(x), line_dedup.shingles(y))
+        p, q = line_dedup.sketch(x), line_dedup.sketch(y)
+        assert p[0] == 255 or p.sum() == len(line_dedup.shingles(x))
+        assert all(line_dedup.sketches_allow(p, q, t) for t in (0.2, 0.5, 0.8, want) if want >= t)
+
+
 @pytest.mark.parametrize("batch", [1, 2, 7, 10_000])
 def test_shared_keys_across_batches(spark, batch):
     random = np.random.default_rng(batch)
@@ -239,16 +249,17 @@ def test_no_group_of_a_hot_key_has_more_than_two_blocks(spark, monkeypatch, outs
     texts = spark.createDataFrame(list(enumerate(lines)), "h long, line string")
     shared = texts.selectExpr("1L AS k", "h", "0L AS rep")
     groups = []
-    links = line_dedup._cross_links
+    deal = line_dedup._in_blocks
 
-    def watched(members, threshold):
-        groups.extend((r["block"], r["h"]) for r in members.select("block", "h").collect())
-        return links(members, threshold)
+    def watched(members):
+        dealt = deal(members)
+        groups.extend((r["block"], r["h"]) for r in dealt.select("block", "h").collect())
+        return dealt
 
     monkeypatch.setattr(line_dedup, "_indexed", lambda rows: rows)
     monkeypatch.setattr(line_dedup, "_shared_keys", lambda rows: shared)
     monkeypatch.setattr(line_dedup, "_texts", lambda *a: texts)
-    monkeypatch.setattr(line_dedup, "_cross_links", watched)
+    monkeypatch.setattr(line_dedup, "_in_blocks", watched)
     got = {r["h"]: r["component"] for r in line_dedup._components(texts, texts, 0.8).collect()}
     n = len(lines)
     assert got == {**{h: 0 for h in range(91)}, 95: 95, 120: 120, n - 2: 95, n - 1: 120}

@@ -19,6 +19,10 @@ order of (document id, place) stays, over the whole corpus.
    over the pairs of blocks; keys that hold the same lines are looked at once.
 4. Components again, then the first line of each.
 
+Before texts are shuffled to be compared, sketches are: how many shingles of a
+line fall into each of ``BUCKETS`` buckets bounds the similarity from above, and
+what cannot reach the threshold goes no further.
+
 Lines are identified by 64-bit hashes: among n distinct lines about n * n / 2**65
 pairs share one by chance.
 """
@@ -41,10 +45,14 @@ THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 BLOCK = 2_000  #: lines of a hot key, of two of which the lines are compared in one task at a time
 BLOCK_CHARS = 100_000  #: characters signed at a time, so that the arrays stay in the cache
+BUCKETS = 32  #: of a sketch; a byte each
 BITMAP = 2_048  #: bits; a power of two
 SEEN_LINES = 200_000  #: line hashes that a task remembers so as not to sign a line again
 _MULTIPLIERS = (np.random.default_rng(20).integers(0, 2**32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 
+_WIDE = np.random.default_rng(21).integers(0, 2**64, SHINGLE, dtype=np.uint64) | np.uint64(1)
+SKETCH = [f"s{i}" for i in range(BUCKETS // 8)]
+
 
 def lines_of(text: str) -> list[str]:
     return [x.strip() for x in text.split("\n")]
@@ -148,6 +156,103 @@ class Line:
         return both >= threshold * (both + mine + theirs)
 
 
+def sketch(line: str) -> np.ndarray:
+    """How many distinct shingles fall into each bucket; 255 throughout if one
+    of these numbers does not fit a byte."""
+    values = packed_shingles(line)
+    if values is None:
+        codes = np.frombuffer(line.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        windows = [codes[i : len(codes) - SHINGLE + 1 + i] for i in range(SHINGLE)]
+        # equal to the packed number where all is Latin-1; told apart by another hash
+        _, at = np.unique(sum(w * by for w, by in zip(windows, _WIDE, strict=True)), return_index=True)
+        values = sum(w << np.uint64(8 * i) for i, w in enumerate(windows))[at]
+    counts = np.bincount(((values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(59)).astype(np.int64), minlength=BUCKETS)
+    return (counts if counts.max() < 255 else np.full(BUCKETS, 255)).astype(np.uint8)
+
+
+def sketches_allow(a: np.ndarray, b: np.ndarray, threshold: float) -> np.ndarray:
+    """False only where the similarity is below the threshold, for sketches along
+    the first axis."""
+    both = np.minimum(a, b).sum(0, dtype=np.int32)
+    either = a.sum(0, dtype=np.int32) + b.sum(0, dtype=np.int32) - both
+    return (both >= threshold * either - 1e-6) | (a[0] == 255) | (b[0] == 255)
+
+
+def _sketches(texts: DataFrame) -> DataFrame:
+    """(h, s0 .. s3): the sketch of each line, eight buckets in a number."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.stack([sketch(line) for line in strings(batch.column(1))]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c) for c in found.T)], ["h", *SKETCH])
+
+    return arrow_map(texts.select("h", "line"), run, "h long, " + ", ".join(f"{c} long" for c in SKETCH))
+
+
+def _buckets(columns: list[np.ndarray]) -> np.ndarray:
+    """(BUCKETS, rows) of the columns of ``_sketches``."""
+    return np.ascontiguousarray(np.stack(columns, 1).view(np.uint8).T)
+
+
+def _possible(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) that sketches allow."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = len(SKETCH)
+        for batch in batches:
+            columns = [c.to_numpy() for c in batch.columns]
+            keep = sketches_allow(_buckets(columns[2 : 2 + n]), _buckets(columns[2 + n :]), threshold)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep))
+
+    x, y = (sketches.toDF(end, *(f"{end}_{c}" for c in SKETCH)) for end in "ab")
+    joined = pairs.join(x, "a").join(y, "b").select("a", "b", *(f"{end}_{c}" for end in "ab" for c in SKETCH))
+    return arrow_map(joined, run, "a long, b long")
+
+
+def _possible_members(members: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """The rows of ``_in_blocks`` that sketches allow to be like a line of
+    another component that they meet."""
+
+    def kept(rows: np.ndarray) -> np.ndarray:
+        rows = rows[np.argsort(rows[:, 2], kind="stable")]  # those of the other block first
+        here = np.searchsorted(rows[:, 2], 1)
+        marks = _buckets(list(rows[:, 5:].T))
+        end = len(rows) if rows[0, 1] >> 32 == 0 else here
+        keep = np.zeros(len(rows), bool)
+        step = max(1, 16_384 // max(1, end))
+        for at in range(here, len(rows), step) if end else ():
+            mine = slice(at, at + step)
+            found = sketches_allow(marks[:, mine, None], marks[:, None, :end], threshold) & (rows[mine, 4, None] != rows[None, :end, 4])
+            keep[mine] |= found.any(1)
+            keep[:end] |= found.any(0)
+        return rows[keep, :5]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def batch_of(found: list[np.ndarray]) -> pa.RecordBatch:
+            k, block, here, h, component = np.concatenate(found).T
+            return pa.RecordBatch.from_arrays([pa.array(k), pa.array(block), pa.array(here == 1), pa.array(h), pa.array(component)], ["k", "block", "here", "h", "component"])
+
+        for batch in batches:
+            rows = np.stack([c.to_numpy() for c in batch.columns], 1)
+            ends = np.flatnonzero((rows[1:, :2] != rows[:-1, :2]).any(1)) + 1
+            done = []
+            for part in np.split(rows, ends):
+                if held and (held[0][0, :2] != part[0, :2]).any():
+                    done.append(kept(np.concatenate(held)))
+                    held = []
+                held.append(part)
+            if done:
+                yield batch_of(done)
+        if held:
+            yield batch_of([kept(np.concatenate(held))])
+
+    dealt = members.join(sketches, "h").repartition("k", "block").sortWithinPartitions("k", "block")
+    dealt = dealt.select("k", "block", F.col("here").cast("long"), "h", "component", *SKETCH)
+    return arrow_map(dealt, run, "k long, block long, here boolean, h long, component long")
+
+
 def _indexed(rows: DataFrame) -> DataFrame:
     """(k, h): each line under its band keys, once a task or so."""
 
@@ -317,8 +422,12 @@ def _components(rows: DataFrame, places: DataFrame, threshold: float) -> DataFra
     texts = stored(_texts(rows, places, shared.select("h").distinct()))
     release(rows)
     pairs = shared.where("h != rep").select(F.col("h").alias("a"), F.col("rep").alias("b")).distinct()
+    sketches = stored(_sketches(texts))
+    pairs = stored(_possible(pairs, sketches, threshold))
+    release(rows)
     pairs = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
     links = stored(_verified(pairs, threshold))
+    release(rows)
     found = stored(connected_components(links).toDF("h", "component"))
     # keys that still hold several components, beside the representative: it has met all others
     named = shared.join(found, "h", "left").select("k", "h", "rep", F.coalesce("component", "h").alias("component"))
@@ -336,7 +445,9 @@ def _components(rows: DataFrame, places: DataFrame, threshold: float) -> DataFra
     # bands often bring the same lines together: one key of equal ones is enough
     mixed = mixed.where("low != high").groupBy("n", "s", "t").agg(F.min_by(F.struct("k", "rep_component"), "k").alias("one")).select("one.k", "one.rep_component")
     members = named.where(~is_rep).join(mixed, "k").select("k", "h", "component", (F.col("component") == F.col("rep_component")).alias("main"))
-    members = _in_blocks(stored(members)).join(texts, "h")
+    members = stored(_possible_members(_in_blocks(stored(members)), sketches, threshold))
+    release(rows)
+    members = members.join(texts, "h")
     more = stored(_cross_links(members, threshold))
     if more.isEmpty():
         return found
