@@ -240,6 +240,11 @@ def test_raw_text_ends_where_lower_case_is_longer(tag):
     assert html_to_text(page).endswith("the rest") and "zmir" in html_to_text(page)
 
 
+def test_text_in_the_head_begins_the_body():
+    assert html_to_text("<head> <title>T</title>\nHello <b>world</b>") == "Hello world"
+    assert html_to_text("<html><head><title>T</title>Hello world<meta x> again</head><p>p") == "Hello world again\n\np"
+
+
 def test_any_nesting_is_taken():
     n = 30_000
     assert html_to_text("<div>" * n + "x" + "</div>" * n) == "x"

@@ -234,6 +234,8 @@ def parse(page: str) -> Node:
     tree = Tree()
     for kind, value, attrs in tokens(page.replace("\0", "")):
         if kind == "text":
+            if tree.open[-1].tag == "head" and value.strip(" \t\n\r\f"):
+                tree.pop_to(len(tree.open) - 1)  # the body begins
             tree.open[-1].children.append(value)
         elif kind == "start":
             tree.start(value, attrs)
