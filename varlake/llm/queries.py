@@ -13,6 +13,7 @@ from varlake.llm.ann import nearest
 from varlake.llm.bpe import bpe_decode, bpe_encode
 from varlake.llm.html_text import extract_text
 from varlake.llm.line_dedup import dedup_lines
+from varlake.llm.merkle import leaf_digest, merkle_manifest, recompute_roots
 from varlake.llm.packing import pack_documents
 from varlake.llm.quality import OrdinalModel, fit_quality, score_quality
 from varlake.llm.simhash import near_dedup, near_dup_classes
@@ -116,6 +117,18 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n_chars = F.col("n_chars").cast("decimal(20,0)")
+    leaf, changed = (leaf_digest("doc_id", "source", "lang", n, "text") for n in (n_chars, n_chars + 1))
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    rows = _table(spark, sf_dir, "documents").select("doc_id", "lang", leaf.alias("leaf"), F.when(tampered, changed).alias("changed"))
+    manifest = merkle_manifest(rows, keep=("changed",))
+    checked = recompute_roots(manifest.withColumn("seen", F.coalesce("changed", "leaf")), "seen")
+    digest = lambda c: F.lower(F.hex(c)).alias(c)
+    proof = F.sha2(F.lower(F.hex(F.concat("proof", "top_proof"))).cast("binary"), 256).alias("proof_sha256")
+    return checked.select("doc_id", digest("leaf"), digest("subroot"), digest("root"), proof, digest("folded_root"), (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 # ---- the stages of the pipeline: each takes and returns rows with the columns of documents
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject.  The model is that
@@ -157,6 +170,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_warc,
         op9_quality,
         op10_line_dedup,
+        op11_merkle_manifest,
     )
 }
 
