@@ -15,6 +15,7 @@ from varlake.llm.html_text import extract_text
 from varlake.llm.line_dedup import dedup_lines
 from varlake.llm.merkle import leaf_digest, merkle_manifest, recompute_roots
 from varlake.llm.packing import pack_documents
+from varlake.llm.phrases import mine_phrases
 from varlake.llm.quality import OrdinalModel, fit_quality, score_quality
 from varlake.llm.simhash import near_dedup, near_dup_classes
 from varlake.llm.token_counts import token_counts
@@ -129,6 +130,52 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checked.select("doc_id", digest("leaf"), digest("subroot"), digest("root"), proof, digest("folded_root"), (F.col("folded_root") == F.col("root")).alias("verified"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(_table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = """
+WITH d AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+    FROM documents
+), p AS (
+    SELECT lang, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM d
+), w AS (
+    SELECT lang, [x FOR x IN string_split_regex(piece, '[\\x20\\x09]+') IF x <> ''] AS ws FROM p
+), spot AS (
+    SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w
+), gram AS (
+    SELECT lang, unnest([ws[i:i + m - 1] FOR m IN range(1, least(4, len(ws) - i + 1) + 1)]) AS g FROM spot
+), f AS (
+    SELECT lang, g, count(*) AS f FROM gram GROUP BY lang, g HAVING count(*) >= 30 OR len(g) = 1
+), n AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM f WHERE len(g) = 1 GROUP BY lang
+), c AS (
+    SELECT lang, g, f AS a FROM f WHERE len(g) > 1 AND f >= 30
+), from_place AS (
+    SELECT lang, a, g, unnest(range(1, len(g))) AS s FROM c
+), inner_part AS (
+    SELECT lang, a AS longer, unnest([g[s:s + m - 1] FOR m IN range(2, least(len(g) - 1, len(g) - s + 1) + 1)]) AS g FROM from_place
+), absorbed AS (
+    SELECT DISTINCT c.lang, c.g FROM c JOIN inner_part i ON i.lang = c.lang AND i.g = c.g WHERE 100::HUGEINT * i.longer >= 80::HUGEINT * c.a
+), cut AS (
+    SELECT lang, g, a, unnest(range(1, len(g))) AS k FROM c
+), scored AS (
+    SELECT t.lang, t.g, t.a, t.k, x.f AS l, y.f AS r, ((2000000::HUGEINT * t.a) // (x.f + y.f))::BIGINT AS score
+    FROM cut t JOIN f x ON x.lang = t.lang AND x.g = t.g[1:t.k] JOIN f y ON y.lang = t.lang AND y.g = t.g[t.k + 1:len(t.g)]
+), lowest AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, k) AS o FROM scored
+), ranked AS (
+    SELECT l.lang, array_to_string(l.g, ' ') AS phrase, l.a, l.l, l.r, l.score,
+           row_number() OVER (PARTITION BY l.lang ORDER BY l.score DESC, l.a DESC, array_to_string(l.g, ' ')) AS rank
+    FROM lowest l LEFT JOIN absorbed b ON b.lang = l.lang AND b.g = l.g
+    WHERE l.o = 1 AND b.g IS NULL
+)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, n.n, r.score FROM ranked r JOIN n ON n.lang = r.lang WHERE r.rank <= 2000
+"""
+
+
 # ---- the stages of the pipeline: each takes and returns rows with the columns of documents
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject.  The model is that
@@ -171,8 +218,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality,
         op10_line_dedup,
         op11_merkle_manifest,
+        op12_phrase_collocations,
     )
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {"op2_exact_topk": OP2_SQL, "op8_warc": OP8_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_exact_topk": OP2_SQL, "op8_warc": OP8_SQL, "op12_phrase_collocations": OP12_SQL}
