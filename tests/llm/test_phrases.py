@@ -49,6 +49,7 @@ def found(df, **options):
 @pytest.mark.parametrize("size", [500, 8 << 20])
 def test_phrases_equal_plain_counts(spark, monkeypatch, step, size):
     monkeypatch.setattr(phrases, "STEP", step)
+    monkeypatch.setattr(word_blocks, "PART", 2 * size)
     monkeypatch.setattr(phrases, "BLOCK_BYTES", size)
     random = np.random.default_rng(step + size)
     words = ["a", "A", "the", "b\x01", "é", "É", "of", "x\x1f", "ß", "\x00"]

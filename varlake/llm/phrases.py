@@ -6,13 +6,12 @@ suffix order, and each stream is walked once, in lockstep with the shorter
 phrases that begin it:
 
 1. Texts become blocks of word numbers (``word_blocks``).  Word counts over all
-   blocks give the frequent words their numbers in order, and each block is told
-   those of its words.
+   blocks number the frequent words, and each block is told those of its words.
 2. Length by length, a block counts the phrases whose two parts (all but the last
    word, all but the first) are frequent.  A phrase is never more frequent than its
-   parts, so none is missed.  Sums over all blocks say which are frequent, and each
-   block is told which of its own are.
-3. In prefix order, a phrase stands right after the phrases that begin it, so a
+   parts, so none is missed.  Counts are dealt to parts and summed there by sorting,
+   and each block is told which of its own phrases are frequent.
+3. In prefix order (words by their numbers), a phrase stands right after the phrases that begin it, so a
    stack of at most ``max_words`` open phrases gives the counts of all first parts
    of a phrase, and to each phrase the highest count among its extensions by a word
    to the right.  The same over reversed phrases, in suffix order, gives last parts
@@ -35,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varlake.llm.common import arrow_map, pick, stored, strings, text_or_empty
-from varlake.llm.word_blocks import BLOCK_BYTES, Numbers, by_frequency, joined, squeezed, stretches, unsqueezed
+from varlake.llm.word_blocks import BLOCK_BYTES, VOCAB, Numbers, answers, by_frequency, cells, counted_words, joined, parts_for, squeezed, stretches, unsqueezed, vocabulary
 from varlake.operators.joins import with_row_index
 
 STEP = 20_000  #: phrases of a stream walked at a time
@@ -52,7 +51,7 @@ def pieces(text: str) -> Iterator[list[bytes]]:
 
 
 def _blocks(df: DataFrame, text_col: str, group_col: str, unnamed: str) -> DataFrame:
-    """(block, stream, vocab: the group, word and count of each number from 1 on)."""
+    """(block, stream, vocab, entries: of the vocabulary)."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seq = TaskContext.get().partitionId(), 0
@@ -63,11 +62,9 @@ def _blocks(df: DataFrame, text_col: str, group_col: str, unnamed: str) -> DataF
 
         def out() -> pa.RecordBatch:
             stream, old, counts = by_frequency(joined(streams), len(taken))
-            words = [taken[i] for i in old.tolist()]
-            entry = [pa.array([g for g, _ in words], pa.string()), pa.array([w for _, w in words], pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())]
-            vocab = pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), pa.StructArray.from_arrays(entry, ["g", "w", "n"]))
-            columns = [pa.array([task << 32 | seq], pa.int64()), pa.array([squeezed(stream)], pa.binary()), vocab]
-            return pa.RecordBatch.from_arrays(columns, ["block", "stream", "vocab"])
+            vocab = vocabulary([taken[i] for i in old.tolist()], counts)
+            columns = [pa.array([task << 32 | seq], pa.int64()), pa.array([squeezed(stream)], pa.binary()), vocab, pa.array([len(old)], pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["block", "stream", "vocab", "entries"])
 
         for batch in batches:
             for group, text in zip(batch.column(0).to_pylist(), strings(batch.column(1)), strict=True):
@@ -87,46 +84,56 @@ def _blocks(df: DataFrame, text_col: str, group_col: str, unnamed: str) -> DataF
 
     rows = pick(df, grp=group_col, text=text_col)
     rows = rows.select(F.coalesce(F.col("grp").cast("string"), F.lit(unnamed)).alias("grp"), text_or_empty(rows.text).alias("text"))
-    return arrow_map(rows, run, "block long, stream binary, vocab array<struct<g: string, w: string, n: long>>")
+    return arrow_map(rows, run, f"block long, stream binary, vocab {VOCAB}, entries long")
 
 
-def _thinned(stream: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+def _thinned(wanted: np.ndarray) -> np.ndarray:
     """Which places to keep: the wanted, and one after each run of them."""
     return wanted | np.append(False, wanted[:-1])
 
 
-def _state(block: int, stream: np.ndarray, numbers: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array([block], pa.int64()), *(pa.array([x], pa.binary()) for x in (squeezed(stream), squeezed(numbers), np.packbits(starts).tobytes()))]
-    return pa.RecordBatch.from_arrays(columns, ["block", "stream", "numbers", "starts"])
+_STATE = "block long, stream binary, numbers binary, starts binary, entries long"
 
 
-_STATE = "block long, stream binary, numbers binary, starts binary"
+def _state(block: int, stream: np.ndarray, numbers: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([x], pa.binary()) for x in (squeezed(stream), squeezed(numbers), np.packbits(starts).tobytes())]
+    entries = int((starts[:-1] & starts[1:]).sum())
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *columns, pa.array([entries], pa.int64())], ["block", "stream", "numbers", "starts", "entries"])
 
 
 def _with_frequent_words(blocks: DataFrame, found: DataFrame) -> DataFrame:
     """Blocks with only their frequent words: the stream of words numbered within
-    the block, the corpus-wide number of each, and where a frequent word stands."""
+    the block, the corpus-wide number of each, where a frequent word stands, and
+    how many phrases of two words there are."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, data, told in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
-                entries = told.values
-                at, number = entries.field("i").to_numpy(), entries.field("number").to_numpy()
+            for block, data, told in cells(batch):
+                at, numbers = joined(unsqueezed(x["at"]) for x in told), joined((unsqueezed(x["numbers"], np.int64) for x in told), np.int64)
                 order = np.argsort(at)
-                at, number = at[order], number[order]
-                stream = unsqueezed(data.as_py())
+                at, numbers = at[order], numbers[order]
+                stream = unsqueezed(data)
                 own = np.zeros(max(int(stream.max(initial=0)), int(at[-1]) + 1) + 1, np.int32)
                 own[at + 1] = np.arange(1, len(at) + 1)
                 stream = own[stream]
-                stream = stream[_thinned(stream, stream > 0)]
-                yield _state(block, stream, number, stream > 0)
+                stream = stream[_thinned(stream > 0)]
+                yield _state(block, stream, numbers, stream > 0)
 
     return arrow_map(blocks.select("block", "stream").join(found, "block"), run, _STATE)
 
 
-def _opened(block: int, stream: bytes, numbers: bytes, starts: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+def _opened(stream: bytes, numbers: bytes, starts: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words = unsqueezed(stream)
-    return block, words, unsqueezed(numbers, np.int64), np.unpackbits(np.frombuffer(starts, np.uint8), count=len(words)).view(bool)
+    return words, unsqueezed(numbers, np.int64), np.unpackbits(np.frombuffer(starts, np.uint8), count=len(words)).view(bool)
+
+
+def _numbered(columns: Iterable[np.ndarray]) -> np.ndarray:
+    """A number for each row of these columns, equal for equal rows and in order from 0 on."""
+    which = None
+    for column in columns:
+        own = np.unique(column, return_inverse=True)[1]
+        which = own if which is None else np.unique(which << 32 | own, return_inverse=True)[1]
+    return which
 
 
 def _phrases(stream: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,23 +146,71 @@ def _phrases(stream: np.ndarray, starts: np.ndarray, size: int) -> tuple[np.ndar
     return at, which
 
 
-def _counted(state: DataFrame, size: int) -> DataFrame:
-    """(block, which, w1 ... n): the phrases of each block with their counts."""
-    names = [f"w{i}" for i in range(1, size + 1)]
+def _counted_phrases(state: DataFrame, size: int, least: int) -> DataFrame:
+    """As ``counted_words``, for the phrases of ``size`` words whose two parts are
+    frequent: rows (w, f), and answers (block, told: which of its phrases)."""
+    parts = parts_for(state.agg(F.sum("entries")).first()[0])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                block, stream, numbers, starts = _opened(*row)
+            for block, *row in cells(batch):
+                stream, numbers, starts = _opened(*row)
                 at, which = _phrases(stream, starts, size)
                 n = np.bincount(which)
                 one = np.zeros(len(n), np.int64)
                 one[which] = at
-                columns = [np.full(len(n), block), np.arange(len(n)), *(numbers[stream[one + i] - 1] for i in range(size)), n]
-                for a in range(0, len(n), 100_000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c[a : a + 100_000], pa.int64()) for c in columns], ["block", "which", *names, "n"])
+                words = [numbers[stream[one + i] - 1] for i in range(size)]
+                mixed = np.zeros(len(n), np.uint64)
+                for w in words:
+                    mixed = (mixed ^ w.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                    mixed ^= mixed >> np.uint64(32)
+                part = (mixed % np.uint64(parts)).astype(np.int64)
+                order = np.argsort(part, kind="stable")
+                ends = np.searchsorted(part[order], np.arange(parts + 1))
+                rows = []
+                for p in np.flatnonzero(np.diff(ends)).tolist():
+                    own = order[ends[p] : ends[p + 1]]
+                    rows.append((p, block, squeezed(np.concatenate([w[own] for w in words])), squeezed(n[own]), squeezed(own.astype(np.int32))))
+                if rows:
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["part", "block", "words", "n", "which"])
+
+    kinds = [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.int64()]
+
+    def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, held = None, []
+
+        def out() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            words = [joined((h[1][i] for h in held), np.int64) for i in range(size)]
+            number = _numbered(words)
+            total = np.zeros(int(number.max(initial=-1)) + 1, np.int64)
+            ends = np.cumsum([0, *(len(h[2]) for h in held)]).tolist()
+            for (_, _, n, _), a, b in zip(held, ends, ends[1:], strict=False):
+                total[number[a:b]] += n  # the phrases of one block differ
+            frequent = total >= least
+            rows: list[tuple] = []
+            for (block, _, _, which), a, b in zip(held, ends, ends[1:], strict=False):
+                if (has := frequent[number[a:b]]).any():
+                    rows.append((block, squeezed(which[has]), None, None))
+            one = np.zeros(len(total), np.int64)
+            one[number] = np.arange(len(number))
+            at = one[frequent]
+            rows += [(None, None, w, f) for w, f in zip(np.stack([w[at] for w in words], axis=1).tolist(), total[frequent].tolist(), strict=True)]
+            for a in range(0, len(rows), 20_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[a : a + 20_000], strict=True), kinds, strict=True)], ["block", "told", "w", "f"])
+
+        for batch in batches:
+            for p, block, words, n, which in cells(batch):
+                if p != part:
+                    yield from out()
+                    part, held = p, []
+                held.append((block, unsqueezed(words, np.int64).reshape(size, -1), unsqueezed(n, np.int64), unsqueezed(which)))
+        yield from out()
 
-    return arrow_map(state, run, f"block long, which long, {', '.join(f'{n} long' for n in names)}, n long")
+    dealt = arrow_map(state.select("block", "stream", "numbers", "starts"), deal, "part long, block long, words binary, n binary, which binary")
+    dealt = dealt.repartition("part").sortWithinPartitions("part")
+    return stored(arrow_map(dealt, gather, "block long, told binary, w array<long>, f long"))
 
 
 def _with_frequent_phrases(state: DataFrame, found: DataFrame, size: int) -> DataFrame:
@@ -163,21 +218,22 @@ def _with_frequent_phrases(state: DataFrame, found: DataFrame, size: int) -> Dat
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for *row, told in zip(*(c.to_pylist() for c in batch.columns[:-1]), batch.column(4), strict=True):
-                block, stream, numbers, starts = _opened(*row)
+            for block, *row, told in cells(batch):
+                stream, numbers, starts = _opened(*row)
                 at, which = _phrases(stream, starts, size)
                 frequent = np.zeros(int(which.max(initial=0)) + 1, bool)
-                frequent[told.values.to_numpy()] = True
+                frequent[joined(unsqueezed(x) for x in told)] = True
                 at = at[frequent[which]]
                 starts = np.zeros(len(stream), bool)
                 starts[at] = True
                 covered = starts.copy()
                 for i in range(1, size):
                     covered[at + i] = True
-                keep = _thinned(stream, covered)
+                keep = _thinned(covered)
                 yield _state(block, np.where(covered, stream, 0)[keep].astype(np.int32), numbers, starts[keep])
 
-    return arrow_map(state.join(found, "block").select("block", "stream", "numbers", "starts", "told"), run, _STATE)
+    told = found.where(F.col("block").isNotNull()).groupBy("block").agg(F.collect_list("told").alias("told"))
+    return arrow_map(state.join(told, "block").select("block", "stream", "numbers", "starts", "told"), run, _STATE)
 
 
 def _walked(stream: DataFrame) -> DataFrame:
@@ -253,21 +309,16 @@ def mine_phrases(
     phrase that comes first in UTF-8.  Null and empty texts have no words; each
     repeated row counts; an empty table gives no rows."""
     blocks = stored(_blocks(df, text_col, group_col, unnamed))
-    words = blocks.select("block", F.posexplode("vocab").alias("i", "v")).select("block", "i", "v.g", "v.w", "v.n")
-    totals = stored(words.groupBy("g").agg(F.sum("n").alias("n")))
-    frequent = words.groupBy("g", "w").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count)
-    frequent = stored(with_row_index(frequent, ["g", "w"], "number"))
-    told = words.join(frequent, ["g", "w"]).groupBy("block").agg(F.collect_list(F.struct("i", "number")).alias("told"))
-    state = stored(_with_frequent_words(blocks, told))
+    counted = counted_words(blocks, blocks.agg(F.sum("entries")).first()[0], min_count)
+    totals = counted.where(F.col("total").isNotNull()).groupBy("g").agg(F.sum("total").alias("n"))
+    frequent = counted.where(F.col("number").isNotNull()).select("number", "g", "w", "f")
+    state = stored(_with_frequent_words(blocks, answers(counted)))
     streams = [frequent.select(F.array("number").alias("w"), "f")]
     for size in range(2, max_words + 1):
-        names = [f"w{i}" for i in range(1, size + 1)]
-        counted = _counted(state, size)
-        found = stored(counted.groupBy(*names).agg(F.sum("n").alias("f")).where(F.col("f") >= min_count))
-        streams.append(found.select(F.array(*names).alias("w"), "f"))
+        found = _counted_phrases(state, size, min_count)
+        streams.append(found.where(F.col("f").isNotNull()).select("w", "f"))
         if size < max_words:
-            told = counted.join(found, names).groupBy("block").agg(F.collect_list("which").alias("told"))
-            state = stored(_with_frequent_phrases(state, told, size))
+            state = stored(_with_frequent_phrases(state, found, size))
     stream = stored(reduce(DataFrame.unionByName, streams))
     left = _walked(stream).select("w", "f", F.col("parts").alias("l"), F.lit(None).cast("array<long>").alias("r"), "ext")
     right = _walked(stream.select(F.reverse("w").alias("w"), "f")).select(F.reverse("w").alias("w"), "f", F.lit(None).cast("array<long>").alias("l"), F.col("parts").alias("r"), "ext")
