@@ -13,6 +13,7 @@ from varlake.llm.ann import nearest
 from varlake.llm.bpe import bpe_decode, bpe_encode
 from varlake.llm.html_text import extract_text
 from varlake.llm.line_dedup import dedup_lines
+from varlake.llm.lm import score_texts
 from varlake.llm.merkle import leaf_digest, merkle_manifest, recompute_roots
 from varlake.llm.packing import pack_documents
 from varlake.llm.phrases import mine_phrases
@@ -176,6 +177,11 @@ SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, n.n, r.score FROM ranked r JOIN
 """
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2
+    return score_texts(_table(spark, sf_dir, "documents").select("doc_id", "text", held.alias("held")), "held")
+
+
 # ---- the stages of the pipeline: each takes and returns rows with the columns of documents
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject.  The model is that
@@ -219,6 +225,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_line_dedup,
         op11_merkle_manifest,
         op12_phrase_collocations,
+        op13_lm_scoring,
     )
 }
 
