@@ -14,7 +14,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,6 +106,37 @@ def write_variations(spark: SparkSession, root: str, profile: str, source: str,
     return Batch(names["variations"], source, identity, batch, rows.schema, 0, (), {})
 
 
+def write_batch(
+    spark: SparkSession,
+    root: str,
+    profile: str,
+    t: str,
+    df: DataFrame,
+    source: str,
+    identity: str,
+    batch: str,
+    samples: tuple[str, ...] = (),
+    replaces: tuple[str, ...] = (),
+) -> None:
+    """Write the rows of table ``t`` as a batch and mark it, with the tables
+    that are derived from annotations."""
+    names = TABLE_NAMES[profile]
+    bloom = ("symbol",) if t == "csq" and "symbol" in df.columns else ()
+    write_table(df.withColumn(BATCH_COL, F.lit(batch)), root, names[t], partition_by=(PARTITION_COL, BATCH_COL), bloom_columns=bloom)
+    written = spark.read.schema(f"pos int, {PARTITION_COL} string, {BATCH_COL} string").parquet(table_path(root, names[t])).where(F.col(BATCH_COL) == batch)
+    covered = written.groupBy(PARTITION_COL).agg(F.min("pos").alias("low"), F.max("pos").alias("high"), F.count(F.lit(1)).alias("n")).collect()
+    if t == "csq":
+        hot = hot_sites(written)
+        n_hot = hot.count()
+        if n_hot:
+            write_table(hot.withColumn(BATCH_COL, F.lit(batch)), root, names["hot"], partition_by=(PARTITION_COL, BATCH_COL))
+        mark(spark, root, Batch(names["hot"], source, identity, batch, hot.schema, n_hot, (), {}, replaces))
+        if "existing_variation" in df.columns:
+            mark(spark, root, replace(write_variations(spark, root, profile, source, identity, batch, df.schema), replaces=replaces))
+    contigs = {r[PARTITION_COL]: (r["low"], r["high"]) for r in covered}
+    mark(spark, root, Batch(names[t], source, identity, batch, df.schema, sum(r["n"] for r in covered), samples, contigs, replaces))
+
+
 def store_tables(
     spark: SparkSession,
     frames: dict[str, DataFrame],
@@ -123,7 +154,7 @@ def store_tables(
     Batch and stream ingest both come through here."""
     names = TABLE_NAMES[profile]
     stored = read_batches(spark, root)
-    done = {b.table for b in stored if b.input == source and b.identity == identity}
+    done = {b.table for b in read_batches(spark, root, replaced=True) if b.input == source and b.identity == identity}
     order = [t for t in ("genotypes", "csq", "info", "main") if t in frames]
     pending = [t for t in order if names[t] not in done]
     for t in pending:  # a type that changed fails before anything is written
@@ -140,20 +171,7 @@ def store_tables(
 
     def write(t: str) -> None:
         df = merge_rows(frames[t], TABLE_KEYS[t]) if on_duplicate == "merge" else frames[t]
-        bloom = ("symbol",) if t == "csq" and "symbol" in df.columns else ()
-        write_table(df.withColumn(BATCH_COL, F.lit(batch)), root, names[t], partition_by=(PARTITION_COL, BATCH_COL), bloom_columns=bloom)
-        written = spark.read.schema(f"pos int, {PARTITION_COL} string, {BATCH_COL} string").parquet(table_path(root, names[t])).where(F.col(BATCH_COL) == batch)
-        covered = written.groupBy(PARTITION_COL).agg(F.min("pos").alias("low"), F.max("pos").alias("high"), F.count(F.lit(1)).alias("n")).collect()
-        if t == "csq":
-            hot = hot_sites(written)
-            n_hot = hot.count()
-            if n_hot:
-                write_table(hot.withColumn(BATCH_COL, F.lit(batch)), root, names["hot"], partition_by=(PARTITION_COL, BATCH_COL))
-            mark(spark, root, Batch(names["hot"], source, identity, batch, hot.schema, n_hot, (), {}))
-            if "existing_variation" in df.columns:
-                mark(spark, root, write_variations(spark, root, profile, source, identity, batch, df.schema))
-        contigs = {r[PARTITION_COL]: (r["low"], r["high"]) for r in covered}
-        mark(spark, root, Batch(names[t], source, identity, batch, df.schema, sum(r["n"] for r in covered), tuple(samples) if t == "genotypes" else (), contigs))
+        write_batch(spark, root, profile, t, df, source, identity, batch, tuple(samples) if t == "genotypes" else ())
 
     if parallel and len(pending) > 1:
         # independent jobs submitted together keep every core busy while
@@ -184,14 +202,15 @@ def ingest(
     The input is the set of files: ingesting it again in the same state
     (paths, lengths, modification times) stores nothing, after a failure it
     completes the missing tables, and in a changed state it replaces its
-    earlier rows.  Sites that several inputs have are merged by key when
-    they are read: the newest decides.
+    earlier rows (after ``plans.compact`` has merged them with others', its new
+    rows are merged over them).  Sites that several inputs have are merged by
+    key when they are read: the newest decides.
     ``samples``: store the genotypes of these samples only (default all).
     ``on_duplicate``: 'error' fails when a (chrom, pos) appears on more
     than one line of this input (a split site would multiply annotation
     join rows), before anything is written; 'merge' stores one row per
-    key; 'keep' stores the rows as they are, until another batch covers
-    the same positions.  ``parallel`` submits the four table writes as
+    key; 'keep' stores the rows as they are; they stay where no other batch
+    covers their position.  ``parallel`` submits the four table writes as
     concurrent jobs.  ``same_header``: see ``open_vcf``.  ``stage=False``
     builds each table from the text itself, which reads it once per table.
     """
@@ -205,7 +224,7 @@ def ingest(
     source = _digest([*kept, *(x.rsplit(" ", 2)[0] for x in state)])
     identity = _digest([*kept, *state])
     names = TABLE_NAMES[profile]
-    done = {b.table for b in read_batches(spark, root) if b.input == source and b.identity == identity}
+    done = {b.table for b in read_batches(spark, root, replaced=True) if b.input == source and b.identity == identity}
     tables = ["genotypes"] * bool(src.header.formats) + ["csq"] * bool(src.header.csq_fields) + ["info", "main"]
     if all(names[t] in done for t in tables):
         return IngestResult(root, {t: table_path(root, names[t]) for t in tables}, src.header)

@@ -308,5 +308,8 @@ FROM {CSQ_ROWS}) WHERE TRY_CAST(gnomad_exomes_af AS DOUBLE) < 0.02 AND TRY_CAST(
   {_wide_cols((0, 5))}
 FROM {CSQ_ROWS}
 WHERE {fsql['SYMBOL']} = 'GENE4' AND ({C} + j) % 2 = 0"""
+    # two inputs that share sites hold the rows of one input with all sites
+    own = {"main": "ingest_main", "info": "ingest_info", "csq": "ingest", "genotypes": "ingest_genotypes"}
+    sql |= {f"merged_{t}": sql[own[t]] for t in ("info", "csq")} | {f"compacted_{t}": sql[own[t]] for t in ("main", "csq", "genotypes")}
     sql["ingest_two_batches"] = sql["query_variants"].replace(",\n  " + _wide_cols((0, 5)), "")
     return sql

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators.filters import AF_NUMBERS, VariantFilter, make_filter
 from ..operators.genotypes import stored_wide
 from ..operators.joins import KEY, annotate_join, semi_reduce
-from ..sources.batches import Batch, read_batches, scan_batches
+from ..sources.batches import Batch, read_batches, scan_batches, shared_ranges
 from ..sources.tables import BATCH_COL, scan_table, table_path
 
 # Stored table names per profile (full and slim/demo).
@@ -37,12 +37,34 @@ TABLE_KEYS = {
 def load_table(spark: SparkSession, root: str, table: str, profile: str = "full", batches: Sequence[Batch] | None = None) -> DataFrame:
     """One stored table ('main', 'info', 'csq', 'genotypes'): its batches,
     merged by key where they overlap, or, of a store without batches, the
-    plain folder."""
+    plain folder.  A table of batches none of which is marked has no rows."""
     if profile not in TABLE_NAMES:
         raise ValueError(f"unknown profile {profile!r}")
     name = TABLE_NAMES[profile][table]
     own = [b for b in (read_batches(spark, root) if batches is None else batches) if b.table == name]
-    return scan_batches(spark, root, own, TABLE_KEYS[table]) if own else scan_table(spark, root, name)
+    if own:
+        return scan_batches(spark, root, own, TABLE_KEYS[table])
+    df = scan_table(spark, root, name)
+    return df.drop(BATCH_COL).where(F.lit(False)) if BATCH_COL in df.columns else df
+
+
+def stored_rows(spark: SparkSession, root: str, table: str, profile: str = "full") -> int:
+    """The number of rows of a stored table: from the markers where no two
+    batches cover a position, else counted."""
+    own = [b for b in read_batches(spark, root) if b.table == TABLE_NAMES[profile][table]]
+    return load_table(spark, root, table, profile).count() if shared_ranges(own) or not own else sum(b.rows for b in own)
+
+
+def stored_extents(spark: SparkSession, root: str, table: str = "main", profile: str = "full") -> dict[str, tuple[int, int]]:
+    """The first and last position of each contig, from the markers."""
+    out: dict[str, tuple[int, int]] = {}
+    for b in read_batches(spark, root):
+        if b.table == TABLE_NAMES[profile][table]:
+            for chrom, (low, high) in b.contigs.items():
+                if low is not None:
+                    first, last = out.get(chrom, (low, high))
+                    out[chrom] = (min(first, low), max(last, high))
+    return out
 
 
 def load_tables(spark: SparkSession, root: str, profile: str = "full") -> tuple[DataFrame, DataFrame, DataFrame]:

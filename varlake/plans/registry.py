@@ -39,6 +39,7 @@ from ..session import scratch_path
 from ..sources.tables import scan_table, write_table
 from ..sources.vcf import open_vcf, pos_one_based, read_vcf
 from . import standin
+from .compact import compact
 from .ingest import ingest
 from .query import load_table, load_tables, query_variants, run_query
 
@@ -319,15 +320,35 @@ def _ingested_table(table: str, profile: str = "full") -> Query:
     return q
 
 
-def q_ingest_two_batches(spark, sf):
-    """Two inputs that share the finished orders' sites: each site counts
-    once, whichever batch it comes from."""
+def _two_batches(spark, sf) -> str:
+    """A store of two inputs that share the finished orders' sites."""
     root = scratch_path(spark, "store")
     for where in ("o_orderstatus in ('F', 'O')", "o_orderstatus in ('F', 'P')"):
         ingest(spark, standin.write_vcf_files(spark, sf, scratch_path(spark, "vcf"), where=where), root)
+    return root
+
+
+def q_ingest_two_batches(spark, sf):
+    """Each site counts once, whichever batch it comes from."""
+    root = _two_batches(spark, sf)
     return flat(run_query(flt.make_filter("F", symbol="GENE4", consequence="missense_variant"), *load_tables(spark, root)))
 
 
+def _two_batches_table(table: str, compacted: bool) -> Query:
+    """All rows of a table of that store, merged as it is read or before."""
+
+    def q(spark, sf):
+        root = _two_batches(spark, sf)
+        if compacted:
+            compact(spark, root)
+        df = load_table(spark, root, table)
+        if table == "genotypes":
+            df = genotype_maps_view(df)
+        return flat(df.drop(*flt.AF_NUMBERS.values()))
+
+    return q
+
+
 def q_query_variants(spark, sf):
     root = _ingested(spark, sf)
     # with the map columns of two samples, as the reference's site table has them
@@ -375,6 +396,8 @@ def registry() -> dict[str, Query]:
         "ingest_slim": _ingested_table("csq", "slim"),
         "ingest_slim_genotypes": _ingested_table("genotypes", "slim"),
         "ingest_two_batches": q_ingest_two_batches,
+        **{f"merged_{t}": _two_batches_table(t, False) for t in ("info", "csq")},
+        **{f"compacted_{t}": _two_batches_table(t, True) for t in ("main", "csq", "genotypes")},
         "query_variants": q_query_variants,
     }
 

@@ -8,8 +8,10 @@ behind; a newer batch of the same input takes the place of the older one.
 
 Where batches of different inputs cover the same positions, rows with one key
 are merged as a key-upserting store would have them: the newest batch decides
-the columns that it has, and older ones the rest.  Where they don't overlap (one
-input, or one per contig), nothing is merged and reads are plain scans.
+the columns that it has, and older ones the rest.  A sweep over the intervals
+that the batches cover finds those positions; only they are merged, and all other
+rows are plain scans, whatever contig or batch they are in.
+``plans.compact`` writes merged batches anew, as one that replaces them.
 """
 
 from __future__ import annotations
@@ -19,9 +21,10 @@ import time
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,9 +36,12 @@ INGEST_LOG = "_ingested"
 
 _MARKER = (
     "table string, input string, identity string, batch string, schema string, rows long, "
-    "samples array<string>, contigs array<struct<chrom: string, low: long, high: long>>"
+    "samples array<string>, contigs array<struct<chrom: string, low: long, high: long>>, replaces array<string>"
 )
 
+#: Position ranges that a plan names, at most; closer ones are joined beyond that.
+MAX_RANGES = 64
+
 
 @dataclass(frozen=True)
 class Batch:
@@ -47,10 +53,7 @@ class Batch:
     rows: int
     samples: tuple[str, ...]
     contigs: dict[str, tuple[int, int]]  # positions covered
-
-    def overlaps(self, other: "Batch") -> bool:
-        both = self.contigs.keys() & other.contigs.keys()
-        return any(self.contigs[c][0] <= other.contigs[c][1] and other.contigs[c][0] <= self.contigs[c][1] for c in both)
+    replaces: tuple[str, ...] = ()  # batches whose rows this one has
 
 
 def new_batch() -> str:
@@ -58,25 +61,30 @@ def new_batch() -> str:
     return f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
 
 
-def read_batches(spark: SparkSession, root: str) -> list[Batch]:
+def read_batches(spark: SparkSession, root: str, *, replaced: bool = False) -> list[Batch]:
     """The batches that count, oldest first: of each table and input the
-    newest.  One small read of all markers."""
+    newest, without those that a compaction has replaced (``replaced``: with
+    them).  One small read of all markers."""
     try:
         rows = spark.read.schema(_MARKER).json(f"{root.rstrip('/')}/{INGEST_LOG}/*").collect()
-    except AnalysisException:  # no marker yet
-        return []
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []  # no marker yet
     newest: dict[tuple[str, str], Batch] = {}
+    gone: set[tuple[str, str]] = set()
     for r in sorted(rows, key=lambda r: r["batch"]):
         contigs = {c["chrom"]: (c["low"], c["high"]) for c in r["contigs"]}
         newest[r["table"], r["input"]] = Batch(
-            r["table"], r["input"], r["identity"], r["batch"], T.StructType.fromJson(json.loads(r["schema"])), r["rows"], tuple(r["samples"] or ()), contigs
+            r["table"], r["input"], r["identity"], r["batch"], T.StructType.fromJson(json.loads(r["schema"])), r["rows"], tuple(r["samples"] or ()), contigs, tuple(r["replaces"] or ())
         )
-    return sorted(newest.values(), key=lambda b: b.batch)
+        gone.update((r["table"], b) for b in r["replaces"] or ())
+    return sorted((b for b in newest.values() if replaced or (b.table, b.batch) not in gone), key=lambda b: b.batch)
 
 
 def mark(spark: SparkSession, root: str, b: Batch) -> None:
     """Make a written batch count."""
-    row = (b.table, b.input, b.identity, b.batch, b.schema.json(), b.rows, list(b.samples), [(c, lo, hi) for c, (lo, hi) in b.contigs.items()])
+    row = (b.table, b.input, b.identity, b.batch, b.schema.json(), b.rows, list(b.samples), [(c, lo, hi) for c, (lo, hi) in b.contigs.items()], list(b.replaces))
     path = f"{root.rstrip('/')}/{INGEST_LOG}/{b.batch}-{b.table}"
     spark.createDataFrame([row], _MARKER).coalesce(1).write.mode("overwrite").json(path)
 
@@ -87,22 +95,81 @@ def merged_schema(batches: Sequence[Batch]) -> T.StructType:
     for b in batches:
         for f in b.schema.fields:
             have = fields.setdefault(f.name, T.StructField(f.name, f.dataType))
-            if have.dataType != f.dataType:
+            if have.dataType.simpleString() != f.dataType.simpleString():
                 raise SchemaConflictError(
                     f"table {b.table}: column {f.name!r} is {have.dataType.simpleString()} in the store and {f.dataType.simpleString()} in a batch"
                 )
     return T.StructType(list(fields.values()))
 
 
+def shared_ranges(batches: Sequence[Batch]) -> dict[str, list[tuple[int, int]]]:
+    """Per contig the position ranges that more than one batch covers, by a sweep
+    over the ends of the batches' intervals."""
+    ends: dict[str, list[tuple[int, int]]] = {}
+    for b in batches:
+        for chrom, (low, high) in b.contigs.items():
+            if low is not None:
+                ends.setdefault(chrom, []).extend([(low, 1), (high + 1, -1)])
+    found: dict[str, list[tuple[int, int]]] = {}
+    for chrom, own in ends.items():
+        depth, start = 0, 0
+        for pos, step in sorted(own):  # an interval that ends here goes before one that begins
+            if depth == 2 and step < 0:
+                if pos > start:
+                    found.setdefault(chrom, []).append((start, pos - 1))
+            elif depth == 1 and step > 0:
+                start = pos
+            depth += step
+    for chrom, ranges in found.items():
+        joined = [ranges[0]]
+        for low, high in ranges[1:]:
+            if low == joined[-1][1] + 1:
+                joined[-1] = (joined[-1][0], high)
+            else:
+                joined.append((low, high))
+        found[chrom] = joined
+    return found
+
+
+def _fewer(ranges: dict[str, list[tuple[int, int]]]) -> dict[str, list[tuple[int, int]]]:
+    """The ranges, the closest of a contig joined until they are few: one row
+    of one batch comes out of a merge as it went in."""
+    gaps = sorted(b[0] - a[1] for own in ranges.values() for a, b in zip(own, own[1:]))
+    keep = max(0, MAX_RANGES - len(ranges))
+    if len(gaps) <= keep:
+        return ranges
+    joins = gaps[len(gaps) - keep - 1]  # the widest gap that is closed
+    out: dict[str, list[tuple[int, int]]] = {}
+    for chrom, own in ranges.items():
+        joined = out.setdefault(chrom, [own[0]])
+        for low, high in own[1:]:
+            if low - joined[-1][1] > joins:
+                joined.append((low, high))
+            else:
+                joined[-1] = (joined[-1][0], high)
+    return out
+
+
+def sharing(batches: Sequence[Batch], ranges: dict[str, list[tuple[int, int]]]) -> list[Batch]:
+    """The batches that cover any of the ranges."""
+    return [b for b in batches if any(b.contigs[c][0] is not None and b.contigs[c][0] <= high and low <= b.contigs[c][1] for c in b.contigs for low, high in ranges.get(c, ()))]
+
+
 def scan_batches(spark: SparkSession, root: str, batches: Sequence[Batch], key: Sequence[str]) -> DataFrame:
-    """The rows of one table's batches, merged by ``key`` where batches cover
-    the same positions."""
+    """The rows of one table's batches, merged by ``key`` where several batches
+    cover a position."""
     schema = merged_schema(batches)
     columns = [f.name for f in schema.fields if f.name != PARTITION_COL]
     full = T.StructType([*(f for f in schema.fields if f.name != PARTITION_COL), T.StructField(PARTITION_COL, T.StringType()), T.StructField(BATCH_COL, T.StringType())])
-    df = spark.read.schema(full).parquet(table_path(root, batches[0].table)).where(F.col(BATCH_COL).isin([b.batch for b in batches]))
-    if not any(a.overlaps(b) for i, a in enumerate(batches) for b in batches[i + 1 :]):
+    whole = spark.read.schema(full).parquet(table_path(root, batches[0].table))
+    df = whole.where(F.col(BATCH_COL).isin([b.batch for b in batches]))
+    ranges = _fewer(shared_ranges(batches))
+    if not ranges:
         return df.select(PARTITION_COL, *columns)
+    places = [(F.col(PARTITION_COL) == c) & F.col("pos").between(low, high) for c, own in sorted(ranges.items()) for low, high in own]
+    shared = F.coalesce(reduce(Column.__or__, places), F.lit(False))
+    alone = df.where(~shared).select(PARTITION_COL, *columns)
+    batches = sharing(batches, ranges)
     # columns that the same batches have are decided together
     groups: dict[tuple[str, ...], list[str]] = {}
     for c in columns:
@@ -111,6 +178,6 @@ def scan_batches(spark: SparkSession, root: str, batches: Sequence[Batch], key:
     newest = [
         F.max_by(F.struct(*names), F.when(F.col(BATCH_COL).isin(list(owners)), F.col(BATCH_COL))).alias(f"_g{i}") for i, (owners, names) in enumerate(groups.items())
     ]
-    merged = df.groupBy(*key).agg(*newest)
+    merged = whole.where(F.col(BATCH_COL).isin([b.batch for b in batches]) & shared).groupBy(*key).agg(*newest)
     place = {c: f"_g{i}.{c}" for i, names in enumerate(groups.values()) for c in names}
-    return merged.select(PARTITION_COL, *[F.col(place.get(c, c)).alias(c) for c in columns])
+    return alone.unionByName(merged.select(PARTITION_COL, *[F.col(place.get(c, c)).alias(c) for c in columns]))
