@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import os
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -80,10 +79,3 @@ def ddl(df: DataFrame, name: str) -> str:
     """The type of a column, for a schema string."""
     return df.schema[name].dataType.simpleString()
 
-
-def release(df: DataFrame) -> None:
-    """Lets Spark delete the shuffle files of finished jobs now: it does so for
-    plans that the driver's collector finds unused, which may otherwise be late
-    while the driver has memory to spare."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()

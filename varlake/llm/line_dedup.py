@@ -9,16 +9,24 @@ order of (document id, place) stays, over the whole corpus.
 1. Each distinct line is signed (``BANDS`` x ``ROWS`` minima) and indexed under
    its bands; a pair at 0.8 shares a band with probability 0.998, at 0.9 with
    over 0.9999.  A line is identified by a 64-bit hash of its text.
-2. Under each band key, every line is verified against one of them (linear, and
+   Lines that share a key are read once more for their texts, their numbers of
+   shingles and sketches: the lowest bits of ``SKETCH`` further minima, of which
+   each differs with probability (1 - J) / 2.
+2. Under each band key, every line is held against one of them (linear, and
    split by Spark if a key is hot).  Links give components.
 3. Under keys that still hold several components, lines outside that one's
-   component are verified against all others of another component; a found link
+   component are held against all others of another component; a found link
    joins two components, so no further pair of them is looked at.  All lines of
    a large key are dealt into blocks, and two blocks at a time meet in a task.  No
    pair of a key is left out, so n lines outside cost n * n / 2 comparisons, spread
    over the pairs of blocks; keys that hold the same lines are looked at once.
 4. Components again, then the first line of each.
 
+Pairs are held against each other in two steps.  Numbers of shingles that differ
+too much rule a pair out for certain, and sketches that differ in more than
+``SKETCH_APART`` bits do but for one alike pair in 100,000; only texts of lines
+that are left travel, and those are compared exactly.
+
 Lines are identified by 64-bit hashes: among n distinct lines about n * n / 2**65
 pairs share one by chance.
 """
@@ -30,10 +38,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from varlake.llm.common import arrow_map, ddl, pick, release, stored, strings, text_or_empty
+from varlake.llm.common import arrow_map, ddl, pick, stored, strings, text_or_empty
 from varlake.llm.components import connected_components
 
 SHINGLE = 5  #: characters
@@ -41,9 +49,10 @@ THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 BLOCK = 2_000  #: lines of a hot key, of two of which the lines are compared in one task at a time
 BLOCK_CHARS = 100_000  #: characters signed at a time, so that the arrays stay in the cache
+SKETCH, SKETCH_APART = 64, 18  #: at 0.8, 6.4 bits differ on average
 BITMAP = 2_048  #: bits; a power of two
 SEEN_LINES = 200_000  #: line hashes that a task remembers so as not to sign a line again
-_MULTIPLIERS = (np.random.default_rng(20).integers(0, 2**32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
+_MULTIPLIERS = (np.random.default_rng(20).integers(0, 2**32, BANDS * ROWS + SKETCH, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
 
 
 def lines_of(text: str) -> list[str]:
@@ -64,15 +73,20 @@ def shingle_hashes(codes: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint32(13))
 
 
-def band_keys(lines: list[str]) -> np.ndarray:
-    """(lines, BANDS) int64 keys; each line has at least SHINGLE characters."""
-    codes = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
-    hashes = shingle_hashes(codes)
+def _spans(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle hashes of lines put together, and the places where each line's
+    start and end by turns: every other stretch crosses lines."""
+    hashes = shingle_hashes(np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32))
     lens = np.fromiter(map(len, lines), np.int64, len(lines))
     starts = np.cumsum(lens) - lens
-    spans = np.empty(2 * len(lines), np.int64)  # starts and ends by turns: every other stretch crosses lines
+    spans = np.empty(2 * len(lines), np.int64)
     spans[0::2], spans[1::2] = starts, starts + lens - SHINGLE + 1
-    spans = spans[:-1]
+    return hashes, spans[:-1]
+
+
+def band_keys(lines: list[str]) -> np.ndarray:
+    """(lines, BANDS) int64 keys; each line has at least SHINGLE characters."""
+    hashes, spans = _spans(lines)
     keys = np.empty((len(lines), BANDS), np.uint64)
     for band in range(BANDS):
         key = np.full(len(lines), band + 1, np.uint64)
@@ -84,6 +98,21 @@ def band_keys(lines: list[str]) -> np.ndarray:
     return keys.view(np.int64)
 
 
+def sketches(lines: list[str]) -> np.ndarray:
+    """An int64 for each line: the lowest bits of SKETCH minima."""
+    hashes, spans = _spans(lines)
+    out = np.zeros(len(lines), np.uint64)
+    for i, by in enumerate(_MULTIPLIERS[BANDS * ROWS :]):
+        least = np.minimum.reduceat(hashes * by, spans)[0::2]
+        out |= ((least >> np.uint32(16) ^ least) & np.uint32(1)).astype(np.uint64) << np.uint64(i)
+    return out.view(np.int64)
+
+
+def distinct_shingles(lines: list[str]) -> np.ndarray:
+    """How many different shingles each line has."""
+    return np.array([len(shingles(x)) if (p := packed_shingles(x)) is None else len(p) for x in lines], np.int32)
+
+
 def jaccard(a: frozenset | set, b: frozenset | set) -> float:
     both = len(a & b)
     return both / (len(a) + len(b) - both)
@@ -213,7 +242,7 @@ def _shared_keys(indexed: DataFrame) -> DataFrame:
 
 
 def _texts(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, line): the texts of the wanted line hashes."""
+    """(h, line, sketch, size: number of shingles) of the wanted line hashes."""
     # one place a line first: each task brings a very common line down to one row
     found = places.groupBy("h").agg(F.min(F.struct("uid", "line_no")).alias("at")).join(wanted, "h")
     found = found.groupBy("at.uid").agg(F.collect_list(F.struct("at.line_no", "h")).alias("at"))
@@ -222,14 +251,28 @@ def _texts(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
         for batch in batches:
             hashes: list[int] = []
             found: list[str] = []
+
+            def out() -> pa.RecordBatch:
+                columns = [pa.array(hashes, pa.int64()), pa.array(found, pa.string()), pa.array(sketches(found)), pa.array(distinct_shingles(found))]
+                return pa.RecordBatch.from_arrays(columns, ["h", "line", "sketch", "size"])
+
+            chars = 0
             for text, at in zip(strings(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 lines = lines_of(text)
-                hashes += [x["h"] for x in at]
-                found += [lines[x["line_no"]] for x in at]
-            yield pa.RecordBatch.from_arrays([pa.array(hashes, pa.int64()), pa.array(found, pa.string())], ["h", "line"])
+                for x in at:
+                    line = lines[x["line_no"]]
+                    hashes.append(x["h"])
+                    found.append(line)
+                    chars += len(line)
+                    if chars > BLOCK_CHARS:
+                        yield out()
+                        hashes.clear(), found.clear()
+                        chars = 0
+            if found:
+                yield out()
 
     # the plan of many documents at every size: what is wanted grows with them
-    return arrow_map(rows.join(found.hint("merge"), "uid").select("text", "at"), run, "h long, line string")
+    return arrow_map(rows.join(found.hint("merge"), "uid").select("text", "at"), run, "h long, line string, sketch long, size int")
 
 
 def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -248,6 +291,68 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
     return arrow_map(pairs.select("a", "b", "x", "y"), run, "a long, b long")
 
 
+def _may_be_alike(a: str, b: str, threshold: float) -> Column:
+    """By the numbers of shingles and the sketches of two lines, in columns."""
+    one, other = F.col(f"{a}.size"), F.col(f"{b}.size")
+    near = F.bit_count(F.col(f"{a}.sketch").bitwiseXOR(F.col(f"{b}.sketch"))) <= SKETCH_APART
+    return near & (F.least(one, other) >= threshold * F.greatest(one, other))
+
+
+def _with_partners(members: DataFrame, threshold: float) -> DataFrame:
+    """Those rows of ``members`` (k, block, here, h, component, sketch, size)
+    that may be alike to one of another component in their group (k, block)."""
+
+    def near(x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return (np.bitwise_count(x ^ y) <= SKETCH_APART) & (np.minimum(m, n) >= threshold * np.maximum(m, n))
+
+    def partners(group: np.ndarray, component: np.ndarray, sketch: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """``group``: in order from 0 on."""
+        has = np.zeros(len(group), bool)
+        start = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
+        rows = np.diff(np.append(start, len(group)))
+        few = np.flatnonzero((rows <= 32)[group])
+        for step in range(1, min(32, int(rows.max()))):  # small groups all at once
+            a, b = few[:-step], few[step:]
+            same = group[a] == group[b]
+            if not same.any():
+                break
+            a, b = a[same], b[same]
+            hit = (component[a] != component[b]) & near(sketch[a], sketch[b], size[a], size[b])
+            has[a[hit]] = has[b[hit]] = True
+        for g in np.flatnonzero(rows > 32).tolist():
+            own = slice(start[g], start[g] + rows[g])
+            for i in range(start[g], start[g] + rows[g]):
+                hit = (component[own] != component[i]) & near(sketch[own], sketch[i], size[own], size[i])
+                has[i] = hit.any()
+        return has
+
+    names = ["k", "block", "here", "h", "component"]
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+
+        def out(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+            k, block, component, sketch, size = (rows.column(c).to_numpy() for c in ("k", "block", "component", "sketch", "size"))
+            group = np.cumsum(np.append(False, (k[1:] != k[:-1]) | (block[1:] != block[:-1])))
+            has = partners(group, component, sketch.view(np.uint64), size.astype(np.int64))
+            yield from rows.select(names).filter(pa.array(has)).combine_chunks().to_batches()
+
+        for batch in batches:  # sorted; the last group may go on in the next batch, and has the rows of two blocks at most
+            rows = pa.Table.from_batches([batch])
+            if held is not None:
+                rows = pa.concat_tables([held, rows])
+            k, block = rows.column("k").to_numpy(), rows.column("block").to_numpy()
+            cut = int(np.flatnonzero((k != k[-1]) | (block != block[-1])).max(initial=-1)) + 1
+            if cut:
+                yield from out(rows.slice(0, cut))
+            held = rows.slice(cut)
+        if held is not None and held.num_rows:
+            yield from out(held)
+
+    dealt = members.repartition("k", "block").sortWithinPartitions("k", "block").select(*names, "sketch", "size")
+    return arrow_map(dealt, run, "k long, block long, here boolean, h long, component long")
+
+
 def _in_blocks(members: DataFrame) -> DataFrame:
     """``members``, (k, h, component, main), dealt so that every two lines under
     a key of which one is not ``main`` meet in one group (k, block), which has the
@@ -313,11 +418,12 @@ def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
 def _components(rows: DataFrame, places: DataFrame, threshold: float) -> DataFrame:
     """(h, component) of every line that is like another one."""
     shared = stored(_shared_keys(_indexed(rows)))
-    release(rows)
     texts = stored(_texts(rows, places, shared.select("h").distinct()))
-    release(rows)
+    sketch = texts.select("h", F.struct("sketch", "size").alias("s"))
     pairs = shared.where("h != rep").select(F.col("h").alias("a"), F.col("rep").alias("b")).distinct()
-    pairs = pairs.join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b")
+    pairs = pairs.join(sketch.toDF("a", "s"), "a").join(sketch.toDF("b", "t"), "b").where(_may_be_alike("s", "t", threshold)).select("a", "b")
+    text = texts.select("h", "line")
+    pairs = pairs.join(text.toDF("a", "x"), "a").join(text.toDF("b", "y"), "b")
     links = stored(_verified(pairs, threshold))
     found = stored(connected_components(links).toDF("h", "component"))
     # keys that still hold several components, beside the representative: it has met all others
@@ -336,8 +442,9 @@ def _components(rows: DataFrame, places: DataFrame, threshold: float) -> DataFra
     # bands often bring the same lines together: one key of equal ones is enough
     mixed = mixed.where("low != high").groupBy("n", "s", "t").agg(F.min_by(F.struct("k", "rep_component"), "k").alias("one")).select("one.k", "one.rep_component")
     members = named.where(~is_rep).join(mixed, "k").select("k", "h", "component", (F.col("component") == F.col("rep_component")).alias("main"))
-    members = _in_blocks(stored(members)).join(texts, "h")
-    more = stored(_cross_links(members, threshold))
+    members = _in_blocks(stored(members)).join(texts.select("h", "sketch", "size"), "h")
+    members = stored(_with_partners(members, threshold))
+    more = stored(_cross_links(members.join(text, "h"), threshold))
     if more.isEmpty():
         return found
     return connected_components(found.toDF("a", "b").unionByName(more)).toDF("h", "component")
@@ -373,7 +480,6 @@ def dedup_lines(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
 
     places = stored(arrow_map(own, places_of, f"key {ddl(own, 'key')}, uid long, line_no int, h long"))
     found = _components(own.select("uid", "text"), places.select("uid", "line_no", "h"), threshold)
-    release(df)
     order = F.struct(F.col("key").isNull().alias("n"), F.col("key").alias("i"), F.col("uid").alias("u"), F.col("line_no").alias("l"))
     # the first place of each line, then of each component; only what occurs again is looked up again
     first = places.groupBy("h").agg(F.min(order).alias("first"), F.count("*").alias("n")).join(found, "h", "left")
@@ -382,7 +488,6 @@ def dedup_lines(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
     lookup = first.join(stays, "component").select("h", "stays")
     gone = places.join(lookup, "h").where((F.col("uid") != F.col("stays.u")) | (F.col("line_no") != F.col("stays.l")))
     gone = stored(gone.groupBy("uid").agg(F.collect_list("line_no").alias("gone")))
-    release(df)
     joined = plain.join(gone.hint("merge"), "uid", "left").drop("uid")  # as above
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
