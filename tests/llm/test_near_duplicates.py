@@ -277,3 +277,21 @@ def test_registered_line_dedup(spark, sf):
     docs = sorted((r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
     got = {r["doc_id"]: r["text"] for r in QUERIES["op10_line_dedup"](spark, sf).collect()}
     assert got == {i: t for (i, _), t in zip(docs, dedup_brute(docs))}
+
+
+def test_sketches_and_shingle_numbers():
+    """Sketches of equal lines are equal, of alike lines seldom far apart, of others mostly."""
+    random = np.random.default_rng(8)
+    lines = ["".join(random.choice(list("abcdefgh é€"), random.integers(5, 200))) for _ in range(400)]
+    assert line_dedup.distinct_shingles(lines).tolist() == [len(line_dedup.shingles(x)) for x in lines]
+    sketch = line_dedup.sketches(lines).view(np.uint64)
+    assert (line_dedup.sketches(lines[::-1]).view(np.uint64)[::-1] == sketch).all()
+    far = line_dedup.apart(sketch[1:], sketch[:-1])
+    assert 20 < far.mean() < 28
+    near = []
+    for x in lines:
+        if len(x) > 60:
+            near.append((x, x[:20] + "#" + x[21:]))
+    near = [(x, y) for x, y in near if line_dedup.jaccard(line_dedup.shingles(x), line_dedup.shingles(y)) >= 0.8]
+    a, b = (line_dedup.sketches([p[i] for p in near]).view(np.uint64) for i in (0, 1))
+    assert len(near) > 100 and (line_dedup.apart(a, b) <= line_dedup.SKETCH_APART).all()

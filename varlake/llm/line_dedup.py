@@ -10,8 +10,8 @@ order of (document id, place) stays, over the whole corpus.
    its bands; a pair at 0.8 shares a band with probability 0.998, at 0.9 with
    over 0.9999.  A line is identified by a 64-bit hash of its text.
    Lines that share a key are read once more for their texts, their numbers of
-   shingles and sketches: the lowest bits of ``SKETCH`` further minima, of which
-   each differs with probability (1 - J) / 2.
+   shingles and sketches: two bits of each of ``SKETCH`` further minima, which
+   differ with probability 0.75 (1 - J).
 2. Under each band key, every line is held against one of them (linear, and
    split by Spark if a key is hot).  Links give components.
 3. Under keys that still hold several components, lines outside that one's
@@ -24,7 +24,7 @@ order of (document id, place) stays, over the whole corpus.
 
 Pairs are held against each other in two steps.  Numbers of shingles that differ
 too much rule a pair out for certain, and sketches that differ in more than
-``SKETCH_APART`` bits do but for one alike pair in 100,000; only texts of lines
+``SKETCH_APART`` minima do but for one pair of 0.8 in 50,000; only texts of lines
 that are left travel, and those are compared exactly.
 
 Lines are identified by 64-bit hashes: among n distinct lines about n * n / 2**65
@@ -49,7 +49,7 @@ THRESHOLD = 0.8
 BANDS, ROWS = 12, 4
 BLOCK = 2_000  #: lines of a hot key, of two of which the lines are compared in one task at a time
 BLOCK_CHARS = 100_000  #: characters signed at a time, so that the arrays stay in the cache
-SKETCH, SKETCH_APART = 64, 18  #: at 0.8, 6.4 bits differ on average
+SKETCH, SKETCH_APART = 32, 14  #: at 0.8, 4.8 minima differ on average
 BITMAP = 2_048  #: bits; a power of two
 SEEN_LINES = 200_000  #: line hashes that a task remembers so as not to sign a line again
 _MULTIPLIERS = (np.random.default_rng(20).integers(0, 2**32, BANDS * ROWS + SKETCH, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -99,18 +99,36 @@ def band_keys(lines: list[str]) -> np.ndarray:
 
 
 def sketches(lines: list[str]) -> np.ndarray:
-    """An int64 for each line: the lowest bits of SKETCH minima."""
+    """An int64 for each line: two bits of each of SKETCH minima."""
     hashes, spans = _spans(lines)
     out = np.zeros(len(lines), np.uint64)
     for i, by in enumerate(_MULTIPLIERS[BANDS * ROWS :]):
         least = np.minimum.reduceat(hashes * by, spans)[0::2]
-        out |= ((least >> np.uint32(16) ^ least) & np.uint32(1)).astype(np.uint64) << np.uint64(i)
+        out |= ((least >> np.uint32(11) ^ least) & np.uint32(3)).astype(np.uint64) << np.uint64(2 * i)
     return out.view(np.int64)
 
 
 def distinct_shingles(lines: list[str]) -> np.ndarray:
     """How many different shingles each line has."""
-    return np.array([len(shingles(x)) if (p := packed_shingles(x)) is None else len(p) for x in lines], np.int32)
+    codes = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    lens = np.fromiter(map(len, lines), np.int64, len(lines))
+    line = np.repeat(np.arange(len(lines), dtype=np.uint64), lens)
+    packed = line << np.uint64(8 * SHINGLE)
+    low = codes & np.uint64(255)
+    packed[: 1 - SHINGLE] |= sum(low[i : len(low) + 1 - SHINGLE + i] << np.uint64(8 * i) for i in range(SHINGLE))
+    inside = np.arange(len(codes)) < np.repeat(np.cumsum(lens), lens) - SHINGLE + 1
+    wide = np.unique(line[codes > 255]).astype(np.int64)  # lines beyond Latin-1
+    packed = np.sort(packed[inside])
+    own = (packed >> np.uint64(8 * SHINGLE)).astype(np.int64)
+    out = np.bincount(own[np.append(True, packed[1:] != packed[:-1])], minlength=len(lines)).astype(np.int32)
+    out[wide] = [len(shingles(lines[i])) for i in wide.tolist()]
+    return out
+
+
+def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many minima sketches differ."""
+    d = x ^ y
+    return np.bitwise_count((d | d >> np.uint64(1)) & np.uint64(0x5555555555555555))
 
 
 def jaccard(a: frozenset | set, b: frozenset | set) -> float:
@@ -241,11 +259,10 @@ def _shared_keys(indexed: DataFrame) -> DataFrame:
     return arrow_map(dealt, run, "k long, h long, rep long")
 
 
-def _texts(rows: DataFrame, places: DataFrame, wanted: DataFrame) -> DataFrame:
+def _texts(rows: DataFrame, firsts: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, line, sketch, size: number of shingles) of the wanted line hashes."""
-    # one place a line first: each task brings a very common line down to one row
-    found = places.groupBy("h").agg(F.min(F.struct("uid", "line_no")).alias("at")).join(wanted, "h")
-    found = found.groupBy("at.uid").agg(F.collect_list(F.struct("at.line_no", "h")).alias("at"))
+    found = firsts.select("h", "first.u", "first.l").join(wanted, "h")
+    found = found.groupBy(F.col("u").alias("uid")).agg(F.collect_list(F.struct(F.col("l").alias("line_no"), "h")).alias("at"))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -294,7 +311,8 @@ def _verified(pairs: DataFrame, threshold: float) -> DataFrame:
 def _may_be_alike(a: str, b: str, threshold: float) -> Column:
     """By the numbers of shingles and the sketches of two lines, in columns."""
     one, other = F.col(f"{a}.size"), F.col(f"{b}.size")
-    near = F.bit_count(F.col(f"{a}.sketch").bitwiseXOR(F.col(f"{b}.sketch"))) <= SKETCH_APART
+    differ = F.col(f"{a}.sketch").bitwiseXOR(F.col(f"{b}.sketch"))
+    near = F.bit_count(differ.bitwiseOR(F.shiftrightunsigned(differ, 1)).bitwiseAND(F.lit(0x5555555555555555))) <= SKETCH_APART
     return near & (F.least(one, other) >= threshold * F.greatest(one, other))
 
 
@@ -303,7 +321,7 @@ def _with_partners(members: DataFrame, threshold: float) -> DataFrame:
     that may be alike to one of another component in their group (k, block)."""
 
     def near(x: np.ndarray, y: np.ndarray, m: np.ndarray, n: np.ndarray) -> np.ndarray:
-        return (np.bitwise_count(x ^ y) <= SKETCH_APART) & (np.minimum(m, n) >= threshold * np.maximum(m, n))
+        return (apart(x, y) <= SKETCH_APART) & (np.minimum(m, n) >= threshold * np.maximum(m, n))
 
     def partners(group: np.ndarray, component: np.ndarray, sketch: np.ndarray, size: np.ndarray) -> np.ndarray:
         """``group``: in order from 0 on."""
@@ -326,7 +344,7 @@ def _with_partners(members: DataFrame, threshold: float) -> DataFrame:
                 has[i] = hit.any()
         return has
 
-    names = ["k", "block", "here", "h", "component"]
+    names = ["k", "block", "here", "h", "component", "sketch"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
@@ -349,8 +367,8 @@ def _with_partners(members: DataFrame, threshold: float) -> DataFrame:
         if held is not None and held.num_rows:
             yield from out(held)
 
-    dealt = members.repartition("k", "block").sortWithinPartitions("k", "block").select(*names, "sketch", "size")
-    return arrow_map(dealt, run, "k long, block long, here boolean, h long, component long")
+    dealt = members.repartition("k", "block").sortWithinPartitions("k", "block").select(*names, "size")
+    return arrow_map(dealt, run, "k long, block long, here boolean, h long, component long, sketch long")
 
 
 def _in_blocks(members: DataFrame) -> DataFrame:
@@ -375,9 +393,9 @@ def _in_blocks(members: DataFrame) -> DataFrame:
 
 def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
     """Links between components under the same key.  ``members``: (k, block, h,
-    component, here, line), the groups of ``_in_blocks``."""
+    component, here, sketch, line), the groups of ``_in_blocks``."""
 
-    def linked(block: int, rows: list[tuple[int, int, bool, str]]) -> Iterator[tuple[int, int]]:
+    def linked(block: int, rows: list[tuple[int, int, bool, int, str]]) -> Iterator[tuple[int, int]]:
         parent: dict[int, int] = {}
 
         def root(c: int) -> int:
@@ -385,13 +403,24 @@ def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
                 parent[c] = c = parent.get(p, p)
             return c
 
-        lines = [(h, c, Line(text)) for h, c, _, text in rows]
-        here = [x for x, r in zip(lines, rows, strict=True) if r[2]]
-        there = [x for x, r in zip(lines, rows, strict=True) if not r[2]]
-        for n, (h, c, own) in enumerate(here):
-            # the lines of a block meet each other where it is dealt with the first
-            for g, d, other in there + here[:n] if block >> 32 == 0 else there:
-                if (p := root(c)) != (q := root(d)) and own.may_be_alike(other, threshold) and own.similarity(other) >= threshold:
+        made: dict[int, Line] = {}
+
+        def line(i: int) -> Line:
+            if i not in made:
+                made[i] = Line(rows[i][4])
+            return made[i]
+
+        here = [i for i, r in enumerate(rows) if r[2]]
+        # the lines of a block meet each other where it is dealt with the first
+        there = [i for i, r in enumerate(rows) if not r[2]] + (here if block >> 32 == 0 else [])
+        known = len(there) - (len(here) if block >> 32 == 0 else 0)
+        sketch = np.array([rows[i][3] for i in there], np.int64).view(np.uint64)
+        for n, i in enumerate(here):
+            upto = known + n if block >> 32 == 0 else known
+            mine = np.int64(rows[i][3]).view(np.uint64)
+            for j in np.flatnonzero(apart(sketch[:upto], mine) <= SKETCH_APART).tolist():
+                h, c, g, d = *rows[i][:2], *rows[there[j]][:2]
+                if (p := root(c)) != (q := root(d)) and line(i).may_be_alike(line(there[j]), threshold) and line(i).similarity(line(there[j])) >= threshold:
                     parent[p] = q
                     yield h, g
 
@@ -412,13 +441,14 @@ def _cross_links(members: DataFrame, threshold: float) -> DataFrame:
         yield from out()
 
     dealt = members.repartition("k", "block").sortWithinPartitions("k", "block")
-    return arrow_map(dealt.select("k", "block", "h", "component", "here", "line"), run, "a long, b long")
+    return arrow_map(dealt.select("k", "block", "h", "component", "here", "sketch", "line"), run, "a long, b long")
 
 
-def _components(rows: DataFrame, places: DataFrame, threshold: float) -> DataFrame:
-    """(h, component) of every line that is like another one."""
+def _components(rows: DataFrame, firsts: DataFrame, threshold: float) -> DataFrame:
+    """(h, component) of every line that is like another one.  ``firsts``: (h,
+    first) of each line, its first place."""
     shared = stored(_shared_keys(_indexed(rows)))
-    texts = stored(_texts(rows, places, shared.select("h").distinct()))
+    texts = stored(_texts(rows, firsts, shared.select("h").distinct()))
     sketch = texts.select("h", F.struct("sketch", "size").alias("s"))
     pairs = shared.where("h != rep").select(F.col("h").alias("a"), F.col("rep").alias("b")).distinct()
     pairs = pairs.join(sketch.toDF("a", "s"), "a").join(sketch.toDF("b", "t"), "b").where(_may_be_alike("s", "t", threshold)).select("a", "b")
@@ -479,10 +509,12 @@ def dedup_lines(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([batch.column(0).take(take), batch.column(1).take(take), pa.array(no, pa.int32()), pa.array(h, pa.int64())], ["key", "uid", "line_no", "h"])
 
     places = stored(arrow_map(own, places_of, f"key {ddl(own, 'key')}, uid long, line_no int, h long"))
-    found = _components(own.select("uid", "text"), places.select("uid", "line_no", "h"), threshold)
     order = F.struct(F.col("key").isNull().alias("n"), F.col("key").alias("i"), F.col("uid").alias("u"), F.col("line_no").alias("l"))
-    # the first place of each line, then of each component; only what occurs again is looked up again
-    first = places.groupBy("h").agg(F.min(order).alias("first"), F.count("*").alias("n")).join(found, "h", "left")
+    # the first place of each line: each task brings a very common line down to one row
+    firsts = stored(places.groupBy("h").agg(F.min(order).alias("first"), F.count("*").alias("n")))
+    found = _components(own.select("uid", "text"), firsts, threshold)
+    # then of each component; only what occurs again is looked up again
+    first = firsts.join(found, "h", "left")
     first = stored(first.where("n > 1 or component is not null").select("h", F.coalesce("component", "h").alias("component"), "first"))
     stays = first.groupBy("component").agg(F.min("first").alias("stays"))
     lookup = first.join(stays, "component").select("h", "stays")
