@@ -196,6 +196,7 @@ def ingest(
     parallel: bool = True,
     same_header: bool = False,
     stage: bool = True,
+    on_bad_line: str = "fail",
 ) -> IngestResult:
     """Read VCF ``path`` and store its tables under ``root``.
 
@@ -213,12 +214,15 @@ def ingest(
     covers their position.  ``parallel`` submits the four table writes as
     concurrent jobs.  ``same_header``: see ``open_vcf``.  ``stage=False``
     builds each table from the text itself, which reads it once per table.
+    ``on_bad_line``: 'fail' ends the ingest at a line with too few fields or no
+    position; 'drop' stores such lines with their file and the reason under
+    ``<root>/bad_lines`` instead; 'keep' parses them as they are.
     """
     if on_duplicate not in ("error", "keep", "merge"):
         raise ValueError("on_duplicate must be 'error', 'keep' or 'merge'")
     if profile not in TABLE_NAMES:
         raise ValueError(f"unknown profile {profile!r}; use 'full' or 'slim'")
-    src = open_vcf(spark, path, min_partitions=min_partitions, same_header=same_header)
+    src = open_vcf(spark, path, min_partitions=min_partitions, same_header=same_header, on_bad_line=on_bad_line)
     state = file_states(spark, src.files)
     kept = [profile, *(f"sample {s}" for s in samples or ())]
     source = _digest([*kept, *(x.rsplit(" ", 2)[0] for x in state)])
@@ -228,6 +232,9 @@ def ingest(
     tables = ["genotypes"] * bool(src.header.formats) + ["csq"] * bool(src.header.csq_fields) + ["info", "main"]
     if all(names[t] in done for t in tables):
         return IngestResult(root, {t: table_path(root, names[t]) for t in tables}, src.header)
+    if src.bad_lines is not None:
+        # a rerun in the same state overwrites its own
+        src.bad_lines.write.mode("overwrite").parquet(f"{root.rstrip('/')}/bad_lines/identity={identity}")
     if stage:
         src = src.stage(scratch_path(spark, "vcf-stage"))
     own = [s for s in src.sample_ids if samples is None or s in set(samples)]

@@ -128,9 +128,9 @@ def _write_vcf(spark: SparkSession, sf: str, compression: str | None = None) ->
 
 
 def q_vcf_bgzf(spark, sf):
-    """Block-gzip files of many members read back through read_vcf."""
+    """Block-gzip files of many members read back through read_vcf, in ranges."""
     path = standin.write_bgzf_files(spark, sf, scratch_path(spark, "vcf"))
-    s, _ = read_vcf(spark, path)
+    s, _ = read_vcf(spark, path, range_bytes=1 << 18)
     return flat(s.select("contigName", "start", "names", "referenceAllele", "alternateAlleles", "qual", "filters"))
 
 

@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ from pyspark.sql import types as T
 
 from ..functions.names import CSQ_LIST_FIELDS, sample_column_expr
 from ..session import scratch_path
+from .bgzf import can_open, gzip_lines, gzip_ranges
 
 # FORMAT keys renamed in the genotype struct, as the
 # reference's queries read them (GT -> calls, AD -> alleleDepths,
@@ -418,15 +420,55 @@ def parse_csq_long(lines: DataFrame, header: VcfHeader, *, value_col: str = "val
     return parts.select("contigName", "start", "csq_no", F.struct(*cols).alias("_csq"))
 
 
+# ------------------------------------------------------------- broken lines
+
+BAD_LINE_MODES = ("fail", "drop", "keep")
+
+
+def line_fault(value: Column) -> Column:
+    """What is wrong with a VCF line; null for a sound one, a header line and
+    an empty one.  A data line has at least eight fields, a contig and a
+    position of digits."""
+    f = F.split(value, "\t", 9)
+    fault = (
+        F.when(value.startswith("#") | (F.length(value) == 0), F.lit(None).cast("string"))
+        .when(F.size(f) < 8, F.concat(F.size(f).cast("string"), F.lit(" fields instead of 8 or more")))
+        .when(F.get(f, 0) == "", F.lit("no contig"))
+        .when(~F.get(f, 1).rlike("^[0-9]+$"), F.concat(F.lit("position "), F.get(f, 1)))
+    )
+    return fault
+
+
+def sound_lines(lines: DataFrame, mode: str = "fail") -> tuple[DataFrame, DataFrame | None]:
+    """``lines`` (``value``, ``file_path``) without broken ones, and the broken
+    ones (file_path, line, reason).
+
+    ``fail``: the job that comes to one fails and names it; ``drop``: the text is
+    written once to the scratch folder with the reasons, and both are read
+    from there; ``keep``: all lines as they are."""
+    if mode not in BAD_LINE_MODES:
+        raise ValueError(f"on_bad_line must be one of {', '.join(BAD_LINE_MODES)}")
+    if mode == "keep":
+        return lines, None
+    fault = line_fault(F.col("value"))
+    if mode == "fail":
+        told = F.concat(F.lit("broken VCF line in "), F.col("file_path"), F.lit(": "), fault, F.lit(": "), F.substring("value", 1, 200))
+        return lines.where(F.when(fault.isNotNull(), F.raise_error(told).cast("boolean")).otherwise(F.lit(True))), None
+    path = scratch_path(lines.sparkSession, "vcf-lines")
+    lines.withColumn("reason", fault).write.parquet(path)
+    back = lines.sparkSession.read.parquet(path)
+    return back.where("reason is null").drop("reason"), back.where("reason is not null").select("file_path", F.col("value").alias("line"), "reason")
+
+
 # ------------------------------------------------------------------ files
 
 
 def _check_path(spark: SparkSession, path: str) -> None:
-    if path.rstrip("/").endswith(".bgz"):
+    if path.endswith(".bgz"):
         codecs = spark.sparkContext._jsc.hadoopConfiguration().get("io.compression.codecs") or ""
         if "bgz" not in codecs.lower():
             raise VcfFormatError(
-                f"{path}: without a block-gzip codec in io.compression.codecs '.bgz' is read as plain text; "
+                f"{path}: only Spark can open this path, and without a block-gzip codec in io.compression.codecs it reads '.bgz' as plain text; "
                 "name such a codec, or the files '*.vcf.gz' (gzip readers accept the multi-member stream)"
             )
 
@@ -451,6 +493,11 @@ def _plain_path(c: Column) -> Column:
     return F.regexp_replace(c, "^file:/+", "/")
 
 
+def _source_path() -> Column:
+    """The file of a text row, spelled like those of a listing."""
+    return _plain_path(F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B")))
+
+
 def headers_of_lines(lines: DataFrame) -> dict[str, VcfHeader]:
     """Header per file of lines (``value``, ``file_path``), in one job:
     each distinct header text reaches the driver once, and of each file its
@@ -468,9 +515,11 @@ def headers_of_lines(lines: DataFrame) -> dict[str, VcfHeader]:
 
 def read_headers(spark: SparkSession, files: list[str]) -> dict[str, VcfHeader]:
     """Headers of many files, by path without a file scheme."""
+    if not files:
+        return {}
     if len(files) == 1:
         return {re.sub(r"^file:/+", "/", files[0]): parse_header(read_header_lines(spark, files[0]))}
-    return headers_of_lines(spark.read.text(files).select("value", _plain_path(F.col("_metadata.file_path")).alias("file_path")))
+    return headers_of_lines(spark.read.text(files).select("value", _source_path().alias("file_path")))
 
 
 @dataclass(frozen=True)
@@ -488,6 +537,7 @@ class VcfSource:
     sample_parts: tuple[tuple[DataFrame, VcfHeader, Column | None], ...] | None = None
     sample_ids: tuple[str, ...] = ()
     files: tuple[str, ...] = ()
+    bad_lines: DataFrame | None = None  #: (file_path, line, reason) of dropped lines
 
     def sites(self, *, include_sample_ids: bool = True, flatten_info: bool = True) -> DataFrame:
         """Nested site rows (:func:`parse_vcf_lines`); a staged source has
@@ -561,6 +611,8 @@ def open_vcf(
     *,
     min_partitions: int | None = None,
     same_header: bool = False,
+    range_bytes: int | None = None,
+    on_bad_line: str = "fail",
 ) -> VcfSource:
     """List the files, read their headers and return their lines.
 
@@ -568,26 +620,32 @@ def open_vcf(
     samples through a join on the file path with a table of one row per
     file.  INFO, FORMAT and CSQ definitions must agree.
     ``min_partitions`` spreads the text over at least so many tasks with a
-    round-robin repartition; compressed text, which one task reads a file,
-    is spread over the session's default parallelism.
+    round-robin repartition; compressed text of fewer tasks is spread over the
+    session's default parallelism.  Block-gzip files are read in ranges of
+    ``range_bytes`` compressed bytes (``sources.bgzf``).
     ``same_header``: read only the first file's header and use it for all
     files (thousands of per-contig files of one cohort).
+    ``on_bad_line``: see ``sound_lines``; dropped lines are in ``bad_lines``.
     """
     paths = [path] if isinstance(path, str) else list(path)
     text = spark.read.text(paths)
-    files = sorted(text.inputFiles())
+    files = sorted(unquote(f) for f in text.inputFiles())
     if not files:
         raise VcfFormatError(f"no input files at {paths}")
-    for p in [*paths, *files]:
+    packed = [f for f in files if f.endswith((".gz", ".bgz")) and can_open(f)]
+    plain = [f for f in files if f not in set(packed)]
+    for p in plain:
         _check_path(spark, p)
-    if same_header:
-        # the caller vouches that every file has the first file's header
-        # (e.g. one cohort split by contig): one header read, not one per file
-        headers = {files[0]: parse_header(read_header_lines(spark, files[0]))}
-    else:
-        headers = read_headers(spark, files)
-        if len(headers) < len(files):
-            raise VcfFormatError(f"{len(files) - len(headers)} of {len(files)} files have no header line")
+    ranges = gzip_ranges(spark, packed, range_bytes) if packed else None
+    # the caller may vouch that every file has the first file's header (e.g.
+    # one cohort split by contig): one header read, not one per file
+    asked = files[:1] if same_header else files
+    headers = read_headers(spark, [f for f in asked if f not in set(packed)])
+    if any(f in set(packed) for f in asked):
+        own = ranges.where(_plain_path(F.col("file")) == _plain_path(F.lit(asked[0]))) if same_header else ranges
+        headers |= headers_of_lines(gzip_lines(own, header_only=True).withColumn("file_path", _plain_path(F.col("file_path"))))
+    if len(headers) < len(asked):
+        raise VcfFormatError(f"{len(asked) - len(headers)} of {len(asked)} files have no header line")
     if min_partitions is None and any(f.endswith((".gz", ".bgz", ".zst", ".deflate")) for f in files):
         min_partitions = spark.sparkContext.defaultParallelism
 
@@ -596,8 +654,12 @@ def open_vcf(
             return t.repartition(min_partitions)
         return t
 
-    lines = spread(text.select("value", _plain_path(F.col("_metadata.file_path")).alias("file_path")))
-    return replace(_source(lines, headers), files=tuple(files))
+    parts = [gzip_lines(ranges)] if packed else []
+    if plain:
+        parts.append((spark.read.text(plain) if packed else text).select("value", _source_path().alias("file_path")))
+    lines = spread(_union(parts).select("value", _plain_path(F.col("file_path")).alias("file_path")))
+    lines, bad = sound_lines(lines, on_bad_line)
+    return replace(_source(lines, headers), files=tuple(files), bad_lines=bad)
 
 
 def _source(lines: DataFrame, headers: dict[str, VcfHeader]) -> VcfSource:
@@ -633,10 +695,12 @@ def read_vcf(
     flatten_info: bool = True,
     min_partitions: int | None = None,
     same_header: bool = False,
+    range_bytes: int | None = None,
+    on_bad_line: str = "fail",
 ) -> tuple[DataFrame, VcfHeader]:
-    """Read VCF files (plain or ``.vcf.gz``) into nested site rows;
-    returns the DataFrame and the (first file's) header."""
-    src = open_vcf(spark, path, min_partitions=min_partitions, same_header=same_header)
+    """Read VCF files (plain, ``.vcf.gz`` or ``.vcf.bgz``) into nested site
+    rows; returns the DataFrame and the (first file's) header."""
+    src = open_vcf(spark, path, min_partitions=min_partitions, same_header=same_header, range_bytes=range_bytes, on_bad_line=on_bad_line)
     return src.sites(include_sample_ids=include_sample_ids, flatten_info=flatten_info), src.header
 
 
