@@ -6,6 +6,10 @@ without a start are passed over, and whatever is open ends with the page.
 ``render`` walks the tree: elements that are not shown are left out, blocks keep
 their spacing, list items get markers and indents, and the cells of a table are
 aligned in columns.  Both use loops, not recursion, so any nesting is taken.
+
+No text is left out for its size or depth, only the layout has bounds, so that a
+small page can't make a large one: see ``DEEPEST``, ``WIDEST``, ``FARTHEST`` and
+``TABLES``.
 """
 
 from __future__ import annotations
@@ -486,14 +490,42 @@ def hidden(node: Node, styles: dict[str, str]) -> bool:
 
 
 # ---- layout
+DEEPEST = 200  #: characters; lists nested deeper are indented no further
+WIDEST = 200  #: characters; longer cells don't widen their column
+TABLES = 20  #: tables nested deeper are laid out as blocks, a cell below the other
+FARTHEST = 1_000  #: characters; columns that would begin farther right are not aligned
+
+
 class Flow:
     """Text that is being laid out: white space collapses, and breaks between
-    blocks are at most as large as the largest that is asked for."""
+    blocks are at most as large as the largest that is asked for.  Each line gets
+    the indent of the list items that are open where it begins."""
 
     def __init__(self) -> None:
         self.parts: list[str] = []
         self.breaks = 0  # newlines that the next text begins with
         self.space = False  # so does a space
+        self.fresh = True  # no text yet, here or in the innermost open item
+        self.lead = ""  # what comes before the first text: the break before the open items, and their markers
+        self.indent = ""
+        self.items: list[tuple[int, bool, bool, str, str]] = []
+
+    def open_item(self, marker: str) -> None:
+        self.items.append((self.breaks, self.space, self.fresh, self.lead, self.indent))
+        if not self.fresh:
+            self.lead = "\n" * max(self.breaks, 1) + self.indent
+        self.lead += marker
+        if len(self.indent) + len(marker) <= DEEPEST:
+            self.indent += " " * len(marker)
+        self.breaks, self.space, self.fresh = 0, False, True
+
+    def close_item(self) -> None:
+        """An item without text leaves no trace."""
+        breaks, space, fresh, lead, self.indent = self.items.pop()
+        if self.fresh:
+            self.breaks, self.space, self.fresh, self.lead = breaks, space, fresh, lead
+        else:
+            self.breaks, self.space = 1, False
 
     def add(self, text: str, as_is: bool = False) -> None:
         if not as_is:
@@ -507,10 +539,14 @@ class Flow:
             lead = trail = False
             if not text:
                 return
-        if self.parts:
-            self.parts.append("\n" * self.breaks if self.breaks else " " if self.space or lead else "")
+            if self.indent:
+                text = text.replace("\n", "\n" + self.indent)
+        if self.fresh:
+            self.parts.append(self.lead)
+        else:
+            self.parts.append("\n" * self.breaks + self.indent if self.breaks else " " if self.space or lead else "")
         self.parts.append(text)
-        self.breaks, self.space = 0, trail
+        self.breaks, self.space, self.fresh, self.lead = 0, trail, False, ""
 
     def block(self, text: str, size: int) -> None:
         if text:
@@ -523,17 +559,13 @@ class Flow:
 
     def line(self) -> None:
         """A line break within text: each one counts."""
-        if self.parts:
+        if not self.fresh:
             self.breaks, self.space = self.breaks + 1, False
 
     def text(self) -> str:
         return "".join(self.parts)
 
 
-def indented(marker: str, text: str) -> str:
-    return marker + text.replace("\n", "\n" + " " * len(marker))
-
-
 def _number(value: str | None, default: int) -> int:
     try:
         return int((value or "").strip() or default)
@@ -542,46 +574,76 @@ def _number(value: str | None, default: int) -> int:
 
 
 class Grid:
-    """A table's cells, row by row."""
+    """A table's cells that have text, row by row, and the places that cells of
+    earlier rows reach down to, as ranges of columns."""
 
     def __init__(self) -> None:
-        self.rows: list[list[tuple[str, bool]]] = []
-        self.taken: dict[tuple[int, int], bool] = {}
+        self.rows: list[list[tuple[int, str, bool]]] = []  # column, text, whether it is set to the right
+        self.spans: list[tuple[int, int, int]] = []  # from column, to column, last row; by column
+        self.held: list[tuple[int, int, int]] = []  # those that begin in the present row
+        self.column = self.passed = 0  # the next column of the row, and how many spans lie before it
         self.caption = ""
 
     def row(self) -> None:
+        last = len(self.rows)
         self.rows.append([])
+        self.column = self.passed = 0
+        if self.held or self.spans:
+            live: list[tuple[int, int, int]] = []
+            for span in sorted(s for s in self.spans + self.held if s[2] >= last):
+                if live and live[-1][1] == span[0] and live[-1][2] == span[2]:
+                    live[-1] = live[-1][0], span[1], span[2]
+                else:
+                    live.append(span)
+            self.spans, self.held = live, []
 
     def cell(self, text: str, node: Node) -> None:
         if not self.rows:
             self.row()
-        r, row = len(self.rows) - 1, self.rows[-1]
-        while self.taken.pop((r, len(row)), False):
-            row.append(("", False))
-        at, wide = len(row), min(1_000, max(1, _number(node.attrs.get("colspan"), 1)))
-        right = "right" in (node.attrs.get("align", "") + node.attrs.get("style", "")).lower().split("align")[-1][:12]
-        row += [(text, right), *[("", False)] * (wide - 1)]
-        for down in range(1, min(1_000, _number(node.attrs.get("rowspan"), 1))):
-            for c in range(at, at + wide):
-                self.taken[r + down, c] = True
+        while self.passed < len(self.spans) and self.spans[self.passed][0] <= self.column:
+            self.column = max(self.column, self.spans[self.passed][1])
+            self.passed += 1
+        wide = min(1_000, max(1, _number(node.attrs.get("colspan"), 1)))
+        down = min(1_000, _number(node.attrs.get("rowspan"), 1))
+        if text:
+            right = "right" in (node.attrs.get("align", "") + node.attrs.get("style", "")).lower().split("align")[-1][:12]
+            self.rows[-1].append((self.column, text, right))
+        if down > 1:
+            self.held.append((self.column, self.column + wide, len(self.rows) + down - 2))
+        self.column += wide
 
     def text(self) -> str:
-        split = [[(t.split("\n"), right) for t, right in row] for row in self.rows if any(t for t, _ in row)]
-        widths: list[int] = []
-        for row in split:
-            for c, (lines, _) in enumerate(row):
-                widths += [0] * (c + 1 - len(widths))
-                widths[c] = max(widths[c], *(len(x) for x in lines))
+        """The rows in lines.  Text is never cut: a cell that is longer than its
+        column, or lies in one too far right to align, follows after two spaces."""
         out = [self.caption] if self.caption else []
-        shown = [c for c, w in enumerate(widths) if w]
-        for row in split:
-            for i in range(max(len(lines) for lines, _ in row)):
-                cells = []
-                for c in shown:
-                    lines, right = row[c] if c < len(row) else ([""], False)
+        widths: dict[int, int] = {}
+        for row in self.rows:
+            for c, text, _ in row:
+                widths[c] = max(widths.get(c, 1), max((n for n in map(len, text.split("\n")) if n <= WIDEST), default=1))
+        if len(widths) == 1:  # a table for the layout only
+            (width,) = widths.values()
+            for row in self.rows:
+                for _, text, right in row:
+                    out.append("\n".join(t.rjust(width) for t in text.split("\n")) if right else text)
+            return "\n".join(out)
+        begins, at = {}, 0
+        for c in sorted(widths):
+            begins[c] = at
+            at += widths[c] + 2
+        for row in self.rows:
+            cells = [(c, text.split("\n"), right) for c, text, right in row]
+            for i in range(max((len(lines) for _, lines, _ in cells), default=0)):
+                line, size = [], 0
+                for c, lines, right in cells:
                     s = lines[i] if i < len(lines) else ""
-                    cells.append(s.rjust(widths[c]) if right else s.ljust(widths[c]))
-                out.append("  ".join(cells).rstrip())
+                    if not s:
+                        continue
+                    gap = 2 if size else 0
+                    if begins[c] <= FARTHEST:
+                        gap = max(gap, begins[c] + (max(0, widths[c] - len(s)) if right else 0) - size)
+                    line += [" " * gap, s]
+                    size += gap + len(s)
+                out.append("".join(line))
         return "\n".join(out)
 
 
@@ -600,11 +662,11 @@ def render(root: Node) -> str:
     flows = [Flow()]  # the innermost takes the text
     grids: list[Grid] = []
     lists: list[list] = []  # [ordered, next number]
-    pre = 0
+    pre = deep = 0  # open elements that keep white space; open tables beyond TABLES
     stack: list[tuple[Node, Iterator]] = []
 
     def enter(node: Node) -> None:
-        nonlocal pre
+        nonlocal pre, deep
         tag, flow = node.tag, flows[-1]
         if tag == "br":
             if not node.unseen:
@@ -617,30 +679,37 @@ def render(root: Node) -> str:
         if tag in ("ul", "ol", "menu", "dir"):
             flow.break_(1 if lists else 2)
             lists.append([tag == "ol", _number(node.attrs.get("start"), 1)])
-        elif tag == "table":
+        elif tag == "table" and len(grids) < TABLES:
             grids.append(Grid())
-        elif tag == "tr" and grids:
+        elif tag == "table" or deep and tag in CELLS:
+            deep += tag == "table"
+            flow.break_(1)
+        elif tag == "tr" and grids and not deep:
             grids[-1].row()
         elif tag in BLOCKS:
             flow.break_(2 if tag in SPACED else 1)
-        if tag in ("li", "caption") or tag in CELLS:
+        if tag == "li":
+            marker = "- "
+            if lists and lists[-1][0]:
+                number = _number(node.attrs.get("value"), lists[-1][1])
+                marker, lists[-1][1] = f"{number}. ", number + 1
+            flow.open_item(marker)
+        elif (tag == "caption" or tag in CELLS) and not deep:
             flows.append(Flow())
         if tag in ("pre", "textarea", "listing", "xmp"):
             pre += 1
         stack.append((node, iter(_shown_children(node))))
 
     def leave(node: Node) -> None:
-        nonlocal pre
+        nonlocal pre, deep
         tag = node.tag
         if tag in ("pre", "textarea", "listing", "xmp"):
             pre -= 1
         if tag == "li":
-            text = flows.pop().text()
-            marker = "- "
-            if lists and lists[-1][0]:
-                number = _number(node.attrs.get("value"), lists[-1][1])
-                marker, lists[-1][1] = f"{number}. ", number + 1
-            flows[-1].block(indented(marker, text) if text else "", 1)
+            flows[-1].close_item()
+        elif deep and (tag in ("table", "caption") or tag in CELLS):
+            deep -= tag == "table"
+            flows[-1].break_(1)
         elif tag == "caption":
             text = flows.pop().text()
             if grids:
