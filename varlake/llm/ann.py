@@ -7,11 +7,11 @@
    neighbours are in.
 2. *Index*, all rows: each goes to its most probable part.
 3. *Search*: a query goes to its most probable parts, as many as reach the wanted
-   recall on sample rows that the fit did not see, and everything in them is
-   scored exactly.
+   recall on sample rows that the fit did not see, and to more where these hold
+   too few rows; everything in them is scored exactly.
 
 A part that holds a third of all rows, say of one vector, is split into blocks
-by the hash of the id.
+by the hash of the row's number.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from varlake.llm.common import arrow_map, stored
@@ -167,10 +167,11 @@ def score_block(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray
 def nearest(
     df: DataFrame, is_query: Column, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", parts: int = PARTS, sample_rows: int = SAMPLE, recall: float = RECALL
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score double): for each row that ``is_query`` (a
-    condition on the column ``id``) selects, the k other rows found with the
-    largest inner products, ties to the smaller id; fewer, if fewer are in the
-    parts searched.
+    """(query_id, rank, vec_id, score double, searched long): for each row that
+    ``is_query`` (a condition on the column ``id``) selects, the k other rows
+    found with the largest inner products, ties to the smaller id; all, if there
+    are fewer.  ``searched`` is the number of rows in the parts that the query was
+    sent to.
 
     Which rows take part: see ``usable``; zero vectors don't.  Vectors are held
     against vectors of the same length.  An empty table gives no rows."""
@@ -178,7 +179,7 @@ def nearest(
     rows = stored(rows)
     # lengths beyond the thousandth have one part each
     dims = [r["dim"] for r in rows.select("dim").distinct().limit(1_000).collect()]
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(sample_rows).collect()
+    sample = rows.orderBy(F.xxhash64("row"), "row").limit(sample_rows).collect()
     models: dict[int, tuple[Router, int]] = {}
     for dim in dims:
         models[dim] = fit(np.array([r["vec"] for r in sample if r["dim"] == dim]).reshape(-1, dim), parts, k, recall)
@@ -187,16 +188,20 @@ def nearest(
         for batch in batches:
             home = np.zeros(batch.num_rows, np.int32)
             asks: list[list[int]] = [[]] * batch.num_rows
-            dim = batch.column(1).to_numpy()
+            enough = np.zeros(batch.num_rows, np.int32)
+            dim, asked = batch.column(1).to_numpy(), batch.column(4).to_numpy(zero_copy_only=False)
             for d in np.unique(dim).tolist():
                 own = np.flatnonzero(dim == d)
                 x = batch.column(0).take(pa.array(own)).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
                 router, probes = models.get(d) or (Router(d, 1), 1)
                 order = np.argsort(-router.probabilities(x), axis=1, kind="stable")
                 home[own] = order[:, 0]
-                for i, o in zip(own.tolist(), order[:, :probes].tolist(), strict=True):
-                    asks[i] = o
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], batch.column(0), batch.column(1), pa.array(home), pa.array(asks, pa.list_(pa.int32()))], ["id", "asked", "vec", "dim", "part", "parts"])
+                enough[own] = probes
+                for i in np.flatnonzero(asked[own]).tolist():
+                    asks[own[i]] = order[i].tolist()
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(home), pa.array(asks, pa.list_(pa.int32())), pa.array(enough)], ["vec", "dim", "id", "row", "asked", "part", "parts", "probes"]
+            )
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,13 +215,22 @@ def nearest(
                 )
 
     asked = F.coalesce(is_query, F.lit(False)).alias("asked")
-    routed = stored(arrow_map(rows.select("vec", "dim", "id", asked), route, "id long, asked boolean, vec array<double>, dim int, part int, parts array<int>"))
-    sizes = routed.groupBy("dim", "part").agg(F.count("*").alias("n")).select("dim", "part", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    candidates = routed.select("id", "vec", "dim", "part").join(sizes, ["dim", "part"]).withColumn("block", block_of(F.col("id"), F.col("blocks")))
+    schema = "vec array<double>, dim int, id long, row long, asked boolean, part int, parts array<int>, probes int"
+    routed = stored(arrow_map(rows.select("vec", "dim", "id", "row", asked), route, schema))
+    sizes = routed.groupBy("dim", "part").agg(F.count("*").alias("n")).withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    candidates = routed.select("id", "row", "vec", "dim", "part").join(sizes, ["dim", "part"]).withColumn("block", block_of(F.col("row"), F.col("blocks")))
     candidates = packed(candidates, "dim", "part", "block").withColumnRenamed("rows", "x")
-    n_queries = routed.where("asked").count()
-    queries = routed.where("asked").select("id", "vec", "dim", F.explode("parts").alias("part")).join(sizes, ["dim", "part"])
-    queries = packed(queries.withColumn("q_block", block_of(F.col("id"), max(1, -(-n_queries // QUERY_BLOCK)))), "dim", "part", "blocks", "q_block").withColumnRenamed("rows", "q")
+    asking = routed.where("asked")
+    n_queries = asking.count()
+    # the parts of a query: the probes, and more until they hold k rows besides those of its own id
+    copies = asking.groupBy("id", "dim").agg(F.count("*").alias("copies"))
+    sent = asking.select("id", "row", "dim", "probes", F.posexplode("parts").alias("place", "part")).join(sizes, ["dim", "part"]).join(copies, ["id", "dim"])
+    before = F.sum("n").over(Window.partitionBy("row").orderBy("place").rowsBetween(Window.unboundedPreceding, -1))
+    sent = sent.withColumn("before", F.coalesce(before, F.lit(0))).where((F.col("place") < F.col("probes")) | (F.col("before") < F.col("copies") + k))
+    sent = stored(sent.select("id", "row", "dim", "part", "blocks", "n"))
+    queries = sent.drop("id", "dim", "n").join(asking.select("row", "id", "vec", "dim"), "row")
+    queries = packed(queries.withColumn("q_block", block_of(F.col("row"), max(1, -(-n_queries // QUERY_BLOCK)))), "dim", "part", "blocks", "q_block").withColumnRenamed("rows", "q")
     queries = queries.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     pairs = queries.join(candidates, ["dim", "part", "block"]).select("q", "x")
-    return best(arrow_map(pairs, search, "query_id long, vec_id long, score double"), k)
+    found = best(arrow_map(pairs, search, "query_id long, vec_id long, score double"), k)
+    return found.join(sent.groupBy(F.col("id").alias("query_id")).agg(F.sum("n").alias("searched")), "query_id")

@@ -93,10 +93,10 @@ def exact_topk(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     see ``usable``.  An empty table gives no rows.  Scores beyond 64 bits end the
     job with an error."""
     rows = usable(df, id_col, vector_col)
-    rows = stored(rows.select("id", F.transform("vec", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("vec"), F.size("vec").alias("dim")))
+    rows = stored(rows.select("id", "row", F.transform("vec", lambda x: F.floor(x * F.lit(scale)).cast("double")).alias("vec"), F.size("vec").alias("dim")))
     # lengths beyond the thousandth are searched without pivots
     n, dims = rows.count(), [r["dim"] for r in rows.select("dim").distinct().limit(1_000).collect()]
-    sample = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()
+    sample = rows.orderBy(F.xxhash64("row"), "row").limit(SAMPLE).collect()
     pivots: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for dim in dims:
         own = [r for r in sample if r["dim"] == dim]
@@ -114,9 +114,9 @@ def exact_topk(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
                 x = batch.column(1).take(pa.array(own)).flatten().to_numpy(zero_copy_only=False).reshape(len(own), d)
                 for i, row in zip(own.tolist(), pivot_distances(x, pivots[d][1] if d in pivots else np.zeros((0, d))), strict=True):
                     away[i] = row
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(away, pa.list_(pa.float64()))], ["id", "vec", "dim", "away"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(away, pa.list_(pa.float64()))], ["id", "vec", "dim", "row", "away"])
 
-    rows = stored(arrow_map(rows.select("id", "vec", "dim"), measured, "id long, vec array<double>, dim int, away array<double>"))
+    rows = stored(arrow_map(rows.select("id", "vec", "dim", "row"), measured, "id long, vec array<double>, dim int, row long, away array<double>"))
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,8 +140,8 @@ def exact_topk(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
     queries = rows.where(is_query)
     query_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     columns = ("id", "vec", "away")
-    candidates = packed(rows.withColumn("block", block_of(F.col("id"), blocks)), "dim", "block", columns=columns).withColumnRenamed("rows", "x")
-    asked = packed(queries.withColumn("q_block", block_of(F.col("id"), query_blocks)), "dim", "q_block", columns=columns).withColumnRenamed("rows", "q")
+    candidates = packed(rows.withColumn("block", block_of(F.col("row"), blocks)), "dim", "block", columns=columns).withColumnRenamed("rows", "x")
+    asked = packed(queries.withColumn("q_block", block_of(F.col("row"), query_blocks)), "dim", "q_block", columns=columns).withColumnRenamed("rows", "q")
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     pairs = asked.join(candidates, ["dim", "block"]).select("q", "x")
     return best(arrow_map(pairs, search, "query_id long, vec_id long, score long"), k)

@@ -20,13 +20,15 @@ QUERY_BLOCK = 512
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, vec array<double>): the rows that take part.  Null vectors, vectors
-    with a null, infinite or not-a-number component and null ids don't; of rows
-    with one id the one with the smallest vector does."""
+    """(id, vec array<double>, row): the rows that take part, each with a number
+    of its own.  Null vectors, vectors with a null, infinite or not-a-number
+    component and null ids don't.  Rows may share an id: each is a candidate, but
+    not for queries of that id, and queries of one id are answered together.
+    Write the rows before ``row`` is used twice."""
     rows = pick(df, id=id_col, vec=vector_col)
     rows = rows.select(F.col("id").cast("long").alias("id"), F.col("vec").cast("array<double>").alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return rows.where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False))).groupBy("id").agg(F.min("vec").alias("vec"))
+    return rows.where(F.col("id").isNotNull() & F.coalesce(finite, F.lit(False))).withColumn("row", F.monotonically_increasing_id())
 
 
 def packed(rows: DataFrame, *keys: str, columns: tuple[str, ...] = ("id", "vec")) -> DataFrame:
@@ -34,9 +36,9 @@ def packed(rows: DataFrame, *keys: str, columns: tuple[str, ...] = ("id", "vec")
     return rows.groupBy(*keys).agg(F.collect_list(F.struct(*columns)).alias("rows"))
 
 
-def block_of(id_column: Column, blocks: Column | int) -> Column:
-    """A number below ``blocks``, evenly by the hash of the id."""
-    return F.pmod(F.xxhash64(id_column), F.lit(blocks) if isinstance(blocks, int) else blocks).cast("int")
+def block_of(row: Column, blocks: Column | int) -> Column:
+    """A number below ``blocks``, evenly by the hash of the row's number."""
+    return F.pmod(F.xxhash64(row), F.lit(blocks) if isinstance(blocks, int) else blocks).cast("int")
 
 
 def matrix(cell: pa.ListScalar, column: str = "vec") -> tuple[np.ndarray, np.ndarray]:
