@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from ..functions.names import SLIM_CSQ_FIELDS
 from ..operators.filters import AF_NUMBERS, as_number
-from ..operators.joins import KEY, hot_sites
+from ..operators.joins import KEY, ROWS_PER_TASK, hot_sites
 from ..operators.project import csq_project, info_project, main_project
 from ..plans.query import TABLE_KEYS, TABLE_NAMES
 from ..session import scratch_path
@@ -124,17 +124,31 @@ def write_batch(
     bloom = ("symbol",) if t == "csq" and "symbol" in df.columns else ()
     write_table(df.withColumn(BATCH_COL, F.lit(batch)), root, names[t], partition_by=(PARTITION_COL, BATCH_COL), bloom_columns=bloom)
     written = spark.read.schema(f"pos int, {PARTITION_COL} string, {BATCH_COL} string").parquet(table_path(root, names[t])).where(F.col(BATCH_COL) == batch)
-    covered = written.groupBy(PARTITION_COL).agg(F.min("pos").alias("low"), F.max("pos").alias("high"), F.count(F.lit(1)).alias("n")).collect()
-    if t == "csq":
-        hot = hot_sites(written)
-        n_hot = hot.count()
-        if n_hot:
-            write_table(hot.withColumn(BATCH_COL, F.lit(batch)), root, names["hot"], partition_by=(PARTITION_COL, BATCH_COL))
-        mark(spark, root, Batch(names["hot"], source, identity, batch, hot.schema, n_hot, (), {}, replaces))
-        if "existing_variation" in df.columns:
+
+    def measure() -> dict[str, tuple[int, int, int]]:
+        """Per contig: first and last position, rows.  One job; sites that are hot
+        are looked up only where a contig has any."""
+        extent = F.min("pos").alias("low"), F.max("pos").alias("high")
+        if t != "csq":
+            found = written.groupBy(PARTITION_COL).agg(*extent, F.count(F.lit(1)).alias("n")).collect()
+        else:
+            sites = written.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
+            found = sites.groupBy(PARTITION_COL).agg(*extent, F.sum("n").alias("n"), F.count_if(F.col("n") > ROWS_PER_TASK).alias("hot")).collect()
+            hot, n_hot = hot_sites(written), sum(r["hot"] for r in found)
+            if n_hot:
+                write_table(hot.withColumn(BATCH_COL, F.lit(batch)), root, names["hot"], partition_by=(PARTITION_COL, BATCH_COL))
+            mark(spark, root, Batch(names["hot"], source, identity, batch, hot.schema, n_hot, (), {}, replaces))
+        return {r[PARTITION_COL]: (r["low"], r["high"], r["n"]) for r in found}
+
+    if t == "csq" and "existing_variation" in df.columns:
+        with ThreadPoolExecutor(max_workers=1) as pool:  # the two jobs read the written table side by side
+            measuring = pool.submit(measure)
             mark(spark, root, replace(write_variations(spark, root, profile, source, identity, batch, df.schema), replaces=replaces))
-    contigs = {r[PARTITION_COL]: (r["low"], r["high"]) for r in covered}
-    mark(spark, root, Batch(names[t], source, identity, batch, df.schema, sum(r["n"] for r in covered), samples, contigs, replaces))
+            covered = measuring.result()
+    else:
+        covered = measure()
+    contigs = {c: (low, high) for c, (low, high, _) in covered.items()}
+    mark(spark, root, Batch(names[t], source, identity, batch, df.schema, sum(n for _, _, n in covered.values()), samples, contigs, replaces))
 
 
 def store_tables(

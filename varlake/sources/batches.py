@@ -84,9 +84,13 @@ def read_batches(spark: SparkSession, root: str, *, replaced: bool = False) -> l
 
 def mark(spark: SparkSession, root: str, b: Batch) -> None:
     """Make a written batch count."""
-    row = (b.table, b.input, b.identity, b.batch, b.schema.json(), b.rows, list(b.samples), [(c, lo, hi) for c, (lo, hi) in b.contigs.items()], list(b.replaces))
+    row = {
+        "table": b.table, "input": b.input, "identity": b.identity, "batch": b.batch, "schema": b.schema.json(), "rows": b.rows, "samples": list(b.samples),
+        "contigs": [{"chrom": c, "low": low, "high": high} for c, (low, high) in b.contigs.items()], "replaces": list(b.replaces),
+    }
     path = f"{root.rstrip('/')}/{INGEST_LOG}/{b.batch}-{b.table}"
-    spark.createDataFrame([row], _MARKER).coalesce(1).write.mode("overwrite").json(path)
+    # a literal, not local rows: no Python worker is involved
+    spark.range(0, 1, 1, 1).select(F.lit(json.dumps(row)).alias("value")).write.mode("overwrite").text(path)
 
 
 def merged_schema(batches: Sequence[Batch]) -> T.StructType:
