@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -122,23 +123,32 @@ def stored_wide(stored: DataFrame, samples: Sequence[str], key: Sequence[str] =
     """Wide map columns ``s<name>_int``, ``s<name>_text``,
     ``s<name>_list_int`` for named samples, from a stored genotype table.
 
-    The rows of those samples are grouped by site and pivoted on the
-    listed names (given, so no pass to find them; partial aggregation
-    before the shuffle).  A site without a row for a sample gets empty
-    maps, as a sample with no data does."""
-    names = normalize_samples(samples)
-    maps = genotype_maps_view(stored.where(F.col("sampleId").isin(list(samples))))
-    wide = maps.groupBy(*key).pivot("sample", names).agg(
-        *[F.first(kind, ignorenulls=True).alias(kind) for kind, _, _ in _KINDS]
-    )
-    return wide.select(
-        *key,
-        *[
-            F.coalesce(F.col(f"{n}_{kind}"), F.create_map().cast(_map_type(kind))).alias(f"{n}_{kind}")
-            for n in names
-            for kind, _, _ in _KINDS
-        ],
-    )
+    The rows of those samples become one array per site in the order of
+    ``samples``, and each column reads its place in it, so a plan for
+    thousands of samples has two aggregates, not one per column.  A site
+    without a row for a sample gets empty maps, as a sample with no data
+    does; of several rows for one sample the smallest counts."""
+    samples = list(samples)
+    names = [n.replace("`", "``") for n in normalize_samples(samples)]
+    spark = stored.sparkSession
+    # an Arrow table stays a local relation, whose size the planner knows
+    slots = spark.createDataFrame(pa.table({"sampleId": pa.array(samples, pa.string()), "_slot": pa.array(range(len(samples)), pa.int32())}))
+    fields = [c for c in stored.columns if c not in (*key, "sample_index")]
+    g = F.struct(*[F.col(c) for c in fields])
+    rows = stored.join(slots, "sampleId").select(*key, "_slot", g.alias("_g"))
+    # both groupings use the one exchange by site
+    rows = rows.repartition(*key).groupBy(*key, "_slot").agg(F.min("_g").alias("_g"))
+    empty = F.lit(None).cast(rows.schema["_g"].dataType)
+    sites = rows.groupBy(*key).agg(F.collect_list(F.struct("_slot", "_g")).alias("_have"))
+    missing = F.array_except(F.sequence(F.lit(0), F.lit(len(samples) - 1)), F.transform("_have", lambda x: x["_slot"]))
+    sites = sites.select(*key, F.array_sort(F.concat("_have", F.transform(missing, lambda i: F.struct(i.alias("_slot"), empty.alias("_g"))))).alias("_all"))
+
+    def maps(x: Column) -> Column:
+        kinds = zip(genotype_maps(x["_g"], set(fields)), _KINDS)
+        return F.struct(*[F.coalesce(m, F.create_map().cast(_map_type(kind))).alias(kind) for m, (kind, _, _) in kinds])
+
+    sites = sites.select(*key, F.transform("_all", maps).alias("_site"))
+    return sites.selectExpr(*key, *[f"_site[{i}].`{kind}` AS `{n}_{kind}`" for i, n in enumerate(names) for kind, _, _ in _KINDS])
 
 
 def genotypes_wide(
