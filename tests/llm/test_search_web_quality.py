@@ -174,6 +174,22 @@ def test_archives_round_trip(spark, tmp_path):
     assert empty.isEmpty() and read_warc(empty).isEmpty()
 
 
+def test_dense_members_are_not_inflated_whole():
+    head = b"WARC/1.1\r\nContent-Length: 10\r\n\r\n"
+    dense = gzip.compress(head + bytes(200_000_000))
+    tracemalloc.start()
+    with pytest.raises(WarcError, match="longer"):
+        list(read_records(io.BytesIO(dense)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000_000
+    size = 5 * 2**20 + 3
+    whole = gzip.compress(b"WARC/1.1\r\nContent-Length: %d\r\n\r\n" % size + bytes(size) + b"\r\n\r\n")
+    assert [len(r["block"]) for r in read_records(io.BytesIO(whole * 3))] == [size] * 3
+    with pytest.raises(WarcError, match="breaks off"):
+        list(read_records(io.BytesIO(whole[:-9])))
+
+
 def test_reader_finds_damage():
     good = page_record("1", "http://a/", b"payload", "00", None)
     assert [r["fields"]["warc-type"] for r in read_records(io.BytesIO(good * 3))] == ["response"] * 3

@@ -2,9 +2,11 @@
 
 Each round hooks every node's larger neighbours to the smallest node that it
 sees (large star), then its smaller ones (small star), until each component is a
-star around its smallest node.  A node with very many links is no hot spot: its
-minimum is aggregated before the shuffle, and the join that spreads it can be
-split by Spark.  The links of each round are written to the shared folder.
+star around its smallest node.  A node's minimum is aggregated before the shuffle.
+The joins that spread it bring the links of a node with very many, two numbers
+each, to one task unless Spark's adaptive execution splits the partition, which
+it does above its threshold of bytes.  The links of each round are written to the
+shared folder.
 """
 
 from __future__ import annotations

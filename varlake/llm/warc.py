@@ -87,7 +87,8 @@ class WarcError(ValueError):
 
 def read_records(stream: BinaryIO) -> Iterator[dict]:
     """The records of an archive, one after the other: their fields (lower-case
-    names) under "fields", and the "block".  One record is held at a time."""
+    names) under "fields", and the "block".  One record is held at a time, and a
+    member is inflated by ``CHUNK`` bytes at most before its length is compared."""
     rest, n = b"", 0
     while rest or (rest := stream.read(CHUNK)):
         n += 1
@@ -96,9 +97,11 @@ def read_records(stream: BinaryIO) -> Iterator[dict]:
         need = -1
         while True:
             try:
-                data += member.decompress(rest)
+                part = member.decompress(rest, CHUNK)
             except zlib.error as e:
                 raise WarcError(f"record {n}: {e}") from e
+            data += part
+            rest = member.unconsumed_tail
             if fields is None and (end := data.find(b"\r\n\r\n")) >= 0:
                 version, *lines = bytes(data[:end]).decode("utf-8", "replace").split("\r\n")
                 if not version.startswith("WARC/"):
@@ -114,7 +117,8 @@ def read_records(stream: BinaryIO) -> Iterator[dict]:
             if member.eof:
                 rest = member.unused_data
                 break
-            if not (rest := stream.read(CHUNK)):
+            # a full part may have more behind it without further input
+            if not rest and len(part) < CHUNK and not (rest := stream.read(CHUNK)):
                 raise WarcError(f"record {n}: the archive breaks off")
         if fields is None or len(data) != need + 4 or data[need:] != b"\r\n\r\n":
             raise WarcError(f"record {n}: its length is not as stated")
