@@ -12,7 +12,7 @@ import hashlib
 
 from pyspark.sql import SparkSession
 
-from ..sources.batches import new_batch, read_batches, scan_batches, shared_ranges, sharing
+from ..sources.batches import checkpoint_log, new_batch, read_batches, scan_batches, shared_ranges, sharing
 from .ingest import write_batch
 from .query import TABLE_KEYS, TABLE_NAMES
 
@@ -39,4 +39,6 @@ def compact(spark: SparkSession, root: str, profile: str = "full") -> dict[str,
         source = "compact " + hashlib.sha256("\n".join(names).encode()).hexdigest()[:32]
         write_batch(spark, root, profile, t, scan_batches(spark, root, old, TABLE_KEYS[t]), source, source, new_batch(), samples, names)
         replaced[t] = len(old)
+    if replaced:
+        checkpoint_log(spark, root)
     return replaced

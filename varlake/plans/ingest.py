@@ -26,7 +26,7 @@ from ..operators.joins import KEY, ROWS_PER_TASK, hot_sites
 from ..operators.project import csq_project, info_project, main_project
 from ..plans.query import TABLE_KEYS, TABLE_NAMES
 from ..session import scratch_path
-from ..sources.batches import Batch, mark, merged_schema, new_batch, read_batches
+from ..sources.batches import Batch, checkpoint_log, mark, merged_schema, new_batch, read_batches
 from ..sources.tables import BATCH_COL, PARTITION_COL, table_path, write_table
 from ..sources.vcf import VcfHeader, VcfSource, open_vcf, pos_one_based
 
@@ -195,6 +195,8 @@ def store_tables(
     else:
         for t in pending:
             write(t)
+    if pending:
+        checkpoint_log(spark, root)
     return {t: table_path(root, names[t]) for t in order}
 
 

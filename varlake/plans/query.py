@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators.filters import AF_NUMBERS, VariantFilter, make_filter
 from ..operators.genotypes import stored_wide
 from ..operators.joins import KEY, annotate_join, semi_reduce
-from ..sources.batches import Batch, read_batches, scan_batches, shared_ranges
+from ..sources.batches import Batch, in_batches, read_batches, scan_batches, shared_ranges
 from ..sources.tables import BATCH_COL, scan_table, table_path
 
 # Stored table names per profile (full and slim/demo).
@@ -90,7 +90,7 @@ def variation_sites(spark: SparkSession, root: str, profile: str, batches: Seque
     if not own or {b.batch for b in own} != {b.batch for b in batches if b.table == names["csq"]}:
         return None
     rows = spark.read.schema(f"variation string, {KEY[0]} string, {KEY[1]} int, {BATCH_COL} string").parquet(table_path(root, names["variations"]))
-    return rows.where(F.col(BATCH_COL).isin([b.batch for b in own]) & (F.col("variation") == F.lit(str(variant_id)))).select(*KEY).distinct()
+    return in_batches(rows.where(F.col("variation") == F.lit(str(variant_id))), own).select(*KEY).distinct()
 
 
 def apply_filter(
@@ -175,7 +175,7 @@ def query_variants(
     with_hot = [b for b in batches if b.table == TABLE_NAMES[profile]["hot"] and b.rows]
     hot = None
     if with_hot:  # a site's rows in all batches, at most: the merged count is not larger
-        hot = scan_table(spark, root, TABLE_NAMES[profile]["hot"]).where(F.col(BATCH_COL).isin([b.batch for b in with_hot]))
+        hot = in_batches(scan_table(spark, root, TABLE_NAMES[profile]["hot"]), with_hot)
         hot = hot.groupBy(*KEY).agg(F.sum("n").alias("n"))
     return run_query(
         flt, main, info, csq,
