@@ -7,12 +7,13 @@ import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from varlake.llm import line_dedup, simhash
 from varlake.llm.components import connected_components
 from varlake.llm.line_dedup import dedup_lines
 from varlake.llm.queries import QUERIES
-from varlake.llm.simhash import fingerprint_texts, near_dedup, near_dup_classes, near_links
+from varlake.llm.simhash import _split_hot, fingerprint_texts, near_dedup, near_dup_classes, near_links
 
 
 def classes_of(n, pairs):
@@ -92,6 +93,29 @@ def test_links_connect_what_is_near(spark, bits):
     assert classes_of(len(values), found) == classes_of(len(values), brute)
 
 
+def test_hot_keys_are_cut_into_blocks(spark):
+    """One segment in common, so all share a key: no group of a key is larger than
+    two blocks, and what is connected is what brute force connects."""
+    random = np.random.default_rng(3)
+    values = np.unique((random.integers(0, 1 << 10, 400, dtype=np.uint64) << np.uint64(30)) | np.uint64(7))
+    df = spark.createDataFrame([(int(v),) for v in values], "fingerprint long")
+    index = {int(v): i for i, v in enumerate(values)}
+    near = np.bitwise_count(values[:, None] ^ values[None]) <= 4
+    want = classes_of(len(values), [(int(i), int(j)) for i, j in zip(*np.nonzero(near), strict=True) if i < j])
+    for block in (20, 100, 1_000):
+        pairs = [(index[r["a"]], index[r["b"]]) for r in near_links(df, 4, block).collect()]
+        assert all(near[i, j] for i, j in pairs)
+        assert classes_of(len(values), pairs) == want
+    keyed = df.select(F.lit(1).cast("long").alias("k"), "fingerprint").unionByName(df.limit(5).select(F.lit(2).cast("long").alias("k"), "fingerprint"))
+    sizes = [r["count"] for r in _split_hot(keyed, 20).groupBy("k").count().collect()]
+    assert max(sizes) < 2 * 20 * 2 and 5 in sizes  # two blocks as hashing fills them
+    met = {}
+    for r in _split_hot(keyed, 20).where("k != 2").collect():
+        met.setdefault(r["fingerprint"], set()).add(r["k"])
+    own = list(met.values())
+    assert len(own) == len(values) and all(x & y for x in own for y in own)
+
+
 def test_dense_keys_give_a_forest():
     base = np.uint64(0x1234567890ABCDEF)
     ball = np.unique(np.array([base ^ (np.uint64(1) << np.uint64(i)) ^ (np.uint64(1) << np.uint64(j)) for i in range(64) for j in range(i)]))

@@ -29,6 +29,8 @@ from varlake.llm.components import connected_components
 
 SEED = 42
 STRETCH = 2_000_000  #: bytes of a text handled at a time
+#: Fingerprints of one block of a key that very many have.
+BLOCK = 20_000
 SMALL_KEY = 32  #: keys with up to this many fingerprints are compared pair by pair in numpy
 
 
@@ -155,9 +157,23 @@ def _links(keys: np.ndarray, values: np.ndarray, max_bits: int) -> tuple[np.ndar
     return np.concatenate(a or none), np.concatenate(b or none)
 
 
-def near_links(distinct: DataFrame, max_bits: int) -> DataFrame:
+def _split_hot(keyed: DataFrame, block: int) -> DataFrame:
+    """The keys with those that more than two blocks of fingerprints have cut
+    up: their fingerprints are dealt to blocks, and each two blocks meet under a
+    key of their own, so every two fingerprints of a key still meet."""
+    hot = stored(keyed.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > 2 * block))
+    if hot.isEmpty():
+        return keyed
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    parts = keyed.join(hot, "k").select("k", "fingerprint", F.pmod(F.xxhash64(F.lit(block), "fingerprint"), blocks).cast("int").alias("x"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("y"))
+    parts = parts.where(F.col("x") != F.col("y")).select(F.xxhash64("k", F.least("x", "y"), F.greatest("x", "y")).alias("k"), "fingerprint")
+    return keyed.join(hot, "k", "left_anti").unionByName(parts)
+
+
+def near_links(distinct: DataFrame, max_bits: int, block: int = BLOCK) -> DataFrame:
     """(a, b): links that connect distinct fingerprints (column fingerprint)
-    within ``max_bits`` bits."""
+    within ``max_bits`` bits.  No task holds more than about two blocks of the
+    fingerprints of a key."""
     n = max_bits // 2 + 1
     edges = [64 * i // n for i in range(n + 1)]
     variants = []
@@ -184,6 +200,8 @@ def near_links(distinct: DataFrame, max_bits: int) -> DataFrame:
             yield from out(keys[:cut], values[:cut])
         yield from out(held_k, held_v)
 
+    if distinct.count() > 2 * block:  # else no key can have as many
+        keyed = _split_hot(keyed, block)
     dealt = keyed.repartition("k").sortWithinPartitions("k", "fingerprint")
     return arrow_map(dealt, run, "a long, b long")
 
