@@ -26,7 +26,7 @@ from varlake.llm.warc import WarcError, page_record, read_records, read_warc, wr
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_registered_queries_match_sql(spark, sf, name):
     con = duckdb.connect()
-    for t in ("embeddings", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf}/{t}.parquet')")
     rel = con.sql(queries.ORACLE_SQL[name])
     got = queries.QUERIES[name](spark, sf)
@@ -389,6 +389,24 @@ def test_thresholds_are_ordered_and_grades_are_learnt():
     assert means == sorted(means) and means[3] - means[0] > 1
 
 
+def test_features_at_the_driver_are_bounded(spark, monkeypatch):
+    """Whole documents are taken, in the order of their hashes, while they fit."""
+    docs = [(i, " ".join(f"{'good' if i % 2 else 'bad'}{j}" for j in range(20 + i))) for i in range(60)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, grade int")
+    seen = []
+    real = OrdinalModel.fit
+    monkeypatch.setattr(OrdinalModel, "fit", lambda self, lens, *rest: (seen.append(sorted(lens.tolist())), real(self, lens, *rest))[1])
+    order = [r["doc_id"] for r in df.orderBy(F.xxhash64("doc_id")).collect()]
+    size = {i: len(features(t)) for i, t in docs}
+    for bound in (10**6, 1_000, 3):
+        fit_quality(df, labels, 2, max_features=bound)
+        sums = np.cumsum([size[i] for i in order])
+        want = sorted(size[i] for i, total in zip(order, sums, strict=True) if total <= bound)
+        assert not want or seen.pop() == want
+    assert not seen  # nothing fits in 3
+
+
 def test_quality_of_odd_rows(spark):
     docs = [(i, "good words are here " * 3) for i in range(30)] + [(100 + i, "BAD!! STUFF!! " * 4) for i in range(30)] + [(200 + i, "good words and moron here") for i in range(30)]
     docs += [(300, None), (301, ""), (302, "good words " * 300_000), (303, "!!! ???"), (0, "good words are here"), (None, "no id")]

@@ -12,7 +12,8 @@ of a text's words, so length alone says nothing, and a score is an average over
 words of what each word adds, which is looked up once per distinct word.
 
 The fit uses at most ``max_rows`` labelled rows (those with the smallest hashes,
-each grade in proportion); all documents are scored.
+each grade in proportion) with at most ``max_features`` features together; all
+documents are scored.
 """
 
 from __future__ import annotations
@@ -27,10 +28,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from varlake.llm.common import arrow_map, ddl, pick, strings, text_or_empty
+from varlake.llm.common import arrow_map, ddl, pick, stored, strings, text_or_empty
 
 BITS = 18
 MAX_ROWS = 8_000
+MAX_FEATURES = 8_000_000  #: of all rows of a fit together, 8 bytes each
 LEAST_ROWS = 5
 CACHE_WORDS = 300_000
 STRETCH = 2_000_000  #: characters of a text whose words are counted at a time
@@ -182,10 +184,12 @@ class Scorer:
         return SCALE * score / total if total else 0.0
 
 
-def fit_quality(df: DataFrame, labels: DataFrame, grades: int, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", max_rows: int = MAX_ROWS) -> OrdinalModel:
+def fit_quality(df: DataFrame, labels: DataFrame, grades: int, id_col: str = "doc_id", text_col: str = "text", grade_col: str = "grade", max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> OrdinalModel:
     """A model from the labelled documents: ``labels`` has (id, grade); grades
     are 0 .. grades - 1, others and null are passed over.  At most ``max_rows``
-    rows come to the driver, as hashed features.  Without ratings of two grades
+    rows come to the driver, as hashed features, and no more of them (in the order
+    of a hash of their ids) than have ``max_features`` together, so that very long
+    texts don't fill it.  Without ratings of two grades
     there is nothing to tell documents apart by: all get score 0 and the highest
     grade, so none is rejected."""
     marks = pick(labels, key=id_col, grade=grade_col).where(F.col("grade").between(0, grades - 1)).groupBy("key").agg(F.min("grade").cast("int").alias("grade"))
@@ -201,17 +205,24 @@ def fit_quality(df: DataFrame, labels: DataFrame, grades: int, id_col: str = "do
         own = marks.where(F.col("grade") == g).orderBy(F.xxhash64("key"), "key").limit(max(1, min(n, max_rows * n // total)))
         chosen = own if chosen is None else chosen.unionByName(own)
     texts = pick(df, key=id_col, text=text_col)
-    rows = texts.select("key", text_or_empty(texts.text).alias("text")).join(chosen, "key").select("grade", "text")
+    rows = texts.select("key", text_or_empty(texts.text).alias("text")).join(chosen, "key").select("grade", F.xxhash64("key").alias("h"), "text")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [features(t) for t in strings(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([list(x) for x in found], pa.list_(pa.int32())), pa.array([list(x.values()) for x in found], pa.list_(pa.float32()))], ["grade", "f", "v"]
-            )
+            for at in range(0, batch.num_rows, 8):  # a long text has many features
+                group = batch.slice(at, 8)
+                found = [features(t) for t in strings(group.column(2))]
+                yield pa.RecordBatch.from_arrays(
+                    [*group.columns[:2], pa.array([list(x) for x in found], pa.list_(pa.int32())), pa.array([list(x.values()) for x in found], pa.list_(pa.float32()))], ["grade", "h", "f", "v"]
+                )
 
     # a document that occurs in many rows has as many here; the bound holds for all of them
-    got = arrow_map(rows, run, "grade int, f array<int>, v array<float>").limit(max_rows).toArrow()
+    found = stored(arrow_map(rows, run, "grade int, h long, f array<int>, v array<float>").limit(max_rows))
+    sizes = found.groupBy("h").agg(F.sum(F.size("f")).alias("n")).orderBy("h").toArrow()
+    fit = int(np.searchsorted(np.cumsum(sizes["n"].to_numpy()), max_features, "right"))
+    if fit < sizes.num_rows:
+        found = found.where(F.col("h") < sizes["h"][fit].as_py())
+    got = found.select("grade", "f", "v").toArrow()
     if len(set(got["grade"].to_pylist())) < 2:
         return untold
     lists = got["f"].combine_chunks()
