@@ -319,3 +319,16 @@ def test_sketches_and_shingle_numbers():
     near = [(x, y) for x, y in near if line_dedup.jaccard(line_dedup.shingles(x), line_dedup.shingles(y)) >= 0.8]
     a, b = (line_dedup.sketches([p[i] for p in near]).view(np.uint64) for i in (0, 1))
     assert len(near) > 100 and (line_dedup.apart(a, b) <= line_dedup.SKETCH_APART).all()
+
+
+@pytest.mark.parametrize("stretch", [30, 100_000])
+def test_pairs_of_lines_are_compared_together(monkeypatch, stretch):
+    """Many pairs at once give what each gives alone, also beyond Latin-1."""
+    monkeypatch.setattr(line_dedup, "BLOCK_CHARS", stretch)
+    random = np.random.default_rng(8)
+    x = ["".join(random.choice(list("abé ÿ日"[: 5 + i % 2]), 5 + i % 40)) for i in range(300)]
+    y = [a[: int(random.integers(0, 4))] + a + b[:2] if i % 3 else b + b for i, (a, b) in enumerate(zip(x, x[::-1]))]
+    for t in (0.2, 0.5, 0.8):
+        want = [line_dedup.jaccard(line_dedup.shingles(a), line_dedup.shingles(b)) >= t for a, b in zip(x, y)]
+        assert line_dedup.alike(x, y, t).tolist() == want and 0 < sum(want) < len(x)
+    assert line_dedup.alike([], [], 0.8).tolist() == []
