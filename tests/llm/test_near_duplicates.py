@@ -332,3 +332,24 @@ def test_pairs_of_lines_are_compared_together(monkeypatch, stretch):
         want = [line_dedup.jaccard(line_dedup.shingles(a), line_dedup.shingles(b)) >= t for a, b in zip(x, y)]
         assert line_dedup.alike(x, y, t).tolist() == want and 0 < sum(want) < len(x)
     assert line_dedup.alike([], [], 0.8).tolist() == []
+
+
+def test_no_task_of_line_dedup_needs_two_python_workers(spark, monkeypatch):
+    """A map over another's rows, with no shuffle between, holds a worker of its own in each task."""
+    plans = []
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df)
+
+    stored = line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", watched)
+    text = "every reader of this page may write to us at the old address"
+    docs = [(i, f"{text}{i}\nabcdefg{i}") for i in range(20)]
+    plans.append(dedup_lines(spark.createDataFrame(docs, "doc_id long, text string"))._jdf.queryExecution().executedPlan().toString())
+    assert sum("MapInArrow" in p for p in plans) >= 5
+    for plan in plans:
+        maps = 0
+        for line in plan.split("\n"):
+            maps = 0 if "Exchange" in line else maps + ("MapInArrow" in line)
+            assert maps < 2, plan
