@@ -17,7 +17,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from varlake.llm import ann, queries, topk, vectors
+from varlake.llm import ann, quality, queries, topk, vectors
 from varlake.llm.html_text import extract_text, html_to_text
 from varlake.llm.quality import OrdinalModel, Scorer, features, fit_quality, score_quality
 from varlake.llm.warc import WarcError, page_record, read_records, read_warc, write_warc
@@ -465,3 +465,17 @@ def test_pipeline_stages(spark, sf):
             rows, ids = spark.createDataFrame(got, docs.schema).coalesce(2), now
     final = sorted(map(tuple, corpus_pipeline.run(spark, sf).select("doc_id", "piece", "start", "length", "ids_crc32").collect()))
     assert final == sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got)
+
+
+def test_a_fit_holds_few_bytes_of_each_feature(monkeypatch):
+    r = np.random.default_rng(5)
+    lens, n = np.full(2_000, 500), 1_000_000
+    cols, values, grade = r.integers(0, 1 << 12, n).astype(np.int32), r.random(n).astype(np.float32), r.integers(0, 3, 2_000)
+    tracemalloc.start()
+    model = quality.OrdinalModel(3, 12).fit(lens, cols, values, grade, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 28 * n  # 16 that are kept, and what a stretch takes
+    monkeypatch.setattr(quality, "FIT_AT_ONCE", 700)
+    other = quality.OrdinalModel(3, 12).fit(lens, cols, values, grade, rounds=2)
+    assert np.array_equal(model.weights, other.weights) and np.array_equal(model.thresholds, other.thresholds)

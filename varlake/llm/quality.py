@@ -24,6 +24,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,7 @@ BITS = 18
 MAX_ROWS = 8_000
 MAX_FEATURES = 8_000_000  #: of all rows of a fit together, 8 bytes each
 LEAST_ROWS = 5
+FIT_AT_ONCE = 100_000  #: features of a fit of which more than 16 bytes each are held
 CACHE_WORDS = 300_000
 STRETCH = 2_000_000  #: characters of a text whose words are counted at a time
 EDGES = re.compile(r"^(\W*)(.*?)(\W*)$", re.S)
@@ -93,6 +95,16 @@ def features(text: str) -> dict[int, float]:
     return {f: SCALE * n / total for f, n in out.items() if n}
 
 
+def _stretches(places: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges a .. b of groups of at most FIT_AT_ONCE items, or of one group;
+    group i has the items ``places[i]`` .. ``places[i + 1]``."""
+    a, n = 0, len(places) - 1
+    while a < n:
+        b = max(a + 1, int(np.searchsorted(places, places[a] + FIT_AT_ONCE, "right")) - 1)
+        yield a, b
+        a = b
+
+
 class OrdinalModel:
     """Shared weights and ordered thresholds.  The first threshold is free and
     the others follow at distances exp(g), which keeps them in order."""
@@ -119,32 +131,58 @@ class OrdinalModel:
         others are divided by a power (``alpha``) of their root mean square, so
         that rare telling words count more.  Grades weigh alike, however many
         rows they have."""
-        n = len(lens)
-        row = np.repeat(np.arange(n, dtype=np.int32), lens)
-        seen = np.bincount(cols, minlength=len(self.weights))
-        often = seen[cols] >= least_rows
-        row, cols, values = row[often], cols[often], values[often].astype(np.float32)
-        if not len(row):
+        n, places = len(lens), np.append(0, np.cumsum(lens, dtype=np.int64))
+        seen = np.zeros(len(self.weights), np.int64)
+        for a, b in _stretches(places):
+            seen += np.bincount(cols[places[a] : places[b]], minlength=len(seen))
+        often = seen >= max(1, least_rows)
+        kept = np.flatnonzero(often)
+        if not len(kept):
             return self
-        kept, back = np.unique(cols, return_inverse=True)
-        back = back.astype(np.int32)
-        scale = (np.sqrt(np.bincount(back, values * values) / n) ** -alpha).astype(np.float32)
-        values *= scale[back]
-        rows, row_start = np.unique(row, return_index=True)
-        by_col = np.argsort(back, kind="stable")
-        col_row, col_value = row[by_col], values[by_col]
-        col_start = np.flatnonzero(np.append(True, np.diff(back[by_col]) > 0))
+        # what is kept, by row and by feature; all else is made a stretch of rows at a time
+        number = (np.cumsum(often) - 1).astype(np.int32)
+        total = int(seen[kept].sum())
+        back, values_by_row = np.empty(total, np.int32), np.empty(total, np.float32)
+        count, squares, at = np.zeros(n, np.int64), np.zeros(len(kept)), 0
+        for a, b in _stretches(places):
+            own = slice(places[a], places[b])
+            some = often[cols[own]]
+            count[a:b] = np.bincount(np.repeat(np.arange(b - a, dtype=np.int32), lens[a:b])[some], minlength=b - a)
+            to = slice(at, at := at + int(some.sum()))
+            back[to], values_by_row[to] = number[cols[own][some]], values[own][some]
+            np.add.at(squares, back[to], (values_by_row[to] * values_by_row[to]).astype(np.float64))
+        scale = (np.sqrt(squares / n) ** -alpha).astype(np.float32)
+        rows, row_places = np.flatnonzero(count), np.append(0, np.cumsum(count))
+        col_places = np.append(0, np.cumsum(seen[kept]))
+        col_row, col_value, free = np.empty(total, np.int32), np.empty(total, np.float32), col_places[:-1].copy()
+        for a, b in _stretches(row_places):
+            own = slice(row_places[a], row_places[b])
+            values_by_row[own] *= scale[back[own]]
+            order = np.argsort(back[own], kind="stable")
+            here, start, times = np.unique(back[own][order], return_index=True, return_counts=True)
+            to = np.arange(len(order)) + np.repeat(free[here] - start, times)
+            col_row[to] = np.repeat(np.arange(a, b, dtype=np.int32), count[a:b])[order]
+            col_value[to] = values_by_row[own][order]
+            free[here] += times
+        by_row, by_col = list(_stretches(np.append(row_places[rows], total))), list(_stretches(col_places))
+        row_places = np.append(row_places[rows], total)
         weigh = 1 / (len(np.unique(grade)) * np.bincount(grade)[grade])
-        at, score, w = np.arange(n), np.zeros(n), np.zeros(len(kept), np.float32)
+        every, score, w = np.arange(n), np.zeros(n), np.zeros(len(kept), np.float32)
         square_w, square_t = np.full(len(kept), 1e-8, np.float32), np.full(1 + len(self.gaps), 1e-8)
         for _ in range(rounds):
-            score[rows] = np.add.reduceat(w[back] * values, row_start)
+            for a, b in by_row:
+                own = slice(row_places[a], row_places[b])
+                score[rows[a:b]] = np.add.reduceat(w[back[own]] * values_by_row[own], row_places[a:b] - row_places[a])
             # P(grade = g) = tail(g - 1) - tail(g); the derivatives of its logarithm in closed form
             tail = np.concatenate([np.ones((n, 1)), self.tails(score), np.zeros((n, 1))], axis=1)
-            up, down = tail[at, grade], tail[at, grade + 1]
+            up, down = tail[every, grade], tail[every, grade + 1]
             p = np.maximum(up - down, 1e-12)
             d_up, d_down = weigh * up * (1 - up) / p, weigh * down * (1 - down) / p
-            g = np.add.reduceat((d_down - d_up).astype(np.float32)[col_row] * col_value, col_start) + ridge * w
+            d, g = (d_down - d_up).astype(np.float32), np.empty(len(kept), np.float32)
+            for a, b in by_col:
+                own = slice(col_places[a], col_places[b])
+                g[a:b] = np.add.reduceat(d[col_row[own]] * col_value[own], col_places[a:b] - col_places[a])
+            g += ridge * w
             square_w += g * g
             w -= rate * g / np.sqrt(square_w)
             # a threshold is the lower bound of one grade and the upper bound of the one below
@@ -225,9 +263,16 @@ def fit_quality(df: DataFrame, labels: DataFrame, grades: int, id_col: str = "do
     got = found.select("grade", "f", "v").toArrow()
     if len(set(got["grade"].to_pylist())) < 2:
         return untold
-    lists = got["f"].combine_chunks()
-    lens, cols = lists.value_lengths().to_numpy(), lists.flatten().to_numpy()
-    return model.fit(lens, cols, got["v"].combine_chunks().flatten().to_numpy(), got["grade"].to_numpy().astype(np.int64))
+    grade, lens = got["grade"].to_numpy().astype(np.int64), pc.list_value_length(got["f"]).to_numpy()
+    cols, values = np.empty(int(lens.sum()), np.int32), np.empty(int(lens.sum()), np.float32)
+    for out, name in ((cols, "f"), (values, "v")):
+        end = 0
+        for chunk in got[name].chunks:
+            flat = chunk.flatten().to_numpy()
+            out[end : (end := end + len(flat))] = flat
+    del got, chunk, flat
+    pa.default_memory_pool().release_unused()
+    return model.fit(lens, cols, values, grade)
 
 
 def score_quality(df: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
