@@ -353,3 +353,58 @@ def test_no_task_of_line_dedup_needs_two_python_workers(spark, monkeypatch):
         for line in plan.split("\n"):
             maps = 0 if "Exchange" in line else maps + ("MapInArrow" in line)
             assert maps < 2, plan
+
+
+@pytest.mark.parametrize("held, batch", [(250_000, 10_000), (40, 1), (3, 7)])
+def test_lines_meet_by_bucket(spark, monkeypatch, held, batch):
+    """Keys of few lines give pairs that may be alike, keys of more their lines; none is lost,
+    however little of a bucket is held."""
+    monkeypatch.setattr(line_dedup, "HELD", held)
+    random = np.random.default_rng(held)
+    keys = [*range(40), *(int(x) << 53 for x in range(-30, 30))]
+    rows = [(int(k), int(h)) for k in keys for h in random.integers(0, 90, random.integers(1, 7))] + [(k, h) for k in (5, 7 << 53) for h in range(90)] * 2
+    sketch = random.integers(-(1 << 63), (1 << 63) - 1, 3)
+    parts = {}
+    for i in random.permutation(len(rows)).tolist():
+        k, h = rows[i]
+        parts.setdefault((k % (1 << 64) >> 52, int(random.integers(0, 9))), []).append((k, h, int(sketch[h % 3])))
+    blobs = [(b, bytearray(np.array(x, np.int64).tobytes())) for (b, _), x in parts.items()]
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = line_dedup._met(spark.createDataFrame(blobs, "bucket int, signed binary")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    lines = {}
+    for k, h in rows:
+        lines.setdefault(k, set()).add(h)
+    many = {k for k, hs in lines.items() if len(hs) > line_dedup.FEW}
+    assert {(r["k"], r["h"]) for r in got if r["other"] is None} == {(k, h) for k in many for h in lines[k]} and len(many) == 2
+    want = {(a, b) for k, hs in lines.items() if k not in many for a in hs for b in hs if a < b and a % 3 == b % 3}
+    assert {(r["h"], r["other"]) for r in got if r["k"] is None} == want
+
+
+def test_line_keys_travel_many_in_a_row(spark):
+    """A row for each key and line would be 12 for each of 3,000 lines."""
+    random = np.random.default_rng(6)
+    docs = [("\n".join(prose(random, 9) + str(i * 50 + j) for j in range(50)),) for i in range(60)]
+    signed = line_dedup._signed(spark.createDataFrame(docs, "text string").coalesce(1)).collect()
+    assert len(signed) <= 1 << line_dedup.BUCKET_BITS
+    rows = np.concatenate([np.frombuffer(r["signed"], np.int64).reshape(-1, 3) for r in signed])
+    lines = [x for (d,) in docs for x in d.split("\n")]
+    keys, sketch = line_dedup.signatures(lines)
+    want = {(k, line_dedup.line_hash(x), s) for x, own, s in zip(lines, keys.tolist(), sketch.tolist()) for k in own}
+    assert len(rows) == 12 * 3_000 and {tuple(r) for r in rows.tolist()} == want
+    assert all(k % (1 << 64) >> 52 == r["bucket"] for r in signed for k in np.frombuffer(r["signed"], np.int64)[::3].tolist())
+
+
+def test_sketches_of_keys_keep_pairs_that_are_alike():
+    random = np.random.default_rng(8)
+    lines = ["".join(random.choice(list("abcdefgh é€"), random.integers(60, 200))) for _ in range(2_000)]
+    pairs = [(x, x[:20] + "#" + x[21:]) for x in lines]
+    pairs = [(x, y) for x, y in pairs if line_dedup.jaccard(line_dedup.shingles(x), line_dedup.shingles(y)) >= 0.8]
+    (k, a), (m, b) = (line_dedup.signatures([p[i] for p in pairs]) for i in (0, 1))
+    assert len(pairs) > 1_000 and (line_dedup.apart(a.view(np.uint64), b.view(np.uint64)) <= line_dedup.SKETCH_APART).all()
+    assert (k == m).any(axis=1).mean() > 0.99
+    far = line_dedup.apart(a[1:].view(np.uint64), a[:-1].view(np.uint64))
+    assert 20 < far.mean() < 28
