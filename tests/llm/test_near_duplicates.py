@@ -408,3 +408,52 @@ def test_sketches_of_keys_keep_pairs_that_are_alike():
     assert (k == m).any(axis=1).mean() > 0.99
     far = line_dedup.apart(a[1:].view(np.uint64), a[:-1].view(np.uint64))
     assert 20 < far.mean() < 28
+
+
+@pytest.mark.parametrize("held, signed", [(250_000, 500_000), (5, 40)])
+def test_places_of_lines_travel_with_their_keys(spark, monkeypatch, held, signed):
+    """Each place is told once, a line's first one is one row, and of a line that is everywhere
+    two places a task at most go to the bucket of its hash."""
+    monkeypatch.setattr(line_dedup, "HELD", held)
+    monkeypatch.setattr(line_dedup, "SIGNED", signed)
+    docs = [(i * 1_000, f"line {i}, alone\n\n  everywhere  \nabc\nin three {i % 30}\neverywhere") for i in range(90)]
+    want = [(line_dedup.line_hash(x), u, no) for u, d in docs for no, x in enumerate(line_dedup.lines_of(d)) if x]
+    rows = line_dedup._signed(spark.createDataFrame(docs, "uid long, text string").coalesce(2), places=True)
+    at_home = [np.frombuffer(r["signed"], np.int64)[::3] for r in rows.collect() if 1 << line_dedup.BUCKET_BITS <= r["bucket"] < line_dedup.AGAIN]
+    common = {line_dedup.line_hash(x) for x in ("everywhere", "abc")}
+    assert max(int((x == h).sum()) for x in at_home for h in common) == 2
+    got = line_dedup._met(rows).where("u is not null").collect()
+    assert sorted((r["h"], r["u"], r["l"]) for r in got) == sorted(want)
+    times = {}
+    for h, _, _ in want:
+        times[h] = times.get(h, 0) + 1
+    assert sorted(r["h"] for r in got if r["place"] != line_dedup.FURTHER) == sorted(times)
+    assert {r["h"] for r in got if r["place"] == line_dedup.ONLY} == {h for h, n in times.items() if n == 1}
+
+
+def test_texts_are_taken_apart_once_before_lines_are_looked_up(spark, monkeypatch):
+    taken = []
+    arrow_map = line_dedup.arrow_map
+    monkeypatch.setattr(line_dedup, "arrow_map", lambda df, *a: taken.append(df.columns) or arrow_map(df, *a))
+    docs = [(None, "the first of all lines\nxyz"), ("b", "the first of all lines 2\nxyz\nxyz"), ("a", "xyz\nthe first of all lines\n\nthe first of all lines")]
+    got = dedup_lines(spark.createDataFrame(docs, "id string, body string").coalesce(1), id_col="id", text_col="body").collect()
+    assert {r["id"]: (r["body"], r["n_lines"], r["n_removed"]) for r in got} == {None: ("", 2, 2), "b": ("", 3, 3), "a": ("xyz\nthe first of all lines\n", 4, 1)}
+    assert sum("text" in columns for columns in taken) == 2
+
+
+def test_partners_of_large_groups_are_found_in_stretches(spark, monkeypatch):
+    """However few pairs are held against each other at a time."""
+    random = np.random.default_rng(11)
+    lines = [prose(random, 12) for _ in range(60)]
+    lines += [x + "!" for x in lines[:30]]
+    sketch, size = line_dedup.sketches(lines).tolist(), line_dedup.distinct_shingles(lines).tolist()
+    rows = [(1, 0, True, h, h % 50, s, n, x) for h, (s, n, x) in enumerate(zip(sketch, size, lines))]
+    members = spark.createDataFrame(rows, "k long, block long, here boolean, h long, component long, sketch long, size int, line string")
+    seen = []
+    for at_once in (7, 30_000):
+        monkeypatch.setattr(line_dedup, "AT_ONCE", at_once, raising=False)
+        near = {r["h"]: r["near"] for r in line_dedup._with_partners(members, 0.8).collect()}
+        links = {tuple(sorted((r["a"], r["b"]))) for r in line_dedup._cross_links(members, 0.8).collect()}
+        seen.append((near, links))
+    assert seen[0] == seen[1] and seen[0][1] == {(i, i + 60) for i in range(30)}
+    assert all(seen[0][0][h] for i in range(30) for h in (i, i + 60))
