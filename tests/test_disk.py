@@ -1,5 +1,7 @@
 """What travels or stays on disk while a store is written, compacted and asked."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from vcf_fixture import HEADER, line
@@ -7,7 +9,7 @@ from vcf_fixture import HEADER, line
 from varlake.plans import ingest as ingest_module
 from varlake.plans.compact import compact
 from varlake.plans.ingest import ingest
-from varlake.plans.query import TABLE_KEYS, load_table
+from varlake.plans.query import TABLE_KEYS, load_table, query_variants
 from varlake.sources import batches as module
 from varlake.sources.batches import merged_pieces, read_batches, scan_batches
 
@@ -93,3 +95,13 @@ def test_rows_without_position_are_kept(spark, tmp_path):
     assert load_table(spark, root, "main").where(F.col("pos").isNull()).count() == 1
     compact(spark, root)
     assert {t: sorted(map(str, load_table(spark, root, t).collect())) for t in TABLES} == before
+
+
+def test_rows_of_other_samples_stay_at_the_scan(spark, overlapping):
+    out = query_variants(spark, overlapping, "F", symbol="GENE1", consequence="m", samples=["NA-1"])
+    lines = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = [i for i, x in enumerate(lines) if re.search(r"Filter .*sampleId#\d+ = NA-1", x)]
+    assert at and all(re.search(r"Relation \[.*sampleId#", lines[i + 1]) for i in at)
+    assert sum(bool(re.search(r"\bRelation \[.*sampleId", x)) for x in lines) == len(at)
+    every = query_variants(spark, overlapping, "F", symbol="GENE1", consequence="m", samples="all")
+    assert sorted(map(str, out.collect())) == sorted(map(str, every.select(out.columns).collect())) != []
