@@ -6,10 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 from vcf_fixture import HEADER, line
 
+from varlake.operators.filters import make_filter
 from varlake.plans import ingest as ingest_module
 from varlake.plans.compact import compact
 from varlake.plans.ingest import ingest
-from varlake.plans.query import TABLE_KEYS, load_table, query_variants
+from varlake.plans.query import TABLE_KEYS, load_table, load_tables, query_variants, run_query
 from varlake.sources import batches as module
 from varlake.sources.batches import merged_pieces, read_batches, scan_batches
 
@@ -105,3 +106,16 @@ def test_rows_of_other_samples_stay_at_the_scan(spark, overlapping):
     assert sum(bool(re.search(r"\bRelation \[.*sampleId", x)) for x in lines) == len(at)
     every = query_variants(spark, overlapping, "F", symbol="GENE1", consequence="m", samples="all")
     assert sorted(map(str, out.collect())) == sorted(map(str, every.select(out.columns).collect())) != []
+
+
+def test_merged_table_is_dealt_once(spark, overlapping):
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = run_query(make_filter("F", symbol="GENE1", consequence="m"), *load_tables(spark, overlapping))
+        assert out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    dealt = [x for x in plan.split("\n") if re.search(r"Exchange hashpartitioning\(chrom#\d+, pos#\d+, csq_no#\d+", x)]
+    assert len(dealt) == 2 and sum("Reused" in x for x in dealt) == 1
