@@ -8,9 +8,11 @@ from vcf_fixture import HEADER, line
 
 from varlake.operators.filters import make_filter
 from varlake.plans import ingest as ingest_module
+from varlake.plans import registry
 from varlake.plans.compact import compact
 from varlake.plans.ingest import ingest
 from varlake.plans.query import TABLE_KEYS, load_table, load_tables, query_variants, run_query
+from varlake.session import scratch_path
 from varlake.sources import batches as module
 from varlake.sources.batches import merged_pieces, read_batches, scan_batches
 
@@ -119,3 +121,22 @@ def test_merged_table_is_dealt_once(spark, overlapping):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
     dealt = [x for x in plan.split("\n") if re.search(r"Exchange hashpartitioning\(chrom#\d+, pos#\d+, csq_no#\d+", x)]
     assert len(dealt) == 2 and sum("Reused" in x for x in dealt) == 1
+
+
+@pytest.mark.parametrize("made", [registry._ingested, registry._two_batches])
+def test_rendered_files_are_packed(spark, sf, monkeypatch, made):
+    packed = []
+    real = registry.standin.write_vcf_files
+
+    def seen(*args, **options):
+        packed.append((real(*args, **options), options.get("where", "true")))
+        return packed[-1][0]
+
+    monkeypatch.setattr(registry.standin, "write_vcf_files", seen)
+    made(spark, sf)
+    assert len(packed) == 1 + (made is registry._two_batches)
+    for path, where in packed:
+        plain = real(spark, sf, scratch_path(spark, "vcf"), where=where)
+        assert sorted(r[0] for r in spark.read.text(path).select("value").collect()) == sorted(r[0] for r in spark.read.text(plain).select("value").collect())
+        size = lambda p: spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(p).agg(F.sum("length")).first()[0]
+        assert size(path) * 2 < size(plain)
