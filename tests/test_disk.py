@@ -90,6 +90,19 @@ def test_compaction_shuffles_no_row(spark, overlapping, monkeypatch):
     assert {t: sorted(map(str, load_table(spark, overlapping, t).collect())) for t in TABLES} == before
 
 
+def test_pieces_choose_folders_and_row_groups(spark, overlapping, monkeypatch):
+    monkeypatch.setattr(module, "LEAST_PIECE_ROWS", 40)
+    monkeypatch.setattr(module, "PIECE_ROWS", 40)
+    kept = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        plans = [f._jdf.queryExecution().executedPlan().toString() for f in merged_pieces(spark, overlapping, own_of(spark, overlapping, "main"), TABLE_KEYS["main"])]
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", kept)
+    scans = [x for p in plans[1:] for x in p.split("\n") if "FileScan" in x and "GreaterThanOrEqual(pos" in x]
+    assert len(scans) >= 4 and all(re.search(r"PartitionFilters: \[[^\]]*chrom#\d+ (IN|=)", x) for x in scans)
+
+
 def test_rows_without_position_are_kept(spark, tmp_path):
     """A batch may have rows that no place covers, though all others are shared."""
     inputs = [[site("chr1", 1, "a"), site("chr1", 9, "b")], [site("chr1", 1, "c"), site("chr1", 9, "d"), site("chr1", 9, "e").replace("chr1\t9", "chr1\t.")]]
